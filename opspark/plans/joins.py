@@ -1,0 +1,18 @@
+"""Size-checked small sides."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def pinned(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
+    """A small aggregate as a local relation, computed once, when it has at most ``max_rows`` rows.
+
+    Spark then knows its exact size and broadcasts it by its own threshold. A larger one is returned
+    unchanged and joins by shuffle, with AQE splitting skewed partitions. The check reads at most
+    ``max_rows + 1`` rows.
+    """
+    small = df.limit(max_rows + 1).toArrow()
+    if small.num_rows > max_rows:
+        return df
+    return df.sparkSession.createDataFrame(small, df.schema)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,6 +52,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives the loss of executors, unlike a local one."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Writes the frame to the shared checkpoint folder and reads it back.
+
+    One computation, however many readers follow; the files outlive any executor, and later readers
+    prune columns and push filters into them.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/opspark-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
