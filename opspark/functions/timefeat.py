@@ -58,3 +58,10 @@ def with_cyclical(df: DataFrame) -> DataFrame:
         out[f"{name}_sin"] = F.sin(angle)
         out[f"{name}_cos"] = F.cos(angle)
     return df.withColumns(out)
+
+
+def epoch_micros(ts: Column) -> Column:
+    """Microseconds since 1970 of a zone-less timestamp, from calendar parts only."""
+    days = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("bigint")
+    seconds = days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60
+    return seconds * 1000000 + (F.extract(F.lit("SECOND"), ts) * 1000000).cast("bigint")
