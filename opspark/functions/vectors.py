@@ -12,20 +12,33 @@ def norm(v: Column) -> Column:
     return F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
 
 
+def once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed a single time, also where ``use`` reads it inside a lambda."""
+    return F.transform(F.array(value), use)[0]
+
+
 def normalised(v: Column) -> Column:
     """Unit vector; a zero vector stays as it is."""
-    n = norm(v)
-    return F.transform(v, lambda x: x.cast("double") / F.when(n == 0, F.lit(1.0)).otherwise(n))
+
+    def divide(w: Column) -> Column:
+        n = norm(w)
+        return once(
+            F.when(n == 0, F.lit(1.0)).otherwise(n), lambda length: F.transform(w, lambda x: x.cast("double") / length)
+        )
+
+    return once(v, divide)
 
 
 def hash_embedding(text: Column) -> Column:
     """Unit vector of 16 numbers from the SHA-256 of the lower-case text, two bytes per number."""
-    digest = F.sha2(F.lower(text), 256)
-    raw = F.transform(
-        F.sequence(F.lit(0), F.lit(HASH_DIMENSIONS - 1)),
-        lambda i: F.conv(F.substring(digest, i * 4 + 1, F.lit(4)), 16, 10).cast("double") / 32767.5 - 1.0,
-    )
-    return normalised(raw)
+    places = F.sequence(F.lit(0), F.lit(HASH_DIMENSIONS - 1))
+
+    def numbers(digest: Column) -> Column:
+        return F.transform(
+            places, lambda i: F.conv(F.substring(digest, i * 4 + 1, F.lit(4)), 16, 10).cast("double") / 32767.5 - 1.0
+        )
+
+    return normalised(once(F.sha2(F.lower(text), 256), numbers))
 
 
 def cosine(a: Column, b: Column) -> Column:

@@ -91,7 +91,7 @@ def fare_clamped(spark, d):
     )
 
 
-CENTROIDS = "centroids AS (SELECT zone_id, 40.5 + (zone_id * 7 % 25) * 0.02 AS lat, -74.2 + (zone_id * 11 % 25) * 0.03 AS lon FROM zones)"
+CENTROIDS = "centroids AS (SELECT zone_id, CAST(40.5 AS DOUBLE) + (zone_id * 7 % 25) * CAST(0.02 AS DOUBLE) AS lat, CAST(-74.2 AS DOUBLE) + (zone_id * 11 % 25) * CAST(0.03 AS DOUBLE) AS lon FROM zones)"
 
 
 def centroids(spark, d):
