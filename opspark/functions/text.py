@@ -36,14 +36,13 @@ def occurrences(text: Column, word: Column) -> Column:
 
 
 def match_score(title: Column, content: Column, word: Column) -> Column:
-    """Three points per hit in the title, one per hit in the content; case-insensitive."""
-    t, c = F.lower(F.coalesce(title, F.lit(""))), F.lower(F.coalesce(content, F.lit("")))
-    return occurrences(t, word) * 3 + occurrences(c, word)
+    """Three points per hit in the title, one per hit in the content, all in lower case."""
+    return occurrences(title, word) * 3 + occurrences(content, word)
 
 
-def snippet(content: Column, word: Column, before: int = 80, after: int = 300) -> Column:
+def snippet(content: Column, lowered: Column, word: Column, before: int = 80, after: int = 300) -> Column:
     """Text around the first hit, or the start of the content when only the title matched."""
-    hit = F.instr(F.lower(content), word)
+    hit = F.instr(lowered, word)
     start = F.greatest(hit - before, F.lit(1))
     around = strip(F.substring(content, start, hit + after - start))
     return F.when(hit > 0, around).otherwise(F.substring(content, 1, after))

@@ -13,22 +13,32 @@ from ..sources.policies import topics
 def search_matches(documents: DataFrame, requests: list[tuple[str, str | None]]) -> DataFrame:
     """All documents that match each (query, category) request, scored, with a snippet.
 
-    Requests are a short list from the caller. Every document meets them inside its own task, so the
-    texts are read once and never shuffled; only matches leave, with a snippet instead of the text.
+    Requests are a short list from the caller. Every document is tested against them inside its own task and
+    repeated only for those it matches; the texts are read once and never shuffled.
     """
     asked = [(q.lower().strip(), c.lower() if c else None) for q, c in requests]
     wanted = F.array(
         *[F.struct(F.lit(q).alias("query"), F.lit(c).cast("string").alias("category_filter")) for q, c in asked if q]
     )
-    content, word = F.coalesce("content", F.lit("")), F.col("query")
+    word, title, content = F.col("query"), F.col("_title"), F.col("_content")
+    asked_of = F.filter(
+        wanted,
+        lambda r: (F.contains(content, r["query"]) | F.contains(title, r["query"]))
+        & (r["category_filter"].isNull() | (F.lower("category") == r["category_filter"])),
+    )
+    columns = ["id", "title", "category", "sensitivity"]
     return (
-        documents.select("*", F.explode(wanted).alias("_r"))
-        .select("id", "title", "category", "sensitivity", "content", "_r.query", "_r.category_filter")
-        .where(F.col("category_filter").isNull() | (F.lower("category") == F.col("category_filter")))
-        .withColumn("match_score", tx.match_score(F.col("title"), F.col("content"), word))
-        .where(F.col("match_score") > 0)
-        .withColumn("snippet", tx.snippet(content, word))
-        .drop("content")
+        documents.select(*columns, F.coalesce("content", F.lit("")).alias("content"))
+        .withColumns({"_title": F.lower(F.coalesce("title", F.lit(""))), "_content": F.lower("content")})
+        .withColumn("_r", F.explode(asked_of))
+        .select(*columns, "content", "_title", "_content", "_r.query", "_r.category_filter")
+        .select(
+            *columns,
+            "query",
+            "category_filter",
+            tx.match_score(title, content, word).alias("match_score"),
+            tx.snippet(F.col("content"), content, word).alias("snippet"),
+        )
     )
 
 

@@ -57,16 +57,13 @@ def metrics(corrections: DataFrame) -> DataFrame:
     role = F.coalesce("user_role", F.lit("unknown"))
     valid = F.count_if(F.coalesce("validated", F.lit(False)))
     by_role = corrections.groupBy(role.alias("role")).agg(F.count("*").alias("n"), valid.alias("v"))
-    sets = by_role.groupingSets([[F.col("role")], []], F.col("role")).agg(
-        F.grouping("role").alias("_g"), F.sum("n").alias("total_corrections"), F.sum("v").alias("validated_corrections")
-    )
-    return sets.select(
-        F.when(F.col("_g") == 1, "all").otherwise(F.col("role")).alias("role"),
-        F.coalesce("total_corrections", F.lit(0)).alias("total_corrections"),
-        F.coalesce("validated_corrections", F.lit(0)).alias("validated_corrections"),
-        F.coalesce(F.col("validated_corrections") / F.when(F.col("total_corrections") > 0, F.col("total_corrections")), F.lit(0.0)).alias(
-            "validation_rate"
-        ),
+    total = by_role.agg(F.lit("all").alias("role"), F.sum("n").alias("n"), F.sum("v").alias("v"))
+    n = F.coalesce("n", F.lit(0))
+    return total.unionByName(by_role).select(
+        "role",
+        n.alias("total_corrections"),
+        F.coalesce("v", F.lit(0)).alias("validated_corrections"),
+        F.coalesce(F.col("v") / F.when(n > 0, n), F.lit(0.0)).alias("validation_rate"),
     )
 
 

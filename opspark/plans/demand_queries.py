@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import serving as sv
 from ..functions import timefeat as tf
 from ..operators import demand, features
+from ..session import cut_lineage
 from ..sources import calendars, tables
 from .sqlbase import FACT, FEDERAL, MONTH_DAY, PROFILE, ZONES, with_
 
@@ -34,6 +35,16 @@ def profile(spark: SparkSession, d: str) -> DataFrame:
     return demand.demand_profile(fact(spark, d))
 
 
+def stored_fact(spark: SparkSession, d: str) -> DataFrame:
+    """The series written once, for plans that read it more than once."""
+    return cut_lineage(fact(spark, d))
+
+
+def stored_profile(spark: SparkSession, d: str) -> DataFrame:
+    """The profile written once: the table the serving operators read."""
+    return cut_lineage(profile(spark, d))
+
+
 @query(
     "scan_pruned",
     "SELECT user_id AS zone_user, ts, CAST(count(*) AS BIGINT) AS n FROM events WHERE event_type = 'purchase' GROUP BY 1, 2",
@@ -273,8 +284,8 @@ REQUESTS = """requests AS (
     ),
 )
 def kpis(spark, d):
-    f = fact(spark, d)
-    return demand.kpis(demand.demand_profile(f), demand.requests_from_dates(f), tables.zones(spark, d))
+    f = stored_fact(spark, d)
+    return demand.kpis(cut_lineage(demand.demand_profile(f)), demand.requests_from_dates(f), tables.zones(spark, d))
 
 
 @query(
@@ -287,7 +298,7 @@ def kpis(spark, d):
     ),
 )
 def hour_trend(spark, d):
-    return demand.hour_trend(profile(spark, d))
+    return demand.hour_trend(stored_profile(spark, d))
 
 
 @query(
@@ -368,7 +379,7 @@ def zone_p75(spark, d):
 
 @query("next_hour", with_(f"{PROFILE}, {NEXT_HOUR}", "SELECT * FROM next_hour"))
 def next_hour(spark, d):
-    return demand.next_hour(profile(spark, d))
+    return demand.next_hour(stored_profile(spark, d))
 
 
 @query(
@@ -396,8 +407,8 @@ def next_hour(spark, d):
     ),
 )
 def operator_zones(spark, d):
-    f = fact(spark, d)
-    return demand.operator_zones(demand.demand_profile(f), f, tables.zones(spark, d))
+    f = stored_fact(spark, d)
+    return demand.operator_zones(cut_lineage(demand.demand_profile(f)), f, tables.zones(spark, d))
 
 
 @query(
@@ -429,7 +440,7 @@ def operator_zones(spark, d):
     ),
 )
 def recommendations(spark, d):
-    return demand.recommendations(profile(spark, d), tables.zones(spark, d), fares(spark, d), centroids(spark, d))
+    return demand.recommendations(stored_profile(spark, d), tables.zones(spark, d), fares(spark, d), centroids(spark, d))
 
 
 LAG_SQL = ", ".join(
@@ -486,7 +497,7 @@ slotbase AS (SELECT zone_id, slot_of_day, avg(trip_count) AS zone_slot_baseline
     ),
 )
 def feature_table(spark, d):
-    out = features.feature_table(fact(spark, d), tables.zones(spark, d), before="2024-01-16")
+    out = features.feature_table(stored_fact(spark, d), tables.zones(spark, d), before="2024-01-16")
     doubles = [f.name for f in out.schema.fields if f.dataType.simpleString() == "double"]
     return out.withColumns({c: F.round(c, 6) + F.lit(0.0) for c in doubles})
 

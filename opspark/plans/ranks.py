@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-PIECES = 128
+PIECES = 256
+GROUP = 16
 
 
 def value_counts(rows: DataFrame, groups: list[str], value: str, sums: dict) -> DataFrame:
@@ -30,10 +33,25 @@ def cumulative_counts(
     inside the cells and shifted by the totals of the cells before; those are ``pieces`` rows per group.
     ``counts`` is read three times, so pass a materialised frame (``cut_lineage``).
     """
+    if pieces % GROUP:
+        raise ValueError(f"pieces must be a multiple of {GROUP}")
     probs = [i / pieces for i in range(1, pieces)]
-    cuts = counts.agg(F.percentile_approx(value, probs, 100 * pieces)).scalar()
-    piece = F.size(F.filter(F.col("_cuts"), lambda c: c < F.col(value)))
-    placed = counts.withColumn("_cuts", cuts).withColumn("_piece", piece).drop("_cuts")
+    cuts = counts.agg(F.percentile_approx(value, probs, 10 * pieces)).scalar()
+
+    v = F.col(value)
+
+    def passed(indexes: list) -> Column:
+        """How many of these cuts lie below the value; plain comparisons, so the stage stays compiled."""
+        return reduce(Column.__add__, [F.coalesce((F.get("_cuts", i) < v).cast("int"), F.lit(0)) for i in indexes])
+
+    # Two steps: the group of cuts by the last cut of each, then the place inside the group.
+    ends = [F.lit(GROUP * i - 1) for i in range(1, pieces // GROUP)]
+    placed = (
+        counts.withColumn("_cuts", cuts)
+        .withColumn("_at", passed(ends))
+        .withColumn("_piece", F.col("_at") * GROUP + passed([F.col("_at") * GROUP + j for j in range(GROUP - 1)]))
+        .drop("_cuts", "_at")
+    )
     cell = [*groups, "_piece"]
     totals = placed.groupBy(*cell).agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
     by_group = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))

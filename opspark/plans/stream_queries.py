@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timefeat import epoch_micros
 from ..operators import demand, features, gates, scoring
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, cut_lineage
 from ..sources import logs, policies, readers, tables
 from ..streaming import streams
 from . import demand_queries as dq
@@ -82,9 +82,9 @@ def trend_direction(spark, d):
     ),
 )
 def operator_zones_forecast(spark, d):
-    f = dq.fact(spark, d)
+    f = dq.stored_fact(spark, d)
     ahead = scoring.outlook(scoring.forecast_naive(f))
-    out = demand.operator_zones(demand.demand_profile(f), f, tables.zones(spark, d), outlook=ahead)
+    out = demand.operator_zones(cut_lineage(demand.demand_profile(f)), f, tables.zones(spark, d), outlook=ahead)
     return out.select(
         "hour", "dow", "holiday", "zone_id", "demand_next_hour", "change_pct", "is_forecast", "forecast_source", "trend_direction", "action"
     )
@@ -101,8 +101,9 @@ def forecast_heatmap_naive(spark, d):
     return scoring.forecast_heatmap(naive(spark, d), 2)
 
 
-def _model_table(spark, d) -> DataFrame:
-    return features.feature_table(dq.fact(spark, d), tables.zones(spark, d), before=drq.SPLIT)
+def _model_table(spark, d, series: DataFrame) -> DataFrame:
+    """Feature table written once: the model is fitted on it and applied to it."""
+    return cut_lineage(features.feature_table(series, tables.zones(spark, d), before=drq.SPLIT))
 
 
 def _trained(table: DataFrame):
@@ -112,14 +113,14 @@ def _trained(table: DataFrame):
 @query("score_batch")
 def score_batch(spark, d):
     """Poisson regression fitted on the baseline window, applied to the whole table."""
-    table = _model_table(spark, d)
+    table = _model_table(spark, d, dq.stored_fact(spark, d))
     return scoring.score_poisson(table, _trained(table)).select("zone_id", "time_bucket", "trip_count", "yhat")
 
 
 @query("forecast_recursive")
 def forecast_recursive(spark, d):
-    table = _model_table(spark, d)
-    f = dq.fact(spark, d)
+    f = dq.stored_fact(spark, d)
+    table = _model_table(spark, d, f)
     base = features.zone_slot_baseline(f, drq.SPLIT)
     return scoring.forecast_recursive(f, base, scoring.linear_predictor(_trained(table)))
 

@@ -24,6 +24,7 @@ def get_session(app: str = "opspark", master: str | None = None, **conf: str) ->
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.ui.enabled": "false",
     }
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
