@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,6 +44,16 @@ def hash_embedding(text: Column) -> Column:
     return normalised(once(F.sha2(F.lower(text), 256), numbers))
 
 
+def embed_with(embed: Callable[[list[str]], list[list[float]]]):
+    """A column function for any Python embedder: it gets the texts of one Arrow batch at a time."""
+
+    @F.pandas_udf("array<double>")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series(embed(texts.fillna("").tolist()))
+
+    return run
+
+
 def cosine(a: Column, b: Column) -> Column:
     """Cosine similarity; 0 for empty vectors and for different lengths, a zero norm counts as 1."""
 

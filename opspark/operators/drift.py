@@ -41,9 +41,9 @@ def windows(df: DataFrame, base_end: str, new_start: str, new_end: str | None =
 
 
 def unpivot(df: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
-    """(keep..., feature, value) with values as doubles; columns absent from the frame are left out."""
+    """(keep..., feature, value); absent columns are left out, and values that are no numbers become NULL."""
     present = [c for c in columns if c in df.columns]
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in present])
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).try_cast("double").alias("value")) for c in present])
     return df.select(*keep, F.explode(pairs).alias("_p")).select(*keep, "_p.feature", "_p.value")
 
 

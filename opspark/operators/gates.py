@@ -129,7 +129,7 @@ def to_micros(amount: Column) -> Column:
 
 
 def budget_gate(
-    requests: DataFrame, budgets: DataFrame, estimate: float = PREFLIGHT_ESTIMATE, slice_seconds: int = 3600, default_role: str = "engineer"
+    requests: DataFrame, budgets: DataFrame, estimate: float = PREFLIGHT_ESTIMATE, slice_seconds: int = 300, default_role: str = "engineer"
 ) -> DataFrame:
     """Adds ``allowed``: the estimate fits into the user's budget minus the cost of admitted requests.
 
@@ -150,10 +150,13 @@ def budget_gate(
     per = priced.groupBy("user_id", "_slice").agg(F.sum("_cost").alias("spent"), F.min("_limit").alias("lo"), F.max("_limit").alias("hi"))
     by_user = Window.partitionBy("user_id").orderBy("_slice")
     running = per.withColumn("upto", F.sum("spent").over(by_user))
-    cuts = running.groupBy("user_id").agg(
-        F.min(F.when(F.col("upto") > F.col("lo"), F.col("_slice"))).alias("_cut"),
-        F.min(F.when(F.col("upto") > F.col("lo"), F.col("upto") - F.col("spent"))).alias("_before"),
-        (F.min("lo") != F.max("hi")).alias("_mixed"),
+    # One row per user, written: the join below then has plain shuffles on both sides and AQE can split a heavy user.
+    cuts = cut_lineage(
+        running.groupBy("user_id").agg(
+            F.min(F.when(F.col("upto") > F.col("lo"), F.col("_slice"))).alias("_cut"),
+            F.min(F.when(F.col("upto") > F.col("lo"), F.col("upto") - F.col("spent"))).alias("_before"),
+            (F.min("lo") != F.max("hi")).alias("_mixed"),
+        )
     )
     placed = priced.join(cuts, "user_id")
     single = placed.where(~F.col("_mixed"))

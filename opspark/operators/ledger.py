@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..plans.nearest import THRESHOLD, best_match
+from ..session import cut_lineage
 from ..sources.policies import DEFAULT_PRICE_MODEL
 
 PARTS = ["retrieval_cost", "llm_cost", "tool_cost", "error_cost"]
@@ -86,13 +88,16 @@ def user_spending(charges: DataFrame, budgets: DataFrame, default_role: str = "e
 def cache_replay(log: DataFrame, order: tuple[str, ...] = ("ts", "query_id")) -> DataFrame:
     """Adds ``hit`` and ``cached_response`` as an exact-match cache would answer the log in time order.
 
-    The first request of each key is found by aggregation (map-side combined), then joined back: one row per
-    key on that side, and AQE splits the log's side where one question is asked very often.
+    The first request of each key is found by aggregation (map-side combined) and written as a table of one
+    row per key. Joining that table keeps both join sides plain shuffles, which is what lets AQE split the
+    partition of a question that is asked very often.
     """
     keyed = log.withColumn("_key", tx.cache_key(F.col("query")))
     when = F.struct(*order)
-    first = keyed.groupBy(F.col("_key").alias("_k")).agg(
-        F.min(when).alias("_first"), F.min_by("answer", when).alias("cached_response")
+    first = cut_lineage(
+        keyed.groupBy(F.col("_key").alias("_k")).agg(
+            F.min(when).alias("_first"), F.min_by("answer", when).alias("cached_response")
+        )
     )
     joined = keyed.join(first, F.col("_key") == F.col("_k"))
     return (
@@ -103,6 +108,29 @@ def cache_replay(log: DataFrame, order: tuple[str, ...] = ("ts", "query_id")) ->
     )
 
 
+def hybrid_replay(log: DataFrame, vector: Column, threshold: float = THRESHOLD) -> DataFrame:
+    """Replay of a cache that looks for the exact key first and then for a similar earlier question.
+
+    Adds ``outcome`` (exact_hit, semantic_hit, miss) and ``cached_response``. A question without an exact hit
+    is compared with the first request of every earlier key; needs unique ``query_id`` growing with time.
+    """
+    replay = cut_lineage(cache_replay(log))
+    fresh = replay.where(~F.col("hit")).withColumn("_v", vector)
+    asked = fresh.select(F.col("query_id").alias("_q"), "_v")
+    known = fresh.select(F.col("query_id").alias("_c"), "_v")
+    found = best_match(asked, known, "_q", "_c", "_v", "_v", threshold, query_order="_q", cached_order="_c")
+    answers = replay.select(F.col("query_id").alias("_c"), F.col("answer").alias("_similar"))
+    similar = found.join(answers, "_c").select(F.col("_q").alias("query_id"), "_similar", "similarity")
+    return (
+        replay.join(similar, "query_id", "left")
+        .withColumn(
+            "outcome", F.when(F.col("hit"), "exact_hit").when(F.col("similarity").isNotNull(), "semantic_hit").otherwise("miss")
+        )
+        .withColumn("cached_response", F.coalesce("cached_response", "_similar"))
+        .drop("_similar")
+    )
+
+
 def cache_impact(log: DataFrame, keywords: list[str] | None = None, max_chars: int = 1000) -> DataFrame:
     """Hits, misses, model share and characters saved of a log.
 

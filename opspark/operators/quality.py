@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ..plans.ranks import exact_quantiles
+from ..session import cut_lineage
 from ..sources.calendars import federal_calendar
 
 # Fixed values of the validation rules.
@@ -224,12 +225,15 @@ def _fix_flags(df: DataFrame) -> DataFrame:
 
 
 def quarantine(df: DataFrame, order: str) -> DataFrame:
-    """The rows ``clean`` drops, with the reason. Copies are found by a join to the first row of their key,
-    which AQE splits when one key is hot."""
+    """The rows ``clean`` drops, with the reason.
+
+    Copies are found by a join to the first row of their key. That table is written first: both join sides are
+    then plain shuffles, so AQE can split the partition of a key with very many copies.
+    """
     kind = value_class(F.col("trip_count"))
     invalid = df.where(kind != "ok").withColumn("reason", kind)
     valid = _valid(df)
-    first = (
+    first = cut_lineage(
         valid.groupBy(*[F.col(k).alias(f"_{k}") for k in KEY])
         .agg(F.min(order).alias("_first"), F.count("*").alias("_n"))
         .where(F.col("_n") > 1)

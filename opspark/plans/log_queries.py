@@ -519,6 +519,35 @@ def cache_impact(spark, d):
     return ledger.cache_impact(short_log(spark, d)).withColumns({c: F.round(c, 9) for c in ("cache_hit_rate", "cheap_share")})
 
 
+HYBRID_THRESHOLD = 0.7
+HYBRID = f"""{REPLAY},
+hashed AS (SELECT query_id, sha256(lower(cache_key)) AS x FROM replay WHERE NOT hit),
+vecs AS (SELECT query_id, list_transform(range(0, 16), lambda i: CAST(('0x' || substring(x, CAST(i * 4 + 1 AS BIGINT), 4)) AS INTEGER) / 32767.5 - 1.0) AS v FROM hashed),
+sims AS (SELECT a.query_id, b.query_id AS other, list_cosine_similarity(a.v, b.v) AS sim FROM vecs a JOIN vecs b ON b.query_id < a.query_id),
+semantic AS (SELECT query_id, other, sim, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, other) AS rn FROM sims WHERE sim >= {HYBRID_THRESHOLD}),
+hybrid AS (
+  SELECT r.query_id, CASE WHEN r.hit THEN 'exact_hit' WHEN s.other IS NOT NULL THEN 'semantic_hit' ELSE 'miss' END AS outcome,
+         CASE WHEN r.hit THEN r.first_answer ELSE o.answer END AS cached_response, round(s.sim, 6) AS similarity
+  FROM replay r LEFT JOIN (SELECT * FROM semantic WHERE rn = 1) s ON s.query_id = r.query_id LEFT JOIN replay o ON o.query_id = s.other)"""
+
+
+def hybrid(spark, d) -> DataFrame:
+    """The short log answered by exact key first, then by hash embedding at a loose threshold."""
+    return ledger.hybrid_replay(short_log(spark, d), vec.hash_embedding(F.col("cache_key")), HYBRID_THRESHOLD)
+
+
+@query("cache_hybrid", with_(HYBRID, "SELECT * FROM hybrid"))
+def cache_hybrid(spark, d):
+    return hybrid(spark, d).select("query_id", "outcome", "cached_response", F.round("similarity", 6).alias("similarity"))
+
+
+@query("cache_outcomes", with_(HYBRID, "SELECT outcome, count(*) AS n, round(count(*) / (SELECT count(*) FROM hybrid), 9) AS share FROM hybrid GROUP BY 1"))
+def cache_outcomes(spark, d):
+    counts = hybrid(spark, d).groupBy("outcome").agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.withColumn("share", F.round(F.col("n") / total, 9))
+
+
 EVAL = f"""{REPLAY}, {PRICE_SQL},
 chosen AS (SELECT query_id, hit, CASE WHEN hit THEN '(cache)' WHEN {_complex_sql('query', tx.COMPLEX_KEYWORDS)} THEN 'gemini-2.5-flash' ELSE 'gemini-2.5-flash-lite' END AS model,
              CASE WHEN hit THEN 0 ELSE input_tokens END AS input_tokens, CASE WHEN hit THEN 0 ELSE output_tokens END AS output_tokens FROM replay),

@@ -189,3 +189,13 @@ def test_report_rows_nest(spark):
     metrics = literal_table(spark, rows, "metric string, grouping string, segment string, field string, value double")
     row = logs.report_rows(metrics).first()
     assert row.report == {"global": {"all": {"pvalue": 0.5}}, "hour": {"3": {"pvalue": 0.1, "statistic": 0.2}}}
+
+
+def test_hybrid_replay_and_python_embedder(spark):
+    log = query_log(spark, ["red car", "RED CAR", "red cars", "blue"])
+
+    def embed(texts):
+        return [[t.count("red") * 1.0, t.count("car") * 1.0, t.count("blue") * 1.0, 0.01] for t in texts]
+
+    out = {r.query_id: (r.outcome, r.cached_response) for r in ledger.hybrid_replay(log, vec.embed_with(embed)(F.col("cache_key"))).collect()}
+    assert out == {0: ("miss", None), 1: ("exact_hit", "answer 0"), 2: ("semantic_hit", "answer 0"), 3: ("miss", None)}
