@@ -98,7 +98,7 @@ def rate_limit(
     known = marks.where(F.col("seeds").isNotNull()).select("user_id", "_slice", F.col("seeds").alias("stretch"))
     seeds = sliced.join(known, ["user_id", "_slice"]).withColumn("seed", F.lit(True))
     if last > 0:
-        waiting = cut_lineage(waiting)
+        waiting = cut_lineage(waiting, by="wave")
     schema = T.StructType([*waiting.select(*columns, "stretch", "seed").schema.fields, T.StructField("allowed", T.BooleanType())])
     decided = []
     for w in range(last + 1):
@@ -169,11 +169,14 @@ def budget_gate(
     tight = single.where(F.col("_slice") == F.col("_cut")).withColumn(
         "allowed", F.col("_before") + F.coalesce(F.sum("_cost").over(in_cut), F.lit(0)) <= F.col("_limit")
     )
+    keep = [*requests.columns, "allowed"]
+    out = clear.select(keep).unionByName(tight.select(keep))
+    if cuts.where("_mixed").isEmpty():
+        return out
     mixed = placed.where("_mixed").drop("_cut", "_before", "_mixed")
     schema = T.StructType([*mixed.schema.fields, T.StructField("allowed", T.BooleanType())])
     folded = mixed.repartition("user_id").sortWithinPartitions("user_id", "_us", "event_id").mapInPandas(_spend_in_order, schema)
-    keep = [*requests.columns, "allowed"]
-    return clear.select(keep).unionByName(tight.select(keep)).unionByName(folded.select(keep))
+    return out.unionByName(folded.select(keep))
 
 
 def _spend_in_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

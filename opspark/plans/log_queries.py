@@ -121,9 +121,10 @@ def policy_rules(spark, d):
     """Every policy value, with the number of orders an approver of that limit may sign."""
     rules = policies.policy_rules(spark)
     limits = rules.where((F.col("section") == "expense") & F.startswith("key", F.lit("approval_limits.")))
-    bounds = limits.select("key", F.col("value").try_cast("double").alias("limit"))
-    price = tables.table(spark, d, "orders").select("o_totalprice")
-    within = price.join(bounds, F.col("o_totalprice") <= F.col("limit")).groupBy("key").agg(F.count("*").alias("n"))
+    bounds = limits.agg(F.collect_list(F.struct("key", F.col("value").try_cast("double").alias("limit")))).scalar()
+    price = tables.table(spark, d, "orders").select("o_totalprice").withColumn("_limits", bounds)
+    reached = F.filter("_limits", lambda x: F.col("o_totalprice") <= x["limit"])
+    within = price.select(F.explode(reached).alias("r")).groupBy(F.col("r.key").alias("key")).agg(F.count("*").alias("n"))
     return rules.join(within, "key", "left").select(
         "section", "key", "value", F.coalesce("n", F.lit(0)).cast("bigint").alias("orders_within")
     )

@@ -67,7 +67,9 @@ def best_match(
     )
     asked = _unit(queries, query_id, query_vector, query_order)
     entries = cut_lineage(entries)
-    # At most ``pivots`` vectors reach the driver, chosen by hash so that the choice is repeatable.
+    # A few tiles per cell are enough; at most ``pivots`` vectors reach the driver, chosen by hash so that the
+    # choice is repeatable.
+    pivots = min(pivots, max(1, math.ceil(4 * entries.count() / tile_rows)))
     chosen = [r["v"] for r in entries.orderBy(F.xxhash64("v"), "id").limit(pivots).select("v").collect()]
     id_type = {k: d for k, d in asked.dtypes}["id"]
     cid_type = {k: d for k, d in entries.dtypes}["id"]

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def get_session(app: str = "opspark", master: str | None = None, **conf: str) -> SparkSession:
@@ -52,13 +53,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, by: str | None = None) -> DataFrame:
     """Writes the frame to the shared checkpoint folder and reads it back.
 
     One computation, however many readers follow; the files outlive any executor, and later readers
-    prune columns and push filters into them.
+    prune columns and push filters into them. ``by`` names a column of few values to partition the files by.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/opspark-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    writer = df.write.partitionBy(by) if by else df.write
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*[F.col(f"`{c}`") for c in df.columns])
