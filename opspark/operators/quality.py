@@ -327,13 +327,15 @@ def describe_columns(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def lag_correlation(df: DataFrame, lag: str = "lag_1week", min_rows: int = 50) -> DataFrame:
-    """Pearson correlation of a lag with the series per zone; information only, never an issue."""
-    c = F.corr(F.col(lag).cast("double"), F.col("trip_count").cast("double"))
+    """Pearson correlation of a lag with the series per zone, NULL without spread; information only, never an issue."""
+    x, y = F.col(lag).cast("double"), F.col("trip_count").cast("double")
+    both = x.isNotNull() & y.isNotNull()
+    spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
     return (
         df.groupBy("zone_id")
-        .agg(c.alias("corr"), F.count("*").alias("n"))
+        .agg(F.covar_pop(x, y).alias("_cov"), spread.alias("_spread"), F.count("*").alias("n"))
         .where(F.col("n") >= min_rows)
-        .withColumn("corr", F.when(~F.isnan("corr"), F.col("corr")))
+        .select("zone_id", (F.col("_cov") / F.when(F.col("_spread") > 0, F.col("_spread"))).alias("corr"), "n")
     )
 
 
