@@ -2,12 +2,28 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
-from .texts import documents, read_file, tokenizer_path
+from pyspark.sql import functions as F
+
+from ..session import checkpoint_dir, cut_lineage
+from . import bpe, tokens, warc
+from .texts import documents, read_file, table, tokenizer_path
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = tokens.token_counts(documents(spark, sf_dir), read_file(tokenizer_path("byte_bpe_50k.json")))
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
+def op5_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    pages = warc.record_types(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    index = cut_lineage(warc.write_archives(pages, folder))
+    return warc.with_responses(cut_lineage(warc.page_table(warc.read_records(index, folder))))
 
 
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,7 +32,17 @@ def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_counts": op2_token_counts,
+    "op5_warc_archive": op5_warc_archive,
     "op7_bpe_codec": op7_bpe_codec,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_warc_archive": """
+with p as (select page_id, strlen(coalesce(html, '')) as n, sha1(coalesce(html, '')) as digest from pages),
+     g as (select digest, max(page_id) as largest from p where n >= 1000 group by digest)
+select page_id, n as payload_bytes, p.digest as payload_digest,
+       case when largest is not null and page_id is distinct from largest then 'revisit' else 'response' end as record_type,
+       case when page_id is distinct from largest then largest end as refers_to
+from p left join g on p.digest = g.digest""",
+}

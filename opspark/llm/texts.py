@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
@@ -47,7 +48,7 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 
 def slices(texts: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
     """The texts of an Arrow column as Python objects, in slices of bounded size: (first row, texts)."""
-    size = np.nan_to_num(np.asarray(pa.compute.binary_length(texts).to_numpy(zero_copy_only=False), dtype=float)).cumsum()
+    size = np.nan_to_num(np.asarray(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=float)).cumsum()
     start = 0
     while start < len(texts):
         done = size[start - 1] if start else 0
