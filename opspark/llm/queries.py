@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, cut_lineage
-from . import bpe, quality, tokens, warc
+from . import bpe, decontaminate, quality, tokens, warc
 from .texts import documents, read_file, table, tokenizer_path
 
 
@@ -31,6 +31,18 @@ def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.round_trip(documents(spark, sf_dir), vocabulary, keep=["doc_id"]), ["doc_id"])
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = decontaminate.decontaminate(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return marked.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir, "lang", "source"))
 
@@ -39,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op5_warc_archive": op5_warc_archive,
     "op7_bpe_codec": op7_bpe_codec,
+    "op8_decontamination": op8_decontamination,
     "op10_quality_rules": op10_quality_rules,
 }
 
@@ -50,5 +63,6 @@ select page_id, n as payload_bytes, p.digest as payload_digest,
        case when largest is not null and page_id is distinct from largest then 'revisit' else 'response' end as record_type,
        case when page_id is distinct from largest then largest end as refers_to
 from p left join g on p.digest = g.digest""",
+    "op8_decontamination": decontaminate.SQL,
     "op10_quality_rules": quality.SQL,
 }
