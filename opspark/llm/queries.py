@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, cut_lineage
-from . import bpe, decontaminate, quality, tokens, warc
+from . import bpe, decontaminate, quality, simhash, tokens, warc
 from .texts import documents, read_file, table, tokenizer_path
 
 
@@ -19,6 +19,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grouped = simhash.groups(documents(spark, sf_dir), shingle=3, radius=2)
+    return grouped.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op5_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
     pages = warc.record_types(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
@@ -49,6 +54,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op3_simhash": op3_simhash,
     "op5_warc_archive": op5_warc_archive,
     "op7_bpe_codec": op7_bpe_codec,
     "op8_decontamination": op8_decontamination,
