@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, cut_lineage
-from . import bpe, decontaminate, quality, simhash, tokens, warc
+from . import bpe, decontaminate, quality, simhash, substrings, tokens, warc
 from .texts import documents, read_file, table, tokenizer_path
 
 
@@ -48,6 +48,11 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.dedup(documents(spark, sf_dir), length=50)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir, "lang", "source"))
 
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc_archive": op5_warc_archive,
     "op7_bpe_codec": op7_bpe_codec,
     "op8_decontamination": op8_decontamination,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
 
