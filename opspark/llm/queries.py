@@ -10,10 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, cut_lineage
-from . import bpe, decontaminate, quality, simhash, substrings, tokens, warc
+from . import bpe, decontaminate, quality, simhash, substrings, suffixdedup, tokens, warc
 from .texts import documents, read_file, table, tokenizer_path
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffixdedup.dedup(documents(spark, sf_dir), length=400)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = tokens.token_counts(documents(spark, sf_dir), read_file(tokenizer_path("byte_bpe_50k.json")))
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
@@ -58,6 +63,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_token_counts": op2_token_counts,
     "op3_simhash": op3_simhash,
     "op5_warc_archive": op5_warc_archive,
