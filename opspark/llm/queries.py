@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, cut_lineage
-from . import bpe, decontaminate, quality, simhash, substrings, suffixdedup, tokens, warc
+from . import bpe, decontaminate, language, quality, simhash, substrings, suffixdedup, tokens, warc
 from .texts import documents, read_file, table, tokenizer_path
 
 
@@ -29,6 +29,12 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "lang").withColumn("held_out", language.held_out())
+    model = language.fit(docs.where("not held_out"), tokenizer_path("piece_bpe_32k.model"))
+    return language.predict(docs, model, keep=["doc_id", "held_out"])
+
+
 def op5_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
     pages = warc.record_types(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
@@ -66,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_token_counts": op2_token_counts,
     "op3_simhash": op3_simhash,
+    "op4_language_id": op4_language_id,
     "op5_warc_archive": op5_warc_archive,
     "op7_bpe_codec": op7_bpe_codec,
     "op8_decontamination": op8_decontamination,
