@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, cut_lineage
-from . import bpe, decontaminate, language, quality, simhash, substrings, suffixdedup, tokens, warc
+from . import bpe, decontaminate, language, pii, quality, simhash, substrings, suffixdedup, tokens, warc
 from .texts import documents, read_file, table, tokenizer_path
 
 
@@ -42,6 +42,13 @@ def op5_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.with_responses(cut_lineage(warc.page_table(warc.read_records(index, folder))))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = pii.find(docs, pii.learn(docs), keep=["doc_id"])
+    counts = [F.size(F.filter("base", lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))
+
+
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = read_file(tokenizer_path("byte_bpe_50k.json"))
     return bpe.digests(bpe.round_trip(documents(spark, sf_dir), vocabulary, keep=["doc_id"]), ["doc_id"])
@@ -74,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_language_id": op4_language_id,
     "op5_warc_archive": op5_warc_archive,
+    "op6_pii": op6_pii,
     "op7_bpe_codec": op7_bpe_codec,
     "op8_decontamination": op8_decontamination,
     "op9_substring_dedup": op9_substring_dedup,
