@@ -112,6 +112,14 @@ def hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: s
     return near.join(texts, ["k1", "k2"]).where(fits).where(same).select("k1", "k2", start.alias("start"), "n", "items").distinct()
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", item_id: str = "item_id") -> DataFrame:
+    """The documents in which no window occurs. Only the keys of texts with hits are joined, so no texts are counted."""
+    found = cut_lineage(hits(docs, benchmark, text, item_text, item_id).select(F.col("k1").alias("m1"), F.col("k2").alias("m2")).distinct())
+    t = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    on = (F.xxhash64(t) == F.col("m1")) & (F.xxhash64(F.lit("second"), t) == F.col("m2"))
+    return docs.alias("d").join(found, on, "left_anti")
+
+
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", keep: list[str] | None = None, item_text: str = "text", item_id: str = "item_id"
 ) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, Str
 
 from ..session import cut_lineage
 from .components import smallest_labels
-from .texts import map_texts
+from .texts import free_name, map_texts
 
 SEED, TILE = 42, 8192
 
@@ -174,13 +174,31 @@ def edges(distinct: DataFrame, radius: int) -> DataFrame:
     return filled.select("a_tile", "tile", "a_fps", "fps").mapInArrow(compare, "u long, v long")
 
 
-def groups(docs: DataFrame, shingle: int, radius: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per document: its id, ``fp``, ``label`` (smallest linked fingerprint) and ``component_id``."""
-    marked = cut_lineage(fingerprints(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")), shingle, keep=["doc_id"]))
+def components(marked: DataFrame, radius: int) -> DataFrame:
+    """(named_fp, label, component_id) of each distinct fingerprint of (doc_id, fp): smallest linked fingerprint and document."""
     distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("first"))
     labels = smallest_labels(edges(distinct.select("fp"), radius))
     labelled = distinct.join(labels, distinct["fp"] == labels["node"], "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
     labelled = cut_lineage(labelled)
     component = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
-    named = labelled.join(component, "label").select(F.col("fp").alias("named_fp"), "label", "component_id")
+    return labelled.join(component, "label").select(F.col("fp").alias("named_fp"), "label", "component_id")
+
+
+def groups(docs: DataFrame, shingle: int, radius: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """One row per document: its id, ``fp``, ``label`` (smallest linked fingerprint) and ``component_id``."""
+    marked = cut_lineage(fingerprints(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")), shingle, keep=["doc_id"]))
+    named = cut_lineage(components(marked, radius))
     return marked.join(named, marked["fp"] == named["named_fp"]).select("doc_id", "fp", "label", "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int, radius: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """The documents, but of each component only the row with the smallest id (of repeated rows one, ids before nulls)."""
+    row, fp = free_name(docs, "row_number"), free_name(docs, "fp")
+    # Written with its row numbers, which hold only for one reading of the input.
+    marked = cut_lineage(fingerprints(docs.withColumn(row, F.monotonically_increasing_id()), shingle, text, keep=[*docs.columns, row], name=fp))
+    narrow = marked.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(row).alias("row"), F.col(fp).alias("fp"))
+    named = cut_lineage(components(narrow, radius))
+    placed = narrow.join(named, narrow["fp"] == named["named_fp"])
+    chosen = placed.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("best")).select(F.col("best.row").alias("chosen_row"))
+    kept = marked.join(cut_lineage(chosen), marked[row] == F.col("chosen_row"), "left_semi")
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -80,7 +80,7 @@ def map_texts(
                 kept = [batch.column(i).slice(start, len(part)) for i in range(n_keep)]
                 yield pa.RecordBatch.from_arrays([*kept, *apply(part)], names=names)
 
-    inner = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("string"))
+    inner = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("string").alias(free_name(docs, "text_of_row")))
     return inner.mapInArrow(run, schema)
 
 
