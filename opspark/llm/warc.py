@@ -5,7 +5,7 @@ open will do. A task writes files of its own under random names, one gzip member
 row (file, offset, length, URL, digest, ...) for each record. The index is a table: rows of a lost or repeated task
 appear once, and files of failed attempts are named by no row.
 
-Reading starts from index rows. They are dealt out by file, sorted by offset, and neighbouring ranges are read in one
+Reading starts from index rows. They are dealt out by pieces of the files, sorted by offset, and neighbouring ranges are read in one
 go as long as the gap is small; each member is then cut out of its range, unpacked and parsed.
 
 Definitions: a null payload is empty. Of records with equal payloads of at least ``REVISIT_BYTES`` bytes, the one with
@@ -32,6 +32,9 @@ REVISIT_BYTES = 1000
 #: A new archive file starts beyond so many bytes; ranges closer than GAP are read together, up to READ bytes.
 FILE_BYTES, GAP, READ = 256 << 20, 64 << 10, 8 << 20
 
+#: Archive bytes that a reading task gets on average.
+PIECE = 4 << 20
+
 #: WARC-Date of all records: a run writes the same archives whenever it is made.
 DATE = "2000-01-01T00:00:00Z"
 
@@ -214,7 +217,10 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                 found = [parse(data[o - first : o - first + n]) for _, o, n in run]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*found)], names=RECORD.names)
 
-    parts = index.select("file", "offset", "length").repartition("file").sortWithinPartitions("file", "offset")
+    # A fixed number of tasks: the index is tiny, so adaptive execution would give all the reading to one.
+    parts = index.select("file", "offset", "length", (F.col("offset") / F.lit(PIECE)).cast("long").alias("piece"))
+    tasks = 1 + index.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first()["n"] // PIECE
+    parts = parts.repartition(tasks, "file", "piece").sortWithinPartitions("file", "offset").drop("piece")
     return parts.mapInArrow(read, RECORD)
 
 
