@@ -181,7 +181,8 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", keep: list[str]
 
 
 def decode(coded: DataFrame, vocabulary: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """Adds the text that the ids stand for; a null list is an empty one."""
+    """Adds the text that the ids stand for (in place of a column of that name); a null list is an empty one."""
+    coded = coded.drop(text)
     shared = coded.sparkSession.sparkContext.broadcast((vocabulary, False))
     schema = StructType([*coded.schema.fields, StructField(text, StringType())])
     at = coded.columns.index(ids)

@@ -39,9 +39,9 @@ def words(text: Column) -> Column:
 
 
 def by_text(docs: DataFrame, text: str, *keep: str) -> DataFrame:
-    """The kept columns, a 128-bit key of the text, and its words."""
+    """A struct ``kept`` of the kept columns, a 128-bit key of the text, and its words."""
     t = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    kept = [F.col(f"`{c}`") for c in keep]
+    kept = [F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept")] if keep else []
     return docs.select(*kept, F.xxhash64(t).alias("k1"), F.xxhash64(F.lit("second"), t).alias("k2"), words(F.col(f"`{text}`")).alias("words"))
 
 
@@ -123,15 +123,18 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text:
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", keep: list[str] | None = None, item_text: str = "text", item_id: str = "item_id"
 ) -> DataFrame:
-    """The kept columns of each document with ``n_words``, ``n_hit`` (words inside a window) and the sorted ``items``."""
-    keep = keep if keep is not None else docs.columns
+    """The kept columns of each document with ``n_words``, ``n_hit`` (words inside a window) and the sorted ``items``.
+
+    A result replaces a kept column of its name.
+    """
+    keep = [c for c in (keep if keep is not None else docs.columns) if c.lower() not in ("n_words", "n_hit", "items")]
     found = cut_lineage(hits(docs, benchmark, text, item_text, item_id).distinct())
     ends = F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)
     covered = found.select("k1", "k2", F.explode(ends).alias("p")).distinct().groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n_hit"))
     items = found.select("k1", "k2", F.explode("items").alias("item")).distinct().groupBy("k1", "k2").agg(F.array_sort(F.collect_list("item")).alias("items"))
     marks = covered.join(items, ["k1", "k2"]).select(F.col("k1").alias("m1"), F.col("k2").alias("m2"), F.col("n_hit").alias("m_hit"), F.col("items").alias("m_items"))
     rows = by_text(docs, text, *keep)
-    rows = rows.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept"), "k1", "k2", F.size("words").cast("long").alias("m_words"))
+    rows = rows.select("kept", "k1", "k2", F.size("words").cast("long").alias("m_words"))
     joined = rows.join(marks, (F.col("k1") == F.col("m1")) & (F.col("k2") == F.col("m2")), "left")
     none = F.array().cast("array<string>")
     return joined.select("kept.*", F.col("m_words").alias("n_words"), F.coalesce("m_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("m_items", none).alias("items"))

@@ -64,11 +64,13 @@ def map_texts(
     outputs: list[tuple[str, DataType]],
     make: Callable[[], Callable[[list[str | None]], list[pa.Array]]],
 ) -> DataFrame:
-    """The kept columns and the outputs of a function over the texts, row by row.
+    """The kept columns and the outputs of a function over the texts, row by row; an output replaces a column of its name.
 
     ``make`` is called once in each task and returns the function, which maps a list of texts to one Arrow
     array for each output. Nothing is shuffled; a task holds one slice of texts as Python objects.
     """
+    taken = {n.lower() for n, _ in outputs}
+    keep = [c for c in keep if c.lower() not in taken]
     fields = [docs.schema[c] for c in keep]
     schema = StructType(fields + [StructField(n, t) for n, t in outputs])
     n_keep, names = len(keep), [*keep, *(n for n, _ in outputs)]
