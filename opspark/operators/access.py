@@ -28,7 +28,8 @@ def can_view_field(requests: DataFrame, policy: AccessPolicy) -> DataFrame:
 
 
 def _tier():
-    return F.lower(F.coalesce(F.nullif(F.trim("sensitivity"), F.lit("")), F.lit("Public")))
+    """The tier that decides and that is logged: NULL and '' are public, any other text stands for itself."""
+    return F.lower(F.coalesce(F.nullif("sensitivity", F.lit("")), F.lit("Public")))
 
 
 def visible_documents(documents: DataFrame, role: str, policy: AccessPolicy) -> DataFrame:
@@ -57,7 +58,7 @@ def audit_rows(checks: DataFrame, at: str) -> DataFrame:
         F.concat(F.lit("document:"), F.col("id").cast("string")).alias("resource"),
         "allowed",
         F.lit(None).cast("string").alias("field"),
-        F.lower(F.coalesce("sensitivity", F.lit("Public"))).alias("sensitivity"),
+        _tier().alias("sensitivity"),
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
@@ -11,9 +11,14 @@ from ..sources.policies import AUTO_VALIDATE_ROLES
 MIN_AUTHORITY = 3
 
 
+def _answer(column: str) -> Column:
+    """The stripped answer; NULL counts as empty."""
+    return strip(F.coalesce(column, F.lit("")))
+
+
 def intake_a(corrections: DataFrame, auto_roles: list[str] | None = None) -> DataFrame:
-    """Rules A: empty and unchanged corrections are refused; trusted roles are validated at once."""
-    new, old = strip(F.col("corrected_answer")), strip(F.col("original_answer"))
+    """Rules A: empty (or NULL) and unchanged corrections are refused; trusted roles are validated at once."""
+    new, old = _answer("corrected_answer"), _answer("original_answer")
     reason = F.when(new == "", "empty correction").when(new == old, "correction identical to original")
     accepted = F.col("reason").isNull()
     trusted = F.coalesce(F.col("user_role").isin(*(auto_roles or AUTO_VALIDATE_ROLES)), F.lit(False))
@@ -25,7 +30,7 @@ def intake_a(corrections: DataFrame, auto_roles: list[str] | None = None) -> Dat
 def intake_b(corrections: DataFrame, authority: DataFrame, min_level: int = MIN_AUTHORITY) -> DataFrame:
     """Rules B: the submitter needs enough authority and the correction must be longer than the original."""
     levels = authority.select(F.col("role").alias("_role"), "level")
-    new, old = strip(F.col("corrected_answer")), strip(F.col("original_answer"))
+    new, old = _answer("corrected_answer"), _answer("original_answer")
     level = F.coalesce("level", F.lit(0))
     role = F.coalesce("user_role", F.lit(""))
     reason = (
@@ -52,6 +57,14 @@ def state(corrections: DataFrame, approvals: DataFrame, key: str = "correction_i
     )
 
 
+def state_b(corrections: DataFrame, approvals: DataFrame, authority: DataFrame, min_level: int = MIN_AUTHORITY, key: str = "correction_id") -> DataFrame:
+    """Approvals under rules B: authority and length are tested again, and an approval that fails them changes nothing."""
+    levels = authority.select(F.col("role").alias("_role"), "level")
+    fit = (F.coalesce("level", F.lit(0)) >= min_level) & (F.length(_answer("corrected_answer")) > F.length(_answer("original_answer")))
+    able = corrections.join(levels, F.col("user_role") == F.col("_role"), "left").where(fit).select(key)
+    return state(corrections, approvals.join(able, key, "left_semi"), key)
+
+
 def metrics(corrections: DataFrame) -> DataFrame:
     """Corrections and validated ones, overall and by role."""
     role = F.coalesce("user_role", F.lit("unknown"))

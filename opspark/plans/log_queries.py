@@ -166,7 +166,7 @@ def transcript(spark: SparkSession, d: str) -> DataFrame:
     c = tables.table(spark, d, "conversations")
     tool = F.element_at(F.array(*[F.lit(t) for t in [*TOOLS, "other_tool"]]), (F.pmod("turn", F.lit(4)) + 1).cast("int"))
     call = F.concat(
-        F.lit("Let me check.\nTOOL:  "), tool, F.lit("\nARGS: query = "), F.replace(F.substring("text", 1, 10), F.lit("\n"), F.lit(" ")),
+        F.lit("Let me check.\nTOOL:  "), tool, F.lit("\nARGS: query = "), F.replace("text", F.lit("\n"), F.lit(" ")),
         F.lit(" , limit=3,conv="), F.col("conv_id").cast("string"), F.lit(",noise"),
     )
     return c.select("conv_id", "turn", F.when(F.col("role") == "assistant", call).otherwise(F.col("text")).alias("text"))
@@ -176,7 +176,7 @@ def transcript(spark: SparkSession, d: str) -> DataFrame:
     "tool_call_parse",
     """WITH t AS (SELECT conv_id, turn, CASE WHEN role = 'assistant' THEN 'Let me check.' || chr(10) || 'TOOL:  ' ||
           list_extract(['employee_lookup', 'policy_search', 'expense_query', 'other_tool'], CAST(turn % 4 + 1 AS INTEGER)) || chr(10) || 'ARGS: query = ' ||
-          replace(substring(text, 1, 10), chr(10), ' ') || ' , limit=3,conv=' || conv_id || ',noise' ELSE text END AS text FROM conversations),
+          replace(text, chr(10), ' ') || ' , limit=3,conv=' || conv_id || ',noise' ELSE text END AS text FROM conversations),
        p AS (SELECT *, regexp_extract(text, 'TOOL:\\s*([a-zA-Z_]+)', 1) AS tool,
                list_transform(list_filter(string_split(regexp_extract(text, 'ARGS:\\s*(.+)', 1), ','), lambda x: contains(x, '=')), lambda x: trim(x)) AS parts FROM t)
        SELECT conv_id, turn, tool,
@@ -192,7 +192,7 @@ def tool_call_parse(spark, d):
 
 # Access
 
-CAPS = f"caps(role, capability, allowed) AS {values([(r, c, str(c not in no)) for r, no in policies.DENIED.items() for c in policies.CAPABILITIES])}"
+CAPS = f"caps(role, capability, allowed) AS {values([(r, c, str(a)) for r, own in policies.CAPABILITIES.items() for c, a in own.items()])}"
 
 
 def _pick(options: list[str], number) -> Column:
@@ -200,7 +200,7 @@ def _pick(options: list[str], number) -> Column:
 
 
 ASK_ROLES = [*tables.ROLES, "intern"]
-ASK_CAPS = [*policies.CAPABILITIES, "launch_rocket"]
+ASK_CAPS = [*policies.CAPABILITIES["engineer"], "launch_rocket"]
 ASK_FIELDS = [*policies.FIELD_VISIBILITY, "nickname"]
 
 
@@ -242,15 +242,15 @@ def field_access(spark, d):
 
 TIERS = f"tiers(tier, role) AS {values([(t.lower(), r) for t, rs in policies.TIER_ROLES.items() for r in rs])}"
 CHECKS = f"""{DOCS}, {TIERS},
-tagged AS (SELECT * REPLACE (CASE WHEN id % 10 = 0 THEN NULL WHEN id % 10 = 1 THEN 'Secret' ELSE sensitivity END AS sensitivity) FROM docs),
+tagged AS (SELECT * REPLACE (CASE id % 10 WHEN 0 THEN NULL WHEN 1 THEN 'Secret' WHEN 2 THEN '' WHEN 3 THEN '   ' ELSE sensitivity END AS sensitivity) FROM docs),
 checks AS (SELECT id, r.role, sensitivity, t.role IS NOT NULL AS allowed FROM tagged, (SELECT DISTINCT role FROM caps) r
-           LEFT JOIN tiers t ON t.tier = lower(coalesce(sensitivity, 'Public')) AND t.role = r.role)"""
+           LEFT JOIN tiers t ON t.tier = lower(coalesce(nullif(sensitivity, ''), 'Public')) AND t.role = r.role)"""
 
 
 def tagged_corpus(spark, d) -> DataFrame:
-    """The corpus with some untagged documents and some of an unknown tier."""
+    """The corpus with some documents without a tier, of an unknown one and of a blank one."""
     k = F.col("id") % 10
-    tag = F.when(k == 0, F.lit(None).cast("string")).when(k == 1, "Secret").otherwise(F.col("sensitivity"))
+    tag = F.when(k == 0, F.lit(None).cast("string")).when(k == 1, "Secret").when(k == 2, "").when(k == 3, "   ").otherwise(F.col("sensitivity"))
     return tables.corpus(spark, d).withColumn("sensitivity", tag)
 
 
@@ -272,7 +272,7 @@ AUDIT_AT = "2024-02-01 00:00:00"
     with_(
         f"{CAPS}, {CHECKS}, {FIELDS}, {FIELD_REQUESTS}",
         f"""SELECT TIMESTAMP '{AUDIT_AT}' AS timestamp, role, 'document:' || id AS resource, allowed, NULL AS field,
-              lower(coalesce(sensitivity, 'Public')) AS sensitivity FROM checks
+              lower(coalesce(nullif(sensitivity, ''), 'Public')) AS sensitivity FROM checks
             UNION ALL SELECT TIMESTAMP '{AUDIT_AT}', f.role, 'field:' || f.field, s.role IS NOT NULL, f.field, NULL
             FROM freq f LEFT JOIN seen s ON s.field = f.field AND s.role = f.role WHERE f.field IN (SELECT field FROM seen)""",
     ),
@@ -295,13 +295,30 @@ def secure_search(spark, d):
     return found.select("query", "category_filter", "rank", "id", "role", "allowed", "match_score")
 
 
-def _answer_sql(prose: bool) -> str:
-    body = (
-        "'The salary is $' || CAST(c_acctbal AS DECIMAL(12,2)) || ', SSN 123-45-' || c_custkey || ' and address: ' || c_custkey || ' Main; compensation of 7.'"
-        if prose
-        else "'{\"name\": \"' || c_name || '\", \"salary\": ' || CAST(c_acctbal AS DECIMAL(12,2)) || ', \"ssn\" : \"12-' || c_custkey || '\\\"x\"}' || chr(10) || 'salary: ' || c_custkey || ', address: Main St ' || c_custkey"
-    )
-    return f"answers AS (SELECT c_custkey, list_extract({ASK_ROLES}, CAST(c_custkey % 6 + 1 AS INTEGER)) AS role, {body} AS answer FROM customer)"
+def _seen_sql(field: str, shown: str, hidden: str) -> str:
+    """What a role reads: the value, or what the redaction leaves of it."""
+    return f"CASE WHEN role IN ({', '.join(repr(r) for r in policies.FIELD_VISIBILITY[field])}) THEN {shown} ELSE {hidden} END"
+
+
+def _redacted_sql(prose: bool) -> str:
+    """The redacted answers, put together from the customer's columns."""
+    money, key = "CAST(c_acctbal AS DECIMAL(12,2))", "c_custkey"
+    if prose:
+        parts = [
+            "'The '", _seen_sql("salary", f"'salary is $' || {money} || ','", "'salary: [REDACTED]'"),
+            "' '", _seen_sql("ssn", f"'SSN 123-45-' || {key}", "'SSN: [REDACTED]'"),
+            "' and '", _seen_sql("address", f"'address: ' || {key}", "'address: [REDACTED]'"),
+            "' Main; '", _seen_sql("compensation", "'compensation of 7.'", "'compensation: [REDACTED]'"),
+        ]
+    else:
+        parts = [
+            "'{\"name\": \"' || c_name || '\", '", _seen_sql("salary", f"'\"salary\": ' || {money}", "'\"salary\": \"[REDACTED]\"'"),
+            "', '", _seen_sql("ssn", f"'\"ssn\" : \"12-' || {key} || '\\\"x\"'", "'\"ssn\": \"[REDACTED]\"'"),
+            "'}' || chr(10)", _seen_sql("salary", f"'salary: ' || {key}", "'salary: [REDACTED]'"),
+            "', '", _seen_sql("address", f"'address: Main St ' || {key}", f"'address: [REDACTED] St ' || {key}"),
+        ]
+    body = " || ".join(parts)
+    return f"SELECT c_custkey, role, {body} AS answer FROM (SELECT *, list_extract({ASK_ROLES}, CAST(c_custkey % 6 + 1 AS INTEGER)) AS role FROM customer)"
 
 
 def _answers(spark, d, prose: bool) -> DataFrame:
@@ -316,28 +333,13 @@ def _answers(spark, d, prose: bool) -> DataFrame:
     return tables.table(spark, d, "customer").select("c_custkey", _pick(ASK_ROLES, F.col("c_custkey")).alias("role"), answer.alias("answer"))
 
 
-def _redact_sql(prose: bool) -> str:
-    def fold(fields: list[str]) -> str:
-        out = "answer"
-        for f in fields:
-            if prose:
-                out = f"regexp_replace({out}, '({f})(?:\\s*(?:is|was|of|=|:|are|equals)?\\s*)(\\$?[\\d][\\d,\\.\\-x]*|\\S+)', '\\1: [REDACTED]', 'gi')"
-            else:
-                out = f"regexp_replace({out}, '\"{f}\"\\s*:\\s*(\"(?:[^\"\\\\]|\\\\.)*\"|[^,}}\\n]+)', '\"{f}\": \"[REDACTED]\"', 'g')"
-                out = f"regexp_replace({out}, '(?m)(^|\\W){f}\\s*:\\s*([^\\s,]+)', '\\1{f}: [REDACTED]', 'g')"
-        return out
-
-    cases = " ".join(f"WHEN '{r}' THEN {fold(fields)}" for r, fields in POLICY.hidden().items())
-    return f"CASE role {cases} ELSE {fold(POLICY.hidden_fields(None))} END"
-
-
-@query("redact_json", with_(_answer_sql(False), f"SELECT c_custkey, role, {_redact_sql(False)} AS answer FROM answers"))
+@query("redact_json", _redacted_sql(False))
 def redact_json(spark, d):
     redacted = tx.redact_json(F.col("role"), F.col("answer"), POLICY.hidden(), POLICY.hidden_fields(None))
     return _answers(spark, d, False).withColumn("answer", redacted)
 
 
-@query("redact_prose", with_(_answer_sql(True), f"SELECT c_custkey, role, {_redact_sql(True)} AS answer FROM answers"))
+@query("redact_prose", _redacted_sql(True))
 def redact_prose(spark, d):
     redacted = tx.redact_prose(F.col("role"), F.col("answer"), POLICY.hidden(), POLICY.hidden_fields(None))
     return _answers(spark, d, True).withColumn("answer", redacted)
@@ -727,26 +729,26 @@ def semantic_match_earlier(spark, d):
 
 CORRECTIONS = f"""corr AS (
   SELECT u.conv_id * 1000 + u.turn AS correction_id, list_extract({ASK_ROLES}, CAST(u.conv_id % 6 + 1 AS INTEGER)) AS user_role, u.text AS original_query,
-         a.text AS original_answer, CASE u.turn % 5 WHEN 0 THEN '  ' WHEN 1 THEN a.text || ' ' WHEN 2 THEN a.text || ' More.' WHEN 3 THEN 'No.' ELSE u.text END AS corrected_answer
+         CASE WHEN u.conv_id % 11 > 0 THEN a.text END AS original_answer, CASE u.turn % 5 WHEN 0 THEN '  ' WHEN 1 THEN a.text || ' ' WHEN 2 THEN a.text || ' More.' WHEN 3 THEN 'No.' ELSE CASE WHEN u.conv_id % 2 = 0 THEN u.text END END AS corrected_answer
   FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1)"""
 STRIP = "regexp_replace({}, '^\\s+|\\s+$', '', 'g')"
-NEW, OLD = STRIP.format("corrected_answer"), STRIP.format("original_answer")
+NEW, OLD = STRIP.format("coalesce(corrected_answer, '')"), STRIP.format("coalesce(original_answer, '')")
 
 
 def corrections(spark, d) -> DataFrame:
-    """Every turn and the one after it as a question, its answer and a correction."""
+    """Every turn and the one after it as a question, its answer and a correction; some answers and corrections are NULL."""
     c = tables.table(spark, d, "conversations")
-    following = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("original_answer"))
-    k, old = F.col("turn") % 5, F.col("original_answer")
+    following = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
+    k, old = F.col("turn") % 5, F.col("answer")
     new = (
         F.when(k == 0, F.lit("  ")).when(k == 1, F.concat(old, F.lit(" "))).when(k == 2, F.concat(old, F.lit(" More.")))
-        .when(k == 3, F.lit("No.")).otherwise(F.col("text"))
+        .when(k == 3, F.lit("No.")).when(F.col("conv_id") % 2 == 0, F.col("text"))
     )
     return c.join(following, ["conv_id", "turn"]).select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("correction_id"),
         _pick(ASK_ROLES, F.col("conv_id")).alias("user_role"),
         F.col("text").alias("original_query"),
-        "original_answer",
+        F.when(F.col("conv_id") % 11 > 0, old).alias("original_answer"),
         new.alias("corrected_answer"),
     )
 
@@ -785,6 +787,21 @@ def feedback_state(spark, d):
     return correction_state(spark, d).select("correction_id", "user_role", "validated")
 
 
+@query(
+    "feedback_state_b",
+    with_(
+        RULES_B,
+        f"""SELECT correction_id, rb.user_role, correction_id % 3 = 0 AND coalesce(level, 0) >= 3 AND length({NEW}) > length({OLD}) AS validated
+            FROM rb LEFT JOIN auth a ON a.role = rb.user_role""",
+    ),
+)
+def feedback_state_b(spark, d):
+    """Approvals of every third correction, refused or not: only those fit under rules B count."""
+    taken = feedback.intake_b(corrections(spark, d), policies.authority(spark)).withColumn("validated", F.lit(False))
+    approvals = corrections(spark, d).where(F.col("correction_id") % 3 == 0).select("correction_id")
+    return feedback.state_b(taken, approvals, policies.authority(spark)).select("correction_id", "user_role", "validated")
+
+
 @query(
     "feedback_metrics",
     with_(
