@@ -14,22 +14,34 @@ from pyspark.sql import functions as F
 
 from ..functions import serving as sv
 from ..functions.timefeat import SLOTS_PER_DAY, bucket_start, slot_start
-from ..sources.calendars import REGULAR, month_day_calendar, with_month_day_holiday
+from ..sources.calendars import REGULAR, federal_name, month_day_calendar, with_month_day_holiday
 
 SLICE = ["hour", "dow", "holiday"]
 HOLIDAY_DOW = -1
 
 
-def dense_demand(trips: DataFrame, zones: DataFrame, zone: str = "zone_id", ts: str = "ts") -> DataFrame:
-    """Trips per zone and 15-minute bucket, zero rows included, over whole days.
+def dense_demand(
+    trips: DataFrame, zones: DataFrame, zone: str = "zone_id", ts: str = "ts", first: dt.date | None = None, last: dt.date | None = None
+) -> DataFrame:
+    """Trips per zone and 15-minute bucket, zero rows included, over whole days from ``first`` to ``last``.
+
+    Without these dates the span is that of the trips; give them where a stray timestamp could stretch the grid.
+    Trips outside given dates are not counted. The zone days are dealt out before they become slots, so the grid is
+    made by as many tasks as a shuffle has.
 
     Zero rows are unioned in and summed with the counts, so the grid costs no join: one shuffle on
     (zone, bucket) after map-side partial sums, which also absorbs a zone holding most events.
     """
     day = F.to_date(ts)
     span = trips.agg(F.struct(F.min(day).alias("first"), F.max(day).alias("last"))).scalar()
+    start = F.lit(first) if first else span["first"]
+    end = F.lit(last) if last else span["last"]
+    if first or last:
+        trips = trips.where(day.between(start, end))
+    tasks = int(trips.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     grid = (
-        zones.select(zone, F.explode(F.sequence(span["first"], span["last"])).alias("_day"))
+        zones.select(zone, F.explode(F.sequence(start, end)).alias("_day"))
+        .repartition(tasks, zone, "_day")
         .select(zone, "_day", F.explode(F.sequence(F.lit(0), F.lit(SLOTS_PER_DAY - 1))).alias("_slot"))
         .select(zone, slot_start(F.col("_day"), F.col("_slot")).alias("time_bucket"), F.lit(0).cast("bigint").alias("n"))
     )
@@ -37,8 +49,10 @@ def dense_demand(trips: DataFrame, zones: DataFrame, zone: str = "zone_id", ts:
     return counted.unionByName(grid).groupBy(zone, "time_bucket").agg(F.sum("n").alias("trip_count"))
 
 
-def with_holiday_flag(fact: DataFrame, calendar: DataFrame) -> DataFrame:
-    """``is_holiday`` = 1 on the calendar's dates."""
+def with_holiday_flag(fact: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
+    """``is_holiday`` = 1 on federal holidays, or on the dates of another calendar."""
+    if calendar is None:
+        return fact.withColumn("is_holiday", federal_name(F.to_date("time_bucket")).isNotNull().cast("int"))
     dates = calendar.select(F.col("holiday_date").alias("_hd"))
     return (
         fact.join(dates, F.to_date("time_bucket") == F.col("_hd"), "left")
@@ -321,7 +335,7 @@ def operator_zones(
         .withColumn("volatility_label", sv.volatility_label(F.col("volatility")))
         .withColumn("supply_status", sv.supply_status(F.col("unmet"), now))
     )
-    return enriched.select(
+    table = enriched.select(
         *SLICE,
         F.col("zone_id").cast("bigint").alias("zone_id"),
         sv.zone_label(F.col("name"), F.col("zone_id")).alias("name"),
@@ -340,6 +354,9 @@ def operator_zones(
         "trend_direction",
         sv.action_text(F.col("supply_status"), F.col("volatility_label"), F.col("trend_direction")).alias("action"),
     )
+    # The order of the served table: unmet demand, then demand, within a slice.
+    order = Window.partitionBy(*SLICE).orderBy(F.col("unmet_demand").desc(), F.col("demand_now").desc(), "zone_id")
+    return table.withColumn("rank", F.row_number().over(order).cast("bigint"))
 
 
 def zone_hour_fare(rides: DataFrame, fare: str = "fare", ts: str = "ts") -> DataFrame:

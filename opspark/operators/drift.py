@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scores import ks_pvalue
-from ..plans.joins import pinned
 from ..session import cut_lineage
 from ..plans.ranks import cumulative_counts, value_counts
 
@@ -55,7 +54,7 @@ def feature_counts(df: DataFrame, columns: list[str], segments: list[str] | None
 
 
 def group_ranges(counts: DataFrame, groups: list[str], value: str = "value") -> DataFrame:
-    """Joint range, row totals and means of both windows: one pinned row per group."""
+    """Joint range, row totals and means of both windows: one row per group."""
     v = F.col(value)
     totals = counts.groupBy(*groups).agg(
         F.min(v).alias("_lo"),
@@ -65,7 +64,7 @@ def group_ranges(counts: DataFrame, groups: list[str], value: str = "value") ->
         F.sum(v * F.col("n_base")).alias("_sb"),
         F.sum(v * F.col("n_new")).alias("_sn"),
     )
-    return pinned(totals).select(
+    return totals.select(
         *groups,
         "_lo",
         "_top",
@@ -104,21 +103,33 @@ def _shares() -> tuple[Column, Column]:
     return e, a
 
 
-def psi(counts: DataFrame, groups: list[str], bins: int = PSI_BINS, ranges: DataFrame | None = None) -> DataFrame:
-    """Population stability index per group; NULL when a window is empty."""
+def merged_bins(bins: DataFrame, groups: list[str], by: int) -> DataFrame:
+    """A histogram with ``by`` neighbouring bins made one; the edges that remain are exactly the coarser ones."""
+    return bins.groupBy(*groups, "all_base", "all_new", F.floor(F.col("bin") / by).cast("int").alias("bin")).agg(
+        F.sum("n_base").alias("n_base"), F.sum("n_new").alias("n_new")
+    )
+
+
+def psi(
+    counts: DataFrame, groups: list[str], bins: int = PSI_BINS, ranges: DataFrame | None = None, table: DataFrame | None = None
+) -> DataFrame:
+    """Population stability index per group; NULL when a window is empty. ``table``: its histogram, if known."""
     e, a = _shares()
     e, a = F.greatest(e, F.lit(SHARE_FLOOR)), F.greatest(a, F.lit(SHARE_FLOOR))
     both = (F.col("all_base") > 0) & (F.col("all_new") > 0)
     term = F.when(both, (a - e) * F.ln(a / e))
-    return histogram(counts, groups, bins, ranges=ranges).groupBy(*groups).agg(F.sum(term).alias("psi"))
+    table = histogram(counts, groups, bins, ranges=ranges) if table is None else table
+    return table.groupBy(*groups).agg(F.sum(term).alias("psi"))
 
 
 def psi_label(value: Column) -> Column:
     return F.when(value.isNull(), "skip").when(value < 0.1, "stable").when(value < 0.25, "moderate").otherwise("significant")
 
 
-def js_distance(counts: DataFrame, groups: list[str], bins: int = JS_BINS, ranges: DataFrame | None = None) -> DataFrame:
-    """Jensen-Shannon distance (base 2) between the two histograms of each group."""
+def js_distance(
+    counts: DataFrame, groups: list[str], bins: int = JS_BINS, ranges: DataFrame | None = None, table: DataFrame | None = None
+) -> DataFrame:
+    """Jensen-Shannon distance (base 2) between the two histograms of each group. ``table``: the histogram, if known."""
     p, q = _shares()
     mid = (p + q) / 2
 
@@ -128,7 +139,8 @@ def js_distance(counts: DataFrame, groups: list[str], bins: int = JS_BINS, range
     both = (F.col("all_base") > 0) & (F.col("all_new") > 0)
     total = F.sum(F.when(both, part(p) + part(q)))
     js = F.sqrt(F.greatest(total, F.lit(0.0)) / 2).alias("js")
-    return histogram(counts, groups, bins, ranges=ranges).groupBy(*groups).agg(js)
+    table = histogram(counts, groups, bins, ranges=ranges) if table is None else table
+    return table.groupBy(*groups).agg(js)
 
 
 def ks(counts: DataFrame, groups: list[str]) -> DataFrame:
@@ -161,21 +173,26 @@ def moments(counts: DataFrame, groups: list[str], ranges: DataFrame | None = Non
 
 
 def feature_drift(df: DataFrame, columns: list[str], min_rows: int = 50) -> DataFrame:
-    """Means, deviations, KS, PSI and JS of every feature with at least ``min_rows`` values in both windows.
+    """Means, deviations, KS, PSI and JS of every feature with at least ``min_rows`` values in both windows, ranked by PSI.
 
-    The value counts are written once to the shared checkpoint folder and read by every test.
+    The value counts, and the ranges and histogram made of them (a few rows for each feature), are written once. The
+    JS bins are the PSI bins halved, so one histogram serves both.
     """
     counts = cut_lineage(feature_counts(df, columns))
     by = ["feature"]
-    ranges = group_ranges(counts, by)
+    ranges = cut_lineage(group_ranges(counts, by))
+    fine = cut_lineage(histogram(counts, by, JS_BINS, ranges=ranges))
+    # One row for each feature.
+    order = Window.orderBy(F.round("psi", 9).desc_nulls_last(), "feature")
     enough = (F.col("rows_base") >= min_rows) & (F.col("rows_new") >= min_rows)
     return (
         moments(counts, by, ranges)
         .where(enough)
         .join(ks(counts, by).select("feature", "ks", "pvalue"), by)
-        .join(psi(counts, by, ranges=ranges), by)
-        .join(js_distance(counts, by, ranges=ranges), by)
+        .join(psi(counts, by, table=merged_bins(fine, by, JS_BINS // PSI_BINS)), by)
+        .join(js_distance(counts, by, table=fine), by)
         .withColumn("interpretation", psi_label(F.col("psi")))
+        .withColumn("psi_rank", F.row_number().over(order).cast("bigint"))
     )
 
 

@@ -108,54 +108,94 @@ def cache_replay(log: DataFrame, order: tuple[str, ...] = ("ts", "query_id")) ->
     )
 
 
+def cached_entries(asked: DataFrame, threshold: float) -> DataFrame:
+    """(cache_key, _v, node): the requests that entered the cache, of (cache_key, _v, node) rows in order of ``node``.
+
+    A request is answered without entering if its key is cached, or a cached vector is similar. Who entered
+    depends only on earlier requests of the same key or a similar vector, so all requests without such a request that is
+    still open are decided together; the number of rounds is the length of the longest chain of dependencies.
+    """
+    still = cut_lineage(asked.groupBy("cache_key", "_v").agg(F.min("node").alias("node")))
+    entered = None
+    while True:
+        # In the order of time, the first of its key and without an earlier one like it: nothing can answer it.
+        first = still.groupBy("cache_key").agg(F.min("node").alias("node"))
+        after = best_match(still, still, "node", "_c", "_v", "_v", threshold, "node", "node", cached_column="node").select("node")
+        new = cut_lineage(still.join(first.select("node"), "node", "left_semi").join(after, "node", "left_anti"))
+        entered = new if entered is None else cut_lineage(entered.unionByName(new.select(*entered.columns)))
+        rest = cut_lineage(still.join(new.select("node"), "node", "left_anti"))
+        keys = new.select(F.col("cache_key").alias("_k"), F.col("node").alias("_n"))
+        rest = rest.join(keys, (F.col("cache_key") == F.col("_k")) & (F.col("node") > F.col("_n")), "left_anti")
+        answered = best_match(rest, new, "node", "_c", "_v", "_v", threshold, "node", "node", cached_column="node").select("node")
+        still = cut_lineage(rest.join(answered, "node", "left_anti"))
+        if still.isEmpty():
+            return entered
+
+
 def hybrid_replay(log: DataFrame, vector: Column, threshold: float = THRESHOLD) -> DataFrame:
-    """Replay of a cache that looks for the exact key first and then for a similar earlier question.
+    """Replay of a cache that looks for the exact key first and then for the most similar cached question.
 
-    Adds ``outcome`` (exact_hit, semantic_hit, miss) and ``cached_response``. A question without an exact hit
-    is compared with the first request of every earlier key; needs unique ``query_id`` growing with time.
+    Adds ``cache_key``, ``outcome`` (exact_hit, semantic_hit, miss), ``hit``, ``cached_response`` and ``similarity``.
+    Only a miss enters the cache: a question answered by a similar one is looked up anew each time. Needs a
+    unique ``query_id`` that grows with time.
     """
-    replay = cut_lineage(cache_replay(log))
-    fresh = replay.where(~F.col("hit")).withColumn("_v", vector)
-    asked = fresh.select(F.col("query_id").alias("_q"), "_v")
-    known = fresh.select(F.col("query_id").alias("_c"), "_v")
-    found = best_match(asked, known, "_q", "_c", "_v", "_v", threshold, query_order="_q", cached_order="_c")
-    answers = replay.select(F.col("query_id").alias("_c"), F.col("answer").alias("_similar"))
-    similar = found.join(answers, "_c").select(F.col("_q").alias("query_id"), "_similar", "similarity")
-    return (
-        replay.join(similar, "query_id", "left")
-        .withColumn(
-            "outcome", F.when(F.col("hit"), "exact_hit").when(F.col("similarity").isNotNull(), "semantic_hit").otherwise("miss")
-        )
-        .withColumn("cached_response", F.coalesce("cached_response", "_similar"))
-        .drop("_similar")
+    asked = cut_lineage(log.withColumns({"cache_key": tx.cache_key(F.col("query")), "_v": vector, "node": F.col("query_id")}))
+    entered = cached_entries(asked.select("cache_key", "_v", "node"), threshold)
+    answers = asked.select(F.col("node").alias("_n"), F.col("answer").alias("_response"))
+    cached = cut_lineage(entered.select(F.col("cache_key").alias("_k"), F.col("_v").alias("_cv"), F.col("node").alias("_n")).join(answers, "_n"))
+    by_key = cut_lineage(cached.groupBy("_k").agg(F.min("_n").alias("_first"), F.min_by("_response", "_n").alias("_exact")))
+    keyed = cut_lineage(asked.join(by_key, F.col("cache_key") == F.col("_k"), "left").drop("_k"))
+    open_ = keyed.where(F.col("_first").isNull() | (F.col("node") < F.col("_first")))
+    found = best_match(open_, cached, "node", "_n", "_v", "_cv", threshold, query_order="node", cached_order="_n")
+    similar = found.join(cached.select("_n", F.col("_response").alias("_similar")), "_n").drop("_n")
+    exact = F.col("node") > F.col("_first")
+    out = keyed.join(similar, "node", "left").withColumn(
+        "outcome", F.when(exact, "exact_hit").when(F.col("similarity").isNotNull(), "semantic_hit").otherwise("miss")
     )
+    return out.withColumns(
+        {"hit": F.col("outcome") != "miss", "cached_response": F.when(exact, F.col("_exact")).otherwise(F.col("_similar"))}
+    ).drop("_v", "node", "_first", "_exact", "_similar")
 
 
-def cache_impact(log: DataFrame, keywords: list[str] | None = None, max_chars: int = 1000) -> DataFrame:
+def cache_impact(log: DataFrame, keywords: list[str] | None = None, max_chars: int = 1000, replay: DataFrame | None = None) -> DataFrame:
     """Hits, misses, model share and characters saved of a log.
 
-    Hit counts need no replay: every key misses once. Only misses are routed to a model; requests with one key
-    differ at most in case and outer white space, so one of them stands for the miss.
+    Without a ``replay`` the cache is an exact one, whose hits need no replay: every key misses once, and requests with
+    one key differ at most in case and outer white space, so one of them stands for the miss. With the result of
+    ``hybrid_replay`` semantic hits count as well. Only misses are routed to a model.
     """
     saved = tx.chars_saved(F.col("answer"), max_chars)
-    keys = log.groupBy(tx.cache_key(F.col("query")).alias("_key")).agg(
-        F.count("*").alias("n"), F.sum(saved).alias("saved"), F.count_if(saved > 0).alias("cut")
-    )
-    complex_miss = tx.is_complex(F.col("_key"), keywords)
-    totals = keys.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_queries"),
-        F.count("*").alias("cache_misses"),
-        F.count_if(complex_miss).alias("capable_choices"),
-        F.count_if(~complex_miss).alias("cheap_choices"),
-        F.coalesce(F.sum("cut"), F.lit(0)).alias("responses_compressed"),
-        F.coalesce(F.sum("saved"), F.lit(0)).alias("compression_chars_saved"),
+    none = F.lit(0).cast("bigint")
+    if replay is None:
+        rows = log.groupBy(tx.cache_key(F.col("query")).alias("question")).agg(
+            F.count("*").alias("n"), F.lit(1).cast("bigint").alias("missed"), none.alias("similar"), F.sum(saved).alias("saved"), F.count_if(saved > 0).alias("cut")
+        )
+    else:
+        miss, similar = (F.col("outcome") == o for o in ("miss", "semantic_hit"))
+        rows = replay.select(
+            F.col("query").alias("question"), F.lit(1).cast("bigint").alias("n"), miss.cast("bigint").alias("missed"),
+            similar.cast("bigint").alias("similar"), saved.alias("saved"), (saved > 0).cast("bigint").alias("cut"),
+        )
+    capable = tx.is_complex(F.col("question"), keywords)
+
+    def total(column: Column) -> Column:
+        return F.coalesce(F.sum(column), none)
+
+    totals = rows.agg(
+        total(F.col("n")).alias("total_queries"),
+        total(F.col("missed")).alias("cache_misses"),
+        total(F.col("similar")).alias("cache_semantic_hits"),
+        total(F.when(capable, F.col("missed"))).alias("capable_choices"),
+        total(F.when(~capable, F.col("missed"))).alias("cheap_choices"),
+        total(F.col("cut")).alias("responses_compressed"),
+        total(F.col("saved")).alias("compression_chars_saved"),
     )
     hits = F.col("total_queries") - F.col("cache_misses")
     rate = F.when(F.col("total_queries") > 0, hits / F.col("total_queries")).otherwise(F.lit(0.0))
     choices = F.greatest(F.col("capable_choices") + F.col("cheap_choices"), F.lit(1))
     return totals.select(
         "*",
-        hits.alias("cache_exact_hits"),
+        (hits - F.col("cache_semantic_hits")).alias("cache_exact_hits"),
         rate.alias("cache_hit_rate"),
         (F.col("cheap_choices") / choices).alias("cheap_share"),
         F.bround(rate * 100, 1).alias("total_savings_pct"),
@@ -166,9 +206,9 @@ def retrieval_limit(requested: Column, cap: int = RETRIEVAL_CAP) -> Column:
     return F.least(requested.cast("bigint"), F.lit(cap).cast("bigint"))
 
 
-def evaluation(log: DataFrame, prices: DataFrame) -> DataFrame:
-    """Every query of a log after caching, routing and pricing: cached ones are free."""
-    replay = cache_replay(log)
+def evaluation(log: DataFrame, prices: DataFrame, replay: DataFrame | None = None) -> DataFrame:
+    """Every query of a log after caching, routing and pricing: cached ones are free. ``replay``: of a hybrid cache."""
+    replay = cache_replay(log) if replay is None else replay
     model = F.when(F.col("hit"), "(cache)").otherwise(tx.route_model(F.col("query")))
     tokens = {c: F.when(F.col("hit"), F.lit(0)).otherwise(F.col(c)).cast("bigint") for c in ("input_tokens", "output_tokens")}
     return with_token_cost(replay.withColumns({"model": model, **tokens}), prices)

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scores import error_sums, measures, relative_delta
-from ..plans.joins import pinned
 from ..plans.ranks import exact_quantiles, value_counts
 from ..session import cut_lineage
 from ..sources.literals import literal_table
@@ -114,18 +113,17 @@ def accuracy(scored: DataFrame, y: str = "trip_count", p: str = "yhat") -> DataF
     )
 
 
-def accuracy_windows(scored: DataFrame, windows: list[tuple[str, str, str]]) -> DataFrame:
-    """Accuracy and prediction quantiles per named half-open window and segment, from one scan."""
+def accuracy_windows(scored: DataFrame, windows: list[tuple[str, str, str | None]]) -> DataFrame:
+    """Accuracy and prediction quantiles per named half-open window and segment, from one scan; without an end it is open."""
     t = F.col("time_bucket")
-    label = F.coalesce(
-        *[
-            F.when((t >= F.lit(a).cast("timestamp_ntz")) & (t < F.lit(b).cast("timestamp_ntz")), F.lit(n))
-            for n, a, b in windows
-        ]
-    )
-    first, last = min(w[1] for w in windows), max(w[2] for w in windows)
+    def within(start: str, end: str | None) -> Column:
+        after = t >= F.lit(start).cast("timestamp_ntz")
+        return after if end is None else after & (t < F.lit(end).cast("timestamp_ntz"))
+
+    label = F.coalesce(*[F.when(within(a, b), F.lit(n)) for n, a, b in windows])
+    last = None if any(w[2] is None for w in windows) else max(w[2] for w in windows)
     rows = (
-        scored.where((t >= F.lit(first).cast("timestamp_ntz")) & (t < F.lit(last).cast("timestamp_ntz")))
+        scored.where(within(min(w[1] for w in windows), last))
         .withColumn("win", label)
         .where(F.col("win").isNotNull() & F.col("yhat").isNotNull() & F.col("trip_count").isNotNull())
     )
@@ -239,7 +237,7 @@ def monitor_metrics(scored: DataFrame, reference: str, critical: list[str] | Non
     counts = cut_lineage(segment_counts(scored))
     new = scored.where("is_new")
     tested = (F.col("feature") == "trip_count") | (F.col("feature") == "yhat")
-    ks_all = pinned(drift.ks(counts.where(tested), BY))
+    ks_all = drift.ks(counts.where(tested), BY)
     psi_all = drift.psi(counts.where(F.col("feature") != "yhat"), BY)
     series = F.col("feature") == "trip_count"
     ks_pred = ks_all.where((F.col("feature") == "yhat") & (F.col("grouping") == "global"))
@@ -325,13 +323,17 @@ def peak_shift(df: DataFrame, k: int | None = 5) -> DataFrame:
     return tested if k is None else tested.orderBy(F.col("ks").desc(), "hour").limit(k)
 
 
-def borough_feature_drift(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """PSI of the lag features per borough, with the borough's maximum."""
+def borough_feature_drift(df: DataFrame, columns: list[str] | None = None, names: DataFrame | None = None) -> DataFrame:
+    """PSI of the lag features per borough, with the borough's maximum and, from the zone table ``names``, its name."""
     counts = cut_lineage(drift.feature_counts(df, columns or LAG_FEATURES, ["borough_id"]))
     by_borough = Window.partitionBy("borough_id")
-    return drift.psi(counts.where(F.col("borough_id").isNotNull()), ["borough_id", "feature"]).withColumn(
+    found = drift.psi(counts.where(F.col("borough_id").isNotNull()), ["borough_id", "feature"]).withColumn(
         "max_psi", F.max("psi").over(by_borough)
     )
+    if names is None:
+        return found
+    named = names.groupBy(F.col("borough_id").alias("_b")).agg(F.max("borough").alias("borough"))
+    return found.join(named, F.col("borough_id") == F.col("_b"), "left").drop("_b")
 
 
 def zone_divergence(scored: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..plans.ranks import exact_quantiles
 from ..session import cut_lineage
-from ..sources.calendars import federal_calendar
+from ..sources.calendars import federal_calendar, federal_name
 
 # Fixed values of the validation rules.
 SENTINELS = (-5, -1, 9999, 99999)
@@ -110,9 +110,8 @@ def check_value_ranges(df: DataFrame) -> DataFrame:
 
 def false_holidays(df: DataFrame) -> DataFrame:
     """Rows flagged as holiday on a date off the federal calendar, counted by date."""
-    calendar = federal_calendar(df.sparkSession).select(F.col("holiday_date").alias("date"))
     flagged = df.where(F.col("is_holiday") == 1).groupBy(F.to_date("time_bucket").alias("date")).agg(F.count("*").alias("n"))
-    return flagged.join(calendar, "date", "left_anti")
+    return flagged.where(federal_name(F.col("date")).isNull())
 
 
 def check_holiday_labels(df: DataFrame) -> DataFrame:
@@ -213,10 +212,8 @@ def clean(df: DataFrame, order: str) -> DataFrame:
 
 
 def _false_flag(df: DataFrame) -> DataFrame:
-    calendar = federal_calendar(df.sparkSession).select(F.col("holiday_date").alias("_hd"))
-    joined = df.join(calendar, F.to_date("time_bucket") == F.col("_hd"), "left")
-    wrong = F.coalesce((F.col("is_holiday") == 1) & F.col("_hd").isNull(), F.lit(False))
-    return joined.withColumn("_wrong", wrong).drop("_hd")
+    wrong = (F.col("is_holiday") == 1) & federal_name(F.to_date("time_bucket")).isNull()
+    return df.withColumn("_wrong", F.coalesce(wrong, F.lit(False)))
 
 
 def _fix_flags(df: DataFrame) -> DataFrame:
@@ -341,11 +338,10 @@ def lag_correlation(df: DataFrame, lag: str = "lag_1week", min_rows: int = 50) -
 
 def holiday_flag_rates(df: DataFrame) -> DataFrame:
     """Share of flagged rows per date and whether the date is a real holiday."""
-    calendar = federal_calendar(df.sparkSession).select(F.col("holiday_date").alias("date"), "holiday_name")
     rates = df.groupBy(F.to_date("time_bucket").alias("date")).agg(
         F.avg("is_holiday").alias("rate"), F.count("*").alias("rows"), F.count_if(F.col("is_holiday") == 1).alias("flagged")
     )
-    return rates.join(calendar, "date", "left")
+    return rates.withColumn("holiday_name", federal_name(F.col("date")))
 
 
 def holiday_flag_audit(df: DataFrame, year: int) -> DataFrame:

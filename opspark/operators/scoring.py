@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,14 +32,20 @@ def _filled(table: DataFrame, features: list[str]) -> DataFrame:
     return table.withColumns({c: F.coalesce(F.col(c).cast("double"), base) for c in features})
 
 
-def fit_poisson(table: DataFrame, features: list[str] | None = None, target: str = "trip_count"):
-    """Poisson regression with a log link, fitted on Spark; the training rows are written once for its passes."""
+def fit_poisson(table: DataFrame, features: list[str] | None = None, target: str = "trip_count", max_iter: int = 50):
+    """Poisson regression with a log link, fitted on Spark; the training rows are written once for its passes.
+
+    A fit that has not converged after ``max_iter`` steps is reported by a warning.
+    """
     features = features or MODEL_FEATURES
     rows = cut_lineage(_filled(table, features).select(*features, F.col(target).cast("double").alias(target)).dropna())
     assembled = VectorAssembler(inputCols=features, outputCol="features").transform(rows)
-    return GeneralizedLinearRegression(
-        family="poisson", link="log", labelCol=target, featuresCol="features", maxIter=10, regParam=1e-4
+    model = GeneralizedLinearRegression(
+        family="poisson", link="log", labelCol=target, featuresCol="features", maxIter=max_iter, regParam=1e-4
     ).fit(assembled)
+    if model.summary.numIterations >= max_iter:
+        warnings.warn(f"the fit stopped after {max_iter} steps without converging", stacklevel=2)
+    return model
 
 
 def score_poisson(table: DataFrame, model, features: list[str] | None = None, name: str = "yhat") -> DataFrame:
@@ -153,7 +160,7 @@ def linear_predictor(model, features: list[str] | None = None) -> Callable[[dict
     intercept = float(model.intercept)
 
     def predict(row: dict[str, float]) -> float:
-        return math.exp(min(50.0, intercept + sum(w * row[c] for c, w in weights)))
+        return math.exp(intercept + sum(w * row[c] for c, w in weights))
 
     return predict
 

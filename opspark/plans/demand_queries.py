@@ -28,7 +28,7 @@ def query(name: str, sql: str | None = None):
 
 def fact(spark: SparkSession, d: str) -> DataFrame:
     series = demand.dense_demand(tables.trips(spark, d), tables.zones(spark, d))
-    return demand.with_holiday_flag(series, calendars.federal_calendar(spark))
+    return demand.with_holiday_flag(series)
 
 
 def profile(spark: SparkSession, d: str) -> DataFrame:
@@ -396,6 +396,7 @@ def next_hour(spark, d):
         lab AS (
           SELECT *, CASE WHEN vol > 0.3 THEN 'high' WHEN vol > 0.15 THEN 'medium' ELSE 'low' END AS volatility_label,
                  CASE WHEN unmet_demand > 0 THEN 'tight' WHEN demand_current > 30 THEN 'balanced' ELSE 'light' END AS supply_status FROM base)
+        SELECT *, row_number() OVER (PARTITION BY hour, dow, holiday ORDER BY unmet_demand DESC, demand_now DESC, zone_id) AS rank FROM (
         SELECT hour, dow, holiday, zone_id, name, borough, round_even(demand_current, 1) AS demand_now,
                round_even(demand_next_hour, 1) AS demand_next_hour, change_pct, unmet_demand,
                CAST(greatest(1, round_even(demand_current / 25, 0)) AS BIGINT) AS drivers_needed,
@@ -403,7 +404,7 @@ def next_hour(spark, d):
                'actual' AS forecast_source, volatility_label, round_even(vol, 2) AS volatility_score, 'stable' AS trend_direction,
                CASE WHEN supply_status = 'tight' AND volatility_label = 'high' THEN 'High demand + volatile. Raise surge cautiously.'
                     WHEN supply_status = 'tight' AND volatility_label = 'low' THEN 'High demand + stable. Can raise surge aggressively.' END AS action
-        FROM lab""".lstrip(),
+        FROM lab)""".lstrip(),
     ),
 )
 def operator_zones(spark, d):

@@ -96,7 +96,7 @@ def accuracy_segments(spark, d):
     return rounded(monitor.accuracy(scored(spark, d)).select("grouping", "segment", "n", "base_n", *ACC_COLS), *ACC_COLS)
 
 
-WINDOWS = [("baseline", "2024-01-01", "2024-01-16"), ("corrupt", "2024-01-16", "2024-01-22"), ("drift", "2024-01-22", "2024-02-01")]
+WINDOWS = [("baseline", "2024-01-01", "2024-01-16"), ("corrupt", "2024-01-16", "2024-01-22"), ("drift", "2024-01-22", None)]
 REPORT = f"""{SCORED}, {TAGGED},
 labelled AS (SELECT *, CASE WHEN time_bucket < TIMESTAMP '2024-01-16' THEN 'baseline' WHEN time_bucket < TIMESTAMP '2024-01-22' THEN 'corrupt' ELSE 'drift' END AS win FROM tagged),
 report AS (SELECT win, grouping, segment, {errors('true')}, quantile_cont(yhat, 0.5) AS pred_p50, quantile_cont(yhat, 0.95) AS pred_p95
@@ -255,7 +255,8 @@ FD_COLS = ["base_mean", "new_mean", "base_std", "new_std", "ks", "psi", "js"]
          avg(value) FILTER (WHERE NOT is_new) AS base_mean, avg(value) FILTER (WHERE is_new) AS new_mean,
          stddev_samp(value) FILTER (WHERE NOT is_new) AS base_std, stddev_samp(value) FILTER (WHERE is_new) AS new_std FROM long GROUP BY 1)""",
     f"""SELECT feature, rows_base, rows_new, {r(*FD_COLS)}, round(pvalue, 6) + 0 AS pvalue,
-          CASE WHEN psi IS NULL THEN 'skip' WHEN psi < 0.1 THEN 'stable' WHEN psi < 0.25 THEN 'moderate' ELSE 'significant' END AS interpretation
+          CASE WHEN psi IS NULL THEN 'skip' WHEN psi < 0.1 THEN 'stable' WHEN psi < 0.25 THEN 'moderate' ELSE 'significant' END AS interpretation,
+          row_number() OVER (ORDER BY round(psi, 9) DESC NULLS LAST, feature) AS psi_rank
         FROM mom JOIN psis USING (feature) JOIN jss USING (feature) JOIN kss USING (feature) WHERE rows_base >= 50 AND rows_new >= 50"""))
 def feature_drift(spark, d):
     return rounded(drift.feature_drift(drift_frame(spark, d), DRIFT_FEATURES), *FD_COLS, "pvalue")
@@ -366,9 +367,9 @@ def drift_peak_shift(spark, d):
 
 
 @query("drift_borough_psi", with_(f"{SCORED}, {sql_unpivot(monitor.LAG_FEATURES, 'borough_id')}, {sql_counts('long', 'borough_id, feature')}, {sql_psi('borough_id, feature')}",
-    "SELECT borough_id, feature, round(psi, 6) + 0 AS psi, round(max(psi) OVER (PARTITION BY borough_id), 6) + 0 AS max_psi FROM psis"))
+    "SELECT borough_id, (SELECT any_value(borough) FROM zones z WHERE z.borough_id = psis.borough_id) AS borough, feature, round(psi, 6) + 0 AS psi, round(max(psi) OVER (PARTITION BY borough_id), 6) + 0 AS max_psi FROM psis"))
 def drift_borough_psi(spark, d):
-    return rounded(monitor.borough_feature_drift(drift_frame(spark, d)), "psi", "max_psi")
+    return rounded(monitor.borough_feature_drift(drift_frame(spark, d), names=tables.zones(spark, d)), "psi", "max_psi")
 
 
 ZD = ["actual_mean_baseline", "actual_mean_new", "actual_mean_drop", "poisson_dev_baseline", "poisson_dev_new", "dev_rel_delta"]

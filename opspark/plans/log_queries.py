@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions import vectors as vec
 from ..operators import access, corpus, feedback, gates, ledger
+from ..session import cut_lineage
 from ..sources import policies, tables
 from . import nearest
 from .sqlbase import with_
@@ -488,22 +489,36 @@ def costs_by_key(spark, d):
     return ledger.costs_by(rows, ["day", "user_id", "event_type"]).withColumn("cost", F.round("cost", 4))
 
 
-SHORT = LOG + ", short AS (SELECT * REPLACE ('  ' || substring(query, 1, 3) || chr(10) AS query) FROM log)"
-
-
-def short_log(spark, d) -> DataFrame:
-    """The query log with questions cut to three characters, so that questions repeat."""
-    return tables.query_log(spark, d).withColumn("query", F.concat(F.lit("  "), F.substring("query", 1, 3), F.lit("\n")))
+AGAIN = LOG + """, asked AS (SELECT * REPLACE (CASE WHEN (query_id // 1000) % 4 = 0 THEN 'Explain: ' || query ELSE query END AS query) FROM log),
+again AS (SELECT * FROM asked UNION ALL
+          SELECT * REPLACE (query_id + 1000000000 AS query_id, ts + INTERVAL 400 DAY AS ts, '  ' || query || chr(10) AS query, answer || ' (again)' AS answer)
+          FROM asked WHERE query_id % 3 = 0)"""
+
+
+def repeated_log(spark, d) -> DataFrame:
+    """The query log with every third question asked a second time, more than a year later and with white space
+    around it. One conversation in four asks for an explanation, which is a question for the capable model."""
+    explain = F.floor(F.col("query_id") / 1000) % 4 == 0
+    asked = tables.query_log(spark, d).withColumn("query", F.when(explain, F.concat(F.lit("Explain: "), "query")).otherwise(F.col("query")))
+    again = asked.where(F.col("query_id") % 3 == 0).withColumns(
+        {
+            "query_id": F.col("query_id") + 1_000_000_000,
+            "ts": F.col("ts") + F.expr("INTERVAL '400' DAY"),
+            "query": F.concat(F.lit("  "), "query", F.lit("\n")),
+            "answer": F.concat("answer", F.lit(" (again)")),
+        }
+    )
+    return asked.unionByName(again)
 
 
-REPLAY = SHORT + """, keyed AS (SELECT *, lower(regexp_replace(query, '^\\s+|\\s+$', '', 'g')) AS cache_key FROM short),
+REPLAY = AGAIN + """, keyed AS (SELECT *, lower(regexp_replace(query, '^\\s+|\\s+$', '', 'g')) AS cache_key FROM again),
 replay AS (SELECT *, row_number() OVER (PARTITION BY cache_key ORDER BY ts, query_id) > 1 AS hit,
              first_value(answer) OVER (PARTITION BY cache_key ORDER BY ts, query_id) AS first_answer FROM keyed)"""
 
 
 @query("cache_replay", with_(REPLAY, "SELECT query_id, cache_key, hit, CASE WHEN hit THEN first_answer END AS cached_response FROM replay"))
 def cache_replay(spark, d):
-    return ledger.cache_replay(short_log(spark, d)).select("query_id", "cache_key", "hit", "cached_response")
+    return ledger.cache_replay(repeated_log(spark, d)).select("query_id", "cache_key", "hit", "cached_response")
 
 
 @query(
@@ -513,44 +528,113 @@ def cache_replay(spark, d):
         f"""SELECT count(*) AS total_queries, count(*) FILTER (WHERE NOT hit) AS cache_misses, count(*) FILTER (WHERE NOT hit AND {_complex_sql('cache_key', tx.COMPLEX_KEYWORDS)}) AS capable_choices,
               count(*) FILTER (WHERE NOT hit AND NOT {_complex_sql('cache_key', tx.COMPLEX_KEYWORDS)}) AS cheap_choices,
               count(*) FILTER (WHERE length(answer) > 1000) AS responses_compressed, CAST(sum(greatest(length(answer) - 1000, 0)) AS BIGINT) AS compression_chars_saved,
-              count(*) FILTER (WHERE hit) AS cache_exact_hits, round(count(*) FILTER (WHERE hit) / count(*), 9) AS cache_hit_rate,
+              count(*) FILTER (WHERE hit) AS cache_exact_hits, CAST(0 AS BIGINT) AS cache_semantic_hits, round(count(*) FILTER (WHERE hit) / count(*), 9) AS cache_hit_rate,
               round(count(*) FILTER (WHERE NOT hit AND NOT {_complex_sql('cache_key', tx.COMPLEX_KEYWORDS)}) / greatest(count(*) FILTER (WHERE NOT hit), 1), 9) AS cheap_share,
               round_even(count(*) FILTER (WHERE hit) / count(*) * 100, 1) AS total_savings_pct FROM replay""",
     ),
 )
 def cache_impact(spark, d):
-    return ledger.cache_impact(short_log(spark, d)).withColumns({c: F.round(c, 9) for c in ("cache_hit_rate", "cheap_share")})
-
-
-HYBRID_THRESHOLD = 0.7
-HYBRID = f"""{REPLAY},
-hashed AS (SELECT query_id, sha256(lower(cache_key)) AS x FROM replay WHERE NOT hit),
-vecs AS (SELECT query_id, list_transform(range(0, 16), lambda i: CAST(('0x' || substring(x, CAST(i * 4 + 1 AS BIGINT), 4)) AS INTEGER) / 32767.5 - 1.0) AS v FROM hashed),
-sims AS (SELECT a.query_id, b.query_id AS other, list_cosine_similarity(a.v, b.v) AS sim FROM vecs a JOIN vecs b ON b.query_id < a.query_id),
-semantic AS (SELECT query_id, other, sim, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, other) AS rn FROM sims WHERE sim >= {HYBRID_THRESHOLD}),
-hybrid AS (
-  SELECT r.query_id, CASE WHEN r.hit THEN 'exact_hit' WHEN s.other IS NOT NULL THEN 'semantic_hit' ELSE 'miss' END AS outcome,
-         CASE WHEN r.hit THEN r.first_answer ELSE o.answer END AS cached_response, round(s.sim, 6) AS similarity
-  FROM replay r LEFT JOIN (SELECT * FROM semantic WHERE rn = 1) s ON s.query_id = r.query_id LEFT JOIN replay o ON o.query_id = s.other)"""
+    return ledger.cache_impact(repeated_log(spark, d)).withColumns({c: F.round(c, 9) for c in ("cache_hit_rate", "cheap_share")})
+
+
+STEPS = [("first", 0), ("blurred", 6), ("blurred", 6), ("faint", 12), ("first", 0), ("faint", 12)]
+
+
+def _hybrid_sql() -> str:
+    """The replay step by step: in a step every vector asks once, and vectors of different ids are never similar."""
+    rows = ", ".join(f"({i}, '{name}', {lost})" for i, (name, lost) in enumerate(STEPS))
+    out = f"""vlog AS (SELECT CAST(step AS BIGINT) * 1000000000 + vec_id AS query_id, step, CASE WHEN vec_id % 2 = 0 THEN 'why ' ELSE 'what ' END || name || ' ' || vec_id AS query,
+  repeat('answer ' || step || ' ', CAST(vec_id % 200 AS INTEGER)) AS answer, CAST(vec_id % 50 AS BIGINT) AS input_tokens, CAST(vec_id % 70 AS BIGINT) AS output_tokens,
+  list_transform(CAST(embedding AS DOUBLE[]), lambda x, i: CASE WHEN i <= lost THEN 0.0 ELSE x END) AS v
+  FROM embeddings, (VALUES {rows}) s(step, name, lost)),
+cache0 AS (SELECT query_id, query, v, answer FROM vlog WHERE false)"""
+    for i in range(len(STEPS)):
+        out += f""",
+sim{i} AS (SELECT r.query_id, c.query_id AS other, c.answer, list_cosine_similarity(r.v, c.v) AS sim FROM vlog r, cache{i} c WHERE r.step = {i}),
+best{i} AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, other) AS rn FROM sim{i} WHERE sim >= {nearest.THRESHOLD}),
+out{i} AS (SELECT r.*, CASE WHEN e.query_id IS NOT NULL THEN 'exact_hit' WHEN b.other IS NOT NULL THEN 'semantic_hit' ELSE 'miss' END AS outcome,
+  coalesce(e.answer, b.answer) AS cached_response, CASE WHEN e.query_id IS NULL THEN round(b.sim, 6) END AS similarity
+  FROM vlog r LEFT JOIN cache{i} e ON e.query = r.query LEFT JOIN best{i} b ON b.query_id = r.query_id AND b.rn = 1 WHERE r.step = {i}),
+cache{i + 1} AS (SELECT * FROM cache{i} UNION ALL SELECT query_id, query, v, answer FROM out{i} WHERE outcome = 'miss')"""
+    return out + ", hybrid AS (" + " UNION ALL ".join(f"SELECT * FROM out{i}" for i in range(len(STEPS))) + ")"
+
+
+HYBRID = _hybrid_sql()
+
+
+def vector_log(spark, d) -> DataFrame:
+    """Every embedding asks six times: whole, with six and with twelve numbers lost. The blurred question is close to the
+    whole one, the faint one to the blurred but not to the whole one."""
+    e = tables.table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("e"))
+    steps = F.array(*[F.struct(F.lit(i).alias("step"), F.lit(n).alias("name"), F.lit(lost).alias("lost")) for i, (n, lost) in enumerate(STEPS)])
+    rows = e.select("vec_id", "e", F.explode(steps).alias("s")).select("vec_id", "e", "s.*")
+    word = F.when(F.col("vec_id") % 2 == 0, "why ").otherwise("what ")
+    return rows.select(
+        (F.col("step") * F.lit(1_000_000_000).cast("bigint") + F.col("vec_id")).alias("query_id"),
+        F.concat(word, "name", F.lit(" "), F.col("vec_id").cast("string")).alias("query"),
+        F.repeat(F.concat(F.lit("answer "), F.col("step").cast("string"), F.lit(" ")), (F.col("vec_id") % 200).cast("int")).alias("answer"),
+        (F.col("vec_id") % 50).alias("input_tokens"),
+        (F.col("vec_id") % 70).alias("output_tokens"),
+        F.transform("e", lambda x, i: F.when(i < F.col("lost"), F.lit(0.0)).otherwise(x)).alias("v"),
+    )
 
 
 def hybrid(spark, d) -> DataFrame:
-    """The short log answered by exact key first, then by hash embedding at a loose threshold."""
-    return ledger.hybrid_replay(short_log(spark, d), vec.hash_embedding(F.col("cache_key")), HYBRID_THRESHOLD)
+    """The vector log answered by exact key first, then by the most similar cached question."""
+    return ledger.hybrid_replay(vector_log(spark, d), F.col("v"))
 
 
-@query("cache_hybrid", with_(HYBRID, "SELECT * FROM hybrid"))
+@query("cache_hybrid", with_(HYBRID, "SELECT query_id, outcome, cached_response, similarity FROM hybrid"))
 def cache_hybrid(spark, d):
     return hybrid(spark, d).select("query_id", "outcome", "cached_response", F.round("similarity", 6).alias("similarity"))
 
 
 @query("cache_outcomes", with_(HYBRID, "SELECT outcome, count(*) AS n, round(count(*) / (SELECT count(*) FROM hybrid), 9) AS share FROM hybrid GROUP BY 1"))
 def cache_outcomes(spark, d):
-    counts = hybrid(spark, d).groupBy("outcome").agg(F.count("*").alias("n"))
+    counts = cut_lineage(hybrid(spark, d).groupBy("outcome").agg(F.count("*").alias("n")))
     total = counts.agg(F.sum("n")).scalar()
     return counts.withColumn("share", F.round(F.col("n") / total, 9))
 
 
+@query(
+    "cache_impact_hybrid",
+    with_(
+        HYBRID,
+        f"""SELECT count(*) AS total_queries, count(*) FILTER (WHERE outcome = 'miss') AS cache_misses, count(*) FILTER (WHERE outcome = 'semantic_hit') AS cache_semantic_hits,
+              count(*) FILTER (WHERE outcome = 'miss' AND {_complex_sql('query', tx.COMPLEX_KEYWORDS)}) AS capable_choices,
+              count(*) FILTER (WHERE outcome = 'miss' AND NOT {_complex_sql('query', tx.COMPLEX_KEYWORDS)}) AS cheap_choices,
+              count(*) FILTER (WHERE length(answer) > 1000) AS responses_compressed, CAST(sum(greatest(length(answer) - 1000, 0)) AS BIGINT) AS compression_chars_saved,
+              count(*) FILTER (WHERE outcome = 'exact_hit') AS cache_exact_hits, round(count(*) FILTER (WHERE outcome <> 'miss') / count(*), 9) AS cache_hit_rate,
+              round(count(*) FILTER (WHERE outcome = 'miss' AND NOT {_complex_sql('query', tx.COMPLEX_KEYWORDS)}) / greatest(count(*) FILTER (WHERE outcome = 'miss'), 1), 9) AS cheap_share,
+              round_even(count(*) FILTER (WHERE outcome <> 'miss') / count(*) * 100, 1) AS total_savings_pct FROM hybrid""",
+    ),
+)
+def cache_impact_hybrid(spark, d):
+    log = vector_log(spark, d)
+    out = ledger.cache_impact(log, replay=ledger.hybrid_replay(log, F.col("v")))
+    return out.withColumns({c: F.round(c, 9) for c in ("cache_hit_rate", "cheap_share")})
+
+
+@query(
+    "eval_report_hybrid",
+    with_(
+        f"""{HYBRID}, {PRICE_SQL},
+chosen AS (SELECT query_id, outcome <> 'miss' AS hit, CASE WHEN outcome <> 'miss' THEN '(cache)' WHEN {_complex_sql('query', tx.COMPLEX_KEYWORDS)} THEN 'gemini-2.5-flash' ELSE 'gemini-2.5-flash-lite' END AS model,
+             CASE WHEN outcome <> 'miss' THEN 0 ELSE input_tokens END AS input_tokens, CASE WHEN outcome <> 'miss' THEN 0 ELSE output_tokens END AS output_tokens FROM hybrid),
+ev AS (SELECT chosen.*, {COST_SQL} AS cost FROM chosen LEFT JOIN prices USING (model))""",
+        """SELECT count(*) AS total_queries, count(*) FILTER (WHERE hit) AS cache_hits, round(count(*) FILTER (WHERE hit) / count(*), 9) AS cache_hit_rate,
+             round(sum(cost), 9) AS total_cost, count(*) FILTER (WHERE model = 'gemini-2.5-flash') AS capable_choices,
+             count(*) FILTER (WHERE model = 'gemini-2.5-flash-lite') AS cheap_choices, CAST(sum(input_tokens) AS BIGINT) AS input_tokens,
+             CAST(sum(output_tokens) AS BIGINT) AS output_tokens FROM ev""",
+    ),
+)
+def eval_report_hybrid(spark, d):
+    log = vector_log(spark, d)
+    replay = cut_lineage(ledger.hybrid_replay(log, F.col("v")))
+    out = ledger.evaluation_report(ledger.evaluation(log, policies.prices(spark), replay)).drop("spikes")
+    return out.withColumns({c: F.round(c, 9) for c in ("cache_hit_rate", "total_cost")})
+
+
 EVAL = f"""{REPLAY}, {PRICE_SQL},
 chosen AS (SELECT query_id, hit, CASE WHEN hit THEN '(cache)' WHEN {_complex_sql('query', tx.COMPLEX_KEYWORDS)} THEN 'gemini-2.5-flash' ELSE 'gemini-2.5-flash-lite' END AS model,
              CASE WHEN hit THEN 0 ELSE input_tokens END AS input_tokens, CASE WHEN hit THEN 0 ELSE output_tokens END AS output_tokens FROM replay),
@@ -570,13 +654,13 @@ st AS (SELECT avg(cost) AS m, stddev_pop(cost) AS sd, count(*) AS n FROM ev WHER
     ),
 )
 def eval_report(spark, d):
-    out = ledger.evaluation_report(ledger.evaluation(short_log(spark, d), policies.prices(spark)))
+    out = ledger.evaluation_report(ledger.evaluation(repeated_log(spark, d), policies.prices(spark)))
     return out.withColumns({c: F.round(c, 9) for c in ("cache_hit_rate", "total_cost")})
 
 
 @query("eval_queries", with_(EVAL, "SELECT query_id, hit, model, input_tokens, output_tokens, round(cost, 12) AS cost FROM ev"))
 def eval_queries(spark, d):
-    out = ledger.evaluation(short_log(spark, d), policies.prices(spark))
+    out = ledger.evaluation(repeated_log(spark, d), policies.prices(spark))
     return out.select("query_id", "hit", "model", "input_tokens", "output_tokens", F.round("cost", 12).alias("cost"))
 
 
@@ -712,16 +796,19 @@ def semantic_match(spark, d):
 
 @query(
     "semantic_match_earlier",
-    """WITH c AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+    f"""WITH c AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+                   UNION ALL SELECT vec_id + 1000000000, list_transform(CAST(embedding AS DOUBLE[]), lambda x, i: CASE WHEN i <= 6 THEN 0.0 ELSE x END) FROM embeddings),
        s AS (SELECT a.vec_id AS query_id, b.vec_id, list_cosine_similarity(a.v, b.v) AS sim FROM c a JOIN c b ON b.vec_id < a.vec_id),
-       r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, vec_id) AS rn FROM s WHERE sim >= 0.4)
+       r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, vec_id) AS rn FROM s WHERE sim >= {nearest.THRESHOLD})
        SELECT query_id, vec_id, round(sim, 6) AS similarity FROM r WHERE rn = 1""",
 )
 def semantic_match_earlier(spark, d):
-    """Best earlier vector of each vector at a loose threshold: the log matched against itself."""
+    """Best earlier vector of each vector: the vectors, followed by themselves with six numbers lost."""
     e = tables.table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
+    blurred = F.transform("vector", lambda x, i: F.when(i < 6, F.lit(0.0)).otherwise(x))
+    e = e.unionByName(e.select((F.col("vec_id") + 1_000_000_000).alias("vec_id"), blurred.alias("vector")))
     asked = e.withColumnRenamed("vec_id", "query_id")
-    out = nearest.best_match(asked, e, "query_id", "vec_id", threshold=0.4, query_order="query_id", cached_order="vec_id")
+    out = nearest.best_match(asked, e, "query_id", "vec_id", query_order="query_id", cached_order="vec_id")
     return out.withColumn("similarity", F.round("similarity", 6))
 
 

@@ -47,11 +47,13 @@ def best_match(
     threshold: float = THRESHOLD,
     query_order: str | None = None,
     cached_order: str | None = None,
+    cached_column: str | None = None,
     pivots: int = PIVOTS,
     tile_rows: int = TILE_ROWS,
 ) -> DataFrame:
     """(query_id, cached_id, similarity) of the best cached vector at or above ``threshold`` per query.
 
+    ``cached_column`` is the column of ids where the result should give them another name.
     With both orders given, only cached vectors of a smaller order count. Equal similarities go to the
     smallest (order, id). Identical cached vectors are searched once, as their first entry. Queries
     without a match are left out.
@@ -60,7 +62,7 @@ def best_match(
     by_time = bool(query_order and cached_order)
     first = F.struct("ord", "id")
     entries = (
-        _unit(cached, cached_id, cached_vector, cached_order)
+        _unit(cached, cached_column or cached_id, cached_vector, cached_order)
         .groupBy("v")
         .agg(F.min(first).alias("_first"))
         .select("v", F.col("_first.id").alias("id"), F.col("_first.ord").alias("ord"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +33,28 @@ def get_session(app: str = "opspark", master: str | None = None, **conf: str) ->
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Sends this package to the workers once in each application, so that its functions can be unpickled there
+    whatever folder the driver was started from."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        root = os.path.dirname(os.path.abspath(__file__))
+        path = os.path.join(tempfile.mkdtemp(prefix="opspark-package-"), "opspark.zip")
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            for folder, _, names in os.walk(root):
+                for name in names:
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        z.write(full, os.path.relpath(full, os.path.dirname(root)))
+        sc.addPyFile(path)
+        _SHIPPED.add(sc.applicationId)
+    return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -53,6 +76,35 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+#: Folders written by ``cut_lineage`` that are still there, by application.
+_INTERMEDIATE: dict[str, list[str]] = {}
+
+
+def _folder(spark: SparkSession, path: str):
+    """The store that holds a path, and the path in it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _forget_at_exit(spark: SparkSession, path: str) -> None:
+    """The store deletes the folder when the driver ends, unless ``drop_intermediates`` did before."""
+    store, where = _folder(spark, path)
+    store.deleteOnExit(where)
+    _INTERMEDIATE.setdefault(spark.sparkContext.applicationId, []).append(path)
+
+
+def drop_intermediates(spark: SparkSession) -> int:
+    """Deletes what ``cut_lineage`` has written in this application, and returns the number of folders.
+
+    For use between jobs: frames made before, and not yet written elsewhere, can no longer be read.
+    """
+    paths = _INTERMEDIATE.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        store, where = _folder(spark, path)
+        store.delete(where, True)
+    return len(paths)
+
+
 def cut_lineage(df: DataFrame, by: str | None = None) -> DataFrame:
     """Writes the frame to the shared checkpoint folder and reads it back.
 
@@ -62,5 +114,6 @@ def cut_lineage(df: DataFrame, by: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/opspark-{uuid.uuid4().hex}"
     writer = df.write.partitionBy(by) if by else df.write
+    _forget_at_exit(spark, path)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*[F.col(f"`{c}`") for c in df.columns])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,7 +46,6 @@ FEDERAL_FLOATING = [
     (11, 3, 4, "Thanksgiving"),
 ]
 FEDERAL_OBSERVED = [(dt.date(2026, 7, 3), "Independence Day (observed)")]
-FEDERAL_YEARS = range(2023, 2027)
 
 REGULAR = "regular"
 
@@ -59,8 +59,9 @@ def _nth_weekday(year: int, month: int, weekday: int, n: int) -> dt.date:
     return first + dt.timedelta(days=(weekday - first.weekday()) % 7 + 7 * (n - 1))
 
 
-def federal_holidays(years: range = FEDERAL_YEARS) -> list[tuple[dt.date, str]]:
-    """Dates of the federal calendar, in order."""
+def federal_holidays(years: Iterable[int]) -> list[tuple[dt.date, str]]:
+    """Dates of the federal calendar in the given years, in order."""
+    years = set(years)
     days = [(dt.date(y, m, d), name) for y in years for m, d, name in FEDERAL_FIXED]
     days += [(_nth_weekday(y, m, wd, n), name) for y in years for m, wd, n, name in FEDERAL_FLOATING]
     days += [(d, name) for d, name in FEDERAL_OBSERVED if d.year in years]
@@ -71,9 +72,21 @@ def month_day_calendar(spark: SparkSession) -> DataFrame:
     return literal_table(spark, MONTH_DAY_HOLIDAYS, "month int, day int, holiday_name string")
 
 
-def federal_calendar(spark: SparkSession, year: int | None = None) -> DataFrame:
-    days = [r for r in federal_holidays() if year is None or r[0].year == year]
-    return literal_table(spark, days, "holiday_date date, holiday_name string")
+def federal_calendar(spark: SparkSession, *years: int) -> DataFrame:
+    """The dates of the given years as a table."""
+    return literal_table(spark, federal_holidays(years), "holiday_date date, holiday_name string")
+
+
+def federal_name(date: Column) -> Column:
+    """The federal holiday on a date of any year, NULL on other days: the calendar as a rule instead of a table."""
+    month, day, weekday = F.month(date), F.dayofmonth(date), F.weekday(date)
+    name = F.coalesce(*[F.when(date == F.lit(d), F.lit(n)) for d, n in FEDERAL_OBSERVED])
+    for m, wd, n, text in FEDERAL_FLOATING:
+        nth = day > F.dayofmonth(F.last_day(date)) - 7 if n < 0 else F.ceil(day / 7) == n
+        name = F.coalesce(name, F.when((month == m) & (weekday == wd) & nth, F.lit(text)))
+    for m, d, text in FEDERAL_FIXED:
+        name = F.coalesce(name, F.when((month == m) & (day == d), F.lit(text)))
+    return name
 
 
 def with_month_day_holiday(df: DataFrame, date_col: str, requested: str | None = None) -> DataFrame:
@@ -94,8 +107,5 @@ def with_month_day_holiday(df: DataFrame, date_col: str, requested: str | None =
 
 
 def with_federal_holiday(df: DataFrame, date: Column, name: str = "federal_name") -> DataFrame:
-    """Left join to the exact-date calendar (45 literal rows); ``name`` is null off the calendar."""
-    cal = federal_calendar(df.sparkSession).select(
-        F.col("holiday_date").alias("_hd"), F.col("holiday_name").alias(name)
-    )
-    return df.join(cal, date == F.col("_hd"), "left").drop("_hd")
+    """Adds the federal holiday of a date; ``name`` is null on other days."""
+    return df.withColumn(name, federal_name(date))

@@ -23,12 +23,26 @@ def zone_dim(spark):
 
 
 def test_federal_calendar_counts_and_observed_day():
-    days = calendars.federal_holidays()
+    days = calendars.federal_holidays(range(2023, 2027))
     assert len(days) == 45
     assert (dt.date(2026, 7, 3), "Independence Day (observed)") in days
     assert (dt.date(2025, 5, 26), "Memorial Day") in days and (dt.date(2024, 11, 28), "Thanksgiving") in days
 
 
+def test_federal_rule_agrees_with_the_dates_of_every_year(spark):
+    years = range(1998, 2045)
+    want = dict(calendars.federal_holidays(years))
+    days = spark.sql("SELECT explode(sequence(DATE '1998-01-01', DATE '2044-12-31')) AS day")
+    got = {r.day: r.name for r in days.select("day", calendars.federal_name(F.col("day")).alias("name")).where("name IS NOT NULL").collect()}
+    assert got == want
+
+
+def test_grid_is_made_by_many_tasks(spark):
+    trips = literal_table(spark, [(4, dt.datetime(2024, 1, 2, 3)), (4, dt.datetime(1990, 1, 1))], "zone_id bigint, ts timestamp_ntz")
+    series = demand.dense_demand(trips, zone_dim(spark), first=dt.date(2024, 1, 1), last=dt.date(2024, 1, 3))
+    assert series.count() == 3 * 3 * 96 and series.agg(F.sum("trip_count")).first()[0] == 1
+
+
 def test_monday_is_day_zero_and_slots(spark):
     df = literal_table(spark, [(dt.datetime(2024, 1, 1, 13, 44),)], "ts timestamp_ntz")
     row = tf.with_temporal(df, "ts").first()

@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 import random
 
 import numpy as np
@@ -199,3 +200,44 @@ def test_hybrid_replay_and_python_embedder(spark):
 
     out = {r.query_id: (r.outcome, r.cached_response) for r in ledger.hybrid_replay(log, vec.embed_with(embed)(F.col("cache_key"))).collect()}
     assert out == {0: ("miss", None), 1: ("exact_hit", "answer 0"), 2: ("semantic_hit", "answer 0"), 3: ("miss", None)}
+
+
+def greedy_cache(requests, threshold):
+    """The cache as a loop: exact key, else the most similar entry, else a new entry."""
+    entries, out = [], {}
+    for i, (query, v) in enumerate(requests):
+        key = query.strip().lower()
+        same = [e for e in entries if e[0] == key]
+        sims = [(sum(a * b for a, b in zip(v, e[1])) / math.dist(v, [0] * len(v)) / math.dist(e[1], [0] * len(v)), -e[2]) for e in entries]
+        if same:
+            out[i] = ("exact_hit", f"answer {same[0][2]}")
+        elif sims and max(sims)[0] >= threshold:
+            out[i] = ("semantic_hit", f"answer {-max(sims)[1]}")
+        else:
+            out[i] = ("miss", None)
+            entries.append((key, v, i))
+    return out
+
+
+def hybrid_outcomes(spark, requests):
+    rows = [(i, q, f"answer {i}", [float(x) for x in v]) for i, (q, v) in enumerate(requests)]
+    log = spark.createDataFrame(rows, "query_id long, query string, answer string, v array<double>")
+    return {r.query_id: (r.outcome, r.cached_response) for r in ledger.hybrid_replay(log, F.col("v")).collect()}
+
+
+def test_a_similar_question_does_not_enter_the_cache(spark):
+    """b is close to a, c to b but not to a: b never answers c."""
+    a, b, c = ([math.cos(x), math.sin(x)] for x in (0.0, 0.35, 0.70))
+    got = hybrid_outcomes(spark, [("a", a), ("b", b), (" B ", b), ("c", c), ("b", b)])
+    assert [got[i][0] for i in range(5)] == ["miss", "semantic_hit", "semantic_hit", "miss", "semantic_hit"]
+    assert got[1][1] == got[2][1] == "answer 0"
+
+
+def test_hybrid_cache_agrees_with_the_loop(spark):
+    rnd = random.Random(6)
+    asked = []
+    for _ in range(120):
+        x = rnd.choice([rnd.uniform(0, 3), *(y for _, y in asked[-5:])]) + rnd.choice([0, 0, 0.1, -0.3])
+        asked.append((f"q{round(x, 1)}" + " " * rnd.randint(0, 2), x))
+    requests = [(q, [math.cos(x), math.sin(x), 0.2]) for q, x in asked]
+    assert hybrid_outcomes(spark, requests) == greedy_cache(requests, 0.92)

@@ -8,7 +8,6 @@ from opspark import cut_lineage
 from opspark.functions.scores import ks_pvalue
 from opspark.operators import drift, monitor
 from opspark.plans import ranks
-from opspark.plans.joins import pinned
 from opspark.sources.literals import literal_table
 
 
@@ -103,13 +102,6 @@ def test_exact_quantiles(spark, skewed):
     assert out["a"]["n"] == len(xs) and out["b"]["p50"] == 7.0
 
 
-def test_pinned_checks_its_size(spark):
-    small = pinned(spark.range(10).groupBy("id").count(), 50)
-    assert "LocalRelation" in small._jdf.queryExecution().optimizedPlan().toString()
-    large = spark.range(100).groupBy("id").count()
-    assert pinned(large, 50) is large
-
-
 def scored(spark, rows):
     schema = "zone_id bigint, borough_id int, is_weekend int, hour int, trip_count bigint, yhat double, is_new boolean"
     return literal_table(spark, rows, schema)
