@@ -10,8 +10,11 @@ from ..session import cut_lineage
 from ..sources.policies import topics
 
 
+COLUMNS = ["id", "title", "category", "sensitivity"]
+
+
 def search_matches(documents: DataFrame, requests: list[tuple[str, str | None]]) -> DataFrame:
-    """All documents that match each (query, category) request, scored, with a snippet.
+    """(id, query, category_filter, match_score) of all documents that match a (query, category) request.
 
     Requests are a short list from the caller. Every document is tested against them inside its own task and
     repeated only for those it matches; the texts are read once and never shuffled.
@@ -26,26 +29,20 @@ def search_matches(documents: DataFrame, requests: list[tuple[str, str | None]])
         lambda r: (F.contains(content, r["query"]) | F.contains(title, r["query"]))
         & (r["category_filter"].isNull() | (F.lower("category") == r["category_filter"])),
     )
-    columns = ["id", "title", "category", "sensitivity"]
+    lowered = {n: F.lower(F.coalesce(c, F.lit(""))) for n, c in (("_title", "title"), ("_content", "content"))}
     return (
-        documents.select(*columns, F.coalesce("content", F.lit("")).alias("content"))
-        .withColumns({"_title": F.lower(F.coalesce("title", F.lit(""))), "_content": F.lower("content")})
+        documents.select("id", "category", *[c.alias(n) for n, c in lowered.items()])
         .withColumn("_r", F.explode(asked_of))
-        .select(*columns, "content", "_title", "_content", "_r.query", "_r.category_filter")
-        .select(
-            *columns,
-            "query",
-            "category_filter",
-            tx.match_score(title, content, word).alias("match_score"),
-            tx.snippet(F.col("content"), content, word).alias("snippet"),
-        )
+        .select("id", "_title", "_content", "_r.query", "_r.category_filter")
+        .select("id", "query", "category_filter", tx.match_score(title, content, word).alias("match_score"))
     )
 
 
 def search(documents: DataFrame, requests: list[tuple[str, str | None]], limit: int = 5) -> DataFrame:
-    """Top ``limit`` documents per request by score, with the number of matches.
+    """Top ``limit`` documents per request by score, with the number of matches and a snippet.
 
-    The matches are written once, so that counting and ranking do not read the texts twice.
+    The matches are ids and scores, written once for counting and ranking; only the documents that rank are read
+    again, for their snippets.
     """
     matches = cut_lineage(search_matches(documents, requests))
     by = ["query", "category_filter"]
@@ -54,25 +51,31 @@ def search(documents: DataFrame, requests: list[tuple[str, str | None]], limit:
     top = matches.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= limit)
     same = (top["query"] == F.col("_q")) & top["category_filter"].eqNullSafe(F.col("_c"))
     counts = counts.withColumnsRenamed({"query": "_q", "category_filter": "_c"})
-    return top.join(counts, same).drop("_q", "_c").withColumn("rank", F.col("rank").cast("bigint"))
+    found = cut_lineage(top.join(counts, same).drop("_q", "_c").withColumn("rank", F.col("rank").cast("bigint")))
+    content = F.coalesce("content", F.lit(""))
+    texts = documents.select(*COLUMNS, content.alias("_text")).join(found, "id")
+    snippet = tx.snippet(F.col("_text"), F.lower("_text"), F.col("query"))
+    return texts.select(*COLUMNS, *by, "match_score", snippet.alias("snippet"), "rank", "match_count")
 
 
 def contains_first(documents: DataFrame, words: list[str], limit: int = 5) -> DataFrame:
-    """First ``limit`` documents by id whose content or title contains each word, with the opening text."""
+    """First ``limit`` documents by id whose content or title contains each word, with the opening text.
+
+    The words a document contains are picked inside its row, so that only matches become rows of their own.
+    """
     wanted = F.array(*[F.lit(w.lower().strip()) for w in words if w.strip()])
     hay = F.lower(F.concat_ws(" ", F.coalesce("content", F.lit("")), F.coalesce("title", F.lit(""))))
-    matches = (
-        documents.withColumn("query", F.explode(wanted))
-        .where(F.contains(hay, F.col("query")))
-        .select("query", "id", F.coalesce("title", F.col("id").cast("string")).alias("title"), tx.opening(F.coalesce("content", F.lit(""))).alias("snippet"))
-    )
+    opening = tx.opening(F.coalesce("content", F.lit("")))
+    rows = documents.select("id", F.coalesce("title", F.col("id").cast("string")).alias("title"), opening.alias("snippet"), hay.alias("_hay"))
+    found = rows.withColumn("_words", F.filter(wanted, lambda w: F.contains(F.col("_hay"), w))).where(F.size("_words") > 0)
+    matches = found.select(F.explode("_words").alias("query"), "id", "title", "snippet")
     order = Window.partitionBy("query").orderBy("id")
     return matches.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= limit).drop("_rn")
 
 
 def find_entity(people: DataFrame, name: str | None = None, entity_id: int | None = None, limit: int = 5) -> DataFrame:
     """Directory rows by exact id, or by part of the name ignoring case; the filter reaches the scan."""
-    if not name and not entity_id:
+    if not name and entity_id is None:
         raise ValueError("give a name or an id")
     if entity_id is not None:
         found = people.where(F.col("id") == entity_id)
@@ -93,7 +96,7 @@ def policy_lookup(requests: DataFrame, rules: DataFrame) -> DataFrame:
     in_section = (F.col("section") == F.col("_section")) & F.startswith(F.col("key"), F.col("prefix"))
     limits = F.col("_asked").isin("approval_limits", "approval") & F.col("role").isNotNull()
     own = ~limits | (F.col("key") == F.concat(F.lit("approval_limits."), F.lower("role")))
-    names = ",".join(dict.fromkeys(["approval_limits", "travel_limits", "per_diem", "submission_deadline", "pto", "compensation", "all"]))
+    names = "approval_limits,travel_limits,per_diem,submission_deadline,pto,compensation,all"
     joined = asked.join(r, in_section & F.coalesce(own, F.lit(True)), "left")
     return joined.select(
         *requests.columns,

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import serving as sv
 from ..functions import timefeat as tf
 from ..operators import demand, features
-from ..session import cut_lineage
-from ..sources import calendars, tables
+from ..session import cut_lineage, scratch
+from ..sources import calendars, readers, tables
 from .sqlbase import FACT, FEDERAL, MONTH_DAY, PROFILE, ZONES, with_
 
 QUERIES: dict = {}
@@ -66,6 +66,15 @@ def zone_dim(spark, d):
     return tables.zones(spark, d).join(per_zone, "zone_id", "left").select("zone_id", "name", "borough", "service_zone", "trips")
 
 
+@query("zone_csv", with_(ZONES, "SELECT zone_id, name, borough, service_zone FROM zones"))
+def zone_csv(spark, d):
+    """The zone dimension written as CSV and loaded by the CSV reader."""
+    path = scratch(spark, "zones")
+    names = {"zone_id": "LocationID", "borough": "Borough", "name": "Zone", "service_zone": "service_zone"}
+    tables.zones(spark, d).select(*[F.col(c).alias(n) for c, n in names.items()]).write.csv(path, header=True)
+    return readers.zone_csv(spark, path).select(F.col("zone_id").cast("bigint").alias("zone_id"), "name", "borough", "service_zone")
+
+
 @query("demand_series", with_(FACT, "SELECT zone_id, time_bucket, trip_count, is_holiday FROM fact"))
 def demand_series(spark, d):
     return fact(spark, d).select("zone_id", "time_bucket", "trip_count", "is_holiday")
@@ -73,11 +82,12 @@ def demand_series(spark, d):
 
 FARES = """fares AS (
   SELECT user_id % 25 AS zone_id, CAST(hour(ts) AS INTEGER) AS hour, avg(value) AS avg_fare
-  FROM events WHERE event_type = 'purchase' GROUP BY 1, 2)"""
+  FROM events GROUP BY 1, 2)"""
 
 
 def fares(spark, d):
-    return demand.zone_hour_fare(tables.trips(spark, d).where(F.col("event_type") == "purchase"))
+    """Mean fare of all trips; a trip is an event, whatever its kind."""
+    return demand.zone_hour_fare(tables.trips(spark, d))
 
 
 @query("zone_hour_fare", with_(FARES, "SELECT zone_id, hour, round(avg_fare, 6) AS avg_fare FROM fares"))

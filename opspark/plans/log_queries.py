@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions import vectors as vec
 from ..operators import access, corpus, feedback, gates, ledger
-from ..session import cut_lineage
-from ..sources import policies, tables
+from ..session import cut_lineage, scratch
+from ..sources import policies, readers, tables
 from . import nearest
 from .sqlbase import with_
 
@@ -63,6 +63,15 @@ def doc_search(spark, d):
     return corpus.search(tables.corpus(spark, d), SEARCHES)
 
 
+@query("doc_search_json", with_(SEARCH, "SELECT CAST(id AS VARCHAR) AS id, title, category, query, category_filter, match_score, match_count, rank, snippet FROM results"))
+def doc_search_json(spark, d):
+    """The corpus written as JSON, one document per line, read back and searched; ids are texts of equal length there."""
+    path = scratch(spark, "corpus")
+    tables.corpus(spark, d).withColumn("id", F.lpad(F.col("id").cast("string"), 12, "0")).write.json(path)
+    found = corpus.search(readers.documents_json(spark, path, one_document=False), SEARCHES)
+    return found.select(F.coalesce(F.nullif(F.ltrim("id", F.lit("0")), F.lit("")), F.lit("0")).alias("id"), "title", "category", "query", "category_filter", "match_score", "match_count", "rank", "snippet")
+
+
 WORDS = ["license", "in the", "über", " y los", "released under"]
 
 

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timefeat import epoch_micros
 from ..operators import demand, features, gates, scoring
-from ..session import checkpoint_dir, cut_lineage
+from ..session import cut_lineage, scratch
 from ..sources import logs, policies, readers, tables
 from ..streaming import streams
 from . import demand_queries as dq
@@ -32,11 +30,6 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared checkpoint directory."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/opspark-{name}-{uuid.uuid4().hex}"
-
-
 # Forecasts
 
 NAIVE = f"""last AS (SELECT zone_id, max(time_bucket) AS t0 FROM fact GROUP BY 1),

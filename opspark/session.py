@@ -105,6 +105,13 @@ def drop_intermediates(spark: SparkSession) -> int:
     return len(paths)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name in the shared checkpoint folder; what is written there goes when the driver ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/opspark-{name}-{uuid.uuid4().hex}"
+    _forget_at_exit(spark, path)
+    return path
+
+
 def cut_lineage(df: DataFrame, by: str | None = None) -> DataFrame:
     """Writes the frame to the shared checkpoint folder and reads it back.
 
@@ -112,8 +119,7 @@ def cut_lineage(df: DataFrame, by: str | None = None) -> DataFrame:
     prune columns and push filters into them. ``by`` names a column of few values to partition the files by.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/opspark-{uuid.uuid4().hex}"
+    path = scratch(spark, "frame")
     writer = df.write.partitionBy(by) if by else df.write
-    _forget_at_exit(spark, path)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*[F.col(f"`{c}`") for c in df.columns])

@@ -40,9 +40,9 @@ def fare_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FARES).parquet(path)
 
 
-def documents_json(spark: SparkSession, path: str) -> DataFrame:
-    """Document corpus from a JSON array."""
-    return spark.read.json(path, schema=DOCUMENTS, multiLine=True)
+def documents_json(spark: SparkSession, path: str, one_document: bool = True) -> DataFrame:
+    """Document corpus from files that are a JSON array each, or with one document per line."""
+    return spark.read.json(path, schema=DOCUMENTS, multiLine=one_document)
 
 
 def geojson(spark: SparkSession, path: str, one_document: bool = True) -> DataFrame:

@@ -10,22 +10,15 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from ..functions.serving import is_airport
 
 ZONE_COUNT = 25
 
 
-_SCHEMAS: dict[str, StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A Parquet table. Its schema is inferred once per path: inference is a Spark job of its own."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    """A Parquet table, with the schema that it has now."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
