@@ -5,9 +5,9 @@ A request frame has user_id, ts (zone-less), event_id; requests are decided in (
 
 from __future__ import annotations
 
+from bisect import insort
 from collections import deque
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -15,13 +15,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import text as tx
 from ..functions.timefeat import epoch_micros
 from ..session import cut_lineage
-from ..sources.policies import PREFLIGHT_ESTIMATE
+from ..sources.policies import PREFLIGHT_ESTIMATE, AccessPolicy
 
 MAX_PER_MINUTE = 30
 WINDOW_SECONDS = 60
-WAVE_SLICES = 1440
 MICRO = 1_000_000
 
 
@@ -53,6 +53,51 @@ def _pressure(sliced: DataFrame, cap: int, width: int) -> DataFrame:
     )
 
 
+def admitted(times: np.ndarray, kept: deque, cap: int, width: int) -> np.ndarray:
+    """Flags of the admitted ones among ascending times; ``kept`` holds the admitted times, ascending, before and afterwards.
+
+    A full window opens when its oldest time leaves it, so the search jumps there: rejected requests take no step.
+    """
+    out = np.zeros(len(times), dtype=bool)
+    i, n = 0, len(times)
+    while i < n:
+        t = times[i]
+        while kept and t - kept[0] >= width:
+            kept.popleft()
+        if len(kept) < cap:
+            # A stream may bring a late request after later ones were admitted.
+            insort(kept, int(t))
+            out[i] = True
+            i += 1
+        else:
+            i += int(np.searchsorted(times[i:], kept[0] + width, side="left"))
+    return out
+
+
+def within_budget(costs: np.ndarray, limits: np.ndarray, spent: int) -> tuple[np.ndarray, int]:
+    """Flags of the requests, in order, that find the spending within their limit, and the spending after them.
+
+    Costs are not negative, so under one limit the admitted requests are a prefix: one running sum for each change.
+    """
+    out = np.zeros(len(costs), dtype=bool)
+    starts = np.flatnonzero(np.diff(limits, prepend=limits[:1] - 1)) if len(limits) else []
+    for a, b in zip(starts, [*starts[1:], len(costs)]):
+        before = spent + np.concatenate(([0], np.cumsum(costs[a:b])))
+        count = int(np.searchsorted(before[:-1], limits[a], side="right"))
+        out[a : a + count] = True
+        spent = int(before[count])
+    return out, spent
+
+
+def _runs(*keys: np.ndarray) -> list[tuple[int, int]]:
+    """Neighbouring rows with equal keys, as (start, end)."""
+    if not len(keys[0]):
+        return []
+    new = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    starts = [0, *(np.flatnonzero(new) + 1).tolist()]
+    return list(zip(starts, [*starts[1:], len(keys[0])]))
+
+
 def _admit_in_order(cap: int, width: int):
     """Decides time-ordered requests of each (user, stretch); keeps at most ``cap`` times in memory."""
 
@@ -62,57 +107,40 @@ def _admit_in_order(cap: int, width: int):
             users, stretches = rows["user_id"].to_numpy(), rows["stretch"].to_numpy()
             times, seeds = rows["_us"].to_numpy(), rows["seed"].to_numpy()
             allowed = np.zeros(len(rows), dtype=bool)
-            for i in range(len(rows)):
-                if key != (users[i], stretches[i]):
-                    key, kept = (users[i], stretches[i]), deque()
-                while kept and times[i] - kept[0] >= width:
-                    kept.popleft()
-                if seeds[i] or len(kept) < cap:
-                    kept.append(times[i])
-                    allowed[i] = True
+            for a, b in _runs(users, stretches):
+                if key != (users[a], stretches[a]):
+                    key, kept = (users[a], stretches[a]), deque()
+                # The seeds of a stretch are the admitted requests just before it.
+                first = a + int(seeds[a:b].sum())
+                kept.extend(int(t) for t in times[a:first])
+                allowed[first:b] = admitted(times[first:b], kept, cap, width)
             yield rows.assign(allowed=allowed)
 
     return run
 
 
-def rate_limit(
-    requests: DataFrame, cap: int = MAX_PER_MINUTE, window_seconds: float = WINDOW_SECONDS, wave_slices: int = WAVE_SLICES
-) -> DataFrame:
+def rate_limit(requests: DataFrame, cap: int = MAX_PER_MINUTE, window_seconds: float = WINDOW_SECONDS) -> DataFrame:
     """Adds ``allowed``: at most ``cap`` admitted requests of a user in any window; rejected ones do not count.
 
-    Only requests under pressure are decided in sequence, in a sorted stream that keeps ``cap`` times per
-    user. A stretch longer than ``wave_slices`` windows is decided in waves: each wave is its own
-    job over a bounded span of time, starting from the admitted requests of the last window before it.
+    Only requests under pressure are decided in sequence, all stretches in one pass: a sorted stream that keeps
+    ``cap`` times and jumps from admission to admission. Its work grows with the admitted requests, which the cap bounds.
     """
     width = int(window_seconds * MICRO)
     sliced = _slices(requests, width)
     marks = cut_lineage(_pressure(sliced, cap, width))
     pressed = marks.where("pressed").select("user_id", "_slice", "stretch")
     calm = sliced.join(pressed, ["user_id", "_slice"], "left_anti").withColumn("allowed", F.lit(True))
-    wave = F.floor((F.col("_slice") - F.col("stretch")) / wave_slices).alias("wave")
-    last = pressed.agg(F.max(wave).alias("w")).first()["w"]
-    columns = [*requests.columns, "_us", "_slice"]
-    if last is None:
+    if pressed.isEmpty():
         return calm.select(*requests.columns, "allowed")
-    waiting = sliced.join(pressed, ["user_id", "_slice"]).withColumn("wave", wave).withColumn("seed", F.lit(False))
+    columns = [*requests.columns, "_us", "stretch", "seed"]
+    waiting = sliced.join(pressed, ["user_id", "_slice"]).withColumn("seed", F.lit(False)).select(*columns)
     known = marks.where(F.col("seeds").isNotNull()).select("user_id", "_slice", F.col("seeds").alias("stretch"))
-    seeds = sliced.join(known, ["user_id", "_slice"]).withColumn("seed", F.lit(True))
-    if last > 0:
-        waiting = cut_lineage(waiting, by="wave")
-    schema = T.StructType([*waiting.select(*columns, "stretch", "seed").schema.fields, T.StructField("allowed", T.BooleanType())])
-    decided = []
-    for w in range(last + 1):
-        rows = waiting.where(F.col("wave") == w) if last > 0 else waiting
-        batch = rows.select(*columns, "stretch", "seed").unionByName(seeds.select(*columns, "stretch", "seed"))
-        ordered = batch.repartition("user_id", "stretch").sortWithinPartitions("user_id", "stretch", "_us", "event_id")
-        out = ordered.mapInPandas(_admit_in_order(cap, width), schema)
-        if w < last:
-            out = cut_lineage(out)
-            edge = (F.col("stretch") + (w + 1) * wave_slices) * width
-            seeds = out.where(F.col("allowed") & (F.col("_us") > edge - width)).withColumn("seed", F.lit(True))
-        decided.append(out.where(~F.col("seed")))
-    parts = [calm, *decided]
-    return reduce(DataFrame.unionByName, [p.select(*requests.columns, "allowed") for p in parts])
+    seeds = sliced.join(known, ["user_id", "_slice"]).withColumn("seed", F.lit(True)).select(*columns)
+    batch = waiting.unionByName(seeds)
+    ordered = batch.repartition("user_id", "stretch").sortWithinPartitions("user_id", "stretch", "_us", "event_id")
+    schema = T.StructType([*batch.schema.fields, T.StructField("allowed", T.BooleanType())])
+    decided = ordered.mapInPandas(_admit_in_order(cap, width), schema).where(~F.col("seed"))
+    return calm.select(*requests.columns, "allowed").unionByName(decided.select(*requests.columns, "allowed"))
 
 
 def remaining_quota(decided: DataFrame, at: str, cap: int = MAX_PER_MINUTE, window_seconds: float = WINDOW_SECONDS) -> DataFrame:
@@ -185,12 +213,10 @@ def _spend_in_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in batches:
         users, limits, costs = rows["user_id"].to_numpy(), rows["_limit"].to_numpy(), rows["_cost"].to_numpy()
         allowed = np.zeros(len(rows), dtype=bool)
-        for i in range(len(rows)):
-            if users[i] != user:
-                user, spent = users[i], 0
-            if spent <= limits[i]:
-                spent += costs[i]
-                allowed[i] = True
+        for a, b in _runs(users):
+            if users[a] != user:
+                user, spent = users[a], 0
+            allowed[a:b], spent = within_budget(costs[a:b], limits[a:b], spent)
         yield rows.assign(allowed=allowed)
 
 
@@ -200,12 +226,26 @@ def guardrail_replay(
     cap: int = MAX_PER_MINUTE,
     window_seconds: float = WINDOW_SECONDS,
     estimate: float = PREFLIGHT_ESTIMATE,
+    policy: AccessPolicy | None = None,
 ) -> DataFrame:
-    """Rate gate, then budget gate over the admitted requests; rejected requests are kept and cost 0."""
-    rated = cut_lineage(rate_limit(requests, cap, window_seconds))
+    """Rate gate, then budget gate over the admitted requests; rejected requests are kept and cost 0.
+
+    A request with an ``error`` (if there is such a column) is admitted and logged, but neither charged nor counted against the
+    budget. With a policy, the fields that a role may not see are redacted in the ``answer`` of an admitted request, and a
+    rejected request has none.
+    """
+    failed = F.col("error").isNotNull() if "error" in requests.columns else F.lit(False)
+    asked = requests.withColumns({"_asked_cost": F.col("cost"), "cost": F.when(failed, F.lit(0.0)).otherwise(F.col("cost"))})
+    rated = cut_lineage(rate_limit(asked, cap, window_seconds))
     passed = budget_gate(rated.where("allowed").drop("allowed"), budgets, estimate)
     judged = passed.withColumn("rejected", F.when(~F.col("allowed"), F.lit("budget_exceeded"))).drop("allowed")
     limited = rated.where(~F.col("allowed")).drop("allowed").withColumn("rejected", F.lit("rate_limit_exceeded"))
-    return judged.unionByName(limited).withColumn(
-        "charged", F.when(F.col("rejected").isNull(), F.col("cost")).otherwise(F.lit(0.0))
+    out = judged.unionByName(limited).withColumns(
+        {"charged": F.when(F.col("rejected").isNull(), F.col("cost")).otherwise(F.lit(0.0)), "cost": F.col("_asked_cost")}
     )
+    out = out.drop("_asked_cost")
+    if policy is None:
+        return out
+    shown = tx.redact_json(F.col("user_role"), F.col("answer"), policy.hidden(), policy.hidden_fields(None))
+    told = F.when(failed, F.col("answer")).otherwise(shown)
+    return out.withColumn("answer", F.when(F.col("rejected").isNull(), told))

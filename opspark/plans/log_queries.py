@@ -677,7 +677,7 @@ def eval_queries(spark, d):
 
 DAY = 86400
 GATE_CAP = 3
-REQUESTS = f"""req AS (SELECT event_id, user_id, ts, value AS cost, epoch_us(ts) AS us, list_extract({tables.ROLES}, CAST(user_id % 5 + 1 AS INTEGER)) AS user_role,
+REQUESTS = f"""req AS (SELECT event_id, user_id, ts, event_type, value AS cost, epoch_us(ts) AS us, list_extract({tables.ROLES}, CAST(user_id % 5 + 1 AS INTEGER)) AS user_role,
     row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
 rated AS (
   SELECT user_id, rn, event_id, true AS allowed, [us] AS kept FROM req WHERE rn = 1
@@ -747,14 +747,20 @@ def user_spending(spark, d):
 @query(
     "guardrail_replay",
     recursive(
-        f"{BUDGETS}, {REQUESTS}, passed AS (SELECT req.* FROM req JOIN rated USING (user_id, event_id) WHERE allowed), {_budget_sql('passed')}",
+        f"{BUDGETS}, {REQUESTS}, passed AS (SELECT req.* REPLACE (CASE WHEN event_type = 'error' THEN 0 ELSE cost END AS cost) FROM req JOIN rated USING (user_id, event_id) WHERE allowed), {_budget_sql('passed')}",
         """SELECT event_id, user_id, CASE WHEN NOT allowed THEN 'rate_limit_exceeded' WHEN NOT ok THEN 'budget_exceeded' END AS rejected,
-             CASE WHEN allowed AND ok THEN CAST(j.cost AS DOUBLE) ELSE 0.0 END AS charged FROM rated LEFT JOIN judged j USING (user_id, event_id)""",
+             CASE WHEN allowed AND ok THEN CAST(j.cost AS DOUBLE) ELSE 0.0 END AS charged,
+             CASE WHEN allowed AND ok THEN CASE WHEN event_type = 'error' OR user_id % 5 > 0 THEN 'salary: ' || event_id || ', ok' ELSE 'salary: [REDACTED], ok' END END AS answer
+           FROM rated LEFT JOIN judged j USING (user_id, event_id)""",
     ),
 )
 def guardrail_replay(spark, d):
-    out = gates.guardrail_replay(requests(spark, d), policies.role_budgets(spark), GATE_CAP, DAY)
-    return out.select("event_id", "user_id", "rejected", "charged")
+    """Events of the kind 'error' are requests that failed; engineers (every fifth user) may not see a salary."""
+    kinds = tables.table(spark, d, "events").select("event_id", F.when(F.col("event_type") == "error", F.lit("failed")).alias("error"))
+    answer = F.concat(F.lit("salary: "), F.col("event_id").cast("string"), F.lit(", ok"))
+    asked = requests(spark, d).join(kinds, "event_id").withColumn("answer", answer)
+    out = gates.guardrail_replay(asked, policies.role_budgets(spark), GATE_CAP, DAY, policy=POLICY)
+    return out.select("event_id", "user_id", "rejected", "charged", "answer")
 
 
 # Vectors

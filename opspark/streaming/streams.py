@@ -5,6 +5,7 @@ Inputs are streaming DataFrames. Event times are TIMESTAMP columns of a UTC sess
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators import monitor, quality
+from ..operators import gates, monitor, quality
 
 DEFAULT_DELAY = "1 hour"
 MICRO = 1_000_000
@@ -51,15 +52,10 @@ def rate_limit_stream(requests: DataFrame, cap: int, window_seconds: float) -> D
     width = int(window_seconds * MICRO)
 
     def decide(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        kept = list(state.get[0]) if state.exists else []
+        kept = deque(sorted(state.get[0])) if state.exists else deque()
         rows = _in_order(batches)
-        allowed = np.zeros(len(rows), dtype=bool)
-        for i, t in enumerate(rows["us"].to_numpy()):
-            kept = [k for k in kept if t - k < width]
-            if len(kept) < cap:
-                kept.append(int(t))
-                allowed[i] = True
-        state.update((kept,))
+        allowed = gates.admitted(rows["us"].to_numpy(), kept, cap, width)
+        state.update((list(kept),))
         yield pd.DataFrame({"user_id": rows["user_id"].to_numpy(), "event_id": rows["event_id"].to_numpy(), "allowed": allowed})
 
     return requests.groupBy("user_id").applyInPandasWithState(
@@ -78,12 +74,9 @@ def budget_stream(requests: DataFrame, budgets: dict[str, float], estimate: floa
     def decide(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         spent = state.get[0] if state.exists else 0
         rows = _in_order(batches)
-        allowed = np.zeros(len(rows), dtype=bool)
-        roles, costs = rows["user_role"].to_numpy(), rows["cost"].to_numpy()
-        for i in range(len(rows)):
-            if spent <= limits.get(roles[i], none):
-                spent += int(round(costs[i] * MICRO))
-                allowed[i] = True
+        costs = np.round(rows["cost"].to_numpy() * MICRO).astype(np.int64)
+        own = np.array([limits.get(r, none) for r in rows["user_role"]], np.int64)
+        allowed, spent = gates.within_budget(costs, own, spent)
         state.update((spent,))
         yield pd.DataFrame({"user_id": rows["user_id"].to_numpy(), "event_id": rows["event_id"].to_numpy(), "allowed": allowed})
 
