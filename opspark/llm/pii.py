@@ -345,3 +345,7 @@ def redact(docs: DataFrame, weights: np.ndarray, text: str = "text", name: str =
 
 def joined(spans: str) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+
+
+def count_of(spans: str, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s.kind == kind)).cast("long")

@@ -45,7 +45,7 @@ def op5_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = pii.find(docs, pii.learn(docs), keep=["doc_id"])
-    counts = [F.size(F.filter("base", lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    counts = [pii.count_of("base", k).alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))
 
 
