@@ -31,6 +31,11 @@ HEADLINE = [
     "cache_impact",
     "hash_embed",
     "semantic_match",
+    "monitor_metrics",
+    "alerts",
+    "cache_hybrid",
+    "forecast_recursive",
+    "stream_rate_limit",
 ]
 
 

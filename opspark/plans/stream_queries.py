@@ -217,15 +217,20 @@ def run_to_table(stream: DataFrame, spark: SparkSession, name: str) -> DataFrame
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def run_latest(stream: DataFrame, spark: SparkSession, name: str) -> DataFrame:
-    """Complete mode: the last trigger's whole result."""
+def run_updates(stream: DataFrame, spark: SparkSession, name: str, keys: list[str]) -> DataFrame:
+    """Update mode: each trigger writes the rows it changed to a folder of its number, and the last state of a key counts.
+
+    The watermark can drop closed windows from the state, and a repeated trigger replaces only its own folder.
+    """
     path = scratch(spark, name)
 
     def keep(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    run(stream.writeStream.outputMode("complete").foreachBatch(keep), spark, f"{name}-state")
-    return spark.read.schema(stream.schema).parquet(path)
+    run(stream.writeStream.outputMode("update").foreachBatch(keep), spark, f"{name}-state")
+    rest = [c for c in stream.columns if c not in keys]
+    written = spark.read.schema(stream.schema.add("batch", "long")).parquet(path)
+    return written.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("last")).select(*keys, "last.*")
 
 
 BUCKETS = "SELECT user_id % 25 AS zone_id, epoch_us(time_bucket(INTERVAL 15 MINUTE, ts)) AS bucket_us, count(*) AS trip_count FROM events GROUP BY 1, 2"
@@ -237,8 +242,8 @@ def _zone_stream(spark, d) -> DataFrame:
 
 @query("stream_demand", BUCKETS)
 def stream_demand(spark, d):
-    """Windowed demand in complete mode equals the batch aggregate."""
-    out = run_latest(streams.demand_windows(_zone_stream(spark, d), "event_time"), spark, "demand")
+    """The last update of each window equals the batch aggregate."""
+    out = run_updates(streams.demand_windows(_zone_stream(spark, d), "event_time"), spark, "demand", ["zone_id", "time_bucket"])
     return out.select("zone_id", F.unix_micros("time_bucket").alias("bucket_us"), "trip_count")
 
 
@@ -312,7 +317,7 @@ def stream_costs(spark, d):
     path = scratch(spark, "ledger")
     lq.cost_ledger_frame(spark, d).write.parquet(path)
     stream = spark.readStream.schema(schema).parquet(path).withColumn("event_time", F.timestamp_micros(epoch_micros(F.col("ts"))))
-    out = run_latest(streams.cost_windows(stream, "event_time"), spark, "costs")
+    out = run_updates(streams.cost_windows(stream, "event_time"), spark, "costs", ["user_id", "window_start"])
     return out.select("user_id", F.unix_micros("window_start").alias("window_us"), F.round("cost", 4).alias("cost"), "queries")
 
 
