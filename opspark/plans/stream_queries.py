@@ -123,6 +123,35 @@ def forecast_heatmap(spark, d):
     return scoring.forecast_heatmap(forecast_recursive(spark, d), 4)
 
 
+# A fixed model of dyadic weights: every prediction is exact in both engines, so the recursion itself is compared.
+FIXED_WEIGHTS = {"lag_15min": 0.25, "lag_1h": 0.25, "lag_1week": 0.5}
+FIXED = f"""hist AS (SELECT zone_id, max(time_bucket) AS t0, list(CAST(trip_count AS DOUBLE) ORDER BY time_bucket) AS y FROM fact GROUP BY 1),
+steps AS (
+  SELECT zone_id, 0 AS step, t0, y FROM hist
+  UNION ALL
+  SELECT zone_id, step + 1, t0, list_append(y, greatest(0.0, 0.25 * y[-1] + 0.25 * y[-4] + 0.5 * y[-672])) FROM steps WHERE step < 16),
+ahead AS (SELECT zone_id, CAST(step AS INTEGER) AS step, CAST(t0 + step * INTERVAL 15 MINUTE AS TIMESTAMP) AS time_bucket, round_even(y[-1], 2) AS yhat FROM steps WHERE step > 0)"""
+
+
+def fixed_model(row: dict[str, float]) -> float:
+    return sum(w * row[c] for c, w in FIXED_WEIGHTS.items())
+
+
+@query("forecast_recursive_fixed", f"WITH RECURSIVE {FACT}, {FIXED} SELECT zone_id, step, time_bucket, yhat FROM ahead")
+def forecast_recursive_fixed(spark, d):
+    """The recursive forecast with a given model: predictions become the history of the next steps."""
+    f = dq.stored_fact(spark, d)
+    return scoring.forecast_recursive(f, features.zone_slot_baseline(f, drq.SPLIT), fixed_model)
+
+
+@query(
+    "forecast_heatmap_fixed",
+    f"WITH RECURSIVE {FACT}, {FIXED} SELECT zone_id, time_bucket, yhat AS demand, max(yhat) OVER () AS max, 3 AS hours_ahead FROM ahead WHERE step = 12",
+)
+def forecast_heatmap_fixed(spark, d):
+    return scoring.forecast_heatmap(cut_lineage(forecast_recursive_fixed(spark, d)), 3)
+
+
 # Sources and sinks
 
 
