@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir, cut_lineage
-from . import bpe, decontaminate, language, pii, quality, simhash, substrings, suffixdedup, tokens, warc
+from ..session import cut_lineage, scratch
+from . import bpe, decontaminate, language, pii, quality, simhash, sql, substrings, suffixdedup, tokens, warc
 from .texts import documents, read_file, table, tokenizer_path
 
 
@@ -36,7 +34,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = f"{checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    folder = scratch(spark, "warc")
     pages = warc.record_types(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     index = cut_lineage(warc.write_archives(pages, folder))
     return warc.with_responses(cut_lineage(warc.page_table(warc.read_records(index, folder))))
@@ -89,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_suffix_dedup": sql.BYTE_DEDUP,
     "op5_warc_archive": """
 with p as (select page_id, strlen(coalesce(html, '')) as n, sha1(coalesce(html, '')) as digest from pages),
      g as (select digest, max(page_id) as largest from p where n >= 1000 group by digest)
@@ -97,5 +96,6 @@ select page_id, n as payload_bytes, p.digest as payload_digest,
        case when page_id is distinct from largest then largest end as refers_to
 from p left join g on p.digest = g.digest""",
     "op8_decontamination": decontaminate.SQL,
+    "op9_substring_dedup": sql.WORD_DEDUP,
     "op10_quality_rules": quality.SQL,
 }
