@@ -112,14 +112,14 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
-def cut_lineage(df: DataFrame, by: str | None = None) -> DataFrame:
+def cut_lineage(df: DataFrame, by: str | None = None, codec: str | None = None) -> DataFrame:
     """Writes the frame to the shared checkpoint folder and reads it back.
 
     One computation, however many readers follow; the files outlive any executor, and later readers
-    prune columns and push filters into them. ``by`` names a column of few values to partition the files by.
+    prune columns and push filters into them. ``by`` names a column of few values to partition the files by, ``codec`` another compression than the session's.
     """
     spark = df.sparkSession
     path = scratch(spark, "frame")
     writer = df.write.partitionBy(by) if by else df.write
-    writer.parquet(path)
+    writer.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path).select(*[F.col(f"`{c}`") for c in df.columns])
