@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, LongType, StructField, StructType
 
-from .texts import map_texts, slices
+from .texts import map_texts, release, slices
 
 #: Windows handled at once; positions inside such a part fit into POSITION_BITS.
 PART, POSITION_BITS = 1 << 22, 24
@@ -170,5 +170,6 @@ def cut_out(texts: DataFrame, wanted: DataFrame, units: type, length: int) -> Da
                     at += m
                 columns = [flat.field(flat.type.get_field_index(c)) for c in extra]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.binary())], names=schema.names)
+        release()
 
     return rows.mapInArrow(cut, schema)

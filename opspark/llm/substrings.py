@@ -27,7 +27,7 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 
 from ..session import cut_lineage
 from .anchors import Words, anchor_table, cut_out, keyed
-from .texts import slices
+from .texts import release, slices
 
 #: Distinct neighbourhoods of an anchor that are compared pair by pair.
 PAIRS = 48
@@ -78,17 +78,23 @@ def extend(parts: DataFrame, length: int) -> DataFrame:
             group = [(r[5], r[4], r[3], r[6].split(b" ")) for r in held]
             return [(*r[:3], a, b, doc) for r, runs in zip(held, extended(group, length)) for a, b, doc in runs]
 
+        def table(out: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)
+
         for batch in batches:
-            out: list[tuple] = []
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and held[0][0] != row[0]:
-                    out += finish()
-                    held = []
-                held.append(row)
-            if out:
-                yield pa.RecordBatch.from_pylist([dict(zip(RUNS.names, o)) for o in out], schema=arrow)
+            # Some hundred rows at a time as Python objects, whatever the size of a batch.
+            for at in range(0, batch.num_rows, 512):
+                out: list[tuple] = []
+                for row in zip(*(c.to_pylist() for c in batch.slice(at, 512).columns)):
+                    if held and held[0][0] != row[0]:
+                        out += finish()
+                        held = []
+                    held.append(row)
+                if out:
+                    yield table(out)
         if held:
-            yield pa.RecordBatch.from_pylist([dict(zip(RUNS.names, o)) for o in finish()], schema=arrow)
+            yield table(finish())
+        release()
 
     arrow = pa.schema([(f.name, pa.int64() if f.dataType == LongType() else pa.int32()) for f in RUNS])
     rows = parts.select("h", "s1", "s2", "windows", "place", "least", "segment").repartition("h").sortWithinPartitions("h", "least", "s1", "s2")
@@ -114,6 +120,7 @@ def by_window(parts: DataFrame, length: int) -> DataFrame:
                 w = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
                 columns = [h[r], s1[r], s2[r], np.concatenate(ts), w[:, 0].copy(), w[:, 1].copy(), least[r]]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=schema.names)
+        release()
 
     each = cut_lineage(parts.select("h", "s1", "s2", "windows", "least", "segment").mapInArrow(explode, schema))
     least = cut_lineage(each.groupBy("w1", "w2").agg(F.min("least").alias("found"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
@@ -177,5 +184,6 @@ def dedup(docs: DataFrame, length: int = 50, text: str = "text", doc_id: str = "
                     out.append((len(words), len(words) - len(kept), b" ".join(kept).decode()))
                 columns = [pa.array(c, pa.string() if i == 2 else pa.int64()) for i, c in enumerate(zip(*out))]
                 yield pa.RecordBatch.from_arrays([ids, *columns], names=schema.names)
+        release()
 
     return joined.mapInArrow(remove, schema)

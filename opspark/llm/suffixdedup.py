@@ -29,7 +29,7 @@ from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, St
 from ..session import cut_lineage
 from .anchors import Bytes, anchor_table, cut_out, keyed
 from .suffixes import equal_groups
-from .texts import slices
+from .texts import release, slices
 
 #: Bytes of a shard, distinct neighbourhoods of an anchor that stay in one shard, windows that meet in a merging task.
 SHARD, HOT, MERGE = 3 << 20, 512, 2_000_000
@@ -170,5 +170,6 @@ def dedup(docs: DataFrame, length: int = 400, text: str = "text", doc_id: str =
                     out.append((len(raw), len(raw) - len(kept), len(spans), kept))
                 columns = [pa.array(c, pa.binary() if i == 3 else pa.int64()) for i, c in enumerate(zip(*out))]
                 yield pa.RecordBatch.from_arrays([ids, *columns], names=schema.names)
+        release()
 
     return joined.mapInArrow(remove, schema)

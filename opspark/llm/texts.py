@@ -81,13 +81,12 @@ def map_texts(
             for start, part in slices(batch.column(n_keep)):
                 kept = [batch.column(i).slice(start, len(part)) for i in range(n_keep)]
                 yield pa.RecordBatch.from_arrays([*kept, *apply(part)], names=names)
+        release()
 
     inner = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("string").alias(free_name(docs, "text_of_row")))
     return inner.mapInArrow(run, schema)
 
 
-def joined(parts: list[bytes]) -> tuple[bytes, np.ndarray]:
-    """Parts in one piece, and the offsets of each."""
-    offsets = np.zeros(len(parts) + 1, np.int64)
-    np.cumsum([len(p) for p in parts], out=offsets[1:])
-    return b"".join(parts), offsets
+def release() -> None:
+    """Gives back what Arrow holds in reserve; a worker that waits for its next task should not keep it."""
+    pa.default_memory_pool().release_unused()
