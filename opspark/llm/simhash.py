@@ -200,5 +200,6 @@ def one_of_each(docs: DataFrame, shingle: int, radius: int, text: str = "text",
     named = cut_lineage(components(narrow, radius))
     placed = narrow.join(named, narrow["fp"] == named["named_fp"])
     chosen = placed.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("best")).select(F.col("best.row").alias("chosen_row"))
-    kept = marked.join(cut_lineage(chosen), marked[row] == F.col("chosen_row"), "left_semi")
+    # One chosen row for each component: a side that grows with the table, so a shuffle at every size.
+    kept = marked.join(cut_lineage(chosen).hint("merge"), marked[row] == F.col("chosen_row"), "left_semi")
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
