@@ -27,8 +27,8 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 
 from .texts import map_texts
 
-#: Distinct fragments a worker remembers before it starts anew (about 100 MB).
-CACHE = 400_000
+#: Distinct fragments a worker remembers before it starts anew (about 75 MB).
+CACHE = 300_000
 
 #: Fixed: the pattern of byte-level pre-tokenizers (``public_tokenizers.PATTERN``).
 PRE_TOKEN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")

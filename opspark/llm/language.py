@@ -33,7 +33,7 @@ MAX_DOCS, MAX_LANGS = 2000, 256
 SMOOTH, UNKNOWN = 0.05, 1e-6
 
 #: Words of up to so many characters are scored in batches without rescaling; distinct words a worker remembers.
-PLAIN, CACHE = 40, 600_000
+PLAIN, CACHE = 40, 300_000
 
 SPACE = "▁"
 
