@@ -105,7 +105,7 @@ def token_counts(docs: DataFrame, vocabulary: str, text: str = "text", doc_id: s
             yield from tokens()
 
     cutted = docs.select(F.col(f"`{doc_id}`").alias("doc"), F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(cut, blocks)
-    stored = cut_lineage(cutted, by="kind")
+    stored = cut_lineage(cutted, by="kind", codec="zstd")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows sorted by token: a distinct token is merged once, and the counts go to its blocks."""
