@@ -4,8 +4,8 @@ A language is a distribution over the pieces of a fixed public vocabulary. The p
 ways to cut it into pieces, which the forward algorithm adds up from left to right; a text is the product of its words.
 The prediction is the language with the largest posterior under a uniform prior, and the score is that posterior.
 
-Fitting counts pieces (the vocabulary's own segmentation of the training words) in at most ``MAX_DOCS`` documents of a
-language, drawn by a hash of the text, for the ``MAX_LANGS`` most frequent languages; all texts are then scored whole.
+Fitting counts pieces (the vocabulary's own segmentation of the training words) in at most ``MAX_DOCS`` distinct texts of a
+language, those with the smallest hashes, each counted once, for the ``MAX_LANGS`` most frequent languages; all texts are then scored whole.
 Distinct words are scored once in each worker, many at a time.
 
 A text that is null or has no letter is ``und`` with score 0, as is any text if no training row was given. Ties go to the
@@ -20,13 +20,14 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
+from ..session import cut_lineage
 from .texts import map_texts, slices
 
-#: Bounds of the fit: documents of a language, and languages.
+#: Bounds of the fit: distinct texts of a language, and languages.
 MAX_DOCS, MAX_LANGS = 2000, 256
 
 #: Added to each piece count; probability of a character outside the vocabulary.
@@ -54,11 +55,19 @@ def vocabulary(path: str) -> dict[str, int]:
 
 
 def training_part(rows: DataFrame, lang: str) -> DataFrame:
-    """At most about ``MAX_DOCS`` rows (lang, text) of each of the most frequent languages, chosen by a hash of the text."""
+    """Rows (lang, text) of the most frequent languages: the ``MAX_DOCS`` distinct texts with the smallest hashes of each, or all it has."""
     known = rows.where(F.col(f"`{lang}`").isNotNull() & F.col("text").isNotNull()).select(F.col(f"`{lang}`").cast("string").alias("lang"), "text")
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")).orderBy(F.desc("docs"), "lang").limit(MAX_LANGS)
-    chosen = known.join(F.broadcast(sizes), "lang")
-    return chosen.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) * F.col("docs") < 1_000_000 * MAX_DOCS).select("lang", "text")
+    known = known.withColumn("h", F.xxhash64("text"))
+    keys = cut_lineage(known.groupBy("lang", "h").agg(F.count(F.lit(1)).alias("n")))
+    sizes = keys.groupBy("lang").agg(F.sum("n").alias("docs"), F.count(F.lit(1)).alias("texts")).orderBy(F.desc("docs"), "lang").limit(MAX_LANGS)
+    # Hashes under twice the expected bound are looked at, so that no language brings more than some 4,000 to one task;
+    # that these are fewer than MAX_DOCS of more has a probability below 1e-200.
+    near = F.col("h").cast("double") <= 2.0**64 * 2 * MAX_DOCS / F.col("texts") - 2.0**63
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    first = keys.join(F.broadcast(sizes), "lang").where(near).withColumn("place", place).where(F.col("place") <= MAX_DOCS)
+    last = first.groupBy("lang").agg(F.max("h").alias("last"))
+    chosen = known.join(F.broadcast(last), "lang").where(F.col("h") <= F.col("last"))
+    return chosen.groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", "text")
 
 
 def fit(rows: DataFrame, model_path: str, lang: str = "lang", text: str = "text") -> Model:

@@ -50,6 +50,18 @@ def test_language_edges(spark):
     assert {r.lang_pred for r in language.predict(docs, nothing).collect()} == {"und"}
 
 
+def test_language_learns_distinct_texts(spark, monkeypatch):
+    """Copies neither push a language out of the fit nor count more than once; the bound holds for every language."""
+    monkeypatch.setattr(language, "MAX_DOCS", 3)
+    texts = [("en", f"town {i}") for i in range(40)] + [("de", f"stadt {i % 2}") for i in range(3000)] + [("fr", "ville")] * 5000
+    docs = spark.createDataFrame(texts, "lang string, text string")
+    got = Counter(tuple(r) for r in language.training_part(docs, "lang").collect())
+    assert set(got.values()) == {1}
+    assert Counter(x for x, _ in got) == {"en": 3, "de": 2, "fr": 1}
+    first = docs.where("lang = 'en'").orderBy(F.xxhash64("text")).limit(3).collect()
+    assert {t for x, t in got if x == "en"} == {r.text for r in first}
+
+
 def test_forward_sums_all_segmentations():
     model = language.Model(["x", "y"], {"▁": 0, "a": 1, "b": 2, "ab": 3, "▁a": 4}, np.array([[0.1, 0.2], [0.2, 0.1], [0.3, 0.1], [0.15, 0.4], [0.25, 0.2], [1e-6, 1e-6]]))
     scorer = language.Scorer(model)
