@@ -30,7 +30,12 @@ def query(name: str, sql: str | None = None):
 
 def scored(spark: SparkSession, d: str) -> DataFrame:
     """Features with a prediction: the mean of last week's value and the zone's slot mean before the split."""
-    f = features.feature_table(dq.stored_fact(spark, d), tables.zones(spark, d), before=SPLIT)
+    return scored_series(spark, d, dq.stored_fact(spark, d))
+
+
+def scored_series(spark: SparkSession, d: str, fact: DataFrame) -> DataFrame:
+    """The same of a series that is given."""
+    f = features.feature_table(fact, tables.zones(spark, d), before=SPLIT)
     base = F.col("zone_slot_baseline")
     # On a grid of 1/4096, so that sums are exact in any order.
     yhat = F.floor((F.coalesce("lag_1week", base) + base) / 2 * 4096) / 4096.0

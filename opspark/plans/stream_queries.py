@@ -329,9 +329,26 @@ def stream_dedupe(spark, d):
 
 @query("stream_monitor")
 def stream_monitor(spark, d):
+    """The dirty series after the split, batch by batch against the scored series before it, with each batch's decision.
+
+    The features of a row look back over the stored history and the first copy of each key of its batch.
+    """
+    split = F.lit(drq.SPLIT).cast("timestamp_ntz")
+    columns = ["zone_id", "time_bucket", "trip_count", "is_holiday"]
+    history = cut_lineage(dq.fact(spark, d).where(F.col("time_bucket") < split).select(*columns))
+    baseline = cut_lineage(drq.scored_series(spark, d, history).where(F.col("time_bucket") < split))
+
+    def score(batch: DataFrame) -> DataFrame:
+        rows = cut_lineage(batch)
+        first = rows.groupBy("zone_id", "time_bucket").agg(F.min_by(F.struct("trip_count", "is_holiday"), "row_id").alias("first"))
+        series = cut_lineage(history.unionByName(first.select("zone_id", "time_bucket", "first.*")))
+        known = drq.scored_series(spark, d, series).where(F.col("time_bucket") >= split).drop("trip_count", "is_holiday", "is_new")
+        return rows.join(known, ["zone_id", "time_bucket"], "left")
+
     base = scratch(spark, "monitor")
-    run(streams.monitor_batches(_dirty_stream(spark, d), base, lambda n: drq.REFERENCE), spark, "monitor-state")
-    return spark.read.parquet(base)
+    stream = _dirty_stream(spark, d).where(F.col("time_bucket") >= split)
+    run(streams.monitor_batches(stream, base, lambda n: drq.REFERENCE, baseline, score), spark, "monitor-state")
+    return spark.read.parquet(base).join(spark.read.parquet(f"{base}-decisions").select("batch", "decision"), "batch")
 
 
 @query(

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators import gates, monitor, quality
+from ..session import cut_lineage
 
 DEFAULT_DELAY = "1 hour"
 MICRO = 1_000_000
@@ -106,18 +107,40 @@ def clean_batches(rows: DataFrame, clean_path: str, quarantine_path: str, report
     return rows.writeStream.foreachBatch(handle)
 
 
-def monitor_batches(rows: DataFrame, path: str, reference: Callable[[int], str]) -> DataStreamWriter:
-    """Freshness and duplicate rate of every batch, with the alerts they raise, appended as metrics."""
+def monitor_batches(
+    rows: DataFrame, path: str, reference: Callable[[int], str], baseline: DataFrame | None = None, score: Callable[[DataFrame], DataFrame] | None = None
+) -> DataStreamWriter:
+    """The eight metrics of every batch against a stored baseline, their alerts and the deploy decision.
+
+    ``baseline`` is a scored frame (see ``monitor``), and ``score`` makes one of an arriving batch; without it a batch
+    comes scored. Per batch number, ``path`` gets the metrics with their severity, ``path`` + ``-alerts`` the alerts and
+    ``path`` + ``-decisions`` the decision, so a repeated batch replaces its own output. Without a baseline there is nothing
+    to compare with: then freshness and duplicates are measured, and the decision rests on these.
+    """
+
+    def metrics_of(batch: DataFrame, number: int) -> DataFrame:
+        if baseline is None:
+            fresh = monitor._long(monitor.freshness(batch, reference(number)), "freshness", ["age_minutes", "age_hours", "stale"])
+            rate = monitor.duplicate_rate(batch)
+            return fresh.unionByName(monitor._long(rate, "duplicates", ["rate", "extra_rows", "duplicate_key_count", "total_rows"]))
+        new = score(batch) if score else batch
+        columns = [c for c in baseline.columns if c != "is_new"]
+        # A column that the batch lacks counts as null throughout.
+        own = new.select(*[(F.col(c) if c in new.columns else F.lit(None)).cast(baseline.schema[c].dataType).alias(c) for c in columns])
+        old = baseline.select(*columns).withColumn("is_new", F.lit(False))
+        return monitor.monitor_metrics(old.unionByName(own.withColumn("is_new", F.lit(True))), reference(number))
 
     def handle(batch: DataFrame, number: int) -> None:
-        fresh = monitor.freshness(batch, reference(number))
-        rate = monitor.duplicate_rate(batch)
-        metrics = monitor._long(fresh, "freshness", ["age_minutes", "age_hours", "stale"]).unionByName(
-            monitor._long(rate, "duplicates", ["rate", "extra_rows", "total_rows"])
-        )
-        alerts = monitor.evaluate_alerts(metrics).select("metric", "grouping", "segment", "field", "severity")
+        metrics = cut_lineage(metrics_of(batch, number))
+        alerts = cut_lineage(monitor.evaluate_alerts(metrics))
         keys = ["metric", "grouping", "segment", "field"]
-        metrics.join(alerts, keys, "left").withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        found = {
+            path: metrics.join(alerts.select(*keys, "severity"), keys, "left"),
+            f"{path}-alerts": alerts,
+            f"{path}-decisions": monitor.decision(alerts),
+        }
+        for folder, frame in found.items():
+            frame.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{folder}/batch={number}")
 
     return rows.writeStream.foreachBatch(handle)
 

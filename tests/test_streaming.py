@@ -66,3 +66,28 @@ def test_dedupe_and_monitor_streams(spark, tmp_path):
     drain(streams.monitor_batches(parts(spark, [ntz], str(tmp_path / "in2")), base, lambda n: "2024-01-01 06:15:00"), base + "-state")
     got = {(r.metric, r.field): (r.value, r.severity) for r in spark.read.parquet(base).collect()}
     assert got[("freshness", "age_hours")] == (6.0, "critical") and got[("duplicates", "rate")][1] == "critical"
+
+
+def test_monitor_stream_has_all_metrics_and_decides(spark, tmp_path):
+    """A batch like the baseline passes; one with lower accuracy, drift and nulls is blocked, though fresh and without copies."""
+    schema = (
+        "zone_id bigint, borough_id int, is_weekend int, hour int, time_bucket timestamp_ntz, trip_count bigint, "
+        "lag_1day double, lag_1week double, roll_mean_1day double, yhat double"
+    )
+
+    def scored(start, shift):
+        t = [start + dt.timedelta(minutes=15 * i) for i in range(192)]
+        return literal_table(spark, [(1, 0, 0, x.hour, x, i % 20 + shift, None if shift and i % 2 else 1.0 * (i % 20 + shift), 1.0 * (i % 20), 1.0 * (i % 20), 1.0 * (i % 20 + 1)) for i, x in enumerate(t)], schema)
+
+    baseline = scored(dt.datetime(2024, 1, 1), 0)
+    batches = [scored(dt.datetime(2024, 1, 3), 0), scored(dt.datetime(2024, 1, 5), 30)]
+    base = str(tmp_path / "metrics")
+    reference = ["2024-01-05 00:00:00", "2024-01-07 00:00:00"]
+    drain(streams.monitor_batches(parts(spark, batches, str(tmp_path / "in")), base, reference.__getitem__, baseline), base + "-state")
+    found = spark.read.parquet(base).collect()
+    names = {"accuracy", "null_rate", "ks", "psi", "prediction", "freshness", "duplicates"}
+    assert {r.metric for r in found if r.batch == 0} == {r.metric for r in found if r.batch == 1} == names
+    alerts = spark.read.parquet(base + "-alerts").collect()
+    assert {(r.batch, r.metric) for r in alerts} == {(1, "accuracy"), (1, "null_rate"), (1, "ks"), (1, "psi")}
+    decisions = {r.batch: r.decision for r in spark.read.parquet(base + "-decisions").collect()}
+    assert decisions == {0: "OK", 1: "BLOCK_DEPLOY_AND_PAGE"}
