@@ -20,7 +20,9 @@ A null text is empty and has no spans. Rows are independent. Offsets are code po
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +40,8 @@ IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-#: Units of an entity, stretches of the fit and its steps, the least posterior of an added span, units of a stretch decoded at once.
-MOST_UNITS, MAX_STRETCHES, STEPS, CERTAIN, STRETCH = 6, 300, 40, 0.9, 200
+#: Units of an entity, stretches of the fit and its steps, the least posterior of an added span, units whose features are held at once.
+MOST_UNITS, MAX_STRETCHES, STEPS, CERTAIN, BLOCK = 6, 300, 40, 0.9, 200
 
 Span = tuple[int, int, int]
 
@@ -105,7 +107,7 @@ def stretches(text: str) -> Iterator[list[tuple[int, int]]]:
         while right > left and text[right - 1] in AROUND and not (text[right - 1] == ")" and "(" in text[left:right]):
             right -= 1
         gap = text[current[-1][1] : left] if current else ""
-        if current and (len(gap.split()) > 1 or len(gap) > 24 or len(current) >= STRETCH):
+        if current and (len(gap.split()) > 1 or len(gap) > 24):
             yield current
             current = []
         elif current and (m := UNIT.search(text, current[-1][1], left)):
@@ -225,6 +227,48 @@ def best(one: Lattice, weights: np.ndarray) -> list[tuple[int, int]]:
     return out[::-1]
 
 
+def entities(text: str, units: list[tuple[int, int]], weights: np.ndarray) -> list[tuple[int, int, int, float]]:
+    """What ``best`` and ``posteriors`` say of a stretch of any length: (first unit, end unit, type, posterior) of its entities.
+
+    Features are held for ``BLOCK`` units at a time; a unit leaves some hundred bytes of scores and sums.
+    """
+    n = len(units)
+    each, top = np.full((n, MOST_UNITS), -np.inf), np.full((n, MOST_UNITS), -np.inf)
+    kinds = np.zeros((n, MOST_UNITS), np.int8)
+    for at in range(0, n, BLOCK):
+        places = [(i, j) for i in range(at, min(at + BLOCK, n)) for j in range(i + 1, min(i + MOST_UNITS, n) + 1)]
+        scores = np.array([features(text, units[i][0], units[j - 1][1], j - i) for i, j in places]) @ weights
+        i, j = np.array(places).T
+        each[i, j - i - 1] = np.logaddexp.reduce(scores, axis=1)
+        top[i, j - i - 1] = scores.max(axis=1)
+        kinds[i, j - i - 1] = scores.argmax(axis=1)
+    forward, backward, score = np.zeros(n + 1), np.zeros(n + 1), np.zeros(n + 1)
+    width = np.zeros(n + 1, np.int8)
+    for j in range(1, n + 1):
+        first = max(0, j - MOST_UNITS)
+        i = np.arange(first, j)
+        w = j - i - 1
+        terms = np.append(forward[i] + each[i, w], forward[j - 1])
+        forward[j] = np.logaddexp.reduce(terms)
+        ways = score[i] + top[i, w]
+        k = int(ways.argmax())
+        score[j] = score[j - 1]
+        if ways[k] > score[j]:
+            score[j], width[j] = ways[k], j - first - k
+    chosen, j = [], n
+    while j:
+        if width[j]:
+            chosen.append((j - int(width[j]), j))
+        j -= int(width[j]) or 1
+    if not chosen:
+        return []
+    for i in range(n - 1, -1, -1):
+        last = min(i + MOST_UNITS, n)
+        terms = np.append(backward[i + 1 : last + 1] + each[i, : last - i], backward[i + 1])
+        backward[i] = np.logaddexp.reduce(terms)
+    return [(i, j, int(kinds[i, j - i - 1]), float(np.exp(top[i, j - i - 1] + forward[i] + backward[j] - forward[n]))) for i, j in chosen[::-1]]
+
+
 def train(examples: list[tuple[str, list[tuple[int, int]], list[Span]]]) -> np.ndarray:
     """Weights (feature, type) by gradient ascent on the likelihood of the labelled segmentations."""
     data = []
@@ -288,20 +332,21 @@ def learn(docs: DataFrame, text: str = "text") -> np.ndarray:
 def all_spans(text: str, weights: np.ndarray) -> tuple[list[Span], list[Span]]:
     """The base spans, and these with the ones the field adds."""
     base = base_spans(text)
+    starts, reach = [s[0] for s in base], list(accumulate((s[1] for s in base), max))
+
+    def furthest(before: int) -> int:
+        """The largest end of the base spans that start before a place."""
+        k = bisect_left(starts, before)
+        return reach[k - 1] if k else -1
+
     added: list[Span] = []
     for units in stretches(text):
-        first, last = units[0][0], units[-1][1]
-        own = [s for s in base if s[0] < last and s[1] > first]
-        if own and all(any(a <= u[0] and u[1] <= b for a, b, _ in own) for u in units):
+        if all(furthest(u[0] + 1) >= u[1] for u in units):
             continue  # nothing outside the base spans
-        one = lattice(text, units)
-        chosen = best(one, weights)
-        if chosen:
-            p = posteriors(one, weights)
-            for k, kind in chosen:
-                a, b = units[one[2][k][0]][0], units[one[2][k][1] - 1][1]
-                if p[k, kind] >= CERTAIN and not any(x < b and y > a for x, y, _ in base):
-                    added.append((a, b, kind))
+        for i, j, kind, p in entities(text, units, weights):
+            a, b = units[i][0], units[j - 1][1]
+            if p >= CERTAIN and furthest(b) <= a:
+                added.append((a, b, kind))
     return base, sorted(base + added, key=lambda s: (s[0], s[2])) if added else base
 
 

@@ -263,6 +263,27 @@ def test_dynamic_programme_agrees_with_enumeration(weights):
         assert np.isclose(p[seg, k], np.exp(np.logaddexp.reduce([s for s, w in ways if (seg, k) in w]) - total))
 
 
+def test_long_stretches_are_decoded_whole(weights):
+    """Wherever an entity of several units stands in one long line, it is found as it is elsewhere."""
+    one = "+1 (826) 555-4081 190.137.2.44 "
+    for before in ("", "7 ", "7 8 ", "7 8 9 "):
+        found = set(pii.all_spans(before + one * 120, weights)[1])
+        at = [len(before) + len(one) * k for k in range(120)]
+        assert {(a, a + 17, 3) for a in at[1:]} | {(a + 18, a + 30, 1) for a in at} <= found
+
+
+def test_entities_are_the_best_segmentation(weights):
+    text = "pay 4111 1111 1111 1111 now 10.0.0.1 +1 (826) 555-4081 190.137.2.44 a@b.c " * 60
+    (units,) = pii.stretches(text)
+    assert len(units) > 2 * pii.BLOCK
+    one = pii.lattice(text, units)
+    p = pii.posteriors(one, weights)
+    want = [(*one[2][k], kind, p[k, kind]) for k, kind in pii.best(one, weights)]
+    got = pii.entities(text, units, weights)
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert np.allclose([g[3] for g in got], [w[3] for w in want])
+
+
 def test_redaction(spark, weights):
     rows = [(1, PRIVATE[1], "en", "s"), (2, None, "en", "s")]
     got = {r.doc_id: r.redacted for r in pii.redact(cases.frame(spark, rows), weights).collect()}
