@@ -10,7 +10,7 @@ Dynamic programming over segments of bounded length chooses boundaries and types
 added if its posterior (the probability of exactly this segment, from the forward and backward sums) is at least
 ``CERTAIN`` and no base span overlaps it.
 
-The weights are learned by maximum likelihood on at most ``MAX_STRETCHES`` stretches, drawn by a hash of the text; the
+The weights are learned by maximum likelihood on at most ``MAX_STRETCHES`` distinct stretches, those with the smallest hashes; the
 valid base matches in them are the labels. The features never ask whether a base pattern matches, so the field
 finds the same kinds of data in forms that the patterns miss.
 
@@ -298,10 +298,10 @@ def learn(docs: DataFrame, text: str = "text") -> np.ndarray:
     rows = docs.select(F.col(f"`{text}`").cast("string").alias("text")).where(F.col("text").rlike("[0-9@]"))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of each task, the first stretches in order of a hash of their words, cut out with some text before them."""
+        """Of each task, the first distinct stretches in order of a hash of their words, cut out with some text before them."""
         import xxhash
 
-        held: list[tuple[int, str, int, list[int]]] = []
+        held: dict[tuple[int, str], list[int]] = {}
         for batch in batches:
             for _, part in slices(batch.column(0)):
                 for t in part:
@@ -309,11 +309,12 @@ def learn(docs: DataFrame, text: str = "text") -> np.ndarray:
                         if len(units) <= 24:
                             start, end = max(0, units[0][0] - 12), units[-1][1] + 1
                             piece = t[start:end]
-                            held.append((xxhash.xxh64_intdigest(piece.encode(), 7) >> 1, piece, start, [x - start for u in units for x in u]))
-                held = sorted(held, key=lambda h: (h[0], h[1]))[:MAX_STRETCHES]
+                            key, ends = (xxhash.xxh64_intdigest(piece.encode(), 7) >> 1, piece), [x - start for u in units for x in u]
+                            held[key] = min(held.get(key, ends), ends)
+                held = {key: held[key] for key in sorted(held)[:MAX_STRETCHES]}
         if held:
             yield pa.RecordBatch.from_arrays(
-                [pa.array([h[0] for h in held], pa.int64()), pa.array([h[1] for h in held]), pa.array([h[3] for h in held], pa.list_(pa.int32()))],
+                [pa.array([h for h, _ in held], pa.int64()), pa.array([piece for _, piece in held]), pa.array(list(held.values()), pa.list_(pa.int32()))],
                 names=["h", "piece", "ends"],
             )
 

@@ -290,6 +290,16 @@ def test_redaction(spark, weights):
     assert got == {1: "Hosts [IP] and 300.1.2.3, version [IP].5.", 2: None}
 
 
+def test_copies_do_not_crowd_out_the_fit(spark, monkeypatch):
+    """The fit sees the first distinct stretches of the table, whatever the copies and the partitions."""
+    monkeypatch.setattr(pii, "MAX_STRETCHES", 8)
+    texts = [f"write to jane{i}@mail.example.com or call +1 (234) 555-77{i}" for i in range(10, 40)]
+    once = cases.frame(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])
+    often = cases.frame(spark, [(i, texts[i % 30], "en", "s") for i in range(900)])
+    want = pii.learn(once)
+    assert np.array_equal(pii.learn(often.coalesce(1)), want) and np.array_equal(pii.learn(often.repartition(5)), want)
+
+
 def test_learning_without_data(spark):
     w = pii.learn(cases.frame(spark, []))
     assert pii.all_spans(PRIVATE[0], w)[0] == brute_spans(PRIVATE[0])
