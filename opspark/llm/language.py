@@ -4,9 +4,9 @@ A language is a distribution over the pieces of a fixed public vocabulary. The p
 ways to cut it into pieces, which the forward algorithm adds up from left to right; a text is the product of its words.
 The prediction is the language with the largest posterior under a uniform prior, and the score is that posterior.
 
-Fitting counts pieces (the vocabulary's own segmentation of the training words) in at most ``MAX_DOCS`` distinct texts of a
-language, those with the smallest hashes, each counted once, for the ``MAX_LANGS`` most frequent languages; all texts are then scored whole.
-Distinct words are scored once in each worker, many at a time.
+Fitting counts pieces (the vocabulary's own segmentation of the training words) in at most ``MAX_DOCS`` distinct texts of every
+language, those with the smallest hashes, each counted once; all texts are then scored whole. Distinct words are scored once
+in each worker, many at a time; the more languages, the fewer words are held.
 
 A text that is null or has no letter is ``und`` with score 0, as is any text if no training row was given. Ties go to the
 first language in order of name. Rows with a null language are not learned from; rows are scored one by one.
@@ -27,8 +27,8 @@ from pyspark.sql.types import DoubleType, StringType
 from ..session import cut_lineage
 from .texts import map_texts, slices
 
-#: Bounds of the fit: distinct texts of a language, and languages.
-MAX_DOCS, MAX_LANGS = 2000, 256
+#: Bound of the fit: distinct texts of a language.
+MAX_DOCS = 2000
 
 #: Added to each piece count; probability of a character outside the vocabulary.
 SMOOTH, UNKNOWN = 0.05, 1e-6
@@ -36,6 +36,9 @@ SMOOTH, UNKNOWN = 0.05, 1e-6
 #: Words of up to so many characters are scored in batches without rescaling; distinct words a worker remembers.
 PLAIN, CACHE = 40, 300_000
 
+#: Numbers (words by languages) a worker remembers, and of a batch that is scored, at most.
+CACHE_NUMBERS, BATCH_NUMBERS = 16_000_000, 160_000
+
 SPACE = "▁"
 
 
@@ -55,11 +58,11 @@ def vocabulary(path: str) -> dict[str, int]:
 
 
 def training_part(rows: DataFrame, lang: str) -> DataFrame:
-    """Rows (lang, text) of the most frequent languages: the ``MAX_DOCS`` distinct texts with the smallest hashes of each, or all it has."""
+    """Rows (lang, text) of every language: the ``MAX_DOCS`` distinct texts with the smallest hashes of each, or all it has."""
     known = rows.where(F.col(f"`{lang}`").isNotNull() & F.col("text").isNotNull()).select(F.col(f"`{lang}`").cast("string").alias("lang"), "text")
     known = known.withColumn("h", F.xxhash64("text"))
-    keys = cut_lineage(known.groupBy("lang", "h").agg(F.count(F.lit(1)).alias("n")))
-    sizes = keys.groupBy("lang").agg(F.sum("n").alias("docs"), F.count(F.lit(1)).alias("texts")).orderBy(F.desc("docs"), "lang").limit(MAX_LANGS)
+    keys = cut_lineage(known.select("lang", "h").distinct())
+    sizes = keys.groupBy("lang").agg(F.count(F.lit(1)).alias("texts"))
     # Hashes under twice the expected bound are looked at, so that no language brings more than some 4,000 to one task;
     # that these are fewer than MAX_DOCS of more has a probability below 1e-200.
     near = F.col("h").cast("double") <= 2.0**64 * 2 * MAX_DOCS / F.col("texts") - 2.0**63
@@ -95,7 +98,7 @@ def fit(rows: DataFrame, model_path: str, lang: str = "lang", text: str = "text"
             yield pa.RecordBatch.from_arrays([pa.array(language), pa.array(i, pa.int32()), pa.array(n, pa.int64())], names=["lang", "piece", "n"])
 
     counted = sample.mapInArrow(count, "lang string, piece int, n long").groupBy("lang", "piece").agg(F.sum("n").alias("n"))
-    # At most MAX_LANGS times the size of the vocabulary.
+    # At most the languages times the size of the vocabulary, as the model itself.
     found = counted.toPandas()
     pieces = vocabulary(model_path)
     langs = sorted(found["lang"].unique().tolist())
@@ -115,6 +118,8 @@ class Scorer:
         self.model = model
         self.longest = max(map(len, model.pieces), default=1)
         self.unknown = len(model.pieces)
+        many = max(1, len(model.langs))
+        self.room, self.part = max(1, min(CACHE, CACHE_NUMBERS // many)), max(1, min(20_000, BATCH_NUMBERS // many))
         self.forget()
 
     def forget(self) -> None:
@@ -159,8 +164,8 @@ class Scorer:
         for w in words:
             by_length.setdefault(len(w), []).append(w)
         for n, group in by_length.items():
-            for at in range(0, len(group), 20_000):
-                part = group[at : at + 20_000]
+            for at in range(0, len(group), self.part):
+                part = group[at : at + self.part]
                 marked = [SPACE + w for w in part]
                 logs = self._batch(marked) if n < PLAIN else np.array([self._long(w) for w in marked])
                 start = len(self.number)
@@ -170,17 +175,34 @@ class Scorer:
                 self.number.update(zip(part, range(start, start + len(part))))
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        if len(self.number) > CACHE:
-            self.forget()
-        split = [(t or "").split() for t in texts]
-        self.learn({w for words in split for w in words}.difference(self.number))
+        totals = np.zeros((len(texts), len(self.model.langs)))
+        waiting: list[tuple[int, list[str]]] = []
+
+        def add() -> None:
+            if len(self.number) > self.room:
+                self.forget()
+            self.learn({w for _, words in waiting for w in words}.difference(self.number))
+            for k, words in waiting:
+                totals[k] += self.logs[np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))].sum(axis=0)
+            waiting.clear()
+
+        size = 0
+        for k, t in enumerate(texts):
+            words = (t or "").split()
+            for at in range(0, len(words), self.room):
+                part = words[at : at + self.room]
+                if size + len(part) > self.room:
+                    add()
+                    size = 0
+                waiting.append((k, part))
+                size += len(part)
+        add()
         langs, scores = [], []
-        for t, words in zip(texts, split):
+        for t, total in zip(texts, totals):
             if not self.model.langs or not any(map(str.isalpha, t or "")):
                 langs.append("und")
                 scores.append(0.0)
                 continue
-            total = self.logs[np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))].sum(axis=0)
             best = int(total.argmax())
             langs.append(self.model.langs[best])
             scores.append(float(1 / np.exp(total - total[best]).sum()))

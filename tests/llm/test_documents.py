@@ -62,6 +62,21 @@ def test_language_learns_distinct_texts(spark, monkeypatch):
     assert {t for x, t in got if x == "en"} == {r.text for r in first}
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    words = [p[1:] for p in language.vocabulary(PIECES) if p[0] == language.SPACE and p[1:].isalpha() and len(p) > 5][:300]
+    rows = [(f"l{i:03}", f"{w} {w} {w}") for i, w in enumerate(words)]
+    model = language.fit(spark.createDataFrame(rows, "lang string, text string"), PIECES)
+    assert model.langs == [x for x, _ in rows]
+    assert language.Scorer(model).predict([t for _, t in rows])[0] == model.langs
+    texts = [" ".join(words[i : i + 40] + [words[i + 9]] * 2) for i in range(0, 200, 7)]
+    whole = language.Scorer(model).predict(texts)
+    monkeypatch.setattr(language, "CACHE_NUMBERS", 3000)
+    parts = language.Scorer(model)
+    assert parts.room == 10
+    got = parts.predict(texts)
+    assert got[0] == whole[0] and np.allclose(got[1], whole[1])
+
+
 def test_forward_sums_all_segmentations():
     model = language.Model(["x", "y"], {"▁": 0, "a": 1, "b": 2, "ab": 3, "▁a": 4}, np.array([[0.1, 0.2], [0.2, 0.1], [0.3, 0.1], [0.15, 0.4], [0.25, 0.2], [1e-6, 1e-6]]))
     scorer = language.Scorer(model)
