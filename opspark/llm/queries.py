@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, scratch
-from . import bpe, decontaminate, language, pii, quality, simhash, sql, substrings, suffixdedup, tokens, warc
+from . import bpe, collocations, decontaminate, language, periodic, pii, pitmanyor, quality, simhash, sql, substrings, suffixdedup, tokens, warc
 from .texts import documents, read_file, table, tokenizer_path
 
 
@@ -73,6 +73,30 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir, "lang", "source"))
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).withColumn("held_out", pitmanyor.held_out())
+    return pitmanyor.score(docs, ~F.col("held_out"), keep=["doc_id", "held_out"])
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find(periodic.echoed(documents(spark, sf_dir)), keep=["doc_id"]).withColumn("best", periodic.strongest(F.col("runs")))
+    start, length, period = (F.col(f"best.{c}").cast("long") for c in ("start", "length", "period"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.expr("cast(best.length as bigint) * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(periodic.listed(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_token_counts": op2_token_counts,
@@ -84,6 +108,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_lm_scoring": op11_lm_scoring,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLES: dict[str, str] = {
@@ -98,4 +125,5 @@ from p left join g on p.digest = g.digest""",
     "op8_decontamination": decontaminate.SQL,
     "op9_substring_dedup": sql.WORD_DEDUP,
     "op10_quality_rules": quality.SQL,
+    "op13_collocations": collocations.SQL,
 }
