@@ -389,16 +389,16 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
 
 #: The same over one table of all phrases.
 SQL = r"""
-with d as (select row_number() over () as id, coalesce(lang, 'und') as lang,
-                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
-     p as (select id, lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) as piece from d),
-     w as (select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') as w from p),
-     g as (select lang, 1 as k, unnest(w) as phrase from w
-           union all select lang, 2, unnest([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) from w where len(w) > 1
-           union all select lang, 3, unnest([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)]) from w where len(w) > 2),
-     f as (select lang, k, phrase, count(*) as a from g group by all),
+with p as materialized (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece from documents),
+     q as materialized (select row_number() over () as id, lang, regexp_split_to_array(piece, '[\x20\x09]+') as w from p),
+     e as (select id, lang, unnest(w) as x, generate_subscripts(w, 1) as i from q),
+     t as materialized (select lang, x, lead(x) over o as y, lead(x, 2) over o as z from e where x <> '' window o as (partition by id order by i)),
+     f as materialized (select lang, 1 as k, x as phrase, count(*) as a from t group by all
+           union all select lang, 2, x || ' ' || y, count(*) from t where y is not null group by all
+           union all select lang, 3, x || ' ' || y || ' ' || z, count(*) from t where z is not null group by all),
      n as (select lang, sum(a)::bigint as n from f where k = 1 group by lang),
-     c as (select lang, k, phrase, a, string_split(phrase, ' ') as w from f where k > 1 and a >= 10),
+     c as materialized (select lang, k, phrase, a, string_split(phrase, ' ') as w from f where k > 1 and a >= 10),
      cuts as (select lang, phrase, k, a, w, unnest(range(1, k)) as j from c),
      s as (select u.lang, u.phrase, u.k, u.a, u.j, x.a as l, y.a as r, (1000000::hugeint * u.a * u.a) // (x.a::hugeint * y.a) as score
            from cuts u join f x on x.lang = u.lang and x.phrase = array_to_string(w[1:j], ' ') join f y on y.lang = u.lang and y.phrase = array_to_string(w[j + 1:], ' ')),
