@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -31,8 +31,8 @@ from .anchors import MIX, mixed
 from .packs import by_range, pack, ranges_for, unpack
 from .texts import release, slices
 
-#: Tokens after which a block is closed, and bytes of text that one prefix range stands for, as a multiple of the usual.
-BLOCK_TOKENS, WIDER = 2_500_000, 2
+#: Tokens after which a block is closed.
+BLOCK_TOKENS = 2_500_000
 
 #: Every byte that ends a piece becomes a full stop (which no word contains), a tab a space.
 SEPARATORS = bytes.maketrans(b".,;:!?\x0a\x0b\x0c\x0d\t", b".........." + b" ")
@@ -355,9 +355,15 @@ def part_counts(found: DataFrame, ranges_: DataFrame) -> DataFrame:
     return ranges_.select("range", "words", "automaton").groupBy("range").cogroup(wanted.groupBy("range")).applyInArrow(run, "lang string, part string, n long")
 
 
+def exact_score(a: str, l: str, r: str) -> Column:  # noqa: E741
+    """floor(10^6 a a / (l r)) of columns, in decimals of up to 38 digits."""
+    a, l, r = (f"cast({c} as decimal(15,0))" for c in (a, l, r))  # noqa: E741
+    return F.expr(f"{a} * {a} * cast(1000000 as decimal(7,0)) div ({l} * {r})")
+
+
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = 10, nested: int = 50, top: int = 2000) -> DataFrame:
     """The first ``top`` collocations of each language: lang, rank, phrase, its count a, the counts l and r of its parts, n and score."""
-    ranges = -(-ranges_for(docs, text) // WIDER)
+    ranges = ranges_for(docs, text)
     merged = cut_lineage(counted(shards(docs, text, lang, ranges), least))
     found = cut_lineage(candidates(merged, ranges))
     parts = cut_lineage(part_counts(found, merged))
@@ -368,8 +374,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     full = found.join(counts("first"), ["lang", "first"]).join(counts("last"), ["lang", "last"]).join(counts("tail"), ["lang", "tail"], "left")
 
     def cut(l: str, r: str):  # noqa: E741
-        exact = F.expr(f"cast(a as decimal(15,0)) * cast(a as decimal(15,0)) * cast(1000000 as decimal(7,0)) div (cast({l} as decimal(15,0)) * cast({r} as decimal(15,0)))")
-        return F.struct(exact.alias("score"), F.col(l).alias("l"), F.col(r).alias("r"))
+        return F.struct(exact_score("a", l, r).alias("score"), F.col(l).alias("l"), F.col(r).alias("r"))
 
     one, two = cut("n_first", "n_last"), cut("n_first", "n_tail")
     three = cut("n_head", "n_last")

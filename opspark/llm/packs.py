@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Text (bytes) that one range of keys stands for: the number of ranges follows the input, their size does not.
-RANGE_BYTES = 4 << 20
+RANGE_BYTES = 8 << 20
 
 
 def narrow(x: np.ndarray) -> np.ndarray:
@@ -24,12 +24,19 @@ def narrow(x: np.ndarray) -> np.ndarray:
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps([narrow(x) for x in arrays], 5))
+    """One-dimensional arrays as bytes. The bytes of a number are kept apart, first bytes first: small numbers then pack well."""
+    parts = [(x.dtype.str, len(x), np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.dtype.itemsize).T.tobytes()) for x in map(narrow, arrays)]
+    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(parts, 5))
 
 
 def unpack(blob: bytes) -> list[np.ndarray]:
     """The arrays; whole numbers come back as int64."""
-    return [x.astype(np.int64) if x.dtype.kind in "iu" else x for x in pickle.loads(zstandard.ZstdDecompressor().decompress(blob))]
+    out = []
+    for kind, n, raw in pickle.loads(zstandard.ZstdDecompressor().decompress(blob)):
+        dtype = np.dtype(kind)
+        x = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(dtype.itemsize, n).T).view(dtype).ravel()
+        out.append(x.astype(np.int64) if dtype.kind in "iu" else x)
+    return out
 
 
 def steps(ascending: np.ndarray) -> np.ndarray:
