@@ -28,11 +28,11 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .anchors import MIX, mixed
-from .packs import by_range, pack, ranges_for, unpack
+from .packs import by_range, pack, ranges_for, unpack, word_arrays, words_of_arrays
 from .texts import release, slices
 
 #: Tokens after which a block is closed.
-BLOCK_TOKENS = 2_500_000
+BLOCK_TOKENS = 1_200_000
 
 #: Every byte that ends a piece becomes a full stop (which no word contains), a tab a space.
 SEPARATORS = bytes.maketrans(b".,;:!?\x0a\x0b\x0c\x0d\t", b".........." + b" ")
@@ -45,18 +45,18 @@ class Transducer(NamedTuple):
     """Counts of phrases. ``words``: sorted symbols (language, line feed, word). Arrays of the root's arcs (word, count of the word, state), and of
     the arcs of two layers of states, where ``edges`` cuts the arcs of one state from the next."""
 
-    words: list[bytes]
+    words: pa.BinaryArray
     root: tuple[np.ndarray, np.ndarray, np.ndarray]
     second: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     third: tuple[np.ndarray, np.ndarray, np.ndarray]
 
     def blob(self) -> bytes:
-        return pack(*self.root, *self.second, *self.third)
+        return pack(*word_arrays(self.words), *self.root, *self.second, *self.third)
 
     @classmethod
-    def load(cls, words: list[bytes], blob: bytes) -> Transducer:
-        a = unpack(blob)
-        return cls(words, tuple(a[:3]), tuple(a[3:7]), tuple(a[7:]))
+    def load(cls, blob: bytes) -> Transducer:
+        lengths, data, *a = unpack(blob)
+        return cls(words_of_arrays(lengths, data), tuple(a[:3]), tuple(a[3:7]), tuple(a[7:]))
 
 
 def _taken(edges: np.ndarray, states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -91,7 +91,7 @@ def registered(edges: np.ndarray, *arcs: np.ndarray) -> tuple[np.ndarray, np.nda
     return out, np.concatenate(([0], np.cumsum(n[kept]))), tuple(a[at] for a in arcs)
 
 
-def build(words: list[bytes], one: tuple[np.ndarray, ...], two: tuple[np.ndarray, ...], three: tuple[np.ndarray, ...]) -> Transducer:
+def build(words: pa.BinaryArray, one: tuple[np.ndarray, ...], two: tuple[np.ndarray, ...], three: tuple[np.ndarray, ...]) -> Transducer:
     """From sorted phrases: ``one`` (word, count), ``two`` (first, second, count), ``three`` (place in ``two``, third, count)."""
     edges = np.searchsorted(three[0], np.arange(len(two[0]) + 1))
     to, *third = registered(edges, three[1], three[2])
@@ -114,19 +114,19 @@ def paths(t: Transducer) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]
     return (word[count > 0], count[count > 0]), (first, second, n), (place, t.third[1][arc], t.third[2][arc])
 
 
-def union(parts: list[tuple[pa.Array, bytes]], least: int = 1) -> tuple[Transducer, dict[bytes, int]]:
+def union(parts: list[bytes], least: int = 1) -> tuple[Transducer, dict[bytes, int]]:
     """The transducer with the added weights of all, without phrases below ``least``; and all words of each language."""
-    lists = pa.concat_arrays([w for w, _ in parts])
-    coded = lists.dictionary_encode()
+    loaded = [Transducer.load(b) for b in parts]
+    coded = pa.concat_arrays([t.words for t in loaded]).dictionary_encode()
     order = pc.array_sort_indices(coded.dictionary)
     rank = np.empty(len(order), np.int64)
     rank[order.to_numpy()] = np.arange(len(order))
     own, at = rank[coded.indices.to_numpy()], 0
-    words, size = coded.dictionary.take(order).to_pylist(), len(order)
+    words, size = coded.dictionary.take(order), len(order)
     ones, twos, threes, before = [], [], [], 0
-    for w, blob in parts:
-        one, two, three = paths(Transducer.load([], blob))
-        number, at = own[at : at + len(w)], at + len(w)
+    for t in loaded:
+        one, two, three = paths(t)
+        number, at = own[at : at + len(t.words)], at + len(t.words)
         ones.append((number[one[0]], one[1]))
         twos.append((number[two[0]] * size + number[two[1]], two[2]))
         threes.append((three[0] + before, number[three[1]], three[2]))
@@ -139,9 +139,10 @@ def union(parts: list[tuple[pa.Array, bytes]], least: int = 1) -> tuple[Transduc
     key, of = np.unique(place[np.concatenate([p for p, _, _ in threes])] * size + np.concatenate([w for _, w, _ in threes]), return_inverse=True)
     three = _added(of, np.concatenate([n for _, _, n in threes]), len(key))
     totals: dict[bytes, int] = {}
-    for k in np.flatnonzero(one).tolist():
-        lang = words[k].rpartition(b"\n")[0]
-        totals[lang] = totals.get(lang, 0) + int(one[k])
+    counted_words = np.flatnonzero(one)
+    for w, n in zip(words.take(counted_words).to_pylist(), one[counted_words].tolist()):
+        lang = w.rpartition(b"\n")[0]
+        totals[lang] = totals.get(lang, 0) + n
     often = np.flatnonzero(one >= least)
     keep2, keep3 = two >= least, three >= least
     new = np.cumsum(keep2) - 1
@@ -150,7 +151,7 @@ def union(parts: list[tuple[pa.Array, bytes]], least: int = 1) -> tuple[Transduc
     # Only the words that are left.
     used = np.unique(np.concatenate((often, first, second, third)))
     k = lambda x: np.searchsorted(used, x)
-    t = build([words[x] for x in used.tolist()], (k(often), one[often]), (k(first), k(second), two[keep2]), (start, k(third), three[keep3]))
+    t = build(words.take(pa.array(used)), (k(often), one[often]), (k(first), k(second), two[keep2]), (start, k(third), three[keep3]))
     return t, totals
 
 
@@ -163,8 +164,7 @@ def _added(place: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
 def compose(acceptor: Transducer, counts: Transducer) -> tuple[np.ndarray, np.ndarray]:
     """Counts of the accepted single words and pairs, in the acceptor's order: the arcs both automata have, layer by layer; 0 where they part."""
     size = max(1, len(counts.words))
-    have = {w: i for i, w in enumerate(counts.words)}
-    number = np.array([have.get(w, -1) for w in acceptor.words] or [0])
+    number = pc.fill_null(pc.index_in(acceptor.words, counts.words), -1).to_numpy().astype(np.int64)
     (one, _), (first, second, _), _ = paths(acceptor)
 
     def follow(word: np.ndarray) -> np.ndarray:
@@ -216,7 +216,7 @@ class _Block:
             ids.append(x)
             self.tokens += len(x)
 
-    def transducers(self, ranges: int) -> Iterator[tuple[int, list[bytes], bytes]]:
+    def transducers(self, ranges: int) -> Iterator[tuple[int, bytes]]:
         """A transducer for each prefix range that has any phrase."""
         symbols, ids, base = [], [], 0
         for lang, (number, own) in self.langs.items():
@@ -225,13 +225,14 @@ class _Block:
             x = np.concatenate(own).astype(np.int64)
             ids.append(np.where(x > 0, x - 1 + base, -1))
             base += len(number) - 1
-        size = len(symbols)
-        order = sorted(range(size), key=symbols.__getitem__)
-        rank = np.empty(size + 1, np.int64)
-        rank[order] = np.arange(size)
-        rank[size] = -1
-        symbols = [symbols[k] for k in order]
+        self.langs = {}
+        size, words = len(symbols), pa.array(symbols, pa.binary())
+        order = pc.array_sort_indices(words)
+        rank = np.full(size + 1, -1)
+        rank[order.to_numpy()] = np.arange(size)
+        words, h = words.take(order), _hashes(symbols)[order.to_numpy()]
         x = rank[np.concatenate(ids)]
+        del symbols, ids
         one = np.bincount(x[x >= 0], minlength=size)
         both = (x[:-1] >= 0) & (x[1:] >= 0)
         pair, at, n2 = np.unique(x[:-1][both] * size + x[1:][both], return_inverse=True, return_counts=True)
@@ -241,7 +242,6 @@ class _Block:
         key, n3 = np.unique(place[:-2][three] * size + x[2:][three], return_counts=True)
         start, third = key // max(size, 1), key % max(size, 1)
         first, second = pair // max(size, 1), pair % max(size, 1)
-        h = _hashes(symbols)
         singles = dict(by_range(word_range(h, ranges), ranges))
         pairs = dict(by_range(pair_range(h[first], h[second], ranges), ranges))
         edges = np.searchsorted(start, np.arange(len(pair) + 1))
@@ -251,11 +251,11 @@ class _Block:
             of, arc = _taken(edges, p)
             used = np.unique(np.concatenate((s, first[p], second[p], third[arc])))
             k = lambda v: np.searchsorted(used, v)  # noqa: B023, E731
-            t = build([symbols[w] for w in used.tolist()], (k(s), one[s]), (k(first[p]), k(second[p]), n2[p]), (of, k(third[arc]), n3[arc]))
-            yield r, t.words, t.blob()
+            t = build(words.take(pa.array(used)), (k(s), one[s]), (k(first[p]), k(second[p]), n2[p]), (of, k(third[arc]), n3[arc]))
+            yield r, t.blob()
 
 
-PARTS = pa.schema([("range", pa.int32()), ("words", pa.list_(pa.binary())), ("automaton", pa.binary())])
+PARTS = pa.schema([("range", pa.int32()), ("automaton", pa.binary())])
 
 
 def shards(docs: DataFrame, text: str, lang: str, ranges: int) -> DataFrame:
@@ -263,8 +263,8 @@ def shards(docs: DataFrame, text: str, lang: str, ranges: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(block: _Block) -> Iterator[pa.RecordBatch]:
-            for r, words, blob in block.transducers(ranges):
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(([r], [words], [blob]), PARTS.types)], names=PARTS.names)
+            for r, blob in block.transducers(ranges):
+                yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([blob], pa.binary())], schema=PARTS)
 
         block = _Block()
         for batch in batches:
@@ -278,23 +278,20 @@ def shards(docs: DataFrame, text: str, lang: str, ranges: int) -> DataFrame:
         release()
 
     rows = docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), F.col(f"`{text}`").cast("string").alias("text"))
-    return rows.mapInArrow(run, "range int, words array<binary>, automaton binary")
+    return rows.mapInArrow(run, "range int, automaton binary")
 
 
-UNION = pa.schema(
-    [("range", pa.int32()), ("words", pa.list_(pa.binary())), ("automaton", pa.binary()), ("totals", pa.list_(pa.struct([("lang", pa.string()), ("n", pa.int64())])))]
-)
+UNION = pa.schema([("range", pa.int32()), ("automaton", pa.binary()), ("totals", pa.list_(pa.struct([("lang", pa.string()), ("n", pa.int64())])))])
 
 
 def counted(parts: DataFrame, least: int) -> DataFrame:
     """The union of each prefix range, pruned."""
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
-        lists = [x for c in rows["words"].chunks for x in (c.slice(k, 1).flatten() for k in range(len(c)))]
-        t, totals = union(list(zip(lists, rows["automaton"].to_pylist())), least)
-        return pa.Table.from_pylist([{"range": key[0].as_py(), "words": t.words, "automaton": t.blob(), "totals": [{"lang": k.decode(), "n": n} for k, n in totals.items()]}], UNION)
+        t, totals = union(rows["automaton"].to_pylist(), least)
+        return pa.Table.from_pylist([{"range": key[0].as_py(), "automaton": t.blob(), "totals": [{"lang": k.decode(), "n": n} for k, n in totals.items()]}], UNION)
 
-    return parts.groupBy("range").applyInArrow(run, "range int, words array<binary>, automaton binary, totals array<struct<lang: string, n: long>>")
+    return parts.groupBy("range").applyInArrow(run, "range int, automaton binary, totals array<struct<lang: string, n: long>>")
 
 
 CANDIDATES = pa.schema([(c, pa.string()) for c in ("lang", "phrase", "first", "last", "head", "tail")] + [(c, pa.int64()) for c in ("a", "n_head")] + [(c, pa.int32()) for c in ("r_first", "r_last", "r_tail")])
@@ -306,8 +303,10 @@ def candidates(ranges_: DataFrame, ranges: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for words, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                _, (first, second, n), (place, third, m) = paths(Transducer.load(words, blob))
+            for blob in batch.column(0).to_pylist():
+                t = Transducer.load(blob)
+                words = t.words.to_pylist()
+                _, (first, second, n), (place, third, m) = paths(t)
                 cut = [w.rpartition(b"\n") for w in words]
                 lang, word = np.array([x[0].decode() for x in cut] or [""], object), np.array([x[2].decode() for x in cut] or [""], object)
                 h = _hashes(words) if words else np.zeros(1, np.uint64)
@@ -319,7 +318,7 @@ def candidates(ranges_: DataFrame, ranges: int) -> DataFrame:
                 phrase = two[place] + " " + word[third]
                 yield _batch([lang[f], phrase, word[f], word[third], two[place], word[s] + " " + word[third], m, n[place], own[f], own[third], of(h[s], h[third], ranges)])
 
-    return ranges_.select("words", "automaton").mapInArrow(run, CANDIDATES_DDL)
+    return ranges_.select("automaton").mapInArrow(run, CANDIDATES_DDL)
 
 
 def _batch(columns: list) -> pa.RecordBatch:
@@ -339,7 +338,7 @@ def part_counts(found: DataFrame, ranges_: DataFrame) -> DataFrame:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         lang, part, n = [], [], []
         if len(left) and len(right):
-            counts = Transducer.load(left["words"][0].as_py(), left["automaton"][0].as_py())
+            counts = Transducer.load(left["automaton"][0].as_py())
             rows = sorted(([x.encode() + b"\n" + w.encode() for w in p.split(" ")], x, p) for x, p in zip(right["lang"].to_pylist(), right["part"].to_pylist()))
             words = sorted({w for k, _, _ in rows for w in k})
             number = {w: i for i, w in enumerate(words)}
@@ -347,12 +346,12 @@ def part_counts(found: DataFrame, ranges_: DataFrame) -> DataFrame:
             yes = lambda x: np.ones(len(x), np.int64)
             ids = lambda x, k: np.array([number[r[0][k]] for r in x], np.int64)
             none = np.zeros(0, np.int64)
-            acceptor = build(words, (ids(singles, 0), yes(singles)), (ids(pairs, 0), ids(pairs, 1), yes(pairs)), (none, none, none))
+            acceptor = build(pa.array(words, pa.binary()), (ids(singles, 0), yes(singles)), (ids(pairs, 0), ids(pairs, 1), yes(pairs)), (none, none, none))
             n = np.concatenate(compose(acceptor, counts)).tolist()
             lang, part = [r[1] for r in singles + pairs], [r[2] for r in singles + pairs]
         return pa.Table.from_arrays([pa.array(lang, pa.string()), pa.array(part, pa.string()), pa.array(n, pa.int64())], names=["lang", "part", "n"])
 
-    return ranges_.select("range", "words", "automaton").groupBy("range").cogroup(wanted.groupBy("range")).applyInArrow(run, "lang string, part string, n long")
+    return ranges_.select("range", "automaton").groupBy("range").cogroup(wanted.groupBy("range")).applyInArrow(run, "lang string, part string, n long")
 
 
 def exact_score(a: str, l: str, r: str) -> Column:  # noqa: E741

@@ -7,6 +7,7 @@ import pickle
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +40,18 @@ def unpack(blob: bytes) -> list[np.ndarray]:
     return out
 
 
+def word_arrays(words: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths and bytes of a list of words, to be packed."""
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    return np.diff(offsets), data
+
+
+def words_of_arrays(lengths: np.ndarray, data: np.ndarray) -> pa.BinaryArray:
+    offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(data.astype(np.uint8))])
+
+
 def steps(ascending: np.ndarray) -> np.ndarray:
     """Ascending numbers as differences, which pack well; ``np.cumsum`` undoes it."""
     return np.diff(ascending, prepend=ascending.dtype.type(0))
