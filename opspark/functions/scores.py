@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -70,3 +72,46 @@ def ks_pvalue(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
         lambda acc, k: acc + F.when(k % 2 == 1, F.lit(1.0)).otherwise(F.lit(-1.0)) * F.exp(F.lit(-2.0) * k * k * t * t),
     )
     return F.when(t < 0.2, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.lit(2.0) * series)))
+
+
+def log_gamma_half(n: Column) -> Column:
+    """ln Gamma(n / 2) of a positive whole number: a product of whole or half numbers down to 1 or the root of pi."""
+    odd = n % 2 == 1
+    steps = F.floor((n - 1) / 2).cast("int")
+    factor = F.when(odd, F.lit(-0.5)).otherwise(F.lit(0.0))
+    product = F.aggregate(
+        F.when(steps > 0, F.sequence(F.lit(1), steps)).otherwise(F.array().cast("array<int>")), F.lit(0.0), lambda acc, k: acc + F.ln(k + factor)
+    )
+    return product + F.when(odd, F.lit(0.5 * math.log(math.pi))).otherwise(F.lit(0.0))
+
+
+def chi_square_pvalue(x: Column, dof: Column) -> Column:
+    """Upper tail of the chi-square distribution: the regularised incomplete gamma function Q(dof / 2, x / 2).
+
+    Below the mean by the power series of its complement, above by the continued fraction (Lentz). The number of terms
+    grows with the root of the degrees of freedom, which is where both converge.
+    """
+    a, z = dof / F.lit(2.0), x / F.lit(2.0)
+    safe = F.greatest(z, F.lit(1e-300))
+    terms = F.sequence(F.lit(1), (F.lit(60) + F.lit(14) * F.sqrt(a)).cast("int"))
+    front = F.exp(-safe + a * F.ln(safe) - log_gamma_half(dof))
+    start = F.struct((F.lit(1.0) / a).alias("term"), (F.lit(1.0) / a).alias("sum"))
+    series = F.aggregate(
+        terms,
+        start,
+        lambda acc, k: F.struct((acc["term"] * safe / (a + k)).alias("term"), (acc["sum"] + acc["term"] * safe / (a + k)).alias("sum")),
+        lambda acc: acc["sum"],
+    )
+    b = safe + 1.0 - a
+    first = F.struct(b.alias("b"), F.lit(1e300).alias("c"), (F.lit(1.0) / b).alias("d"), (F.lit(1.0) / b).alias("h"))
+
+    def fraction(acc: Column, k: Column) -> Column:
+        an = -k * (k - a)
+        b = acc["b"] + 2.0
+        d = F.lit(1.0) / (an * acc["d"] + b)
+        c = b + an / acc["c"]
+        return F.struct(b.alias("b"), c.alias("c"), d.alias("d"), (acc["h"] * d * c).alias("h"))
+
+    upper = front * F.aggregate(terms, first, fraction, lambda acc: acc["h"])
+    tail = F.when(z <= 0, F.lit(1.0)).when(z < a + 1, F.lit(1.0) - front * series).otherwise(upper)
+    return F.when((dof > 0) & x.isNotNull(), F.least(F.lit(1.0), F.greatest(F.lit(0.0), tail)))

@@ -111,14 +111,12 @@ def _fold(role: Column, text: Column, hidden: dict[str, list[str]], rules) -> Co
     return text if out is None else out
 
 
-# Words that may stand between a field and its value in prose.
-LINKS = ["is", "was", "of", "=", ":", "are", "equals"]
-
-# A JSON string, a bare JSON value, a value on a "name: value" line, an amount or number in prose.
-JSON_STRING = r'"[^"\\]*(?:\\.[^"\\]*)*"'
-JSON_BARE = r"[^,}\n]+"
-LINE_VALUE = r"[^\s,]+"
-AMOUNT = r"\$?\d[-\d,.x]*"
+# The patterns that redaction has to match, with FIELD for the field's name: a quoted key and its JSON value, a name and the word
+# after its colon, and a name in prose with an optional linking word and a number or word. Only the first is adapted: its inner
+# repetition is possessive, which matches the same and keeps Java's matcher from recursing over long strings.
+JSON_FIELD = r'"FIELD"\s*:\s*("(?:[^"\\]|\\.)*+"|[^,}\n]+)'
+LINE_FIELD = r"(^|\W)FIELD\s*:\s*([^\s,]+)"
+PROSE_FIELD = r"(FIELD)(?:\s*(?:is|was|of|=|:|are|equals)?\s*)(\$?[\d][\d,\.\-x]*|\S+)"
 
 
 def _quoted(replacement: str) -> str:
@@ -129,15 +127,15 @@ def _quoted(replacement: str) -> str:
 def _json_rules(field: str) -> list[tuple[str, str]]:
     """The field as a quoted JSON key, and as a word in front of a colon."""
     name = re.escape(field)
-    quoted = rf'(?U)"{name}"\s*:\s*(?:{JSON_STRING}|{JSON_BARE})'
-    on_line = rf"(?U)(?<!\w){name}\s*:\s*{LINE_VALUE}"
-    return [(quoted, _quoted(f'"{field}": "{REDACTED}"')), (on_line, _quoted(f"{field}: {REDACTED}"))]
+    return [
+        ("(?U)" + JSON_FIELD.replace("FIELD", name), _quoted(f'"{field}": "{REDACTED}"')),
+        ("(?Um)" + LINE_FIELD.replace("FIELD", name), "$1" + _quoted(f"{field}: {REDACTED}")),
+    ]
 
 
 def _prose_rules(field: str) -> list[tuple[str, str]]:
-    """The field in any case, perhaps a linking word, and a number or the next word. The field keeps its spelling."""
-    link = "|".join(map(re.escape, LINKS))
-    return [(rf"(?Ui)({re.escape(field)})\s*(?:{link})?\s*(?:{AMOUNT}|\S+)", f"$1: {REDACTED}")]
+    """The field in any case; it keeps its spelling."""
+    return [("(?Ui)" + PROSE_FIELD.replace("FIELD", re.escape(field)), f"$1: {REDACTED}")]
 
 
 def redact_json(role: Column, text: Column, hidden: dict[str, list[str]], otherwise: list[str]) -> Column:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scores import ks_pvalue
+from ..functions.scores import chi_square_pvalue, ks_pvalue
 from ..session import cut_lineage
 from ..plans.ranks import cumulative_counts, value_counts
 
@@ -155,6 +155,50 @@ def ks(counts: DataFrame, groups: list[str]) -> DataFrame:
     )
 
 
+def wasserstein(counts: DataFrame, groups: list[str]) -> DataFrame:
+    """First Wasserstein distance of the two windows per group: the area between their cumulative distributions, exact.
+
+    Each value's gap between the distributions holds up to the next value, so the sum needs one pass over the ranked values.
+    """
+    ranked = cumulative_counts(counts, groups, "value", ["n_base", "n_new"], following="_next")
+    gap = F.abs(F.col("cum_n_base") / F.col("all_n_base") - F.col("cum_n_new") / F.col("all_n_new"))
+    area = gap * (F.coalesce("_next", "value") - F.col("value"))
+    usable = ranked.where((F.col("all_n_base") > 0) & (F.col("all_n_new") > 0))
+    return usable.groupBy(*groups).agg(F.sum(area).alias("wasserstein"), F.max("all_n_base").alias("n_base"), F.max("all_n_new").alias("n_new"))
+
+
+def chi_square(df: DataFrame, groups: list[str], category: str) -> DataFrame:
+    """Chi-square test, without correction, of one category's shares in the two windows, per group.
+
+    Rows first collapse to counts by (group, category). NULL is a category of its own. With one category, or an empty window, there is nothing to test:
+    the statistic and the p-value are NULL.
+    """
+    sums = {name: F.sum(w).cast("bigint").alias(name) for name, w in side_weights().items()}
+    cells = cut_lineage(df.groupBy(*groups, category).agg(*sums.values()))
+    totals = cells.groupBy(*groups).agg(F.sum("n_base").alias("all_base"), F.sum("n_new").alias("all_new"), F.count(F.lit(1)).alias("categories"))
+    on = F.lit(True)
+    for g in groups:
+        on = on & F.col(f"cells.{g}").eqNullSafe(F.col(f"totals.{g}"))
+    joined = cells.alias("cells").join(totals.alias("totals"), on).select("cells.*", "all_base", "all_new", "categories") if groups else None
+    if joined is None:
+        one = totals.agg(F.struct(*[F.max(c).alias(c) for c in ("all_base", "all_new", "categories")])).scalar()
+        joined = cells.withColumns({c: one[c] for c in ("all_base", "all_new", "categories")})
+    both = F.col("n_base") + F.col("n_new")
+    everything = F.col("all_base") + F.col("all_new")
+    term = F.lit(0.0)
+    for n, total in (("n_base", "all_base"), ("n_new", "all_new")):
+        expected = F.try_divide(both * F.col(total), everything)
+        term = term + F.try_divide((F.col(n) - expected) * (F.col(n) - expected), expected)
+    per = joined.groupBy(*groups).agg(
+        F.sum(term).alias("_x"), F.max("categories").alias("categories"), F.max("all_base").alias("n_base"), F.max("all_new").alias("n_new")
+    )
+    tested = (F.col("n_base") > 0) & (F.col("n_new") > 0) & (F.col("categories") > 1)
+    dof = (F.col("categories") - 1).cast("int")
+    return per.select(
+        *groups, "n_base", "n_new", F.when(tested, dof).alias("dof"), F.when(tested, F.col("_x")).alias("chi2"), F.when(tested, chi_square_pvalue(F.col("_x"), dof)).alias("pvalue")
+    )
+
+
 def moments(counts: DataFrame, groups: list[str], ranges: DataFrame | None = None) -> DataFrame:
     """Mean and sample standard deviation of both windows from value counts, centred on the group's mean."""
     if ranges is None:

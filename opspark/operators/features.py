@@ -57,11 +57,12 @@ def in_chunks(fact: DataFrame) -> DataFrame:
     )
 
 
-def _in_chunk_windows(fact: DataFrame, lags: dict[str, int], rolling: dict[str, int]) -> DataFrame:
+def _in_chunk_windows(fact: DataFrame, lags: dict[str, int], rolling: dict[str, int], past: bool = False) -> DataFrame:
+    last = int(past)
     series = Window.partitionBy("zone_id", "chunk").orderBy("slot")
     trips = F.col("trip_count").cast("double")
     wanted = {name: F.max(trips).over(series.rangeBetween(-k, -k)) for name, k in lags.items()}
-    wanted.update({name: F.avg(trips).over(series.rangeBetween(-k + 1, 0)) for name, k in rolling.items()})
+    wanted.update({name: F.avg(trips).over(series.rangeBetween(-k + 1 - last, -last)) for name, k in rolling.items()})
     return in_chunks(fact).withColumns(wanted).where(~F.col("halo")).drop("halo", "chunk", "slot")
 
 
@@ -75,9 +76,9 @@ def with_rolling(fact: DataFrame) -> DataFrame:
     return _in_chunk_windows(fact, {}, ROLLING)
 
 
-def with_lags_and_rolling(fact: DataFrame) -> DataFrame:
-    """All history features from one shuffle."""
-    return _in_chunk_windows(fact, LAGS, ROLLING)
+def with_lags_and_rolling(fact: DataFrame, past: bool = False) -> DataFrame:
+    """All history features from one shuffle. With ``past`` the rolling means end one slot before the row."""
+    return _in_chunk_windows(fact, LAGS, ROLLING, past)
 
 
 def zone_slot_baseline(fact: DataFrame, before: str | None = None) -> DataFrame:
@@ -89,15 +90,18 @@ def zone_slot_baseline(fact: DataFrame, before: str | None = None) -> DataFrame:
     )
 
 
-def feature_table(fact: DataFrame, zones: DataFrame, pricing_start: str = "2025-01-05", before: str | None = None) -> DataFrame:
+def feature_table(
+    fact: DataFrame, zones: DataFrame, pricing_start: str = "2025-01-05", before: str | None = None, past: bool = False, baseline: DataFrame | None = None
+) -> DataFrame:
     """The 30 model features, the key and the target for every row of the series.
 
     ``fact`` needs zone_id, time_bucket, trip_count, is_holiday; ``zones`` needs zone_id, borough_id,
-    service_zone_id. The baseline table is keyed by (zone, slot of day).
+    service_zone_id. The baseline table is keyed by (zone, slot of day); a stored one can be given. With ``past`` no feature
+    looks at the row's own target.
     """
-    base = zone_slot_baseline(fact, before)
+    base = zone_slot_baseline(fact, before) if baseline is None else baseline
     enriched = (
-        with_cyclical(with_temporal(with_lags_and_rolling(fact)))
+        with_cyclical(with_temporal(with_lags_and_rolling(fact, past)))
         .join(zones.select("zone_id", "borough_id", "service_zone_id"), "zone_id", "left")
         .join(base, ["zone_id", "slot_of_day"], "left")
         .withColumns(

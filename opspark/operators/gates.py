@@ -157,7 +157,12 @@ def to_micros(amount: Column) -> Column:
 
 
 def budget_gate(
-    requests: DataFrame, budgets: DataFrame, estimate: float = PREFLIGHT_ESTIMATE, slice_seconds: int = 300, default_role: str = "engineer"
+    requests: DataFrame,
+    budgets: DataFrame,
+    estimate: float = PREFLIGHT_ESTIMATE,
+    slice_seconds: int = 300,
+    default_role: str = "engineer",
+    spent: DataFrame | None = None,
 ) -> DataFrame:
     """Adds ``allowed``: the estimate fits into the user's budget minus the cost of admitted requests.
 
@@ -165,6 +170,7 @@ def budget_gate(
     the user's log: spending only grows, so the first rejection is final. Costs are summed per
     (user, time slice), the slice where the budget runs out is found on those sums, and only the
     requests of that one slice are ordered. Users whose role changes are decided in a sorted stream.
+    ``spent`` (user_id, spent in millionths) is what users have spent before the log begins.
     """
     limits = budgets.select(F.col("role").alias("_role"), (to_micros(F.col("budget")) - to_micros(F.lit(estimate))).alias("_limit"))
     role = F.coalesce("user_role", F.lit(default_role))
@@ -175,6 +181,9 @@ def budget_gate(
         .withColumn("_cost", to_micros(F.coalesce("cost", F.lit(0.0))))
         .drop("_role")
     )
+    if spent is not None:
+        earlier = spent.select("user_id", F.col("spent").alias("_spent"))
+        priced = priced.join(earlier, "user_id", "left").withColumn("_limit", F.col("_limit") - F.coalesce("_spent", F.lit(0))).drop("_spent")
     per = priced.groupBy("user_id", "_slice").agg(F.sum("_cost").alias("spent"), F.min("_limit").alias("lo"), F.max("_limit").alias("hi"))
     by_user = Window.partitionBy("user_id").orderBy("_slice")
     running = per.withColumn("upto", F.sum("spent").over(by_user))

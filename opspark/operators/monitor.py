@@ -8,15 +8,18 @@ Input is a *scored* frame: zone_id, borough_id, hour, is_weekend, time_bucket, t
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.timefeat import SLOT_MINUTES
 from ..functions.scores import error_sums, measures, relative_delta
 from ..plans.ranks import exact_quantiles, value_counts
 from ..session import cut_lineage
 from ..sources.literals import literal_table
 from . import drift
+from .features import HALO_SLOTS
 from .quality import null_rates
 
 # Monitored columns.
@@ -92,10 +95,19 @@ def accuracy(scored: DataFrame, y: str = "trip_count", p: str = "yhat") -> DataF
     One pass sums error terms to (zone, borough, weekend, hour) cells with map-side combine; the segments
     are sums of those few thousand cells.
     """
+    return accuracy_of_cells(accuracy_cells(scored, y, p))
+
+
+def accuracy_cells(scored: DataFrame, y: str = "trip_count", p: str = "yhat") -> DataFrame:
+    """Error terms of both windows, summed by the smallest cells; cells of several frames add up."""
     sums = {}
     for side, flag in (("b_", ~F.col("is_new")), ("n_", F.col("is_new"))):
         sums.update({side + k: v for k, v in error_sums(F.col(y), F.col(p), flag).items()})
-    cells = scored.groupBy(*CELLS).agg(*[F.sum(v).alias(k) for k, v in sums.items()])
+    return scored.groupBy(*CELLS).agg(*[F.sum(v).alias(k) for k, v in sums.items()])
+
+
+def accuracy_of_cells(cells: DataFrame) -> DataFrame:
+    sums = [c for c in cells.columns if c not in CELLS]
     rolled = in_segments(cells).groupBy("grouping", "segment").agg(*[F.sum(k).alias(k) for k in sums])
     new, base = measures("n_"), measures("b_")
     out = rolled.select(
@@ -235,15 +247,18 @@ def monitor_metrics(scored: DataFrame, reference: str, critical: list[str] | Non
     """
     scored = cut_lineage(scored)
     counts = cut_lineage(segment_counts(scored))
-    new = scored.where("is_new")
+    nulls = null_rates(scored, critical or CRITICAL_COLUMNS)
+    return _all_metrics(accuracy(scored), counts, prediction_summary(scored), nulls, scored.where("is_new"), reference)
+
+
+def _all_metrics(found: DataFrame, counts: DataFrame, predictions: DataFrame, nulls: DataFrame, new: DataFrame, reference: str) -> DataFrame:
     tested = (F.col("feature") == "trip_count") | (F.col("feature") == "yhat")
     ks_all = drift.ks(counts.where(tested), BY)
     psi_all = drift.psi(counts.where(F.col("feature") != "yhat"), BY)
     series = F.col("feature") == "trip_count"
     ks_pred = ks_all.where((F.col("feature") == "yhat") & (F.col("grouping") == "global"))
-    nulls = null_rates(scored, critical or CRITICAL_COLUMNS)
     parts = [
-        _long(accuracy(scored).where(F.col("grouping") != "hour"), "accuracy", ACCURACY_FIELDS),
+        _long(found.where(F.col("grouping") != "hour"), "accuracy", ACCURACY_FIELDS),
         nulls.select(
             F.lit("null_rate").alias("metric"),
             F.lit("column").alias("grouping"),
@@ -255,9 +270,7 @@ def monitor_metrics(scored: DataFrame, reference: str, critical: list[str] | Non
         psi_all.select(
             F.lit("psi").alias("metric"), "grouping", "segment", F.col("feature").alias("field"), F.col("psi").alias("value")
         ),
-        _long(
-            prediction_summary(scored), "prediction", ["mean", "std", "p50", "p95", "baseline_mean", "baseline_std", "collapsed"]
-        ),
+        _long(predictions, "prediction", ["mean", "std", "p50", "p95", "baseline_mean", "baseline_std", "collapsed"]),
         _long(
             ks_pred.select(F.col("ks").alias("ks_statistic"), F.col("pvalue").alias("ks_pvalue")),
             "prediction",
@@ -269,6 +282,49 @@ def monitor_metrics(scored: DataFrame, reference: str, critical: list[str] | Non
     return reduce(DataFrame.unionByName, parts)
 
 
+class Profile(NamedTuple):
+    """What is kept of a scored baseline: error terms by cell, counts by value, mean and deviation of the predictions, and the columns."""
+
+    cells: DataFrame
+    counts: DataFrame
+    predictions: DataFrame
+    columns: dict[str, str]
+
+
+def profile(scored: DataFrame) -> Profile:
+    """The stored profile of a baseline. Its size follows the cells and distinct values, not the rows."""
+    base = scored.withColumn("is_new", F.lit(False))
+    spread = base.where(F.col("yhat").isNotNull()).agg(F.avg("yhat").alias("baseline_mean"), F.stddev_pop("yhat").alias("baseline_std"))
+    columns = {n: t for n, t in scored.dtypes if n != "is_new"}
+    return Profile(cut_lineage(accuracy_cells(base)), cut_lineage(segment_counts(base)), cut_lineage(spread), columns)
+
+
+def metrics_against(stored: Profile, new: DataFrame, reference: str, critical: list[str] | None = None) -> DataFrame:
+    """The eight metrics of new scored rows against a stored profile, as ``monitor_metrics`` has them for both windows together.
+
+    A column that the rows lack counts as null throughout.
+    """
+    own = [(F.col(c) if c in new.columns else F.lit(None)).cast(t).alias(c) for c, t in stored.columns.items()]
+    new = cut_lineage(new.select(*own).withColumn("is_new", F.lit(True)))
+    cells = stored.cells.unionByName(accuracy_cells(new))
+    counts = stored.counts.unionByName(segment_counts(new)).groupBy(*BY, "value").agg(F.sum("n_base").alias("n_base"), F.sum("n_new").alias("n_new"))
+    base = stored.predictions.agg(F.struct(F.max("baseline_mean").alias("mean"), F.max("baseline_std").alias("std"))).scalar()
+    summary = prediction_summary(new).withColumns({"baseline_mean": base["mean"], "baseline_std": base["std"]})
+    summary = summary.withColumn("collapsed", F.coalesce(F.col("std") < COLLAPSE_SHARE * F.col("baseline_std"), F.lit(False)))
+    return _all_metrics(accuracy_of_cells(cells), cut_lineage(counts), summary, null_rates(new, critical or CRITICAL_COLUMNS), new, reference)
+
+
+#: Slots that a row may be late and still find its whole week of history.
+LATE_SLOTS = 96
+
+
+def last_week(series: DataFrame, late_slots: int = LATE_SLOTS) -> DataFrame:
+    """The rows of each zone in the week up to its newest, and as much more as rows may be late: what the features of later rows look at."""
+    newest = series.groupBy("zone_id").agg(F.max("time_bucket").alias("_newest"))
+    week = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(SLOT_MINUTES * (HALO_SLOTS + late_slots)))
+    return series.join(newest, "zone_id").where(F.col("time_bucket") > F.col("_newest") - week).select("zone_id", "time_bucket", "trip_count", "is_holiday")
+
+
 def evaluate_alerts(metrics: DataFrame, limits: DataFrame | None = None) -> DataFrame:
     """Metrics that cross a threshold, with severity; the critical tier is tested first.
 

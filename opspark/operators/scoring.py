@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import warnings
 from collections.abc import Callable, Iterator
 
@@ -13,12 +12,12 @@ from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timefeat import slot_index
+from ..functions.timefeat import SLOTS_PER_DAY, slot_index
 from ..session import cut_lineage
 from .demand import trend_direction
-from .features import HALO_SLOTS, zone_history
+from .features import HALO_SLOTS, LAGS, ROLLING, zone_history
 
-# Inputs of the Poisson model: calendar waves, flags and history.
+# Inputs of the forecasting models: calendar waves, flags and history.
 MODEL_FEATURES = [
     "hour_sin", "hour_cos", "dow_sin", "dow_cos", "is_weekend", "zone_slot_baseline", "lag_15min", "lag_1h", "lag_1day",
     "lag_1week", "roll_mean_1h", "roll_mean_1day",
@@ -26,7 +25,7 @@ MODEL_FEATURES = [
 STEP_MINUTES = 15
 
 
-def _filled(table: DataFrame, features: list[str]) -> DataFrame:
+def filled(table: DataFrame, features: list[str]) -> DataFrame:
     """Missing history is replaced by the zone's slot baseline."""
     base = F.coalesce("zone_slot_baseline", F.lit(0.0))
     return table.withColumns({c: F.coalesce(F.col(c).cast("double"), base) for c in features})
@@ -38,7 +37,7 @@ def fit_poisson(table: DataFrame, features: list[str] | None = None, target: str
     A fit that has not converged after ``max_iter`` steps is reported by a warning.
     """
     features = features or MODEL_FEATURES
-    rows = cut_lineage(_filled(table, features).select(*features, F.col(target).cast("double").alias(target)).dropna())
+    rows = cut_lineage(filled(table, features).select(*features, F.col(target).cast("double").alias(target)).dropna())
     assembled = VectorAssembler(inputCols=features, outputCol="features").transform(rows)
     model = GeneralizedLinearRegression(
         family="poisson", link="log", labelCol=target, featuresCol="features", maxIter=max_iter, regParam=1e-4
@@ -92,77 +91,73 @@ def forecast_naive(fact: DataFrame, steps: int = 16, season: int = HALO_SLOTS) -
 
 
 def forecast_recursive(
-    fact: DataFrame, baseline: DataFrame, predict: Callable[[dict[str, float]], float], steps: int = 16, season: int = HALO_SLOTS
+    fact: DataFrame,
+    baseline: DataFrame,
+    predict: Callable[[dict[str, np.ndarray]], np.ndarray],
+    steps: int = 16,
+    season: int = HALO_SLOTS,
+    parts: int = 64,
 ) -> DataFrame:
     """Multi-step forecast where each prediction becomes history for the next step, clipped at 0.
 
-    A zone's group holds its last week and its 96 baseline values, whatever the length of the history.
+    Zones are dealt over ``parts`` groups, and all zones of a group go forward together: ``predict`` gets one array for each
+    feature, with one number for each zone. A group holds the last week and the 96 baseline values of its zones, whatever
+    the length of the history. Missing history is replaced by the zone's baseline of the predicted slot.
     """
-    recent = zone_history(fact, season).select("zone_id", "time_bucket", F.col("trip_count").cast("double").alias("y"))
-    slots = baseline.select(F.col("zone_id").alias("base_zone"), "slot_of_day", "zone_slot_baseline")
+    part = F.pmod(F.xxhash64("zone_id"), F.lit(parts)).alias("part")
+    recent = zone_history(fact, season).select(part, "zone_id", slot_index(F.col("time_bucket")).alias("slot"), F.col("trip_count").cast("double").alias("y"))
+    slots = baseline.select(part, "zone_id", "slot_of_day", "zone_slot_baseline")
+    columns = ["zone_id", "step", "time_bucket", "yhat"]
 
     def run(history: pd.DataFrame, base: pd.DataFrame) -> pd.DataFrame:
         if not len(history):
-            return pd.DataFrame({"zone_id": [], "step": [], "time_bucket": [], "yhat": []})
-        history = history.sort_values("time_bucket")
-        zone, y = history["zone_id"].iloc[0], history["y"].tolist()
-        means = dict(zip(base["slot_of_day"], base["zone_slot_baseline"]))
-        start, out = history["time_bucket"].iloc[-1], []
+            return pd.DataFrame({c: [] for c in columns})
+        zones, z = np.unique(history["zone_id"].to_numpy(), return_inverse=True)
+        slot = history["slot"].to_numpy()
+        last = np.full(len(zones), slot.min())
+        np.maximum.at(last, z, slot)
+        y = np.full((len(zones), season + steps), np.nan)
+        place = season - 1 - (last[z] - slot)
+        y[z[place >= 0], place[place >= 0]] = history["y"].to_numpy()[place >= 0]
+        means = np.zeros((len(zones), SLOTS_PER_DAY))
+        known = base[base["zone_id"].isin(zones)]
+        means[np.searchsorted(zones, known["zone_id"].to_numpy()), known["slot_of_day"].to_numpy()] = known["zone_slot_baseline"].to_numpy()
+        rows = np.arange(len(zones))
+        out = []
         for step in range(1, steps + 1):
-            at = start + pd.Timedelta(minutes=STEP_MINUTES * step)
-            row = _calendar(at)
-            row["zone_slot_baseline"] = means.get(at.hour * 4 + at.minute // 15, 0.0)
-            row.update(_history(y, row["zone_slot_baseline"]))
-            value = max(0.0, float(predict(row)))
-            y.append(value)
-            out.append((zone, step, at, round(value, 2)))
-        return pd.DataFrame(out, columns=["zone_id", "step", "time_bucket", "yhat"])
-
-    return recent.groupBy("zone_id").cogroup(slots.groupBy("base_zone")).applyInPandas(
-        run, "zone_id bigint, step int, time_bucket timestamp_ntz, yhat double"
-    )
-
-
-def _calendar(at: pd.Timestamp) -> dict[str, float]:
-    hour, dow = 2 * math.pi * at.hour / 24, 2 * math.pi * at.dayofweek / 7
-    return {
-        "hour_sin": math.sin(hour),
-        "hour_cos": math.cos(hour),
-        "dow_sin": math.sin(dow),
-        "dow_cos": math.cos(dow),
-        "is_weekend": float(at.dayofweek >= 5),
-    }
-
-
-def _history(y: list[float], fallback: float) -> dict[str, float]:
-    def back(n: int) -> float:
-        return y[-n] if len(y) >= n else fallback
-
-    def mean(n: int) -> float:
-        tail = y[-n:]
-        return sum(tail) / len(tail) if tail else fallback
-
-    return {
-        "lag_15min": back(1),
-        "lag_1h": back(4),
-        "lag_2h": back(8),
-        "lag_1day": back(96),
-        "lag_1week": back(672),
-        "roll_mean_1h": mean(4),
-        "roll_mean_2h": mean(8),
-        "roll_mean_1day": mean(96),
-    }
-
-
-def linear_predictor(model, features: list[str] | None = None) -> Callable[[dict[str, float]], float]:
-    """A plain function of one feature row for ``forecast_recursive``; it carries numbers only."""
-    weights = list(zip(features or MODEL_FEATURES, [float(x) for x in model.coefficients]))
-    intercept = float(model.intercept)
-
-    def predict(row: dict[str, float]) -> float:
-        return math.exp(intercept + sum(w * row[c] for c, w in weights))
-
-    return predict
+            ahead = last + step
+            at = season + step - 1
+            row = _calendar(ahead)
+            row["zone_slot_baseline"] = means[rows, ahead % SLOTS_PER_DAY]
+            row |= _history(y[:, :at], row["zone_slot_baseline"])
+            y[:, at] = np.maximum(0.0, np.broadcast_to(np.asarray(predict(row), dtype=float), len(zones)))
+            time = pd.to_datetime(ahead * STEP_MINUTES * 60, unit="s")
+            out.append(pd.DataFrame({"zone_id": zones, "step": step, "time_bucket": time, "yhat": [round(v, 2) for v in y[:, at].tolist()]}))
+        return pd.concat(out, ignore_index=True)
+
+    return recent.groupBy("part").cogroup(slots.groupBy("part")).applyInPandas(run, "zone_id bigint, step int, time_bucket timestamp_ntz, yhat double")
+
+
+def _calendar(slot: np.ndarray) -> dict[str, np.ndarray]:
+    """Calendar features of slots since 1970 (a Thursday)."""
+    hour = 2 * np.pi * (slot % SLOTS_PER_DAY // 4) / 24
+    weekday = (slot // SLOTS_PER_DAY + 3) % 7
+    dow = 2 * np.pi * weekday / 7
+    return {"hour_sin": np.sin(hour), "hour_cos": np.cos(hour), "dow_sin": np.sin(dow), "dow_cos": np.cos(dow), "is_weekend": (weekday >= 5).astype(float)}
+
+
+def _history(y: np.ndarray, fallback: np.ndarray) -> dict[str, np.ndarray]:
+    """Lags and rolling means of the slots before the predicted one, a row for each zone."""
+    out = {}
+    for name, n in LAGS.items():
+        value = y[:, -n] if n <= y.shape[1] else np.full(len(y), np.nan)
+        out[name] = np.where(np.isnan(value), fallback, value)
+    for name, n in ROLLING.items():
+        tail = y[:, -n:]
+        have = ~np.isnan(tail)
+        count = have.sum(axis=1)
+        out[name] = np.where(count > 0, np.where(have, tail, 0.0).sum(axis=1) / np.maximum(count, 1), fallback)
+    return out
 
 
 def forecast_heatmap(forecast: DataFrame, hours_ahead: int) -> DataFrame:

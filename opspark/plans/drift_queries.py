@@ -33,9 +33,9 @@ def scored(spark: SparkSession, d: str) -> DataFrame:
     return scored_series(spark, d, dq.stored_fact(spark, d))
 
 
-def scored_series(spark: SparkSession, d: str, fact: DataFrame) -> DataFrame:
-    """The same of a series that is given."""
-    f = features.feature_table(fact, tables.zones(spark, d), before=SPLIT)
+def scored_series(spark: SparkSession, d: str, fact: DataFrame, baseline: DataFrame | None = None) -> DataFrame:
+    """The same of a series that is given, with the slot means of its first part or stored ones."""
+    f = features.feature_table(fact, tables.zones(spark, d), before=SPLIT, baseline=baseline)
     base = F.col("zone_slot_baseline")
     # On a grid of 1/4096, so that sums are exact in any order.
     yhat = F.floor((F.coalesce("lag_1week", base) + base) / 2 * 4096) / 4096.0

@@ -24,14 +24,15 @@ def value_counts(rows: DataFrame, groups: list[str], value: str, sums: dict) ->
 
 
 def cumulative_counts(
-    counts: DataFrame, groups: list[str], value: str, sums: list[str], pieces: int = PIECES
+    counts: DataFrame, groups: list[str], value: str, sums: list[str], pieces: int = PIECES, following: str | None = None
 ) -> DataFrame:
     """Adds ``cum_<s>`` (inclusive running total by value) and ``all_<s>`` (group total) to value counts.
 
     The value axis is cut at approximate quantiles of all distinct values, so a (group, piece) cell holds
     about 1/pieces of the rows at most, also when one group has most of them. Running totals are taken
     inside the cells and shifted by the totals of the cells before; those are ``pieces`` rows per group.
-    ``counts`` is read three times, so pass a materialised frame (``cut_lineage``).
+    ``counts`` is read three times, so pass a materialised frame (``cut_lineage``). ``following`` names one more column, the next
+    larger value of the group: inside a cell it is the next row's, at the end of a cell the first one of the next cell.
     """
     if pieces % GROUP:
         raise ValueError(f"pieces must be a multiple of {GROUP}")
@@ -53,17 +54,22 @@ def cumulative_counts(
         .drop("_cuts", "_at")
     )
     cell = [*groups, "_piece"]
-    totals = placed.groupBy(*cell).agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
+    totals = placed.groupBy(*cell).agg(F.min(value).alias("_first"), *[F.sum(s).alias(f"_t_{s}") for s in sums])
     by_group = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
     before = by_group.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *cell,
         *[F.coalesce(F.sum(f"_t_{s}").over(before), F.lit(0)).alias(f"_o_{s}") for s in sums],
         *[F.sum(f"_t_{s}").over(by_group).alias(f"all_{s}") for s in sums],
+        *([F.lead("_first").over(by_group.orderBy("_piece")).alias("_after")] if following else []),
     )
     inside = Window.partitionBy(*cell).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     local = placed.withColumns({f"_c_{s}": F.sum(s).over(inside) for s in sums})
+    if following:
+        local = local.withColumn(following, F.lead(value).over(Window.partitionBy(*cell).orderBy(value)))
     joined = local.join(offsets, cell)
+    if following:
+        joined = joined.withColumn(following, F.coalesce(following, "_after")).drop("_after")
     return joined.withColumns({f"cum_{s}": F.col(f"_c_{s}") + F.col(f"_o_{s}") for s in sums}).drop(
         "_piece", *[f"_{k}_{s}" for k in "co" for s in sums]
     )
@@ -88,3 +94,19 @@ def exact_quantiles(
         lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
         out.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(name))
     return found.select(*groups, "n", *out)
+
+
+def running_sums(rows: DataFrame, keys: list[str], cut: str, order: list, sums: dict[str, str]) -> DataFrame:
+    """Running totals (inclusive, by ``order``) within the keys: {new column: summed column}.
+
+    ``cut`` is a column that ascends with the order and splits a key's rows into bounded parts, such as a slice of time. Totals are taken inside
+    the parts and shifted by those of the parts before, so no task holds a key's whole history. ``rows`` is read twice.
+    """
+    cell = [*keys, cut]
+    totals = rows.groupBy(*cell).agg(*[F.sum(c).alias(f"_t_{n}") for n, c in sums.items()])
+    before = Window.partitionBy(*keys).orderBy(cut).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*cell, *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in sums])
+    inside = Window.partitionBy(*cell).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = rows.withColumns({f"_c_{n}": F.sum(c).over(inside) for n, c in sums.items()})
+    joined = local.join(offsets, cell)
+    return joined.withColumns({n: F.col(f"_c_{n}") + F.col(f"_o_{n}") for n in sums}).drop(*[f"_{k}_{n}" for k in "co" for n in sums])

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timefeat import epoch_micros
-from ..operators import demand, features, gates, scoring
+from ..operators import demand, features, forest, monitor, scoring
 from ..session import cut_lineage, scratch
 from ..sources import logs, policies, readers, tables
 from ..streaming import streams
@@ -95,32 +98,33 @@ def forecast_heatmap_naive(spark, d):
 
 
 def _model_table(spark, d, series: DataFrame) -> DataFrame:
-    """Feature table written once: the model is fitted on it and applied to it."""
-    return cut_lineage(features.feature_table(series, tables.zones(spark, d), before=drq.SPLIT))
+    """Features that look at the past only, written once: the model is fitted on them and applied to them."""
+    table = features.feature_table(series, tables.zones(spark, d), before=drq.SPLIT, past=True)
+    return cut_lineage(scoring.filled(table, scoring.MODEL_FEATURES))
 
 
 def _trained(table: DataFrame):
-    return scoring.fit_poisson(table.where(F.col("time_bucket") < F.lit(drq.SPLIT).cast("timestamp_ntz")))
+    """Boosted trees of the rows before the split."""
+    return forest.fit_boosted(table.where(F.col("time_bucket") < F.lit(drq.SPLIT).cast("timestamp_ntz")), scoring.MODEL_FEATURES)
 
 
 @query("score_batch")
 def score_batch(spark, d):
-    """Poisson regression fitted on the baseline window, applied to the whole table."""
+    """Boosted trees fitted on the baseline window, applied to the whole table."""
     table = _model_table(spark, d, dq.stored_fact(spark, d))
-    return scoring.score_poisson(table, _trained(table)).select("zone_id", "time_bucket", "trip_count", "yhat")
+    return forest.score_boosted(table, _trained(table), scoring.MODEL_FEATURES).select("zone_id", "time_bucket", "trip_count", "yhat")
 
 
 @query("forecast_recursive")
 def forecast_recursive(spark, d):
     f = dq.stored_fact(spark, d)
-    table = _model_table(spark, d, f)
-    base = features.zone_slot_baseline(f, drq.SPLIT)
-    return scoring.forecast_recursive(f, base, scoring.linear_predictor(_trained(table)))
+    trees = forest.Forest.exported(_trained(_model_table(spark, d, f)), scoring.MODEL_FEATURES)
+    return scoring.forecast_recursive(f, features.zone_slot_baseline(f, drq.SPLIT), trees.predict)
 
 
 @query("forecast_heatmap")
 def forecast_heatmap(spark, d):
-    return scoring.forecast_heatmap(forecast_recursive(spark, d), 4)
+    return scoring.forecast_heatmap(cut_lineage(forecast_recursive(spark, d)), 4)
 
 
 # A fixed model of dyadic weights: every prediction is exact in both engines, so the recursion itself is compared.
@@ -133,7 +137,7 @@ steps AS (
 ahead AS (SELECT zone_id, CAST(step AS INTEGER) AS step, CAST(t0 + step * INTERVAL 15 MINUTE AS TIMESTAMP) AS time_bucket, round_even(y[-1], 2) AS yhat FROM steps WHERE step > 0)"""
 
 
-def fixed_model(row: dict[str, float]) -> float:
+def fixed_model(row: dict[str, np.ndarray]) -> np.ndarray:
     return sum(w * row[c] for c, w in FIXED_WEIGHTS.items())
 
 
@@ -144,6 +148,41 @@ def forecast_recursive_fixed(spark, d):
     return scoring.forecast_recursive(f, features.zone_slot_baseline(f, drq.SPLIT), fixed_model)
 
 
+# One given tree with dyadic leaves, in both engines.
+TREE = ("lag_1h", 0.5, ("lag_1week", 0.5, 0.25, 1.25), ("roll_mean_1h", 1.5, ("lag_15min", 0.75, 0.75, 1.5), 2.5))
+TREE_STEPS = FIXED.replace(
+    "greatest(0.0, 0.25 * y[-1] + 0.25 * y[-4] + 0.5 * y[-672])",
+    """CASE WHEN y[-4] <= 0.5 THEN CASE WHEN y[-672] <= 0.5 THEN 0.25 ELSE 1.25 END
+            WHEN (y[-1] + y[-2] + y[-3] + y[-4]) / 4 <= 1.5 THEN CASE WHEN y[-1] <= 0.75 THEN 0.75 ELSE 1.5 END ELSE 2.5 END""",
+)
+
+
+@query("forecast_recursive_tree", f"WITH RECURSIVE {FACT}, {TREE_STEPS} SELECT zone_id, step, time_bucket, yhat FROM ahead")
+def forecast_recursive_tree(spark, d):
+    """The recursive forecast with one given tree in the form of an exported model."""
+    f = dq.stored_fact(spark, d)
+    model = forest.Forest.of([TREE], scoring.MODEL_FEATURES)
+    return scoring.forecast_recursive(f, features.zone_slot_baseline(f, drq.SPLIT), model.predict)
+
+
+@query(
+    "score_tree",
+    with_(
+        dq.FEATURE_CTES,
+        """SELECT zone_id, time_bucket, (CASE WHEN lag_1h <= 0.5 THEN CASE WHEN lag_1week <= 0.5 THEN 0.25 ELSE 1.25 END
+             WHEN before <= 1.5 THEN CASE WHEN lag_15min <= 0.75 THEN 0.75 ELSE 1.5 END ELSE 2.5 END)::DOUBLE AS yhat
+           FROM (SELECT *, avg(trip_count) OVER (PARTITION BY zone_id ORDER BY time_bucket RANGE BETWEEN INTERVAL 60 MINUTE PRECEDING AND INTERVAL 15 MINUTE PRECEDING) AS before FROM feat)
+           WHERE time_bucket >= TIMESTAMP '2024-01-16'""",
+    ),
+)
+def score_tree(spark, d):
+    """The same tree as a column expression over the features of the second half."""
+    table = features.feature_table(dq.stored_fact(spark, d), tables.zones(spark, d), before=drq.SPLIT, past=True)
+    model = forest.Forest.of([TREE], scoring.MODEL_FEATURES)
+    later = table.where(F.col("time_bucket") >= F.lit(drq.SPLIT).cast("timestamp_ntz"))
+    return later.select("zone_id", "time_bucket", model.column().alias("yhat"))
+
+
 @query(
     "forecast_heatmap_fixed",
     f"WITH RECURSIVE {FACT}, {FIXED} SELECT zone_id, time_bucket, yhat AS demand, max(yhat) OVER () AS max, 3 AS hours_ahead FROM ahead WHERE step = 12",
@@ -212,9 +251,19 @@ def log_scan(spark, d):
     return logs.scan_log(spark, _spending_log(spark, d), wanted).select("event_id", "user_id", "total_cost")
 
 
-@query("metrics_report")
+@query(
+    "metrics_report",
+    with_(
+        f"""{drq.MONITOR},
+f1 AS (SELECT metric, grouping, segment, '{{' || string_agg('"' || field || '":' || CAST(round(value * 1000000) AS BIGINT), ',' ORDER BY field) || '}}' AS j FROM metrics WHERE value IS NOT NULL GROUP BY 1, 2, 3),
+f2 AS (SELECT metric, grouping, '{{' || string_agg('"' || segment || '":' || j, ',' ORDER BY segment) || '}}' AS j FROM f1 GROUP BY 1, 2)""",
+        """SELECT metric, '{' || string_agg('"' || grouping || '":' || j, ',' ORDER BY grouping) || '}' AS report FROM f2 GROUP BY 1""",
+    ),
+)
 def metrics_report(spark, d):
-    return logs.report_rows(drq.all_metrics(spark, d)).select("metric", F.to_json("report").alias("report"))
+    """The nested report of a monitoring run; values in whole millionths, so that its text is the same everywhere."""
+    metrics = drq.all_metrics(spark, d).withColumn("value", F.round(F.col("value") * 1000000).cast("bigint"))
+    return logs.report_rows(metrics).select("metric", F.to_json("report").alias("report"))
 
 
 # Streams
@@ -233,11 +282,29 @@ def event_stream(spark: SparkSession, d: str) -> DataFrame:
 
 def run(writer, spark: SparkSession, name: str) -> None:
     """Runs a stream over all the input there is and waits for its end."""
-    q = writer.option("checkpointLocation", scratch(spark, name)).trigger(availableNow=True).start()
-    try:
-        q.awaitTermination()
-    finally:
-        q.stop()
+    streams.run_reported(writer, spark, scratch(spark, name))
+
+
+def in_runs(spark: SparkSession, rows: DataFrame, arrival: Column, runs: int, build, name: str) -> DataFrame:
+    """A stream on a schedule: the rows arrive in turns, and each run takes what is new with the state of the runs before.
+
+    ``build(stream, run, reports)`` gives the writer, where ``reports`` are the progress rows so far. Returns these, with their run.
+    """
+    path, checkpoint = scratch(spark, f"{name}-in"), scratch(spark, f"{name}-checkpoint")
+    reports: list[DataFrame] = []
+    for k in range(runs):
+        rows.where(arrival == k).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(rows.schema).parquet(path)
+        reports.append(streams.run_reported(build(stream, k, reports), spark, checkpoint).withColumn("run", F.lit(k)))
+    return reduce(DataFrame.unionByName, reports)
+
+
+#: The days on which the second and the third run begin.
+RUN_STARTS = ("2024-01-12", "2024-01-22")
+
+
+def run_of(ts: str, starts: tuple[str, ...] = RUN_STARTS) -> Column:
+    return reduce(Column.__add__, [(F.col(ts) >= F.lit(x).cast("timestamp_ntz")).cast("int") for x in starts])
 
 
 def run_to_table(stream: DataFrame, spark: SparkSession, name: str) -> DataFrame:
@@ -286,20 +353,56 @@ def stream_demand_closed(spark, d):
     return out.select("zone_id", F.unix_micros("time_bucket").alias("bucket_us"), "trip_count")
 
 
-@query("stream_rate_limit", lq.ORACLES["rate_limit"].replace("event_id, user_id, allowed FROM", "event_id, user_id, allowed FROM"))
+@query("stream_rate_limit", lq.ORACLES["rate_limit"])
 def stream_rate_limit(spark, d):
-    stream = event_stream(spark, d).select("user_id", "us", "event_id")
-    out = run_to_table(streams.rate_limit_stream(stream, lq.GATE_CAP, lq.DAY), spark, "rate")
-    return out.select("event_id", "user_id", "allowed")
+    """Three scheduled runs; the state is what a window may still hold of each user's admitted requests."""
+    requests = tables.table(spark, d, "events").select("user_id", "ts", "event_id")
+    path = scratch(spark, "rate")
+    in_runs(spark, requests, run_of("ts"), 3, lambda stream, k, _: streams.rate_limit_batches(stream, path, lq.GATE_CAP, lq.DAY), "rate")
+    return spark.read.parquet(path).select("event_id", "user_id", "allowed")
 
 
 @query("stream_budget", lq.ORACLES["budget_gate"])
 def stream_budget(spark, d):
-    role = lq._pick(tables.ROLES, F.col("user_id"))
-    stream = event_stream(spark, d).select("user_id", "us", "event_id", role.alias("user_role"), F.col("value").alias("cost"))
-    budgets = dict(policies.ROLE_BUDGETS)
-    out = run_to_table(streams.budget_stream(stream, budgets, policies.PREFLIGHT_ESTIMATE), spark, "budget")
-    return out.select("event_id", "user_id", "allowed")
+    """Three scheduled runs; the state is what each user has spent."""
+    budgets = policies.role_budgets(spark)
+    path = scratch(spark, "budget")
+    in_runs(spark, lq.requests(spark, d), run_of("ts"), 3, lambda stream, k, _: streams.budget_batches(stream, path, budgets, policies.PREFLIGHT_ESTIMATE), "budget")
+    return spark.read.parquet(path).select("event_id", "user_id", "allowed")
+
+
+LATE = f"""arrived AS (
+  SELECT ts, epoch_us(time_bucket(INTERVAL 15 MINUTE, ts)) + 900000000 AS closes, least(2, a + CASE WHEN event_id % 97 = 0 THEN 1 ELSE 0 END) AS run
+  FROM (SELECT event_id, ts, {" + ".join(f"CASE WHEN ts >= TIMESTAMP '{x}' THEN 1 ELSE 0 END" for x in RUN_STARTS)} AS a FROM events)),
+marks AS (SELECT r.run, max(epoch_us(ts)) - 3600000000 AS mark FROM (SELECT unnest([1, 2, 3]) AS run) r JOIN arrived ON arrived.run < r.run GROUP BY 1),
+judged AS (SELECT a.run, closes, coalesce(closes <= mark, false) AS late FROM arrived a LEFT JOIN marks USING (run))"""
+
+
+@query(
+    "stream_late_rows",
+    with_(
+        LATE,
+        """SELECT run, count(*) AS input_rows, count(*) FILTER (WHERE late) AS late_rows, count(*) FILTER (WHERE late) > 0 AS dropped,
+             (SELECT count(*) FROM judged WHERE NOT late AND closes <= (SELECT mark FROM marks WHERE run = 3)) AS closed_trips FROM judged GROUP BY 1""",
+    ),
+)
+def stream_late_rows(spark, d):
+    """Windowed demand in three runs; every 97th event comes one run late, and what the watermark drops is counted in each run."""
+    e = tables.table(spark, d, "events").select("event_id", "user_id", "ts")
+    rows = e.withColumn("event_time", F.timestamp_micros(epoch_micros(F.col("ts"))))
+    arrival = F.least(F.lit(2), run_of("ts") + (F.col("event_id") % 97 == 0).cast("int"))
+    path = scratch(spark, "late")
+
+    def build(stream: DataFrame, k: int, reports: list[DataFrame]):
+        # One value of the run before.
+        mark = reports[-1].agg(F.max("watermark")).first()[0] if reports else None
+        zones = streams.counting_late(stream, "event_time", "15 minutes", mark).select(F.pmod("user_id", F.lit(25)).alias("zone_id"), "event_time")
+        return streams.demand_windows(zones, "event_time").writeStream.outputMode("append").format("parquet").option("path", path)
+
+    report = in_runs(spark, rows, arrival, 3, build, "late")
+    closed = spark.read.schema("zone_id bigint, time_bucket timestamp, trip_count bigint").parquet(path)
+    per_run = report.groupBy("run").agg(F.sum("input_rows").alias("input_rows"), F.sum("late_rows").alias("late_rows"), (F.sum("dropped_rows") > 0).alias("dropped"))
+    return per_run.withColumn("closed_trips", closed.agg(F.sum("trip_count")).scalar())
 
 
 def _dirty_stream(spark, d) -> DataFrame:
@@ -327,28 +430,65 @@ def stream_dedupe(spark, d):
     return out.groupBy("zone_id").agg(F.count("*").alias("keys"))
 
 
-@query("stream_monitor")
+MONITOR_STARTS = ("2024-01-21", "2024-01-26")
+_BATCHES = [("2024-01-16", "2024-01-21"), ("2024-01-21", "2024-01-26"), ("2024-01-26", "2100-01-01")]
+
+
+def _monitor_sql(number: int, start: str, end: str) -> str:
+    """The metrics of one batch; the features of its rows look back over all that came before."""
+    look = """CAST(hour(time_bucket) AS INTEGER) AS hour, CASE WHEN isodow(time_bucket) >= 6 THEN 1 ELSE 0 END AS is_weekend"""
+    lags = "lag_15min, lag_1h, lag_2h, lag_1day, lag_1week, roll_mean_1h, roll_mean_2h, roll_mean_1day"
+    ctes = f"""{qq.DIRTY},
+series AS (
+  SELECT zone_id, time_bucket, trip_count, is_holiday FROM fact WHERE time_bucket < TIMESTAMP '{drq.SPLIT}'
+  UNION ALL SELECT zone_id, time_bucket, trip_count, is_holiday FROM (SELECT *, row_number() OVER (PARTITION BY zone_id, time_bucket ORDER BY row_id) AS first FROM dirty)
+  WHERE first = 1 AND time_bucket >= TIMESTAMP '{drq.SPLIT}'),
+feat AS (SELECT *, {dq.LAG_SQL}, {dq.ROLL_SQL}, CAST(hour(time_bucket) * 4 + minute(time_bucket) // 15 AS INTEGER) AS slot_of_day FROM series {dq.WINDOW_SQL}),
+slotbase AS (SELECT zone_id, slot_of_day, avg(trip_count) AS zone_slot_baseline FROM feat WHERE time_bucket < TIMESTAMP '{drq.SPLIT}' GROUP BY 1, 2),
+known AS (
+  SELECT f.*, zone_slot_baseline, borough_id, floor((coalesce(lag_1week, zone_slot_baseline) + zone_slot_baseline) / 2 * 4096) / 4096.0 AS yhat
+  FROM feat f LEFT JOIN slotbase b ON b.zone_id = f.zone_id AND b.slot_of_day = f.slot_of_day LEFT JOIN zones z ON z.zone_id = f.zone_id),
+scored AS (
+  SELECT zone_id, borough_id, {look}, time_bucket, trip_count, is_holiday, {lags}, yhat, false AS is_new FROM known WHERE time_bucket < TIMESTAMP '{drq.SPLIT}'
+  UNION ALL
+  SELECT d.zone_id, k.borough_id, {look.replace("time_bucket", "d.time_bucket")}, d.time_bucket, d.trip_count, d.is_holiday, {lags}, yhat, true
+  FROM dirty d JOIN known k ON k.zone_id = d.zone_id AND k.time_bucket = d.time_bucket WHERE d.time_bucket >= TIMESTAMP '{start}' AND d.time_bucket < TIMESTAMP '{end}')"""
+    rest = drq.MONITOR.removeprefix(drq.SCORED).replace("max(time_bucket) AS latest", "max(time_bucket) FILTER (WHERE is_new) AS latest")
+    copies = "(SELECT sum(n - 1) AS extra, count(*) FILTER (WHERE n > 1) AS keys FROM (SELECT count(*) AS n FROM scored WHERE is_new GROUP BY zone_id, time_bucket))"
+    rest = rest.replace("unnest([0.0, 0.0, 0.0, CAST(total AS DOUBLE)]) FROM one", f"unnest([extra / total, CAST(extra AS DOUBLE), CAST(keys AS DOUBLE), CAST(total AS DOUBLE)]) FROM one, {copies}")
+    verdict = """CASE WHEN (SELECT count(*) FROM alerts WHERE severity = 'critical') > 0 THEN 'BLOCK_DEPLOY_AND_PAGE' WHEN (SELECT count(*) FROM alerts) > 0 THEN 'MONITOR' ELSE 'OK' END"""
+    body = f"""SELECT {number} AS batch, m.metric, m.grouping, m.segment, m.field, round(m.value, 6) + 0 AS value, severity, {verdict} AS decision
+      FROM metrics m LEFT JOIN alerts a ON a.metric = m.metric AND a.grouping = m.grouping AND a.segment = m.segment AND a.field = m.field"""
+    return f"SELECT * FROM (WITH {ctes}{rest}\n{body})"
+
+
+@query("stream_monitor", "\nUNION ALL\n".join(_monitor_sql(i, a, b) for i, (a, b) in enumerate(_BATCHES)))
 def stream_monitor(spark, d):
-    """The dirty series after the split, batch by batch against the scored series before it, with each batch's decision.
+    """The dirty series after the split in three scheduled runs, each against the stored profile of the series before it.
 
-    The features of a row look back over the stored history and the first copy of each key of its batch.
+    The features of a row look back over the state (the last week of each zone) and the first copy of each key of its batch.
     """
     split = F.lit(drq.SPLIT).cast("timestamp_ntz")
     columns = ["zone_id", "time_bucket", "trip_count", "is_holiday"]
     history = cut_lineage(dq.fact(spark, d).where(F.col("time_bucket") < split).select(*columns))
-    baseline = cut_lineage(drq.scored_series(spark, d, history).where(F.col("time_bucket") < split))
+    slots = cut_lineage(features.zone_slot_baseline(history))
+
+    def scored(series: DataFrame) -> DataFrame:
+        return drq.scored_series(spark, d, series, slots).withColumn("roll_mean_1day", F.round("roll_mean_1day", 9))
 
-    def score(batch: DataFrame) -> DataFrame:
-        rows = cut_lineage(batch)
-        first = rows.groupBy("zone_id", "time_bucket").agg(F.min_by(F.struct("trip_count", "is_holiday"), "row_id").alias("first"))
-        series = cut_lineage(history.unionByName(first.select("zone_id", "time_bucket", "first.*")))
-        known = drq.scored_series(spark, d, series).where(F.col("time_bucket") >= split).drop("trip_count", "is_holiday", "is_new")
-        return rows.join(known, ["zone_id", "time_bucket"], "left")
+    def score(batch: DataFrame, series: DataFrame) -> DataFrame:
+        return batch.join(scored(series).drop("trip_count", "is_holiday", "is_new"), ["zone_id", "time_bucket"], "left")
 
+    stored = monitor.profile(cut_lineage(scored(history)))
     base = scratch(spark, "monitor")
-    stream = _dirty_stream(spark, d).where(F.col("time_bucket") >= split)
-    run(streams.monitor_batches(stream, base, lambda n: drq.REFERENCE, baseline, score), spark, "monitor-state")
-    return spark.read.parquet(base).join(spark.read.parquet(f"{base}-decisions").select("batch", "decision"), "batch")
+    rows = qq.dirty(spark, d).where(F.col("time_bucket") >= split)
+
+    def build(stream: DataFrame, k: int, _):
+        return streams.monitor_batches(stream, base, lambda n: drq.REFERENCE, stored, score, history if k == 0 else None)
+
+    in_runs(spark, rows, run_of("time_bucket", MONITOR_STARTS), 3, build, "monitor")
+    found = spark.read.parquet(base).join(spark.read.parquet(f"{base}-decisions").select("batch", "decision"), "batch")
+    return drq.rounded(found.select("batch", "metric", "grouping", "segment", "field", "value", "severity", "decision"), "value")
 
 
 @query(

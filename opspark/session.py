@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -44,19 +45,27 @@ def ship_package(spark: SparkSession) -> SparkSession:
     whatever folder the driver was started from."""
     sc = spark.sparkContext
     if sc.applicationId not in _SHIPPED:
-        root = os.path.dirname(os.path.abspath(__file__))
-        path = os.path.join(tempfile.mkdtemp(prefix="opspark-package-"), "opspark.zip")
-        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
-            for folder, _, names in os.walk(root):
-                for name in names:
-                    if name.endswith(".py"):
-                        full = os.path.join(folder, name)
-                        z.write(full, os.path.relpath(full, os.path.dirname(root)))
-        sc.addPyFile(path)
+        # Executors may ask the driver for the file at any time, so it stays until the driver ends.
+        place = tempfile.TemporaryDirectory(prefix="opspark-package-")
+        atexit.register(place.cleanup)
+        sc.addPyFile(package_file(place.name))
         _SHIPPED.add(sc.applicationId)
     return spark
 
 
+def package_file(place: str) -> str:
+    """This package as a zip file in a folder."""
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(place, "opspark.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder_, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder_, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    return path
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 
@@ -80,7 +89,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 _INTERMEDIATE: dict[str, list[str]] = {}
 
 
-def _folder(spark: SparkSession, path: str):
+def folder(spark: SparkSession, path: str):
     """The store that holds a path, and the path in it."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
@@ -88,7 +97,7 @@ def _folder(spark: SparkSession, path: str):
 
 def _forget_at_exit(spark: SparkSession, path: str) -> None:
     """The store deletes the folder when the driver ends, unless ``drop_intermediates`` did before."""
-    store, where = _folder(spark, path)
+    store, where = folder(spark, path)
     store.deleteOnExit(where)
     _INTERMEDIATE.setdefault(spark.sparkContext.applicationId, []).append(path)
 
@@ -100,7 +109,7 @@ def drop_intermediates(spark: SparkSession) -> int:
     """
     paths = _INTERMEDIATE.pop(spark.sparkContext.applicationId, [])
     for path in paths:
-        store, where = _folder(spark, path)
+        store, where = folder(spark, path)
         store.delete(where, True)
     return len(paths)
 

@@ -21,19 +21,28 @@ def scan_log(spark: SparkSession, path: str, condition: Column | None = None, sc
     return log if condition is None else log.where(condition)
 
 
+def _by(name: str):
+    """Order of structs by one field; maps cannot be compared."""
+
+    def order(a: Column, b: Column) -> Column:
+        return F.when(a[name] < b[name], -1).when(a[name] > b[name], 1).otherwise(0)
+
+    return order
+
+
 def report_rows(metrics: DataFrame) -> DataFrame:
     """Nested form of a long metrics table: one row per metric with grouping -> segment -> field -> value.
 
-    The maps hold one entry per segment, not per data row.
+    The maps hold one entry per segment, not per data row, in ascending order, so that the JSON text is always the same.
     """
     fields = metrics.where(F.col("value").isNotNull()).groupBy("metric", "grouping", "segment").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", "value")))).alias("fields")
     )
     segments = fields.groupBy("metric", "grouping").agg(
-        F.map_from_entries(F.collect_list(F.struct("segment", "fields"))).alias("segments")
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("segment", "fields")), _by("segment"))).alias("segments")
     )
     return segments.groupBy("metric").agg(
-        F.map_from_entries(F.collect_list(F.struct("grouping", "segments"))).alias("report")
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("grouping", "segments")), _by("grouping"))).alias("report")
     )
 
 

@@ -5,18 +5,16 @@ Inputs are streaming DataFrames. Event times are TIMESTAMP columns of a UTC sess
 
 from __future__ import annotations
 
-from collections import deque
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..functions.timefeat import epoch_micros
 from ..operators import gates, monitor, quality
-from ..session import cut_lineage
+from ..session import cut_lineage, folder
+from ..sources.literals import literal_table
 
 DEFAULT_DELAY = "1 hour"
 MICRO = 1_000_000
@@ -37,53 +35,114 @@ def first_per_key(rows: DataFrame, keys: list[str], ts: str = "time_bucket", del
     return rows.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def _in_order(batches: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    """The rows of one user in one trigger; ``maxFilesPerTrigger`` or the source's offsets limit bound them."""
-    rows = pd.concat(list(batches), ignore_index=True)
-    return rows.sort_values(["us", "event_id"], kind="stable")
+class VersionedState:
+    """A small table that every batch reads, merges and writes again, one folder for each batch number.
+
+    A repeated batch reads the version before it once more, so it comes to the same result. The last two versions are kept.
+    """
+
+    def __init__(self, path: str, schema: str):
+        self.path, self.schema = path, schema
+
+    def start(self, frame: DataFrame) -> None:
+        """The version before the first batch."""
+        frame.write.mode("overwrite").parquet(f"{self.path}/batch=-1")
+
+    def before(self, spark: SparkSession, number: int) -> DataFrame:
+        store, where = folder(spark, f"{self.path}/batch={number - 1}")
+        if not store.exists(where):
+            if number > 0:
+                raise FileNotFoundError(f"the state before batch {number} is gone: {where}")
+            return literal_table(spark, [], self.schema)
+        return spark.read.schema(self.schema).parquet(f"{self.path}/batch={number - 1}")
+
+    def put(self, frame: DataFrame, number: int) -> None:
+        frame.write.mode("overwrite").parquet(f"{self.path}/batch={number}")
+        store, where = folder(frame.sparkSession, f"{self.path}/batch={number - 2}")
+        store.delete(where, True)
 
 
-def rate_limit_stream(requests: DataFrame, cap: int, window_seconds: float) -> DataFrame:
-    """Sliding-window admission with state: per user the times of at most ``cap`` admitted requests.
+def rate_limit_batches(requests: DataFrame, path: str, cap: int, window_seconds: float) -> DataStreamWriter:
+    """The sliding-window gate over a stream: each batch's decisions go to ``path``, one folder for each batch.
 
-    ``requests`` needs user_id, us (event time in microseconds) and event_id. Order across triggers is arrival
-    order. There is no timeout: a watermark would leave late requests undecided, and the state of a
-    silent user is ``cap`` numbers at most.
+    A batch is decided by ``gates.rate_limit``, which never puts a user's log into one frame. It is seeded with the state: the
+    admitted requests of each user that a window may still hold (``cap`` at most), which are admitted again and then left
+    out. Order across batches is arrival order: a request that is older than its user's last admitted one counts at that time.
+
+    ``requests`` needs user_id, ts (zone-less) and event_id.
     """
     width = int(window_seconds * MICRO)
+    state = VersionedState(f"{path}-state", "user_id bigint, ts timestamp_ntz, event_id bigint")
 
-    def decide(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        kept = deque(sorted(state.get[0])) if state.exists else deque()
-        rows = _in_order(batches)
-        allowed = gates.admitted(rows["us"].to_numpy(), kept, cap, width)
-        state.update((list(kept),))
-        yield pd.DataFrame({"user_id": rows["user_id"].to_numpy(), "event_id": rows["event_id"].to_numpy(), "allowed": allowed})
+    def handle(batch: DataFrame, number: int) -> None:
+        held = state.before(batch.sparkSession, number)
+        last = held.groupBy("user_id").agg(F.max("ts").alias("_last"))
+        asked = batch.join(last, "user_id", "left").withColumns({"_own": F.col("ts"), "ts": F.greatest("ts", F.coalesce("_last", "ts")), "_held": F.lit(False)})
+        seeds = held.withColumn("_held", F.lit(True))
+        together = cut_lineage(asked.drop("_last").unionByName(seeds, allowMissingColumns=True))
+        decided = cut_lineage(gates.rate_limit(together, cap, window_seconds))
+        out = decided.where(~F.col("_held")).withColumn("ts", F.col("_own")).select(*batch.columns, "allowed")
+        out.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        admitted = decided.where(F.col("allowed"))
+        newest = admitted.groupBy("user_id").agg(F.max(epoch_micros(F.col("ts"))).alias("_newest"))
+        state.put(admitted.join(newest, "user_id").where(epoch_micros(F.col("ts")) > F.col("_newest") - width).select("user_id", "ts", "event_id"), number)
 
-    return requests.groupBy("user_id").applyInPandasWithState(
-        decide, "user_id bigint, event_id bigint, allowed boolean", "kept array<bigint>", "append", GroupStateTimeout.NoTimeout
-    )
+    return requests.writeStream.foreachBatch(handle)
 
 
-def budget_stream(requests: DataFrame, budgets: dict[str, float], estimate: float) -> DataFrame:
-    """Budget admission with state: per user the amount spent, in millionths.
+def budget_batches(requests: DataFrame, path: str, budgets: DataFrame, estimate: float) -> DataStreamWriter:
+    """The budget gate over a stream: decisions to ``path``, one folder for each batch; the state is the amount each user has spent.
 
-    ``requests`` needs user_id, us, event_id, user_role and cost.
+    ``requests`` needs user_id, ts, event_id, user_role and cost. A batch is decided by ``gates.budget_gate``.
     """
-    limits = {r: int(round(b * MICRO)) - int(round(estimate * MICRO)) for r, b in budgets.items()}
-    none = -int(round(estimate * MICRO))
-
-    def decide(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        spent = state.get[0] if state.exists else 0
-        rows = _in_order(batches)
-        costs = np.round(rows["cost"].to_numpy() * MICRO).astype(np.int64)
-        own = np.array([limits.get(r, none) for r in rows["user_role"]], np.int64)
-        allowed, spent = gates.within_budget(costs, own, spent)
-        state.update((spent,))
-        yield pd.DataFrame({"user_id": rows["user_id"].to_numpy(), "event_id": rows["event_id"].to_numpy(), "allowed": allowed})
-
-    return requests.groupBy("user_id").applyInPandasWithState(
-        decide, "user_id bigint, event_id bigint, allowed boolean", "spent bigint", "append", GroupStateTimeout.NoTimeout
-    )
+    state = VersionedState(f"{path}-state", "user_id bigint, spent bigint")
+
+    def handle(batch: DataFrame, number: int) -> None:
+        before = state.before(batch.sparkSession, number)
+        decided = cut_lineage(gates.budget_gate(cut_lineage(batch), budgets, estimate, spent=before))
+        decided.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        new = decided.where("allowed").select("user_id", gates.to_micros(F.coalesce("cost", F.lit(0.0))).alias("spent"))
+        state.put(before.unionByName(new).groupBy("user_id").agg(F.sum("spent").alias("spent")), number)
+
+    return requests.writeStream.foreachBatch(handle)
+
+
+PROGRESS = "batch long, input_rows long, late_rows long, dropped_rows long, state_rows long, watermark string"
+
+
+def run_reported(writer: DataStreamWriter, spark: SparkSession, checkpoint: str, path: str | None = None) -> DataFrame:
+    """Runs a stream over all the input there is; returns, and appends to ``path``, one row for each trigger.
+
+    ``dropped_rows`` is what the state operators left out behind the watermark (Spark counts after its partial aggregation),
+    ``late_rows`` the exact number of ``counting_late``, if the stream has it.
+    """
+    q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    seen: dict[int, tuple] = {}
+
+    def look() -> None:
+        for p in q.recentProgress:
+            late = (p.observedMetrics or {}).get("late")
+            dropped = sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
+            states = sum(s.numRowsTotal for s in p.stateOperators)
+            seen[p.batchId] = (p.batchId, p.numInputRows, late["rows"] if late is not None else None, dropped, states, (p.eventTime or {}).get("watermark"))
+
+    try:
+        while not q.awaitTermination(5):
+            look()
+        look()
+    finally:
+        q.stop()
+    # One row a trigger.
+    rows = literal_table(spark, sorted(seen.values()), PROGRESS)
+    if path:
+        rows.coalesce(1).write.mode("append").parquet(path)
+    return rows
+
+
+def counting_late(rows: DataFrame, ts: str, width: str, watermark: str | None) -> DataFrame:
+    """Counts, without changing the stream, the rows whose window had closed by the watermark with which the trigger starts."""
+    late = F.lit(False) if watermark is None else F.window(ts, width)["end"] <= F.lit(watermark).cast("timestamp")
+    return rows.withColumn("_late", late).observe("late", F.count_if("_late").alias("rows")).drop("_late")
 
 
 def clean_batches(rows: DataFrame, clean_path: str, quarantine_path: str, report_path: str, order: str, max_drop_rate: float = quality.MAX_DROP_RATE) -> DataStreamWriter:
@@ -108,30 +167,45 @@ def clean_batches(rows: DataFrame, clean_path: str, quarantine_path: str, report
 
 
 def monitor_batches(
-    rows: DataFrame, path: str, reference: Callable[[int], str], baseline: DataFrame | None = None, score: Callable[[DataFrame], DataFrame] | None = None
+    rows: DataFrame,
+    path: str,
+    reference: Callable[[int], str],
+    profile: monitor.Profile | None = None,
+    score: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+    history: DataFrame | None = None,
 ) -> DataStreamWriter:
-    """The eight metrics of every batch against a stored baseline, their alerts and the deploy decision.
+    """The eight metrics of every batch against a stored baseline profile, their alerts and the deploy decision.
 
-    ``baseline`` is a scored frame (see ``monitor``), and ``score`` makes one of an arriving batch; without it a batch
-    comes scored. Per batch number, ``path`` gets the metrics with their severity, ``path`` + ``-alerts`` the alerts and
-    ``path`` + ``-decisions`` the decision, so a repeated batch replaces its own output. Without a baseline there is nothing
-    to compare with: then freshness and duplicates are measured, and the decision rests on these.
-    """
+    Per batch number, ``path`` gets the metrics with their severity, ``path`` + ``-alerts`` the alerts and ``path`` + ``-decisions`` the
+    decision, so a repeated batch replaces its own output. Without a profile there is nothing to compare with: then freshness and
+    duplicates are measured, and the decision rests on these.
 
-    def metrics_of(batch: DataFrame, number: int) -> DataFrame:
-        if baseline is None:
-            fresh = monitor._long(monitor.freshness(batch, reference(number)), "freshness", ["age_minutes", "age_hours", "stale"])
-            rate = monitor.duplicate_rate(batch)
+    ``score(batch, series)`` makes a scored frame of a batch; without it a batch comes scored. ``series`` is the state, the last week and day of each
+    zone as of the batch before, with the first copy of each new key of this batch. ``history`` starts it. What a batch
+    costs depends on its rows, the zones and the size of the profile, not on the length of the history.
+    """
+    state = VersionedState(f"{path}-state", "zone_id bigint, time_bucket timestamp_ntz, trip_count bigint, is_holiday int")
+    if history is not None:
+        state.start(monitor.last_week(history))
+
+    def metrics_of(new: DataFrame, number: int) -> DataFrame:
+        if profile is None:
+            fresh = monitor._long(monitor.freshness(new, reference(number)), "freshness", ["age_minutes", "age_hours", "stale"])
+            rate = monitor.duplicate_rate(new)
             return fresh.unionByName(monitor._long(rate, "duplicates", ["rate", "extra_rows", "duplicate_key_count", "total_rows"]))
-        new = score(batch) if score else batch
-        columns = [c for c in baseline.columns if c != "is_new"]
-        # A column that the batch lacks counts as null throughout.
-        own = new.select(*[(F.col(c) if c in new.columns else F.lit(None)).cast(baseline.schema[c].dataType).alias(c) for c in columns])
-        old = baseline.select(*columns).withColumn("is_new", F.lit(False))
-        return monitor.monitor_metrics(old.unionByName(own.withColumn("is_new", F.lit(True))), reference(number))
+        return monitor.metrics_against(profile, new, reference(number))
 
     def handle(batch: DataFrame, number: int) -> None:
-        metrics = cut_lineage(metrics_of(batch, number))
+        new = batch
+        if score is not None:
+            new = cut_lineage(batch)
+            held = state.before(batch.sparkSession, number)
+            first = new.groupBy("zone_id", "time_bucket").agg(F.min_by(F.struct(F.col("trip_count").cast("bigint").alias("trip_count"), F.col("is_holiday").cast("int").alias("is_holiday")), "row_id").alias("first"))
+            first = first.select("zone_id", "time_bucket", "first.*").join(held.select("zone_id", "time_bucket"), ["zone_id", "time_bucket"], "left_anti")
+            series = cut_lineage(held.unionByName(first))
+            new = score(new, series)
+            state.put(monitor.last_week(series), number)
+        metrics = cut_lineage(metrics_of(new, number))
         alerts = cut_lineage(monitor.evaluate_alerts(metrics))
         keys = ["metric", "grouping", "segment", "field"]
         found = {
@@ -139,8 +213,8 @@ def monitor_batches(
             f"{path}-alerts": alerts,
             f"{path}-decisions": monitor.decision(alerts),
         }
-        for folder, frame in found.items():
-            frame.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{folder}/batch={number}")
+        for target, frame in found.items():
+            frame.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{target}/batch={number}")
 
     return rows.writeStream.foreachBatch(handle)
 
