@@ -27,8 +27,8 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 
 from .texts import map_texts
 
-#: Distinct fragments a worker remembers before it starts anew (about 75 MB).
-CACHE = 300_000
+#: Distinct fragments a worker remembers before it starts anew, and the bytes of one: about 75 MB, whatever the texts.
+CACHE, REMEMBERED = 300_000, 64
 
 #: Fixed: the pattern of byte-level pre-tokenizers (``public_tokenizers.PATTERN``).
 PRE_TOKEN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
@@ -138,7 +138,9 @@ class Coder:
             part = raw[start:end]
             ids = known.get(part)
             if ids is None:
-                ids = known[part] = self._fragment(part)
+                ids = self._fragment(part)
+                if len(part) <= REMEMBERED:
+                    known[part] = ids
             out.append(ids)
             start = end
         return b"".join(out)

@@ -16,6 +16,7 @@ counts, of equal ones the first. A candidate inside a longer one with at least `
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -37,9 +38,6 @@ BLOCK_TOKENS = 1_200_000
 #: Every byte that ends a piece becomes a full stop (which no word contains), a tab a space.
 SEPARATORS = bytes.maketrans(b".,;:!?\x0a\x0b\x0c\x0d\t", b".........." + b" ")
 
-#: Rows of a language that one task ranks before the last ranking, about.
-RANKED = 200_000
-
 
 class Transducer(NamedTuple):
     """Counts of phrases. ``words``: sorted symbols (language, line feed, word). Arrays of the root's arcs (word, count of the word, state), and of
@@ -284,14 +282,15 @@ def shards(docs: DataFrame, text: str, lang: str, ranges: int) -> DataFrame:
 UNION = pa.schema([("range", pa.int32()), ("automaton", pa.binary()), ("totals", pa.list_(pa.struct([("lang", pa.string()), ("n", pa.int64())])))])
 
 
-def counted(parts: DataFrame, least: int) -> DataFrame:
+def counted(parts: DataFrame, ranges: int, least: int) -> DataFrame:
     """The union of each prefix range, pruned."""
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         t, totals = union(rows["automaton"].to_pylist(), least)
         return pa.Table.from_pylist([{"range": key[0].as_py(), "automaton": t.blob(), "totals": [{"lang": k.decode(), "n": n} for k, n in totals.items()]}], UNION)
 
-    return parts.groupBy("range").applyInArrow(run, "range int, automaton binary, totals array<struct<lang: string, n: long>>")
+    # As many tasks as ranges, whatever the session's number: what a task reads does not grow with the input.
+    return parts.repartition(ranges, "range").groupBy("range").applyInArrow(run, "range int, automaton binary, totals array<struct<lang: string, n: long>>")
 
 
 CANDIDATES = pa.schema([(c, pa.string()) for c in ("lang", "phrase", "first", "last", "head", "tail")] + [(c, pa.int64()) for c in ("a", "n_head")] + [(c, pa.int32()) for c in ("r_first", "r_last", "r_tail")])
@@ -363,7 +362,7 @@ def exact_score(a: str, l: str, r: str) -> Column:  # noqa: E741
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = 10, nested: int = 50, top: int = 2000) -> DataFrame:
     """The first ``top`` collocations of each language: lang, rank, phrase, its count a, the counts l and r of its parts, n and score."""
     ranges = ranges_for(docs, text)
-    merged = cut_lineage(counted(shards(docs, text, lang, ranges), least))
+    merged = cut_lineage(counted(shards(docs, text, lang, ranges), ranges, least))
     found = cut_lineage(candidates(merged, ranges))
     parts = cut_lineage(part_counts(found, merged))
 
@@ -384,7 +383,8 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     inside = covers[0].unionByName(covers[1]).distinct()
     left = full.select("lang", "phrase", "a", "best.*").join(inside, ["lang", "phrase"], "left_anti")
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    piece = F.pmod(F.xxhash64("phrase"), F.lit(1 + full.count() // RANKED))
+    # Pieces of a language and the first ``top`` of each piece are about as many, so neither ranking grows as the language does.
+    piece = F.pmod(F.xxhash64("phrase"), F.lit(1 + math.isqrt(full.count() // top)))
     first = left.withColumn("place", F.row_number().over(Window.partitionBy("lang", piece).orderBy(*order))).where(F.col("place") <= top).drop("place")
     ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= top)
     totals = merged.select(F.inline("totals")).groupBy("lang").agg(F.sum("n").alias("n"))

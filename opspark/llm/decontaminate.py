@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .texts import free_name
 
 WINDOW = 10
 BROADCAST_BYTES = 64 << 20
@@ -114,10 +115,11 @@ def hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: s
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", item_id: str = "item_id") -> DataFrame:
     """The documents in which no window occurs. Only the keys of texts with hits are joined, so no texts are counted."""
-    found = cut_lineage(hits(docs, benchmark, text, item_text, item_id).select(F.col("k1").alias("m1"), F.col("k2").alias("m2")).distinct())
+    m1, m2 = free_name(docs, "m1"), free_name(docs, "m2")
+    found = cut_lineage(hits(docs, benchmark, text, item_text, item_id).select(F.col("k1").alias(m1), F.col("k2").alias(m2)).distinct())
     t = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    on = (F.xxhash64(t) == F.col("m1")) & (F.xxhash64(F.lit("second"), t) == F.col("m2"))
-    return docs.alias("d").join(found, on, "left_anti")
+    on = (F.xxhash64(t) == F.col(m1)) & (F.xxhash64(F.lit("second"), t) == F.col(m2))
+    return docs.join(found, on, "left_anti")
 
 
 def decontaminate(

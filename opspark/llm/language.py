@@ -6,7 +6,8 @@ The prediction is the language with the largest posterior under a uniform prior,
 
 Fitting counts pieces (the vocabulary's own segmentation of the training words) in at most ``MAX_DOCS`` distinct texts of every
 language, those with the smallest hashes, each counted once; all texts are then scored whole. Distinct words are scored once
-in each worker, many at a time; the more languages, the fewer words are held.
+in each worker, many at a time; the more languages, the fewer words are held. The model holds the pieces each language has shown and one
+probability for all others, so a column with many odd language names costs no more than its texts.
 
 A text that is null or has no letter is ``und`` with score 0, as is any text if no training row was given. Ties go to the
 first language in order of name. Rows with a null language are not learned from; rows are scored one by one.
@@ -14,6 +15,7 @@ first language in order of name. Rows with a null language are not learned from;
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
@@ -33,20 +35,48 @@ MAX_DOCS = 2000
 #: Added to each piece count; probability of a character outside the vocabulary.
 SMOOTH, UNKNOWN = 0.05, 1e-6
 
-#: Words of up to so many characters are scored in batches without rescaling; distinct words a worker remembers.
-PLAIN, CACHE = 40, 300_000
+#: Characters of a word that is scored in a batch, at most; distinct words a worker remembers, and the characters of one.
+PLAIN, CACHE, REMEMBERED = 40, 800_000, 64
 
 #: Numbers (words by languages) a worker remembers, and of a batch that is scored, at most.
 CACHE_NUMBERS, BATCH_NUMBERS = 16_000_000, 160_000
 
+#: Numbers (pieces by languages) of a model that is laid out in full.
+DENSE_NUMBERS = 4_000_000
+
 SPACE = "▁"
 
 
 class Model(NamedTuple):
+    """Piece probabilities by language, as far as they were seen: its size follows the sample, not languages times pieces."""
+
     langs: list[str]
     pieces: dict[str, int]
-    #: One row for each piece, the last for a character outside the vocabulary; one column for each language.
-    probability: np.ndarray
+    #: Probability, by language, of a piece that it has not shown.
+    default: np.ndarray
+    #: For each piece, where its entries begin (and the last end): languages that have shown it, and its probability there.
+    edges: np.ndarray
+    where: np.ndarray
+    value: np.ndarray
+
+    @classmethod
+    def counted(cls, langs: list[str], pieces: list[str], piece: np.ndarray, lang: np.ndarray, n: np.ndarray) -> Model:
+        """From counts of pieces: ``SMOOTH`` is added to every piece of every language."""
+        order = np.lexsort((lang, piece))
+        piece, lang, n = piece[order], lang[order], n[order].astype(float)
+        total = np.bincount(lang, n, minlength=len(langs)) + SMOOTH * len(pieces)
+        return cls(langs, {p: k for k, p in enumerate(pieces)}, SMOOTH / total, np.searchsorted(piece, np.arange(len(pieces) + 1)), lang, (n + SMOOTH) / total[lang])
+
+    def rows(self, pieces: np.ndarray) -> np.ndarray:
+        """The probabilities of some pieces, a row for each; the number after the last piece is a character outside the vocabulary."""
+        out = np.empty((len(pieces), len(self.langs)))
+        out[:] = self.default
+        known = np.minimum(pieces, len(self.pieces) - 1)
+        n = np.where(pieces < len(self.pieces), self.edges[known + 1] - self.edges[known], 0)
+        at = np.repeat(self.edges[known] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        out[np.repeat(np.arange(len(pieces)), n), self.where[at]] = self.value[at]
+        out[pieces == len(self.pieces)] = UNKNOWN
+        return out
 
 
 def vocabulary(path: str) -> dict[str, int]:
@@ -103,16 +133,18 @@ def fit(rows: DataFrame, model_path: str, lang: str = "lang", text: str = "text"
     pieces = vocabulary(model_path)
     langs = sorted(found["lang"].unique().tolist())
     order = {p: k for k, p in enumerate(pieces.values())}
-    counts = np.zeros((len(order), len(langs)))
     known = found[found["piece"].isin(order)]
-    np.add.at(counts, (known["piece"].map(order).to_numpy(int), known["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy(int)), known["n"].to_numpy(float))
-    counts += SMOOTH
-    probability = np.vstack([counts / counts.sum(axis=0), np.full((1, len(langs)), UNKNOWN)]) if langs else np.zeros((len(order) + 1, 0))
-    return Model(langs, {p: k for k, p in enumerate(pieces)}, probability)
+    number = {x: i for i, x in enumerate(langs)}
+    return Model.counted(langs, list(pieces), known["piece"].map(order).to_numpy(int), known["lang"].map(number).to_numpy(int), known["n"].to_numpy())
 
 
 class Scorer:
-    """Log probabilities of words in each language, by the forward algorithm."""
+    """Log probabilities of words in each language, by the forward algorithm.
+
+    Words of one length go forward together; from each place, a word is looked up no further than pieces go on.
+    Probabilities are scaled by a constant for each character, the root of the least one, so a sum over a word of up to
+    ``plain`` characters can neither vanish nor overflow; longer words are rescaled at each character.
+    """
 
     def __init__(self, model: Model):
         self.model = model
@@ -120,59 +152,79 @@ class Scorer:
         self.unknown = len(model.pieces)
         many = max(1, len(model.langs))
         self.room, self.part = max(1, min(CACHE, CACHE_NUMBERS // many)), max(1, min(20_000, BATCH_NUMBERS // many))
+        self.dense = model.rows(np.arange(len(model.pieces) + 1)) if many * (len(model.pieces) + 1) <= DENSE_NUMBERS else None
+        least = min([UNKNOWN, *model.default.tolist()])
+        self.scale = 0.5 * np.log(1 / least)
+        self.plain = int(min(PLAIN, 600 / self.scale))
+        # For pieces and their beginnings: twice (number + 1), plus 1 if a longer piece begins so.
+        self.known: dict[str, int] = {p[:k]: 1 for p in model.pieces for k in range(1, len(p))}
+        for p, k in model.pieces.items():
+            self.known[p] = 2 * (k + 1) + self.known.get(p, 0)
         self.forget()
 
     def forget(self) -> None:
         self.number: dict[str, int] = {}
         self.logs = np.zeros((1024, len(self.model.langs)))
 
+    def rows(self, pieces: np.ndarray) -> np.ndarray:
+        return self.model.rows(pieces) if self.dense is None else self.dense[pieces]
+
     def _batch(self, words: list[str]) -> np.ndarray:
-        """Words of one length, without rescaling: a sum over the last piece for every end, all words at a time."""
-        find, unknown, p = self.model.pieces.get, self.unknown, self.model.probability
-        n = len(words[0])
-        alpha = np.zeros((n + 1, len(words), p.shape[1]))
+        """Words of one length: from each place along the pieces that begin there, all words at a time that still follow one."""
+        get, n = self.known.get, len(words[0])
+        alpha = np.zeros((n + 1, len(words), len(self.model.langs)))
         alpha[0] = 1
-        for j in range(1, n + 1):
-            for i in range(max(0, j - self.longest), j):
-                if j - i == 1:
-                    ids = np.array([find(w[i:j], unknown) for w in words])
-                    alpha[j] += alpha[i] * p[ids]
-                else:
-                    ids = np.array([find(w[i:j], -1) for w in words])
-                    have = np.flatnonzero(ids >= 0)
-                    if len(have):
-                        alpha[j, have] += alpha[i, have] * p[ids[have]]
-        return np.log(alpha[n])
+        for i in range(n):
+            at, follow = np.arange(len(words)), words
+            for j in range(i + 1, n + 1):
+                code = np.array([get(w[i:j], 0) for w in follow])
+                piece = code // 2 - 1
+                if j == i + 1:
+                    piece[piece < 0] = self.unknown
+                have = np.flatnonzero(piece >= 0)
+                if len(have):
+                    alpha[j, at[have]] += alpha[i, at[have]] * (self.rows(piece[have]) * np.exp(self.scale * (j - i)))
+                more = np.flatnonzero(code & 1)
+                if not len(more):
+                    break
+                at, follow = at[more], [follow[k] for k in more.tolist()]
+        return np.log(alpha[n]) - self.scale * n
 
     def _long(self, word: str) -> np.ndarray:
         """A word of any length, rescaled at every step; only the last ``longest`` places are held."""
-        find, p = self.model.pieces.get, self.model.probability
-        recent, scale = [np.ones(p.shape[1])], np.zeros(p.shape[1])
+        find = self.model.pieces.get
+        many = len(self.model.langs)
+        recent, scale = [np.ones(many)], np.zeros(many)
         for j in range(1, len(word) + 1):
-            total = np.zeros(p.shape[1])
-            for back, alpha in enumerate(reversed(recent), 1):
-                k = find(word[j - back : j], self.unknown if back == 1 else -1)
-                if k >= 0:
-                    total = total + alpha * p[k]
-            recent = [a / total for a in recent[-(self.longest - 1) :]] + [np.ones_like(total)]
+            found = [(back, find(word[j - back : j], self.unknown if back == 1 else -1)) for back in range(1, len(recent) + 1)]
+            found = [(back, k) for back, k in found if k >= 0]
+            total = (np.stack([recent[-back] for back, _ in found]) * self.rows(np.array([k for _, k in found]))).sum(axis=0)
+            recent = [a / total for a in recent[-(self.longest - 1) :]] + [np.ones(many)] if self.longest > 1 else [np.ones(many)]
             scale += np.log(total)
         return scale
 
-    def learn(self, words: set[str]) -> None:
-        """Scores new words."""
-        by_length: dict[int, list[str]] = {}
-        for w in words:
-            by_length.setdefault(len(w), []).append(w)
+    def score(self, words: list[str]) -> np.ndarray:
+        """A row for each word."""
+        out = np.empty((len(words), len(self.model.langs)))
+        by_length: dict[int, list[int]] = {}
+        for k, w in enumerate(words):
+            by_length.setdefault(len(w) + 1, []).append(k)
         for n, group in by_length.items():
             for at in range(0, len(group), self.part):
                 part = group[at : at + self.part]
-                marked = [SPACE + w for w in part]
-                logs = self._batch(marked) if n < PLAIN else np.array([self._long(w) for w in marked])
-                start = len(self.number)
-                while start + len(part) > len(self.logs):
-                    self.logs = np.vstack([self.logs, np.zeros_like(self.logs)])
-                self.logs[start : start + len(part)] = logs
-                self.number.update(zip(part, range(start, start + len(part))))
+                marked = [SPACE + words[k] for k in part]
+                out[part] = self._batch(marked) if n <= self.plain else np.array([self._long(w) for w in marked])
+        return out
+
+    def learn(self, words: list[str]) -> None:
+        """Scores new words and remembers them."""
+        for at in range(0, len(words), 65_536):
+            part = words[at : at + 65_536]
+            start = len(self.number)
+            while start + len(part) > len(self.logs):
+                self.logs = np.vstack([self.logs, np.zeros_like(self.logs)])
+            self.logs[start : start + len(part)] = self.score(part)
+            self.number.update(zip(part, range(start, start + len(part))))
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         totals = np.zeros((len(texts), len(self.model.langs)))
@@ -181,7 +233,7 @@ class Scorer:
         def add() -> None:
             if len(self.number) > self.room:
                 self.forget()
-            self.learn({w for _, words in waiting for w in words}.difference(self.number))
+            self.learn(sorted({w for _, words in waiting for w in words}.difference(self.number)))
             for k, words in waiting:
                 totals[k] += self.logs[np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))].sum(axis=0)
             waiting.clear()
@@ -189,6 +241,12 @@ class Scorer:
         size = 0
         for k, t in enumerate(texts):
             words = (t or "").split()
+            if max(map(len, words), default=0) > REMEMBERED:
+                # Long words hardly come again, and are not worth their room.
+                for w in words:
+                    if len(w) > REMEMBERED:
+                        totals[k] += self.score([w])[0]
+                words = [w for w in words if len(w) <= REMEMBERED]
             for at in range(0, len(words), self.room):
                 part = words[at : at + self.room]
                 if size + len(part) > self.room:
@@ -209,12 +267,24 @@ class Scorer:
         return langs, scores
 
 
+_LATEST: dict[str, Scorer] = {}
+
+
+def _scorer_of(key: str, model: Callable[[], Model]) -> Scorer:
+    """The scorer of a model; a worker keeps the latest one, with the words it has scored, for its next tasks."""
+    if key not in _LATEST:
+        _LATEST.clear()
+        _LATEST[key] = Scorer(model())
+    return _LATEST[key]
+
+
 def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, lang: str = "lang_pred", score: str = "score") -> DataFrame:
     """Adds the predicted language and its posterior; only the text is looked at."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    key = uuid.uuid4().hex
 
     def make() -> Callable:
-        scorer = Scorer(shared.value)
+        scorer = _scorer_of(key, lambda: shared.value)
 
         def run(texts: list[str | None]) -> list[pa.Array]:
             langs, scores = scorer.predict(texts)

@@ -10,9 +10,10 @@ Dynamic programming over segments of bounded length chooses boundaries and types
 added if its posterior (the probability of exactly this segment, from the forward and backward sums) is at least
 ``CERTAIN`` and no base span overlaps it.
 
-The weights are learned by maximum likelihood on at most ``MAX_STRETCHES`` distinct stretches, those with the smallest hashes; the
-valid base matches in them are the labels. The features never ask whether a base pattern matches, so the field
-finds the same kinds of data in forms that the patterns miss.
+The weights are learned by maximum likelihood on at most ``MAX_STRETCHES`` distinct stretches, those with the smallest hashes. The
+valid base matches in them are the labels, and each match is also written in ways that the patterns miss (blanks and brackets, a
+missing plus, a spelled dot, other signs between digits) and as near misses, which are no entities. So the field learns
+forms beyond the patterns from the texts themselves.
 
 A null text is empty and has no spans. Rows are independent. Offsets are code points, the end exclusive.
 """
@@ -40,8 +41,8 @@ IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-#: Units of an entity, stretches of the fit and its steps, the least posterior of an added span, units whose features are held at once.
-MOST_UNITS, MAX_STRETCHES, STEPS, CERTAIN, BLOCK = 6, 300, 40, 0.9, 200
+#: Units and characters of an entity, stretches of the fit and its steps, the least posterior of an added span, units whose features are held at once.
+MOST_UNITS, MOST_CHARS, MAX_STRETCHES, STEPS, CERTAIN, BLOCK = 7, 120, 300, 60, 0.9, 200
 
 Span = tuple[int, int, int]
 
@@ -59,11 +60,11 @@ def base_spans(text: str) -> list[Span]:
     """(start, end, kind number) of the base matches, by start and kind."""
     found: list[Span] = []
     if "@" in text:
-        found += [(m.start(), m.end(), 0) for m in EMAIL.finditer(text)]
+        found += [(a, b, 0) for a, b in emails(text)]
     if ANY_DIGIT.search(text):
-        found += [(m.start(), m.end(), 1) for m in IP.finditer(text) if all(octet(p) for p in m.group().split("."))]
+        found += [(a, b, 1) for a, b in addresses(text) if all(octet(p) for p in text[a:b].split("."))]
         for m in CARD.finditer(text):
-            d = digits_of(m.group())
+            d = digits_of(m.group()) if m.end() - m.start() < 64 else ""
             if 14 <= len(d) <= 19 and luhn(d):
                 found.append((m.start(), m.end(), 2))
         if "+" in text:
@@ -71,6 +72,35 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found, key=lambda s: (s[0], s[2]))
 
 
+def emails(text: str) -> Iterator[tuple[int, int]]:
+    """The matches of ``EMAIL``, in linear time: an ``@`` can only end the run of local characters before it, so each is looked at once."""
+    done = 0
+    at = text.find("@")
+    while at >= 0:
+        start = at
+        while start > done and text[start - 1] in LOCAL:
+            start -= 1
+        m = DOMAIN.match(text, at + 1) if start < at else None
+        if m:
+            yield start, m.end()
+            done = m.end()
+        at = text.find("@", max(at + 1, done))
+
+
+def addresses(text: str) -> Iterator[tuple[int, int]]:
+    """The matches of ``IP``, in linear time: if none starts with a run of digits, none starts inside it."""
+    run = DIGITS.search(text)
+    while run:
+        m = IP.match(text, run.start()) if run.end() < len(text) and text[run.end()] == "." else None
+        if m:
+            yield m.start(), m.end()
+        run = DIGITS.search(text, m.end() if m else run.end())
+
+
+#: Parts of the base patterns.
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+DIGITS = re.compile("[0-9]+")
 ANY_DIGIT = re.compile("[0-9]")
 
 
@@ -84,12 +114,41 @@ AROUND = "\"'`,;:!?()[]{}<>|=*#$%&."
 HINT = re.compile("[0-9@]")
 
 
+def trimmed(text: str, a: int, b: int) -> tuple[int, int]:
+    """A run of characters without the punctuation around it; brackets that belong together stay."""
+    closes = text.rfind(")", a, b)
+    while a < b and text[a] in AROUND and not (text[a] == "(" and a < closes):
+        a += 1
+    opens = text.find("(", a, b)
+    while b > a and text[b - 1] in AROUND and not (text[b - 1] == ")" and 0 <= opens < b):
+        b -= 1
+    return a, b
+
+
+def around(text: str, a: int, b: int, done: int) -> list[tuple[int, int]]:
+    """A run of characters at a hint; if it has an ``@`` but is no whole address, with the run before it and the two after it."""
+    out = [(a, b)]
+    left, right = trimmed(text, a, b)
+    if right - left <= MOST_CHARS and "@" in text[left:right] and not EMAIL.fullmatch(text, left, right):
+        end = a
+        while end > done and text[end - 1].isspace():
+            end -= 1
+        start = end
+        while start > done and end - start <= MOST_CHARS and not text[start - 1].isspace():
+            start -= 1
+        if done <= start < end <= start + MOST_CHARS:
+            out.insert(0, (start, end))
+        for _ in range(2):
+            if m := UNIT.search(text, out[-1][1], out[-1][1] + 2 * MOST_CHARS):
+                out.append((m.start(), m.end()))
+    return out
+
+
 def stretches(text: str) -> Iterator[list[tuple[int, int]]]:
     """The units (start, end) around those with a digit or ``@``: such units with gaps of at most one other unit."""
     if not HINT.search(text):
         return
     current: list[tuple[int, int]] = []
-    pending: tuple[int, int] | None = None
     at = 0
     for hint in HINT.finditer(text):
         if hint.start() < at:
@@ -98,32 +157,34 @@ def stretches(text: str) -> Iterator[list[tuple[int, int]]]:
         a = hint.start()
         while a > at and not text[a - 1].isspace():
             a -= 1
-        b = hint.start()
-        while b < len(text) and not text[b].isspace():
-            b += 1
-        left, right = a, b
-        while left < right and text[left] in AROUND and not (text[left] == "(" and ")" in text[left:right]):
-            left += 1
-        while right > left and text[right - 1] in AROUND and not (text[right - 1] == ")" and "(" in text[left:right]):
-            right -= 1
-        gap = text[current[-1][1] : left] if current else ""
-        if current and (len(gap.split()) > 1 or len(gap) > 24):
-            yield current
-            current = []
-        elif current and (m := UNIT.search(text, current[-1][1], left)):
-            current.append((m.start(), m.end()))
-        if right > left:
-            current.append((left, right))
-        at = b
+        space = SPACE.search(text, hint.start())
+        b = space.start() if space else len(text)
+        for x, y in around(text, a, b, at):
+            left, right = trimmed(text, x, y)
+            gap = text[current[-1][1] : left] if current else ""
+            if current and (len(gap.split()) > 1 or len(gap) > 24):
+                yield current
+                current = []
+            elif current:
+                # A unit between, but not the punctuation of its neighbours.
+                current += [m.span() for m in UNIT.finditer(text, current[-1][1], left) if m.start() > current[-1][1] and m.end() < left][:1]
+            if right > left:
+                current.append((left, right))
+            at = max(at, y)
     if current:
         yield current
 
 
-FEATURES = 26
+SPACE = re.compile(r"\s")
+
+FEATURES = 36
+
+SPELLED = [(re.compile(r"(?i)\bdot\b"), "."), (re.compile(r"(?i)\bat\b"), "@"), (re.compile(r"[\s\[\](){}<>]+"), "")]
+PHONE_LIKE = re.compile(r"[0-9+\s().\-/]+")
 
 
 def features(text: str, start: int, end: int, units: int) -> list[float]:
-    """What a whole candidate span looks like."""
+    """What a whole candidate span looks like, as it stands and with spelled signs, blanks and brackets put in order."""
     s = text[start:end]
     d = digits_of(s)
     n = len(d)
@@ -133,6 +194,14 @@ def features(text: str, start: int, end: int, units: int) -> list[float]:
     local, at, domain = s.partition("@")
     before = text[max(0, start - 12) : start].lower()
     plain = len(s) - n - letters
+    order = s
+    for pattern, sign in SPELLED:
+        order = pattern.sub(sign, order)
+    four = order.split(".")
+    four = len(four) == 4 and all(p.isascii() and p.isdigit() and octet(p) for p in four)
+    mail = "@" in order and EMAIL.fullmatch(order) is not None
+    groups = [len(g) for g in DIGITS.findall(s)]
+    signs = {c for c in s if not c.isalnum()}
     return [
         1.0,
         float(units),
@@ -160,15 +229,30 @@ def features(text: str, start: int, end: int, units: int) -> list[float]:
         float("-" in s),
         float(plain > n + letters),
         float(before.rstrip(" \"'").endswith("=")),
+        float(four),
+        float(four and units > 1),
+        float(mail),
+        float(mail and units > 1),
+        float(14 <= n <= 19 and luhn(d) and letters == 0 and len(set(groups[:-1])) <= 1 and max(groups) <= 6),
+        float(14 <= n <= 19 and len(signs - set(" ")) > 1),
+        float(10 <= n <= 13 and groups[-1:] == [4] and groups[-2:-1] == [3] and PHONE_LIKE.fullmatch(s) is not None),
+        float(10 <= n <= 15 and groups[-1:] == [4] and (d[0] in "1" or d.startswith("00"))),
+        float(10 <= n <= 15 and len(groups) < 3),
+        float(len(groups) > 5),
     ]
 
 
 Lattice = tuple[int, np.ndarray, list[tuple[int, int]]]
 
 
+def candidates(units: list[tuple[int, int]], at: int, stop: int) -> list[tuple[int, int]]:
+    """(first, end) units of the segments that begin at the units ``at`` to ``stop``, within the longest entity."""
+    return [(i, j) for i in range(at, stop) for j in range(i + 1, min(i + MOST_UNITS, len(units)) + 1) if units[j - 1][1] - units[i][0] <= MOST_CHARS]
+
+
 def lattice(text: str, units: list[tuple[int, int]]) -> Lattice:
     """Number of units, features of all candidate segments, and their (first, end) units."""
-    places = [(i, j) for i in range(len(units)) for j in range(i + 1, min(i + MOST_UNITS, len(units)) + 1)]
+    places = candidates(units, 0, len(units))
     return len(units), np.array([features(text, units[i][0], units[j - 1][1], j - i) for i, j in places]), places
 
 
@@ -236,7 +320,9 @@ def entities(text: str, units: list[tuple[int, int]], weights: np.ndarray) -> li
     each, top = np.full((n, MOST_UNITS), -np.inf), np.full((n, MOST_UNITS), -np.inf)
     kinds = np.zeros((n, MOST_UNITS), np.int8)
     for at in range(0, n, BLOCK):
-        places = [(i, j) for i in range(at, min(at + BLOCK, n)) for j in range(i + 1, min(i + MOST_UNITS, n) + 1)]
+        places = candidates(units, at, min(at + BLOCK, n))
+        if not places:
+            continue
         scores = np.array([features(text, units[i][0], units[j - 1][1], j - i) for i, j in places]) @ weights
         i, j = np.array(places).T
         each[i, j - i - 1] = np.logaddexp.reduce(scores, axis=1)
@@ -293,6 +379,61 @@ def train(examples: list[tuple[str, list[tuple[int, int]], list[Span]]]) -> np.n
     return weights
 
 
+def _digits_like(text: str, shape: str, offset: int = 0) -> str:
+    """The digits of a text put into a shape, where each ``#`` takes the next one and ``*`` all that are left."""
+    d, out = list(digits_of(text))[offset:], []
+    for c in shape:
+        if c == "#":
+            out.append(d.pop(0) if d else "")
+        elif c == "*":
+            out += d
+            d = []
+        else:
+            out.append(c)
+    return "".join(out)
+
+
+def variants(kind: int, match: str) -> list[tuple[str, bool]]:
+    """Ways to write a match that the base patterns miss, and near misses that are none (False)."""
+    if kind == 0:
+        local, _, domain = match.partition("@")
+        host, _, top = domain.rpartition(".")
+        return [(f"{local} @ {domain}", True), (f"{local}@{host} dot {top}", True), (f"{local} [@] {domain}", True), (f"{local}@{host} . {top}", True), (f"{local} @ {host.partition('.')[0]}", False)]
+    if kind == 1:
+        p = match.split(".")
+        return [("[.]".join(p), True), (" . ".join(p), True), (" dot ".join(p), True), (f"{p[0]}.{p[1]} .{p[2]}.{p[3]}", True), (" . ".join([*p[:3], "999"]), False)]
+    if kind == 2:
+        d = digits_of(match)
+        wrong = d[:-1] + str((int(d[-1]) + 1) % 10)
+        shapes = [("####.####.####.*", True), ("####/####/####/*", True), ("####  ####  ####  *", True), ("####_####_####_*", True)]
+        return [(_digits_like(d, s), ok) for s, ok in shapes] + [(_digits_like(wrong, "####.####.####.*"), False), (_digits_like(wrong, "####  ####  ####  *"), False)]
+    d = digits_of(match)
+    country, rest = d[:-10], d[-10:]
+    shapes = [(f"{country} (###) ###-####", True), ("(###) ###-####", True), (f"00{country}-###-###-####", True), (f"{country}.###.###.####", True), ("###/#######", False), ("######.####", False)]
+    return [(_digits_like(rest, s), ok) for s, ok in shapes]
+
+
+def varied(piece: str, units: list[tuple[int, int]], spans: list[Span]) -> list[tuple[str, list[tuple[int, int]], list[Span]]]:
+    """Examples in which one match of a stretch is written in another way, with the same text around it."""
+    out = []
+    for a, b, kind in spans:
+        if any(x < b and a < y for x, y, k in spans if (x, y, k) != (a, b, kind)):
+            continue
+        for new, good in variants(kind, piece[a:b]):
+            text = piece[:a] + new + piece[b:]
+            base = base_spans(text)
+            # What the patterns find in it anyway teaches nothing new.
+            if any(x < a + len(new) and a < y for x, y, _ in base):
+                continue
+            gold = sorted([*base, (a, a + len(new), kind)]) if good else base
+            for found in stretches(text):
+                if found[0][0] <= a < found[-1][1] and found[-1][1] - found[0][0] <= 2000:
+                    ends = {e for _, e in found}
+                    starts = {s for s, _ in found}
+                    out.append((text, found, [s for s in gold if s[0] in starts and s[1] in ends]))
+    return out
+
+
 def learn(docs: DataFrame, text: str = "text") -> np.ndarray:
     """Fits the weights on a bounded sample of the stretches of the documents' texts."""
     rows = docs.select(F.col(f"`{text}`").cast("string").alias("text")).where(F.col("text").rlike("[0-9@]"))
@@ -306,7 +447,7 @@ def learn(docs: DataFrame, text: str = "text") -> np.ndarray:
             for _, part in slices(batch.column(0)):
                 for t in part:
                     for units in stretches(t):
-                        if len(units) <= 24:
+                        if len(units) <= 24 and units[-1][1] - units[0][0] <= 2000:
                             start, end = max(0, units[0][0] - 12), units[-1][1] + 1
                             piece = t[start:end]
                             key, ends = (xxhash.xxh64_intdigest(piece.encode(), 7) >> 1, piece), [x - start for u in units for x in u]
@@ -327,6 +468,7 @@ def learn(docs: DataFrame, text: str = "text") -> np.ndarray:
         spans = base_spans(r.piece)
         if all(b < len(r.piece) or r.piece[b - 1 :].isspace() or b == units[-1][1] for _, b, _ in spans):
             examples.append((r.piece, units, spans))
+            examples += varied(r.piece, units, spans)
     return train(examples) if examples else np.vstack([np.full((1, len(KINDS)), -20.0), np.zeros((FEATURES - 1, len(KINDS)))])
 
 

@@ -193,13 +193,13 @@ def groups(docs: DataFrame, shingle: int, radius: int, text: str = "text", doc_i
 
 def one_of_each(docs: DataFrame, shingle: int, radius: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The documents, but of each component only the row with the smallest id (of repeated rows one, ids before nulls)."""
-    row, fp = free_name(docs, "row_number"), free_name(docs, "fp")
+    row, fp, chosen_row = free_name(docs, "row_number"), free_name(docs, "fp"), free_name(docs, "chosen_row")
     # Written with its row numbers, which hold only for one reading of the input.
     marked = cut_lineage(fingerprints(docs.withColumn(row, F.monotonically_increasing_id()), shingle, text, keep=[*docs.columns, row], name=fp))
     narrow = marked.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(row).alias("row"), F.col(fp).alias("fp"))
     named = cut_lineage(components(narrow, radius))
     placed = narrow.join(named, narrow["fp"] == named["named_fp"])
-    chosen = placed.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("best")).select(F.col("best.row").alias("chosen_row"))
+    chosen = placed.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("best")).select(F.col("best.row").alias(chosen_row))
     # One chosen row for each component: a side that grows with the table, so a shuffle at every size.
-    kept = marked.join(cut_lineage(chosen).hint("merge"), marked[row] == F.col("chosen_row"), "left_semi")
+    kept = marked.join(cut_lineage(chosen).hint("merge"), marked[row] == F.col(chosen_row), "left_semi")
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

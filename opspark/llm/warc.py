@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from .texts import free_name
+
 REVISIT_BYTES = 1000
 
 #: A new archive file starts beyond so many bytes; ranges closer than GAP are read together, up to READ bytes.
@@ -56,25 +58,18 @@ def record_types(pages: DataFrame, page_id: str = "page_id", payload: str = "htm
     """
     body = F.coalesce(F.col(f"`{payload}`").cast("string"), F.lit(""))
     known = pages.withColumns({"payload_bytes": F.octet_length(body).cast("long"), "payload_digest": F.sha1(body)})
-    largest = (
-        pages.select(F.sha1(body).alias("__digest"), F.octet_length(body).alias("__bytes"), F.col(f"`{page_id}`").alias("__id"))
-        .where(F.col("__bytes") >= least)
-        .groupBy("__digest")
-        .agg(F.max("__id").alias("__largest"), F.count(F.lit(1)).alias("__copies"))
-        .where("__copies > 1")
-        .drop("__copies")
-    )
-    revisit = F.col("__largest").isNotNull() & ~F.col(f"`{page_id}`").eqNullSafe(F.col("__largest"))
-    return (
-        known.join(largest, known["payload_digest"] == largest["__digest"], "left")
-        .withColumns(
-            {
-                "record_type": F.when(revisit, "revisit").otherwise("response"),
-                "refers_to": F.when(revisit, F.col("__largest")),
-            }
-        )
-        .drop("__digest", "__largest")
+    digest, largest = free_name(known, "of_digest"), free_name(known, "largest_id")
+    last = (
+        pages.select(F.sha1(body).alias("digest"), F.octet_length(body).alias("bytes"), F.col(f"`{page_id}`").alias("id"))
+        .where(F.col("bytes") >= least)
+        .groupBy("digest")
+        .agg(F.max("id").alias("largest"), F.count(F.lit(1)).alias("copies"))
+        .where("copies > 1")
+        .select(F.col("digest").alias(digest), F.col("largest").alias(largest))
     )
+    revisit = F.col(largest).isNotNull() & ~F.col(f"`{page_id}`").eqNullSafe(F.col(largest))
+    types = {"record_type": F.when(revisit, "revisit").otherwise("response"), "refers_to": F.when(revisit, F.col(largest))}
+    return known.join(last, F.col("payload_digest") == F.col(digest), "left").withColumns(types).drop(digest, largest)
 
 
 def header(lines: dict[str, str | None]) -> bytes:

@@ -29,8 +29,26 @@ def rows() -> list[tuple]:
     return out
 
 
+def used_names() -> list[str]:
+    """Every name that the operators give a column anywhere in their modules, as columns of the user's."""
+    import pathlib
+
+    import opspark.llm
+
+    folder = pathlib.Path(opspark.llm.__file__).parent
+    found = set()
+    for path in folder.glob("*.py"):
+        source = path.read_text()
+        found.update(re.findall(r"""alias\(f?["']([a-z_0-9]+)["']""", source))
+        found.update(re.findall(r"""withColumn\(["']([a-z_0-9]+)["']""", source))
+        found.update(re.findall(r"""free_name\([a-z_]+, ["']([a-z_0-9]+)["']""", source))
+        found.update(re.findall(r"""F\.col\(["']([a-z_0-9]+)["']\)""", source))
+        found.update(x.split()[0] for group in re.findall(r"""["']([a-z_0-9]+ (?:long|int|string|binary|array)[^"']*)["']""", source) for x in group.split(", ") if re.fullmatch("[a-z_0-9]+", x.split()[0]))
+    return sorted(found - {"doc_id", "text", "lang", "source", "page_id", "url", "html", "n_chars", "item_id"})
+
+
 #: Names that the operators use themselves, as columns of the user's.
-CLASHING = ["fp", "ids", "k1", "k2", "words", "n_words", "segment", "doc", "label", "bits", "h", "n_tokens", "spans", "kept", "row_number", "text_of_row", "score", "lang_pred", "m_words", "payload_digest"]
+CLASHING = used_names()
 
 
 def frame(spark, data=None, extra: bool = False):

@@ -13,7 +13,7 @@ def test_queries_and_stages_are_registered():
     import __spark_entry__
 
     names = [n for n in __spark_entry__.queries() if n.startswith("op") and n[2].isdigit()]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert __spark_entry__.queries()["pipeline"].__wrapped__ is corpus_pipeline.run
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "near_duplicates", "decontamination", "personal_data", "bpe_tokens"]
     assert set(queries.ORACLES) <= set(queries.QUERIES)
