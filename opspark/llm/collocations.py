@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .anchors import MIX, mixed
-from .packs import by_range, pack, ranges_for, unpack, word_arrays, words_of_arrays
+from .packs import by_range, pack, ranges_for, tasks_for, unpack, word_arrays, words_of_arrays
 from .texts import release, slices
 
 #: Tokens after which a block is closed.
@@ -289,8 +289,7 @@ def counted(parts: DataFrame, ranges: int, least: int) -> DataFrame:
         t, totals = union(rows["automaton"].to_pylist(), least)
         return pa.Table.from_pylist([{"range": key[0].as_py(), "automaton": t.blob(), "totals": [{"lang": k.decode(), "n": n} for k, n in totals.items()]}], UNION)
 
-    # As many tasks as ranges, whatever the session's number: what a task reads does not grow with the input.
-    return parts.repartition(ranges, "range").groupBy("range").applyInArrow(run, "range int, automaton binary, totals array<struct<lang: string, n: long>>")
+    return parts.repartition(tasks_for(ranges), "range").groupBy("range").applyInArrow(run, "range int, automaton binary, totals array<struct<lang: string, n: long>>")
 
 
 CANDIDATES = pa.schema([(c, pa.string()) for c in ("lang", "phrase", "first", "last", "head", "tail")] + [(c, pa.int64()) for c in ("a", "n_head")] + [(c, pa.int32()) for c in ("r_first", "r_last", "r_tail")])

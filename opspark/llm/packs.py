@@ -62,6 +62,11 @@ def ranges_for(docs: DataFrame, text: str) -> int:
     return max(1, math.ceil(size / RANGE_BYTES))
 
 
+def tasks_for(ranges: int) -> int:
+    """Tasks that ranges are dealt over: they grow with the input, whatever the session's number, and each writes one file of a few ranges."""
+    return -(-ranges // 4)
+
+
 def by_range(place: np.ndarray, ranges: int) -> Iterator[tuple[int, np.ndarray]]:
     """(range, indices of its members, ascending) of each range that has any."""
     order = np.argsort(place, kind="stable")
