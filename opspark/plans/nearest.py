@@ -4,25 +4,30 @@ Vectors are compared as unit vectors, where the angle is a metric. Every cached
 pivot; a query needs only the cells it can reach: angle(query, pivot) <= cell radius + threshold angle.
 Cells are split into tiles of bounded size on both sides, so a crowded cell becomes many small tasks, and a
 task returns only the best match of each of its queries, never the pairs it looked at.
+
+The number of pivots is the square root of the number of vectors: cells then grow no faster than the pivots, which are what
+every task holds. An index stores pivots and cells; later entries join the cells of the pivots that are there, until the
+table has grown ``REBUILD`` times and new pivots are chosen.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.vectors import norm, normalised
 from ..session import cut_lineage
 
 THRESHOLD = 0.92
-PIVOTS = 64
 TILE_ROWS = 2048
 SLACK = 1e-6
+REBUILD = 4
 
 
 def _angles(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
@@ -37,6 +42,80 @@ def _unit(df: DataFrame, key: str, vector: str, order: str | None) -> DataFrame:
     )
 
 
+class Index(NamedTuple):
+    """``cells``: (v, id, ord, cell, angle) of distinct vectors, each as its first entry. ``pivots``: one unit vector a cell."""
+
+    cells: DataFrame
+    pivots: np.ndarray
+    id_type: str
+
+
+def entries_of(cached: DataFrame, cached_id: str, vector: str = "vector", order: str | None = None) -> DataFrame:
+    """(v, id, ord) of the distinct unit vectors, each as its first entry."""
+    found = _unit(cached, cached_id, vector, order).groupBy("v").agg(F.min(F.struct("ord", "id")).alias("_first"))
+    return found.select("v", F.col("_first.id").alias("id"), F.col("_first.ord").alias("ord"))
+
+
+def _chosen(entries: DataFrame, pivots: int | None) -> np.ndarray:
+    """Pivots, chosen by hash so that the choice is repeatable. Their number is the root of the number of vectors."""
+    n = entries.count()
+    wanted = max(1, math.isqrt(n)) if pivots is None else max(1, min(pivots, n))
+    rows = entries.orderBy(F.xxhash64("v"), "id").limit(wanted).select("v").collect() if n else []
+    return np.asarray([r["v"] for r in rows], dtype=float)
+
+
+def _in_cells(entries: DataFrame, centre: np.ndarray) -> DataFrame:
+    id_type = dict(entries.dtypes)["id"]
+
+    def to_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            if len(rows):
+                angle = _angles(np.stack(rows["v"].to_numpy()), centre)
+                cell = angle.argmin(axis=1)
+                yield rows.assign(cell=cell.astype("int32"), angle=angle[np.arange(len(rows)), cell])
+
+    return entries.mapInPandas(to_cells, f"v array<double>, id {id_type}, ord bigint, cell int, angle double")
+
+
+def build_index(entries: DataFrame, pivots: int | None = None) -> Index:
+    """An index of the rows of ``entries_of``."""
+    entries = cut_lineage(entries)
+    centre = _chosen(entries, pivots)
+    return Index(cut_lineage(_in_cells(entries, centre)) if len(centre) else entries, centre, dict(entries.dtypes)["id"])
+
+
+def store_index(index: Index, path: str) -> None:
+    """Writes an index: its pivots, and its cells as the first part."""
+    spark = index.cells.sparkSession
+    rows = spark.createDataFrame(pd.DataFrame({"cell": np.arange(len(index.pivots), dtype="int32"), "v": list(index.pivots)}), "cell int, v array<double>")
+    rows.write.mode("overwrite").parquet(f"{path}/pivots")
+    index.cells.write.mode("overwrite").parquet(f"{path}/cells/part=0")
+
+
+def open_index(spark: SparkSession, path: str) -> Index:
+    pivots = spark.read.parquet(f"{path}/pivots").orderBy("cell").collect()
+    cells = spark.read.parquet(f"{path}/cells").drop("part")
+    return Index(cells, np.asarray([r["v"] for r in pivots], dtype=float), dict(cells.dtypes)["id"])
+
+
+def extend_index(spark: SparkSession, path: str, entries: DataFrame, part: int) -> None:
+    """Adds later entries to a stored index, as one part that a repeated call replaces. Vectors that are there stay as they were first.
+
+    Only the new entries are compared with pivots, until there are ``REBUILD`` times as many vectors as pivots are meant for.
+    """
+    index = open_index(spark, path)
+    known = spark.read.parquet(f"{path}/cells").where(F.col("part") != part).drop("part")
+    fresh = cut_lineage(entries.join(known.select(F.col("v").alias("_v")), F.col("v") == F.col("_v"), "left_anti"))
+    if not len(index.pivots) or known.count() + fresh.count() > REBUILD * (len(index.pivots) + 1) ** 2:
+        together = cut_lineage(known.select("v", "id", "ord").unionByName(fresh))
+        for old in spark.read.parquet(f"{path}/cells").select("part").distinct().collect():
+            if old["part"]:
+                known.limit(0).write.mode("overwrite").parquet(f"{path}/cells/part={old['part']}")
+        store_index(build_index(together), path)
+    else:
+        _in_cells(fresh, index.pivots).write.mode("overwrite").parquet(f"{path}/cells/part={part}")
+
+
 def best_match(
     queries: DataFrame,
     cached: DataFrame,
@@ -48,7 +127,7 @@ def best_match(
     query_order: str | None = None,
     cached_order: str | None = None,
     cached_column: str | None = None,
-    pivots: int = PIVOTS,
+    pivots: int | None = None,
     tile_rows: int = TILE_ROWS,
 ) -> DataFrame:
     """(query_id, cached_id, similarity) of the best cached vector at or above ``threshold`` per query.
@@ -58,42 +137,19 @@ def best_match(
     smallest (order, id). Identical cached vectors are searched once, as their first entry. Queries
     without a match are left out.
     """
-    theta = math.acos(threshold) + SLACK
-    by_time = bool(query_order and cached_order)
-    first = F.struct("ord", "id")
-    entries = (
-        _unit(cached, cached_column or cached_id, cached_vector, cached_order)
-        .groupBy("v")
-        .agg(F.min(first).alias("_first"))
-        .select("v", F.col("_first.id").alias("id"), F.col("_first.ord").alias("ord"))
-    )
-    asked = _unit(queries, query_id, query_vector, query_order)
-    entries = cut_lineage(entries)
-    # A few tiles per cell are enough; at most ``pivots`` vectors reach the driver, chosen by hash so that the
-    # choice is repeatable.
-    pivots = min(pivots, max(1, math.ceil(4 * entries.count() / tile_rows)))
-    chosen = [r["v"] for r in entries.orderBy(F.xxhash64("v"), "id").limit(pivots).select("v").collect()]
-    id_type = {k: d for k, d in asked.dtypes}["id"]
-    cid_type = {k: d for k, d in entries.dtypes}["id"]
-    out_schema = f"{query_id} {id_type}, {cached_id} {cid_type}, similarity double"
-    if not chosen:
-        return queries.sparkSession.createDataFrame([], out_schema)
-    centre = np.asarray(chosen, dtype=float)
+    index = build_index(entries_of(cached, cached_column or cached_id, cached_vector, cached_order), pivots)
+    return search_index(index, queries, query_id, cached_id, query_vector, threshold, query_order, by_time=bool(query_order and cached_order), tile_rows=tile_rows)
 
-    def to_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            if len(rows):
-                angle = _angles(np.stack(rows["v"].to_numpy()), centre)
-                cell = angle.argmin(axis=1)
-                yield rows.assign(cell=cell.astype("int32"), angle=angle[np.arange(len(rows)), cell])
 
-    placed = cut_lineage(entries.mapInPandas(to_cells, f"v array<double>, id {cid_type}, ord bigint, cell int, angle double"))
-    # One row per pivot.
-    stats = {r["cell"]: r for r in placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("angle").alias("radius")).collect()}
-    cells = sorted(stats)
-    radius = np.array([stats[c]["radius"] for c in cells])
-    cell_pivots = centre[cells]
-    cell_ids = np.array(cells, dtype="int32")
+def _reached(index: Index, asked: DataFrame, theta: float) -> tuple[DataFrame, DataFrame]:
+    """The queries with the cells they can reach, and the number of vectors in each cell."""
+    # One row for each pivot.
+    sizes = cut_lineage(index.cells.groupBy("cell").agg(F.count("*").alias("n"), F.max("angle").alias("radius")))
+    stats = sorted((r["cell"], r["radius"]) for r in sizes.collect())
+    cell_ids = np.array([c for c, _ in stats], dtype="int32")
+    radius = np.array([r for _, r in stats])
+    cell_pivots = index.pivots[cell_ids]
+    id_type = dict(asked.dtypes)["id"]
 
     def reach(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
@@ -101,22 +157,48 @@ def best_match(
                 near = _angles(np.stack(rows["v"].to_numpy()), cell_pivots) <= radius + theta + SLACK
                 yield rows.assign(cells=[cell_ids[m].tolist() for m in near])
 
-    reached = cut_lineage(asked.mapInPandas(reach, f"id {id_type}, v array<double>, ord bigint, cells array<int>"))
-    asked_n = {r["cell"]: r["n"] for r in reached.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.count("*").alias("n")).collect()}
+    return cut_lineage(asked.mapInPandas(reach, f"id {id_type}, v array<double>, ord bigint, cells array<int>")), sizes
 
-    def tiles(counts: dict[int, int]):
-        per_cell = [max(1, math.ceil(counts.get(c, 0) / tile_rows)) for c in range(len(centre))]
-        return F.element_at(F.array(*[F.lit(n) for n in per_cell]), F.col("cell") + 1)
 
-    c_tiles, q_tiles = tiles({c: s["n"] for c, s in stats.items()}), tiles(asked_n)
+def compared_share(index: Index, queries: DataFrame, query_id: str, query_vector: str = "vector", threshold: float = THRESHOLD) -> float:
+    """The share of all (query, vector) pairs that a search compares."""
+    asked = _unit(queries, query_id, query_vector, None)
+    reached, sizes = _reached(index, asked, math.acos(threshold) + SLACK)
+    pairs = reached.select(F.explode("cells").alias("cell")).join(sizes, "cell").agg(F.sum("n")).first()[0] or 0
+    return pairs / max(1, reached.count() * index.cells.count())
 
-    def spread(df: DataFrame, own: Column, other: Column, own_name: str, other_name: str) -> DataFrame:
-        return df.withColumn(own_name, F.pmod(F.xxhash64("id"), own).cast("int")).withColumn(
-            other_name, F.explode(F.sequence(F.lit(0), other - 1))
-        )
 
-    left = spread(reached.withColumn("cell", F.explode("cells")).drop("cells"), q_tiles, c_tiles, "qt", "ct")
-    right = spread(placed.drop("angle"), c_tiles, q_tiles, "ct", "qt")
+def search_index(
+    index: Index,
+    queries: DataFrame,
+    query_id: str,
+    cached_id: str,
+    query_vector: str = "vector",
+    threshold: float = THRESHOLD,
+    query_order: str | None = None,
+    by_time: bool = False,
+    tile_rows: int = TILE_ROWS,
+) -> DataFrame:
+    """``best_match`` on an index."""
+    theta = math.acos(threshold) + SLACK
+    asked = _unit(queries, query_id, query_vector, query_order)
+    id_type, cid_type = dict(asked.dtypes)["id"], index.id_type
+    if not len(index.pivots):
+        return queries.sparkSession.createDataFrame([], f"{query_id} {id_type}, {cached_id} {cid_type}, similarity double")
+    reached, sizes = _reached(index, asked, theta)
+    visits = reached.select("id", "v", "ord", F.explode("cells").alias("cell"))
+    tiles = F.greatest(F.lit(1), F.ceil(F.col("n") / tile_rows)).cast("int")
+    c_tiles = sizes.select("cell", tiles.alias("c_tiles"))
+    q_tiles = visits.groupBy("cell").agg(F.count("*").alias("n")).select("cell", tiles.alias("q_tiles"))
+    # One row for each cell that is visited.
+    grid = cut_lineage(c_tiles.join(q_tiles, "cell"))
+
+    def spread(df: DataFrame, own: str, other: str, own_name: str, other_name: str) -> DataFrame:
+        placed = df.join(grid, "cell").withColumn(own_name, F.pmod(F.xxhash64("id"), F.col(own)).cast("int"))
+        return placed.withColumn(other_name, F.explode(F.sequence(F.lit(0), F.col(other) - 1))).drop("c_tiles", "q_tiles")
+
+    left = spread(visits, "q_tiles", "c_tiles", "qt", "ct")
+    right = spread(index.cells.drop("angle"), "c_tiles", "q_tiles", "ct", "qt")
 
     def search(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(c):

@@ -2,10 +2,13 @@
 
 import datetime as dt
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from opspark.operators import corpus, demand, features, ledger
+from opspark.plans import nearest
 from opspark.sources.literals import literal_table
 
 
@@ -76,3 +79,46 @@ def test_no_broadcast_hint_or_cross_join_in_the_library():
 def test_count_of_windows_is_bounded_by_the_chunk(fact):
     sizes = features.in_chunks(fact).groupBy("zone_id", "chunk").agg(F.count("*").alias("n"))
     assert sizes.agg(F.max("n")).first()[0] <= features.CHUNK_SLOTS + features.HALO_SLOTS
+
+
+def clustered(spark, n, clusters, seed):
+    """Unit vectors around as many centres, each with its own small spread."""
+    rng = np.random.default_rng(seed)
+    centre = np.random.default_rng(1).normal(size=(clusters, 16))
+    v = centre[rng.integers(0, clusters, n)] + 0.05 * rng.normal(size=(n, 16))
+    return spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(n), "vector": list(v)}), "vec_id bigint, vector array<double>"), v
+
+
+def test_the_share_of_pairs_compared_does_not_grow(spark):
+    """Pivots follow the table, so a cell stays a small part of it at ten and a hundred times the size."""
+    shares, pivots = [], []
+    for n in (200, 2000, 20_000):
+        rows, _ = clustered(spark, n, 40, n)
+        index = nearest.build_index(nearest.entries_of(rows, "vec_id"))
+        pivots.append(len(index.pivots))
+        shares.append(nearest.compared_share(index, rows.limit(400), "vec_id"))
+    assert pivots == [14, 44, 141]
+    assert shares[2] <= shares[1] <= shares[0] and shares[2] < 0.1
+
+
+def test_a_stored_index_is_extended_and_rebuilt(spark, tmp_path):
+    rows, v = clustered(spark, 600, 12, 3)
+    path = str(tmp_path / "index")
+    nearest.store_index(nearest.build_index(nearest.entries_of(rows.where("vec_id < 30"), "vec_id")), path)
+    first = len(nearest.open_index(spark, path).pivots)
+    for part, (a, b) in enumerate([(30, 90), (90, 140), (90, 140), (140, 600)], 1):
+        part = 2 if part == 3 else part
+        nearest.extend_index(spark, path, nearest.entries_of(rows.where(f"vec_id >= {a} and vec_id < {b}"), "vec_id"), part)
+    index = nearest.open_index(spark, path)
+    assert index.cells.count() == index.cells.select("id").distinct().count() == 600 and len(index.pivots) > first
+    asked, q = clustered(spark, 50, 12, 9)
+    got = {r.query_id: (r.vec_id, round(r.similarity, 9)) for r in nearest.search_index(index, asked.withColumnRenamed("vec_id", "query_id"), "query_id", "vec_id", tile_rows=64).collect()}
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    sims = unit(q) @ unit(v).T
+    want = {i: (int(s.argmax()), round(float(s.max()), 9)) for i, s in enumerate(sims) if s.max() >= nearest.THRESHOLD}
+    assert got == want and want
+
+
+def test_an_empty_index(spark):
+    none = spark.createDataFrame([], "vec_id bigint, vector array<double>")
+    assert nearest.search_index(nearest.build_index(nearest.entries_of(none, "vec_id")), none, "vec_id", "hit").count() == 0
