@@ -216,6 +216,14 @@ def budget_gate(
     return out.unionByName(folded.select(keep))
 
 
+def monthly_budget_gate(requests: DataFrame, budgets: DataFrame, estimate: float = PREFLIGHT_ESTIMATE, **options) -> DataFrame:
+    """``budget_gate`` with a budget that begins anew each calendar month: a user's month is decided like a user."""
+    month = F.date_format("ts", "yyyy-MM")
+    asked = requests.withColumns({"_own": F.col("user_id"), "user_id": F.concat_ws("|", month, F.col("user_id").cast("string"))})
+    decided = budget_gate(asked, budgets, estimate, **options)
+    return decided.withColumn("user_id", F.col("_own")).select(*requests.columns, "allowed")
+
+
 def _spend_in_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Decides time-ordered requests of users whose limit changes; the state is one number per user."""
     user, spent = None, 0

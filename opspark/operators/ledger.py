@@ -232,6 +232,24 @@ def evaluation_report(evaluated: DataFrame, sigma: float = 2.0) -> DataFrame:
     ).withColumn("spikes", spikes)
 
 
+def answer_consistency(log: DataFrame, by: tuple[str, ...] = ("user_role",)) -> DataFrame:
+    """Questions that were asked more than once in the same circumstances, with the number of different answers.
+
+    Answers are compared by hash, without outer white space; a NULL answer is an empty one. Rows first collapse to one for each
+    question and answer, so a question that is asked very often is cheap. ``drifted_at`` is when an answer other than the first came.
+    """
+    asked = log.select(tx.cache_key(F.col("query")).alias("cache_key"), *by, "ts", F.sha2(tx.strip(F.coalesce("answer", F.lit(""))), 256).alias("_hash"))
+    answers = asked.groupBy("cache_key", *by, "_hash").agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("_first"))
+    per = answers.groupBy("cache_key", *by).agg(
+        F.sum("n").alias("asked"), F.count(F.lit(1)).alias("answers"), F.max("n").alias("most_common"), F.min(F.struct("_first", "_hash")).alias("_start")
+    )
+    # Of the answers other than the first, the earliest.
+    later = answers.alias("a").join(per.where("answers > 1").alias("p"), ["cache_key", *by]).where(F.col("a._hash") != F.col("p._start._hash"))
+    drifted = later.groupBy("cache_key", *by).agg(F.min("a._first").alias("drifted_at"))
+    again = per.where(F.col("asked") > 1).join(drifted, ["cache_key", *by], "left")
+    return again.select("cache_key", *by, "asked", "answers", (F.col("most_common") / F.col("asked")).alias("agreement"), "drifted_at")
+
+
 def costs_by(ledger: DataFrame, keys: list[str], cost: str = "total_cost") -> DataFrame:
     """Cost by each key alone and overall."""
     sets = [[F.col(k)] for k in keys] + [[]]

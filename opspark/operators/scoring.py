@@ -104,14 +104,15 @@ def forecast_recursive(
     feature, with one number for each zone. A group holds the last week and the 96 baseline values of its zones, whatever
     the length of the history. Missing history is replaced by the zone's baseline of the predicted slot.
     """
-    part = F.pmod(F.xxhash64("zone_id"), F.lit(parts)).alias("part")
-    recent = zone_history(fact, season).select(part, "zone_id", slot_index(F.col("time_bucket")).alias("slot"), F.col("trip_count").cast("double").alias("y"))
-    slots = baseline.select(part, "zone_id", "slot_of_day", "zone_slot_baseline")
-    columns = ["zone_id", "step", "time_bucket", "yhat"]
+    part = F.pmod(F.xxhash64("zone_id"), F.lit(parts))
+    # The two sides may come from one frame, so no name is in both.
+    recent = zone_history(fact, season).select(part.alias("part"), "zone_id", slot_index(F.col("time_bucket")).alias("slot"), F.col("trip_count").cast("double").alias("y"))
+    slots = baseline.select(part.alias("base_part"), F.col("zone_id").alias("base_zone"), "slot_of_day", "zone_slot_baseline")
+    columns = {"zone_id": "int64", "step": "int32", "time_bucket": "datetime64[us]", "yhat": "float64"}
 
     def run(history: pd.DataFrame, base: pd.DataFrame) -> pd.DataFrame:
         if not len(history):
-            return pd.DataFrame({c: [] for c in columns})
+            return pd.DataFrame({c: pd.Series([], dtype=t) for c, t in columns.items()})
         zones, z = np.unique(history["zone_id"].to_numpy(), return_inverse=True)
         slot = history["slot"].to_numpy()
         last = np.full(len(zones), slot.min())
@@ -120,8 +121,8 @@ def forecast_recursive(
         place = season - 1 - (last[z] - slot)
         y[z[place >= 0], place[place >= 0]] = history["y"].to_numpy()[place >= 0]
         means = np.zeros((len(zones), SLOTS_PER_DAY))
-        known = base[base["zone_id"].isin(zones)]
-        means[np.searchsorted(zones, known["zone_id"].to_numpy()), known["slot_of_day"].to_numpy()] = known["zone_slot_baseline"].to_numpy()
+        known = base[base["base_zone"].isin(zones)] if len(base) else pd.DataFrame({"base_zone": [], "slot_of_day": [], "zone_slot_baseline": []}, dtype="int64")
+        means[np.searchsorted(zones, known["base_zone"].to_numpy()), known["slot_of_day"].to_numpy()] = known["zone_slot_baseline"].to_numpy()
         rows = np.arange(len(zones))
         out = []
         for step in range(1, steps + 1):
@@ -135,7 +136,7 @@ def forecast_recursive(
             out.append(pd.DataFrame({"zone_id": zones, "step": step, "time_bucket": time, "yhat": [round(v, 2) for v in y[:, at].tolist()]}))
         return pd.concat(out, ignore_index=True)
 
-    return recent.groupBy("part").cogroup(slots.groupBy("part")).applyInPandas(run, "zone_id bigint, step int, time_bucket timestamp_ntz, yhat double")
+    return recent.groupBy("part").cogroup(slots.groupBy("base_part")).applyInPandas(run, "zone_id bigint, step int, time_bucket timestamp_ntz, yhat double")
 
 
 def _calendar(slot: np.ndarray) -> dict[str, np.ndarray]:

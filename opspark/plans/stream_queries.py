@@ -453,7 +453,9 @@ scored AS (
   UNION ALL
   SELECT d.zone_id, k.borough_id, {look.replace("time_bucket", "d.time_bucket")}, d.time_bucket, d.trip_count, d.is_holiday, {lags}, yhat, true
   FROM dirty d JOIN known k ON k.zone_id = d.zone_id AND k.time_bucket = d.time_bucket WHERE d.time_bucket >= TIMESTAMP '{start}' AND d.time_bucket < TIMESTAMP '{end}')"""
-    rest = drq.MONITOR.removeprefix(drq.SCORED).replace("max(time_bucket) AS latest", "max(time_bucket) FILTER (WHERE is_new) AS latest")
+    # Accuracy is measured where both numbers are known.
+    tagged = drq.TAGGED.replace("FROM scored", "FROM scored WHERE trip_count IS NOT NULL AND yhat IS NOT NULL")
+    rest = drq.MONITOR.removeprefix(drq.SCORED).replace(drq.TAGGED, tagged).replace("max(time_bucket) AS latest", "max(time_bucket) FILTER (WHERE is_new) AS latest")
     copies = "(SELECT sum(n - 1) AS extra, count(*) FILTER (WHERE n > 1) AS keys FROM (SELECT count(*) AS n FROM scored WHERE is_new GROUP BY zone_id, time_bucket))"
     rest = rest.replace("unnest([0.0, 0.0, 0.0, CAST(total AS DOUBLE)]) FROM one", f"unnest([extra / total, CAST(extra AS DOUBLE), CAST(keys AS DOUBLE), CAST(total AS DOUBLE)]) FROM one, {copies}")
     verdict = """CASE WHEN (SELECT count(*) FROM alerts WHERE severity = 'critical') > 0 THEN 'BLOCK_DEPLOY_AND_PAGE' WHEN (SELECT count(*) FROM alerts) > 0 THEN 'MONITOR' ELSE 'OK' END"""

@@ -7,13 +7,14 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import anomalies, drift, expectations, latency, retraining
+from ..operators import anomalies, drift, expectations, gates, latency, ledger, records, retraining
 from ..plans.ranks import value_counts
 from ..session import cut_lineage, scratch
-from ..sources import tables
+from ..sources import policies, tables
 from ..sources.literals import literal_table
 from . import demand_queries as dq
 from . import drift_queries as drq
+from . import log_queries as lq
 from .sqlbase import FACT, with_
 
 QUERIES: dict = {}
@@ -222,3 +223,106 @@ def retraining_triggers(spark, d):
     total = daily.groupBy("zone_id").agg(F.sum("trips").alias("total"), F.count(F.lit(1)).alias("n"))
     history = daily.join(total, "zone_id").withColumn("alerted", F.abs(F.col("trips") * F.col("n") - F.col("total")) * 100 > 15 * F.col("total"))
     return retraining.triggers(history, "zone_id", "day", "alerted", k=3, n=7, cooldown=4)
+
+
+# Costs, answers and records
+
+
+@query(
+    "costs_by_model",
+    with_(
+        lq.PRICED,
+        """SELECT 'model' AS grouping, model AS item, count(*) AS queries, round(sum(cost), 9) AS cost FROM priced GROUP BY 2
+           UNION ALL SELECT 'user_role', user_role, count(*), round(sum(cost), 9) FROM priced GROUP BY 2
+           UNION ALL SELECT 'day', CAST(CAST(ts AS DATE) AS VARCHAR), count(*), round(sum(cost), 9) FROM priced GROUP BY 2
+           UNION ALL SELECT 'all', 'all', count(*), round(sum(cost), 9) FROM priced""",
+    ),
+)
+def costs_by_model(spark, d):
+    """Token costs of the query log by model, role and day."""
+    rows = lq.priced(spark, d).withColumn("day", F.to_date("ts"))
+    return ledger.costs_by(rows, ["model", "user_role", "day"], cost="cost").withColumn("cost", F.round("cost", 9))
+
+
+@query(
+    "budget_monthly",
+    with_(
+        f"{lq.BUDGETS}, " + lq.REQUESTS.split("rated AS")[0].rstrip().rstrip(",").replace("SELECT event_id, user_id, ts,", "SELECT event_id, user_id, ts + to_days(CAST(event_id % 90 AS INTEGER)) AS ts,", 1).replace("ORDER BY ts", "ORDER BY events.ts")
+        + """, gated AS (SELECT s.*, coalesce(sum(cost) OVER (PARTITION BY user_id, date_trunc('month', ts) ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+      budget FROM (SELECT * REPLACE (CAST(cost AS DECIMAL(18,6)) AS cost) FROM req) s LEFT JOIN budgets b ON b.role = s.user_role)""",
+        "SELECT event_id, user_id, before <= CAST(coalesce(budget, 0) - 0.01 AS DECIMAL(18,6)) AS allowed FROM gated",
+    ),
+)
+def budget_monthly(spark, d):
+    """Requests spread over four months; every month has its own budget."""
+    days = F.make_dt_interval((F.col("event_id") % 90).cast("int"))
+    asked = lq.requests(spark, d).withColumn("ts", F.col("ts") + days)
+    return gates.monthly_budget_gate(asked, policies.role_budgets(spark)).select("event_id", "user_id", "allowed")
+
+
+@query(
+    "answer_consistency",
+    with_(
+        lq.AGAIN,
+        """SELECT cache_key, user_role, CAST(sum(n) AS BIGINT) AS asked, count(*) AS answers, round(max(n) / sum(n), 9) AS agreement, min(first) FILTER (WHERE h <> start) AS drifted_at
+           FROM (SELECT *, first_value(h) OVER (PARTITION BY cache_key, user_role ORDER BY first, h) AS start FROM (
+             SELECT lower(regexp_replace(query, '^\\s+|\\s+$', '', 'g')) AS cache_key, user_role, sha256(regexp_replace(answer, '^\\s+|\\s+$', '', 'g')) AS h, count(*) AS n, min(ts) AS first FROM again GROUP BY 1, 2, 3))
+           GROUP BY 1, 2 HAVING sum(n) > 1""",
+    ),
+)
+def answer_consistency(spark, d):
+    """Questions asked again, with the share of the most common answer and the time at which it changed."""
+    return ledger.answer_consistency(lq.repeated_log(spark, d)).withColumn("agreement", F.round("agreement", 9))
+
+
+EXPENSES = """expenses AS (SELECT o_orderkey AS expense_id, o_custkey AS employee_id, CASE o_orderstatus WHEN 'F' THEN 'approved' WHEN 'O' THEN 'pending' ELSE 'rejected' END AS status,
+  o_orderpriority AS category, o_orderdate AS date, o_totalprice AS amount, o_custkey % 40 AS project_id FROM orders)"""
+
+
+def expenses(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as expense records."""
+    status = F.when(F.col("o_orderstatus") == "F", "approved").when(F.col("o_orderstatus") == "O", "pending").otherwise("rejected")
+    return tables.table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("expense_id"), F.col("o_custkey").alias("employee_id"), status.alias("status"), F.col("o_orderpriority").alias("category"),
+        F.col("o_orderdate").alias("date"), F.col("o_totalprice").alias("amount"), (F.col("o_custkey") % 40).alias("project_id"),
+    )
+
+
+@query(
+    "expense_search",
+    with_(
+        EXPENSES,
+        """SELECT expense_id, employee_id, status, category, date, amount FROM expenses
+           WHERE status = 'pending' AND category = '1-URGENT' AND date >= TIMESTAMP '1995-01-01' AND date < TIMESTAMP '1996-07-01'""",
+    ),
+)
+def expense_search(spark, d):
+    found = records.find_expenses(expenses(spark, d), status="pending", category="1-URGENT", first="1995-01-01", last="1996-06-30")
+    return found.select("expense_id", "employee_id", "status", "category", "date", "amount")
+
+
+@query(
+    "project_totals",
+    with_(
+        EXPENSES,
+        """SELECT project_id, round(CAST(sum(CAST(round(amount * 100) AS BIGINT)) AS DOUBLE) / 100, 2) AS amount, round(coalesce(sum(CAST(round(amount * 100) AS BIGINT)) FILTER (WHERE status = 'approved'), 0) / sum(CAST(round(amount * 100) AS BIGINT)), 9) AS approved_share,
+             count(*) AS rows, count(DISTINCT employee_id) AS people FROM expenses GROUP BY 1""",
+    ),
+)
+def project_totals(spark, d):
+    out = records.project_totals(expenses(spark, d))
+    return out.withColumns({"amount": F.round("amount", 2), "approved_share": F.round("approved_share", 9)})
+
+
+@query(
+    "salary_bands",
+    with_(
+        lq.PEOPLE,
+        """SELECT department, count(*) AS people, round(quantile_cont(CAST(salary AS DOUBLE), 0.25), 6) AS p25, round(quantile_cont(CAST(salary AS DOUBLE), 0.5), 6) AS median,
+             round(quantile_cont(CAST(salary AS DOUBLE), 0.75), 6) AS p75 FROM people GROUP BY 1 HAVING count(*) >= 5""",
+    ),
+)
+def salary_bands(spark, d):
+    """Quartiles of salaries by department: a band shows no single person."""
+    out = records.salary_bands(tables.employees(spark, d))
+    return out.withColumns({c: F.round(c, 6) for c in ("p25", "median", "p75")})

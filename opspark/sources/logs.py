@@ -6,12 +6,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def append_log(rows: DataFrame, path: str, ts: str = "timestamp") -> None:
+def append_log(rows: DataFrame, path: str, ts: str = "timestamp", batch: str | None = None) -> None:
     """Appends records to a Parquet log partitioned by day.
 
     Rows of a day are spread over a few files per task instead of one task per day, so a busy day stays parallel.
+    With the name of a ``batch`` the append can be repeated: what the batch wrote before is replaced, not doubled. All appends to one log
+    should then be named.
     """
-    rows.withColumn("log_date", F.to_date(ts)).write.mode("append").partitionBy("log_date").parquet(path)
+    dated = rows.withColumn("log_date", F.to_date(ts))
+    if batch is None:
+        dated.write.mode("append").partitionBy("log_date").parquet(path)
+        return
+    # A folder for each batch, with its days in it: only this one is written anew.
+    dated.write.mode("overwrite").partitionBy("log_date").parquet(f"{path}/batch={batch}")
 
 
 def scan_log(spark: SparkSession, path: str, condition: Column | None = None, schema=None) -> DataFrame:

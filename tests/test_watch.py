@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from opspark.functions.scores import chi_square_pvalue, log_gamma_half
-from opspark.operators import anomalies, drift, expectations, latency, retraining
+from opspark.operators import anomalies, drift, expectations, gates, latency, ledger, records, retraining
 from opspark.plans.ranks import running_sums, value_counts
 from opspark.session import cut_lineage
+from opspark.sources import logs
 from opspark.sources.literals import literal_table
 
 
@@ -155,3 +156,43 @@ def test_retraining_state_machine(spark):
                 want.add((model, day))
                 last, open_ = day, []
     assert got == want and want
+
+
+def test_a_repeated_append_is_not_doubled(spark, tmp_path):
+    path = str(tmp_path / "log")
+    rows = [literal_table(spark, [(i, dt.datetime(2024, 1, 1 + i % 3)) for i in range(a, b)], "id bigint, timestamp timestamp_ntz") for a, b in ((0, 10), (10, 14))]
+    for part in (0, 1, 1, 0):
+        logs.append_log(rows[part], path, batch=f"run{part}")
+    found = logs.scan_log(spark, path, F.col("log_date") == "2024-01-02")
+    assert logs.scan_log(spark, path).count() == 14 and sorted(r.id for r in found.collect()) == [1, 4, 7, 10, 13]
+
+
+def test_every_month_has_its_own_budget(spark):
+    budgets = literal_table(spark, [("hr", 10.0)], "role string, budget double")
+    rows = [(i, 1, dt.datetime(2024, m, 1 + i), "hr", 4.0) for m in (1, 2) for i in range(5)]
+    log = literal_table(spark, rows, "event_id bigint, user_id bigint, ts timestamp_ntz, user_role string, cost double")
+    got = [(r.ts.month, r.event_id, r.allowed) for r in gates.monthly_budget_gate(log, budgets, estimate=1.0).orderBy("ts").collect()]
+    assert got == [(m, i, i < 3) for m in (1, 2) for i in range(5)]
+
+
+def test_answers_that_change(spark):
+    t = dt.datetime(2024, 1, 1)
+    day = dt.timedelta(days=1)
+    rows = [("What?", "hr", "a", t), (" what? ", "hr", "a ", t + day), ("what?", "hr", "b", t + 2 * day), ("what?", "it", "b", t), ("once", "hr", "x", t), ("same", None, None, t), ("same", None, "", t + day)]
+    got = {(r.cache_key, r.user_role): (r.asked, r.answers, r.agreement, r.drifted_at) for r in ledger.answer_consistency(literal_table(spark, rows, "query string, user_role string, answer string, ts timestamp_ntz")).collect()}
+    assert got == {("what?", "hr"): (3, 2, 2 / 3, t + 2 * day), ("same", None): (2, 1, 1.0, None)}
+
+
+def test_salary_bands_show_no_single_person(spark):
+    rows = [("a", float(v)) for v in (10, 20, 30, 40, 50)] + [("b", 1.0)] * 4
+    got = records.salary_bands(literal_table(spark, rows, "department string, salary double")).collect()
+    assert [(r.department, r.people, r.p25, r.median, r.p75) for r in got] == [("a", 5, 20.0, 30.0, 40.0)]
+
+
+def test_expense_filters(spark):
+    rows = [(1, 7, "pending", "x", dt.datetime(2024, 1, 31, 23), 5.5, 3), (2, 7, "approved", "x", dt.datetime(2024, 2, 1), 4.5, 3), (3, None, "approved", "y", None, 0.0, 4)]
+    e = literal_table(spark, rows, "expense_id bigint, employee_id bigint, status string, category string, date timestamp_ntz, amount double, project_id bigint")
+    ids = lambda **k: sorted(r.expense_id for r in records.find_expenses(e, **k).collect())
+    assert ids() == [1, 2, 3] and ids(employee_id=7, last="2024-01-31") == [1] and ids(status="approved", category="x", first="2024-02-01", last="2024-02-01") == [2]
+    got = {r.project_id: (r.amount, r.approved_share, r.rows, r.people) for r in records.project_totals(e).collect()}
+    assert got == {3: (10.0, 0.45, 2, 1), 4: (0.0, None, 1, 0)}
