@@ -28,6 +28,7 @@ from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, St
 
 from ..session import cut_lineage
 from .anchors import Bytes, anchor_table, cut_out, keyed
+from .packs import tasks_for
 from .suffixes import equal_groups
 from .texts import release, slices
 
@@ -95,14 +96,19 @@ def sorted_shard(table: pa.Table, length: int, ranges: int) -> pa.Table:
     return pa.concat_tables(out)
 
 
+def merged_pair(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Two sorted lists as one: binary search finds where the second list's windows come in."""
+    at = np.searchsorted(left[0]["a"], right[0]["a"])
+    return np.insert(left[0], at, right[0]), np.insert(left[1], at, right[1])
+
+
 def merged_range(table: pa.Table) -> pa.Table:
     """Of one range of all shards, the windows that two shards have and that their own shard did not find repeated."""
-    merged = np.zeros(0, PRINT)
-    refs = np.zeros(0, REF)
-    for p, r in zip(table.column("prints").to_pylist(), table.column("refs").to_pylist()):
-        mine, own = np.frombuffer(p, PRINT), np.frombuffer(r, REF)
-        at = np.searchsorted(merged["a"], mine["a"])
-        merged, refs = np.insert(merged, at, mine), np.insert(refs, at, own)
+    lists = [(np.frombuffer(p, PRINT), np.frombuffer(r, REF)) for p, r in zip(table.column("prints").to_pylist(), table.column("refs").to_pylist())]
+    # A tournament: lists of about one length meet, so each window moves as often as the number of lists can be halved.
+    while len(lists) > 1:
+        lists = [merged_pair(*lists[k : k + 2]) if k + 1 < len(lists) else lists[k] for k in range(0, len(lists), 2)]
+    merged, refs = lists[0]
     # Equal first halves are neighbours now; in the rare run of more than one print, the second half orders it.
     order = np.lexsort((merged["b"], merged["a"]))
     merged, refs = merged[order], refs[order]
@@ -131,9 +137,9 @@ def repeated_runs(texts: DataFrame, length: int) -> DataFrame:
     parts = cut_out(texts, flagged, Bytes, length)
     shard = F.pmod(F.xxhash64("h", F.when(F.col("hot"), F.col("s1")).otherwise(F.lit(0))), F.lit(shards))
     sorted_ = cut_lineage(
-        parts.withColumn("shard", shard).groupBy("shard").applyInArrow(lambda table: sorted_shard(table, length, ranges), FOUND)
+        parts.withColumn("shard", shard).repartition(tasks_for(shards), "shard").groupBy("shard").applyInArrow(lambda table: sorted_shard(table, length, ranges), FOUND)
     )
-    crossing = sorted_.where("range is not null").select("range", "prints", "refs").groupBy("range").applyInArrow(merged_range, FOUND)
+    crossing = sorted_.where("range is not null").select("range", "prints", "refs").repartition(ranges, "range").groupBy("range").applyInArrow(merged_range, FOUND)
     runs = sorted_.where("range is null").unionAll(crossing) if total["dealt"] else sorted_
     runs = cut_lineage(runs.select(F.col("h").alias("rh"), F.col("s1").alias("r1"), F.col("s2").alias("r2"), "t0", "t1"))
     places = cut_lineage(found.select("k1", "k2", "h", "s1", "s2", "first").distinct())
