@@ -7,6 +7,7 @@ from functools import reduce
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions.timefeat import epoch_micros
 from ..operators import demand, features, forest, monitor, scoring
@@ -269,17 +270,6 @@ def metrics_report(spark, d):
 # Streams
 
 
-def event_stream(spark: SparkSession, d: str) -> DataFrame:
-    """The events file or folder as a stream (a glob, as a stream takes no single file); times become TIMESTAMP."""
-    schema = tables.table(spark, d, "events").schema
-    return (
-        spark.readStream.schema(schema)
-        .parquet(f"{d}/event[s].parquet")
-        .withColumn("us", epoch_micros(F.col("ts")))
-        .withColumn("event_time", F.timestamp_micros("us"))
-    )
-
-
 def run(writer, spark: SparkSession, name: str) -> None:
     """Runs a stream over all the input there is and waits for its end."""
     streams.run_reported(writer, spark, scratch(spark, name))
@@ -313,33 +303,56 @@ def run_to_table(stream: DataFrame, spark: SparkSession, name: str) -> DataFrame
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def run_updates(stream: DataFrame, spark: SparkSession, name: str, keys: list[str]) -> DataFrame:
-    """Update mode: each trigger writes the rows it changed to a folder of its number, and the last state of a key counts.
+def table_of_runs(spark: SparkSession, rows: DataFrame, arrival: Column, make, name: str) -> DataFrame:
+    """Append mode over three scheduled runs: the rows that ``make`` makes of the stream, once they are final."""
+    path, schemas = scratch(spark, name), []
+
+    def build(stream: DataFrame, k: int, _):
+        made = make(stream)
+        schemas.append(made.schema)
+        return made.writeStream.outputMode("append").format("parquet").option("path", path)
+
+    in_runs(spark, rows, arrival, 3, build, name)
+    return spark.read.schema(schemas[0]).parquet(path)
+
+
+def updates_of_runs(spark: SparkSession, rows: DataFrame, arrival: Column, make, name: str, keys: list[str]) -> DataFrame:
+    """Update mode over three scheduled runs: each trigger writes the rows it changed to a folder of its number, and the last state of a key counts.
 
     The watermark can drop closed windows from the state, and a repeated trigger replaces only its own folder.
     """
-    path = scratch(spark, name)
+    path, schemas = scratch(spark, name), []
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    run(stream.writeStream.outputMode("update").foreachBatch(keep), spark, f"{name}-state")
-    rest = [c for c in stream.columns if c not in keys]
-    written = spark.read.schema(stream.schema.add("batch", "long")).parquet(path)
+    def build(stream: DataFrame, k: int, _):
+        made = make(stream)
+        schemas.append(made.schema)
+        return made.writeStream.outputMode("update").foreachBatch(keep)
+
+    in_runs(spark, rows, arrival, 3, build, name)
+    rest = [c for c in schemas[0].names if c not in keys]
+    written = spark.read.schema(StructType([*schemas[0].fields, StructField("batch", LongType())])).parquet(path)
     return written.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("last")).select(*keys, "last.*")
 
 
 BUCKETS = "SELECT user_id % 25 AS zone_id, epoch_us(time_bucket(INTERVAL 15 MINUTE, ts)) AS bucket_us, count(*) AS trip_count FROM events GROUP BY 1, 2"
 
 
-def _zone_stream(spark, d) -> DataFrame:
-    return event_stream(spark, d).select(F.pmod("user_id", F.lit(25)).alias("zone_id"), "event_time")
+def _zone_times(spark, d) -> DataFrame:
+    e = tables.table(spark, d, "events")
+    return e.select("ts", F.pmod("user_id", F.lit(25)).alias("zone_id"), F.timestamp_micros(epoch_micros(F.col("ts"))).alias("event_time"))
+
+
+def _windows(stream: DataFrame) -> DataFrame:
+    return streams.demand_windows(stream, "event_time")
 
 
 @query("stream_demand", BUCKETS)
 def stream_demand(spark, d):
     """The last update of each window equals the batch aggregate."""
-    out = run_updates(streams.demand_windows(_zone_stream(spark, d), "event_time"), spark, "demand", ["zone_id", "time_bucket"])
+    out = updates_of_runs(spark, _zone_times(spark, d), run_of("ts"), _windows, "demand", ["zone_id", "time_bucket"])
     return out.select("zone_id", F.unix_micros("time_bucket").alias("bucket_us"), "trip_count")
 
 
@@ -349,7 +362,7 @@ def stream_demand(spark, d):
 )
 def stream_demand_closed(spark, d):
     """Windowed demand in append mode: the windows the watermark has closed."""
-    out = run_to_table(streams.demand_windows(_zone_stream(spark, d), "event_time"), spark, "closed")
+    out = table_of_runs(spark, _zone_times(spark, d), run_of("ts"), _windows, "closed")
     return out.select("zone_id", F.unix_micros("time_bucket").alias("bucket_us"), "trip_count")
 
 
@@ -501,11 +514,8 @@ def stream_monitor(spark, d):
     ),
 )
 def stream_costs(spark, d):
-    schema = lq.cost_ledger_frame(spark, d).schema
-    path = scratch(spark, "ledger")
-    lq.cost_ledger_frame(spark, d).write.parquet(path)
-    stream = spark.readStream.schema(schema).parquet(path).withColumn("event_time", F.timestamp_micros(epoch_micros(F.col("ts"))))
-    out = run_updates(streams.cost_windows(stream, "event_time"), spark, "costs", ["user_id", "window_start"])
+    entries = lq.cost_ledger_frame(spark, d).withColumn("event_time", F.timestamp_micros(epoch_micros(F.col("ts"))))
+    out = updates_of_runs(spark, entries, run_of("ts"), lambda s: streams.cost_windows(s, "event_time"), "costs", ["user_id", "window_start"])
     return out.select("user_id", F.unix_micros("window_start").alias("window_us"), F.round("cost", 4).alias("cost"), "queries")
 
 
