@@ -34,7 +34,6 @@ def error_sums(y: Column, p: Column, weight: Column | None = None) -> dict[str,
         "n_pos": (y > 0).cast("double"),
         "s_y": y,
         "s_p": p,
-        "s_pp": p * p,
     }
     keep = both if weight is None else both & weight
     return {k: F.when(keep, v) for k, v in parts.items()}
@@ -55,7 +54,6 @@ def measures(prefix: str = "") -> dict[str, Column]:
         "mape": s("s_ape") / F.when(s("n_pos") > 0, s("n_pos")),
         "actual_mean": s("s_y") / n,
         "pred_mean": s("s_p") / n,
-        "pred_std": F.sqrt(F.greatest(F.lit(0.0), s("s_pp") / n - (s("s_p") / n) * (s("s_p") / n))),
     }
 
 

@@ -148,7 +148,11 @@ def accuracy_windows(scored: DataFrame, windows: list[tuple[str, str, str | None
     by = ["win", "grouping", "segment"]
     sums = tagged.groupBy(*by).agg(*[F.sum(k).alias(k) for k in terms])
     spread = exact_quantiles(tagged, by, "yhat", {"pred_p50": 0.5, "pred_p95": 0.95}, weight=F.col("n"))
-    return sums.select(*by, *[c.alias(k) for k, c in measures().items()]).join(spread.drop("n"), by)
+    # The deviation around the segment's own mean: a difference of squares would cancel for large means of little spread.
+    means = cut_lineage(sums.select(*by, *[c.alias(k) for k, c in measures().items()]))
+    off = F.col("yhat") - F.col("pred_mean")
+    around = tagged.select(*by, "yhat", F.col("n").alias("_n")).join(means.select(*by, "pred_mean"), by).groupBy(*by).agg(F.sqrt(F.sum(F.col("_n") * off * off) / F.sum("_n")).alias("pred_std"))
+    return means.join(around, by).join(spread.drop("n"), by)
 
 
 def headline_deltas(report: DataFrame, base: str, new: str) -> DataFrame:

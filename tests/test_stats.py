@@ -1,3 +1,4 @@
+import datetime as dt
 import math
 import random
 
@@ -149,3 +150,11 @@ def test_freshness_of_empty_is_stale(spark):
     empty = literal_table(spark, [], "time_bucket timestamp_ntz")
     row = monitor.freshness(empty, "2024-01-01").first()
     assert row.stale and row.age_hours is None
+
+
+def test_deviation_of_predictions_does_not_cancel(spark):
+    start = dt.datetime(2024, 1, 1)
+    rows = [(z, 0, 0, 5, start + dt.timedelta(minutes=15 * i), 1e9, 1e9 + (i + z) % 2 * 0.25) for z in (1, 2) for i in range(40)]
+    frame = literal_table(spark, rows, "zone_id bigint, borough_id int, is_weekend int, hour int, time_bucket timestamp_ntz, trip_count double, yhat double")
+    got = monitor.accuracy_windows(frame, [("all", "2024-01-01", None)])
+    assert {r.pred_std for r in got.collect()} == {0.125}
