@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..plans import nearest
 from ..plans.nearest import THRESHOLD, best_match
 from ..session import cut_lineage
 from ..sources.policies import DEFAULT_PRICE_MODEL
@@ -115,21 +116,25 @@ def cached_entries(asked: DataFrame, threshold: float) -> DataFrame:
     depends only on earlier requests of the same key or a similar vector, so all requests without such a request that is
     still open are decided together; the number of rounds is the length of the longest chain of dependencies.
     """
-    still = cut_lineage(asked.groupBy("cache_key", "_v").agg(F.min("node").alias("node")))
+    nodes = cut_lineage(asked.groupBy("cache_key", "_v").agg(F.min("node").alias("node")))
+    # Placed once; a round searches among the requests that are still open.
+    placed = nearest.place(nodes, "node", "_v", "node", threshold)
+    still = nodes.select("cache_key", "node")
     entered = None
     while True:
+        ids = still.select(F.col("node").alias("id"))
         # In the order of time, the first of its key and without an earlier one like it: nothing can answer it.
-        first = still.groupBy("cache_key").agg(F.min("node").alias("node"))
-        after = best_match(still, still, "node", "_c", "_v", "_v", threshold, "node", "node", cached_column="node").select("node")
-        new = cut_lineage(still.join(first.select("node"), "node", "left_semi").join(after, "node", "left_anti"))
-        entered = new if entered is None else cut_lineage(entered.unionByName(new.select(*entered.columns)))
-        rest = cut_lineage(still.join(new.select("node"), "node", "left_anti"))
-        keys = new.select(F.col("cache_key").alias("_k"), F.col("node").alias("_n"))
-        rest = rest.join(keys, (F.col("cache_key") == F.col("_k")) & (F.col("node") > F.col("_n")), "left_anti")
-        answered = best_match(rest, new, "node", "_c", "_v", "_v", threshold, "node", "node", cached_column="node").select("node")
-        still = cut_lineage(rest.join(answered, "node", "left_anti"))
+        first = still.groupBy("cache_key").agg(F.min("node").alias("id"))
+        after = nearest.with_earlier(placed, ids, ids)
+        new = cut_lineage(first.select("id").join(after, "id", "left_anti"))
+        entered = new if entered is None else cut_lineage(entered.unionByName(new))
+        rest = still.join(new, F.col("node") == F.col("id"), "left_anti")
+        keys = still.join(new, F.col("node") == F.col("id"), "left_semi").select(F.col("cache_key").alias("_k"), F.col("node").alias("_n"))
+        rest = cut_lineage(rest.join(keys, (F.col("cache_key") == F.col("_k")) & (F.col("node") > F.col("_n")), "left_anti"))
+        answered = nearest.with_earlier(placed, rest.select(F.col("node").alias("id")), new)
+        still = cut_lineage(rest.join(answered, F.col("node") == F.col("id"), "left_anti"))
         if still.isEmpty():
-            return entered
+            return nodes.join(entered, F.col("node") == F.col("id"), "left_semi")
 
 
 def hybrid_replay(log: DataFrame, vector: Column, threshold: float = THRESHOLD) -> DataFrame:

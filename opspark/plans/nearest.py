@@ -187,6 +187,16 @@ def search_index(
         return queries.sparkSession.createDataFrame([], f"{query_id} {id_type}, {cached_id} {cid_type}, similarity double")
     reached, sizes = _reached(index, asked, theta)
     visits = reached.select("id", "v", "ord", F.explode("cells").alias("cell"))
+    found = _compared(visits, index.cells, sizes, threshold, by_time, tile_rows)
+    best = F.min(F.struct((-F.col("similarity")).alias("s"), "ord", "hit")).alias("_b")
+    return found.groupBy("id").agg(best).select(
+        F.col("id").alias(query_id), F.col("_b.hit").alias(cached_id), (-F.col("_b.s")).alias("similarity")
+    )
+
+
+def _compared(visits: DataFrame, cells: DataFrame, sizes: DataFrame, threshold: float, by_time: bool, tile_rows: int) -> DataFrame:
+    """(id, hit, similarity, ord): of each visit of a query to a tile of a cell, the best vector there at or above the threshold."""
+    id_type, cid_type = dict(visits.dtypes)["id"], dict(cells.dtypes)["id"]
     tiles = F.greatest(F.lit(1), F.ceil(F.col("n") / tile_rows)).cast("int")
     c_tiles = sizes.select("cell", tiles.alias("c_tiles"))
     q_tiles = visits.groupBy("cell").agg(F.count("*").alias("n")).select("cell", tiles.alias("q_tiles"))
@@ -198,7 +208,7 @@ def search_index(
         return placed.withColumn(other_name, F.explode(F.sequence(F.lit(0), F.col(other) - 1))).drop("c_tiles", "q_tiles")
 
     left = spread(visits, "q_tiles", "c_tiles", "qt", "ct")
-    right = spread(index.cells.drop("angle"), "c_tiles", "q_tiles", "ct", "qt")
+    right = spread(cells.select("id", "v", "ord", "cell"), "c_tiles", "q_tiles", "ct", "qt")
 
     def search(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(c):
@@ -215,10 +225,31 @@ def search_index(
         )
 
     keys = ["cell", "qt", "ct"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
-        search, f"id {id_type}, hit {cid_type}, similarity double, ord bigint"
-    )
-    best = F.min(F.struct((-F.col("similarity")).alias("s"), "ord", "hit")).alias("_b")
-    return found.groupBy("id").agg(best).select(
-        F.col("id").alias(query_id), F.col("_b.hit").alias(cached_id), (-F.col("_b.s")).alias("similarity")
-    )
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(search, f"id {id_type}, hit {cid_type}, similarity double, ord bigint")
+
+
+class Placed(NamedTuple):
+    """Vectors that look for each other: ``cells`` (id, v, ord, cell) holds each once, ``visits`` once for each cell it can reach."""
+
+    cells: DataFrame
+    visits: DataFrame
+    threshold: float
+
+
+def place(rows: DataFrame, key: str, vector: str, order: str, threshold: float = THRESHOLD) -> Placed:
+    """Places vectors once, for any number of searches among parts of them."""
+    entries = _unit(rows, key, vector, order).select("v", "id", "ord")
+    index = build_index(entries)
+    if not len(index.pivots):
+        none = index.cells.withColumn("cell", F.lit(0))
+        return Placed(none, none, threshold)
+    reached, _ = _reached(index, index.cells.select("v", "id", "ord"), math.acos(threshold) + SLACK)
+    return Placed(index.cells, cut_lineage(reached.select("id", "v", "ord", F.explode("cells").alias("cell"))), threshold)
+
+
+def with_earlier(placed: Placed, queries: DataFrame, among: DataFrame, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """(id) of the ``queries`` that have a similar vector of a smaller order ``among`` others; both are frames of one column, id."""
+    cells = placed.cells.join(among, "id", "left_semi")
+    visits = placed.visits.join(queries, "id", "left_semi")
+    sizes = cells.groupBy("cell").agg(F.count("*").alias("n"))
+    return _compared(visits, cells, sizes, placed.threshold, True, tile_rows).select("id").distinct()

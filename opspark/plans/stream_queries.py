@@ -275,17 +275,19 @@ def run(writer, spark: SparkSession, name: str) -> None:
     streams.run_reported(writer, spark, scratch(spark, name))
 
 
-def in_runs(spark: SparkSession, rows: DataFrame, arrival: Column, runs: int, build, name: str) -> DataFrame:
+def in_runs(spark: SparkSession, rows: DataFrame, arrival: Column, runs: int, build, name: str, result: str | None = None) -> DataFrame:
     """A stream on a schedule: the rows arrive in turns, and each run takes what is new with the state of the runs before.
 
-    ``build(stream, run, reports)`` gives the writer, where ``reports`` are the progress rows so far. Returns these, with their run.
+    ``build(stream, run, reports)`` gives the writer, where ``reports`` are the progress rows so far. Returns these, with their run; they
+    are also written next to the ``result``, if its path is given.
     """
     path, checkpoint = scratch(spark, f"{name}-in"), scratch(spark, f"{name}-checkpoint")
     reports: list[DataFrame] = []
     for k in range(runs):
         rows.where(arrival == k).write.mode("append").parquet(path)
         stream = spark.readStream.schema(rows.schema).parquet(path)
-        reports.append(streams.run_reported(build(stream, k, reports), spark, checkpoint).withColumn("run", F.lit(k)))
+        progress = f"{result}-progress" if result else None
+        reports.append(streams.run_reported(build(stream, k, reports), spark, checkpoint, progress).withColumn("run", F.lit(k)))
     return reduce(DataFrame.unionByName, reports)
 
 
@@ -312,7 +314,7 @@ def table_of_runs(spark: SparkSession, rows: DataFrame, arrival: Column, make, n
         schemas.append(made.schema)
         return made.writeStream.outputMode("append").format("parquet").option("path", path)
 
-    in_runs(spark, rows, arrival, 3, build, name)
+    in_runs(spark, rows, arrival, 3, build, name, path)
     return spark.read.schema(schemas[0]).parquet(path)
 
 
@@ -331,7 +333,7 @@ def updates_of_runs(spark: SparkSession, rows: DataFrame, arrival: Column, make,
         schemas.append(made.schema)
         return made.writeStream.outputMode("update").foreachBatch(keep)
 
-    in_runs(spark, rows, arrival, 3, build, name)
+    in_runs(spark, rows, arrival, 3, build, name, path)
     rest = [c for c in schemas[0].names if c not in keys]
     written = spark.read.schema(StructType([*schemas[0].fields, StructField("batch", LongType())])).parquet(path)
     return written.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("last")).select(*keys, "last.*")
@@ -371,7 +373,7 @@ def stream_rate_limit(spark, d):
     """Three scheduled runs; the state is what a window may still hold of each user's admitted requests."""
     requests = tables.table(spark, d, "events").select("user_id", "ts", "event_id")
     path = scratch(spark, "rate")
-    in_runs(spark, requests, run_of("ts"), 3, lambda stream, k, _: streams.rate_limit_batches(stream, path, lq.GATE_CAP, lq.DAY), "rate")
+    in_runs(spark, requests, run_of("ts"), 3, lambda stream, k, _: streams.rate_limit_batches(stream, path, lq.GATE_CAP, lq.DAY), "rate", path)
     return spark.read.parquet(path).select("event_id", "user_id", "allowed")
 
 
@@ -380,7 +382,7 @@ def stream_budget(spark, d):
     """Three scheduled runs; the state is what each user has spent."""
     budgets = policies.role_budgets(spark)
     path = scratch(spark, "budget")
-    in_runs(spark, lq.requests(spark, d), run_of("ts"), 3, lambda stream, k, _: streams.budget_batches(stream, path, budgets, policies.PREFLIGHT_ESTIMATE), "budget")
+    in_runs(spark, lq.requests(spark, d), run_of("ts"), 3, lambda stream, k, _: streams.budget_batches(stream, path, budgets, policies.PREFLIGHT_ESTIMATE), "budget", path)
     return spark.read.parquet(path).select("event_id", "user_id", "allowed")
 
 
@@ -412,7 +414,7 @@ def stream_late_rows(spark, d):
         zones = streams.counting_late(stream, "event_time", "15 minutes", mark).select(F.pmod("user_id", F.lit(25)).alias("zone_id"), "event_time")
         return streams.demand_windows(zones, "event_time").writeStream.outputMode("append").format("parquet").option("path", path)
 
-    report = in_runs(spark, rows, arrival, 3, build, "late")
+    report = in_runs(spark, rows, arrival, 3, build, "late", path)
     closed = spark.read.schema("zone_id bigint, time_bucket timestamp, trip_count bigint").parquet(path)
     per_run = report.groupBy("run").agg(F.sum("input_rows").alias("input_rows"), F.sum("late_rows").alias("late_rows"), (F.sum("dropped_rows") > 0).alias("dropped"))
     return per_run.withColumn("closed_trips", closed.agg(F.sum("trip_count")).scalar())
@@ -501,7 +503,7 @@ def stream_monitor(spark, d):
     def build(stream: DataFrame, k: int, _):
         return streams.monitor_batches(stream, base, lambda n: drq.REFERENCE, stored, score, history if k == 0 else None)
 
-    in_runs(spark, rows, run_of("time_bucket", MONITOR_STARTS), 3, build, "monitor")
+    in_runs(spark, rows, run_of("time_bucket", MONITOR_STARTS), 3, build, "monitor", base)
     found = spark.read.parquet(base).join(spark.read.parquet(f"{base}-decisions").select("batch", "decision"), "batch")
     return drq.rounded(found.select("batch", "metric", "grouping", "segment", "field", "value", "severity", "decision"), "value")
 
