@@ -36,7 +36,7 @@ MAX_DOCS = 2000
 SMOOTH, UNKNOWN = 0.05, 1e-6
 
 #: Characters of a word that is scored in a batch, at most; distinct words a worker remembers, and the characters of one.
-PLAIN, CACHE, REMEMBERED = 40, 800_000, 64
+PLAIN, CACHE, REMEMBERED = 40, 400_000, 64
 
 #: Numbers (words by languages) a worker remembers, and of a batch that is scored, at most.
 CACHE_NUMBERS, BATCH_NUMBERS = 16_000_000, 160_000
