@@ -173,3 +173,40 @@ def echoed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     rows = rows.withColumn("a", F.when(n > 0, a)).withColumn("p", p)
     spoken = F.transform("w", lambda x, i: F.when(i < F.col("a"), x).otherwise(F.get("w", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))))
     return rows.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(spoken, " ")).otherwise(F.col("text")).alias("text"))
+
+
+#: The unsigned CRC-32 of the decimal document number, bit by bit (fixed: the polynomial).
+CRC_SQL = """xor(list_reduce(list_concat([4294967295::bigint], list_transform(string_split(cast(doc_id as varchar), ''), lambda x: ascii(x)::bigint)),
+  lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+
+def checking_sql(levels: int = 16) -> str:
+    """The same in DuckDB: factors numbered by doubling, and islands of places whose successor is one distance ahead.
+
+    Runs of periods up to 2^(levels - 1) words are found; a run of four repeats needs a text of four times that.
+    """
+    steps, found = [], []
+    for k in range(levels):
+        m = 1 << k
+        if k:
+            steps.append(f"l{k} as materialized (select a.id, a.i, hash(a.h, b.h) as h from l{k - 1} a join l{k - 1} b on b.id = a.id and b.i = a.i + {m // 2} where a.many and b.many)")
+            steps[-1] = steps[-1].replace("as h from", "as h0 from").replace("(select a.id", "(select id, i, h0 as h, count(*) over (partition by id, h0) > 1 as many from (select a.id") + ")"
+        found.append(f"select id, i, d, {m} as m from (select id, i, lead(i) over (partition by id, h order by i) - i as d from l{k} where many) where d <= {m} and 2 * d > {m}")
+    return f"""
+with r as (select row_number() over () as id, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w, {CRC_SQL} as h from documents),
+     g as (select *, len(w) as n, h // 10 as g from r),
+     a as (select *, case when h % 10 = 0 and n > 0 then g % n end as a, case when n > 0 then 1 + (n - g % n) // (3 + g % 8) end as p from g),
+     t as materialized (select id, word, i - 1 as i from (select id, unnest(w) as word, generate_subscripts(w, 1) as i from a where a is null)
+           union all select id, list_extract(w, cast(case when i < a then i else a + (i - a) % p end + 1 as bigint)), i from (select *, unnest(range(n)) as i from a where a is not null)),
+     l0 as materialized (select id, i, hash(word) as h, count(*) over (partition by id, hash(word)) > 1 as many from t),
+     {", ".join(steps)},
+     f as ({" union all ".join(found)}),
+     e as (select id, d, m, i - row_number() over (partition by id, m, d order by i) as island, i from f),
+     runs as materialized (select distinct id, s, l, q from (select id, min(i) as s, max(i) - min(i) + m + d as l, d as q from e group by id, m, d, island) where l >= greatest(6, 4 * q)),
+     best as (select id, count(*) as n_runs, arg_min(struct_pack(s := s, l := l, q := q), (-(l / q), s, q)) as b,
+                     sha256(string_agg(s || ',' || l || ',' || q || chr(10), '' order by s, q)) as d from runs group by id),
+     gone as (select distinct id, unnest(range(s + q, s + l)) as i from runs),
+     kept as (select t.id, string_agg(word, ' ' order by t.i) as k from t anti join gone on gone.id = t.id and gone.i = t.i group by t.id)
+select doc_id, coalesce(n_runs, 0)::bigint as n_runs, (b.s)::bigint as start, (b.l)::bigint as length, (b.q)::bigint as period, (1000 * b.l // b.q)::bigint as exponent_milli,
+       coalesce(d, sha256('')) as runs_sha256, sha256(coalesce(k, '')) as collapsed_sha256
+from r left join best on best.id = r.id left join kept on kept.id = r.id"""

@@ -125,5 +125,6 @@ from p left join g on p.digest = g.digest""",
     "op8_decontamination": decontaminate.SQL,
     "op9_substring_dedup": sql.WORD_DEDUP,
     "op10_quality_rules": quality.SQL,
+    "op12_periodic_runs": periodic.checking_sql(),
     "op13_collocations": collocations.SQL,
 }
