@@ -16,8 +16,6 @@ from ..session import cut_lineage
 MICRO = 1_000_000
 SLICE_SECONDS = 3600
 
-FINDING = ["finding", "user_id", "severity", "n", "first_time", "last_time"]
-
 
 def denial_runs(log: DataFrame, least: int, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
     """Runs of at least ``least`` denials of a user without an admitted access between them: gaps and islands.

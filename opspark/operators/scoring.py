@@ -2,18 +2,14 @@
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timefeat import SLOTS_PER_DAY, slot_index
-from ..session import cut_lineage
 from .demand import trend_direction
 from .features import HALO_SLOTS, LAGS, ROLLING, zone_history
 
@@ -31,33 +27,6 @@ def filled(table: DataFrame, features: list[str]) -> DataFrame:
     return table.withColumns({c: F.coalesce(F.col(c).cast("double"), base) for c in features})
 
 
-def fit_poisson(table: DataFrame, features: list[str] | None = None, target: str = "trip_count", max_iter: int = 50):
-    """Poisson regression with a log link, fitted on Spark; the training rows are written once for its passes.
-
-    A fit that has not converged after ``max_iter`` steps is reported by a warning.
-    """
-    features = features or MODEL_FEATURES
-    rows = cut_lineage(filled(table, features).select(*features, F.col(target).cast("double").alias(target)).dropna())
-    assembled = VectorAssembler(inputCols=features, outputCol="features").transform(rows)
-    model = GeneralizedLinearRegression(
-        family="poisson", link="log", labelCol=target, featuresCol="features", maxIter=max_iter, regParam=1e-4
-    ).fit(assembled)
-    if model.summary.numIterations >= max_iter:
-        warnings.warn(f"the fit stopped after {max_iter} steps without converging", stacklevel=2)
-    return model
-
-
-def score_poisson(table: DataFrame, model, features: list[str] | None = None, name: str = "yhat") -> DataFrame:
-    """Adds predictions of a fitted model; score once and slice the result."""
-    features = features or MODEL_FEATURES
-    coefficients = dict(zip(features, [float(x) for x in model.coefficients]))
-    filled = {c: F.coalesce(F.col(c).cast("double"), F.col("zone_slot_baseline"), F.lit(0.0)) for c in features}
-    link = F.lit(float(model.intercept))
-    for c, weight in coefficients.items():
-        link = link + filled[c] * weight
-    return table.withColumn(name, F.exp(link))
-
-
 def score_with(table: DataFrame, predict: Callable[[pd.DataFrame], np.ndarray], features: list[str], name: str = "yhat") -> DataFrame:
     """Scores with any Python model, batch by batch: ``predict`` gets the feature columns of one Arrow batch."""
 

@@ -192,6 +192,22 @@ def forecast_heatmap_fixed(spark, d):
     return scoring.forecast_heatmap(cut_lineage(forecast_recursive_fixed(spark, d)), 3)
 
 
+@query(
+    "score_python",
+    with_(
+        dq.FEATURE_CTES,
+        """SELECT zone_id, time_bucket, greatest(0.0, 0.5 * coalesce(lag_1h, 0) + 0.25 * coalesce(lag_1week, 0) - 0.25)::DOUBLE AS yhat
+           FROM feat WHERE time_bucket >= TIMESTAMP '2024-01-16'""",
+    ),
+)
+def score_python(spark, d):
+    """A Python model over Arrow batches of the feature table; negative predictions become 0."""
+    table = features.feature_table(dq.stored_fact(spark, d), tables.zones(spark, d), before=drq.SPLIT).fillna(0.0, ["lag_1h", "lag_1week"])
+    later = table.where(F.col("time_bucket") >= F.lit(drq.SPLIT).cast("timestamp_ntz")).select("zone_id", "time_bucket", "lag_1h", "lag_1week")
+    scored = scoring.score_with(later, lambda rows: 0.5 * rows["lag_1h"] + 0.25 * rows["lag_1week"] - 0.25, ["lag_1h", "lag_1week"])
+    return scored.select("zone_id", "time_bucket", "yhat")
+
+
 # Sources and sinks
 
 
