@@ -176,8 +176,8 @@ def echoed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
 
 
 #: The unsigned CRC-32 of the decimal document number, bit by bit (fixed: the polynomial).
-CRC_SQL = """xor(list_reduce(list_concat([4294967295::bigint], list_transform(string_split(cast(doc_id as varchar), ''), lambda x: ascii(x)::bigint)),
-  lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+CRC_SQL = """case when doc_id is not null then xor(list_reduce(list_concat([4294967295::bigint], list_transform(string_split(cast(doc_id as varchar), ''), lambda x: ascii(x)::bigint)),
+  lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) end"""
 
 
 def checking_sql(levels: int = 16) -> str:

@@ -99,3 +99,16 @@ def test_small_scale_equals_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
     cases.same(queries.op12_periodic_runs(spark, sf), [contract(r[0], r[1]) for r in rows])
+
+
+def test_checking_sql_equals_brute_force(spark, tmp_path):
+    import duckdb
+
+    data = [r for r in cases.rows() if r[0] != 59] + [(100 + i, cases.prose(20 + i, i), "en", "s") for i in range(80)]
+    rnd = random.Random(9)
+    data += [(300 + i, " ".join(rnd.choice("ab") for _ in range(rnd.randint(0, 60))), "en", "s") for i in range(120)]
+    cases.frame(spark, data).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    got = con.execute(periodic.checking_sql()).fetchall()
+    assert sorted(got, key=cases.key) == sorted([contract(r[0], r[1]) for r in data], key=cases.key)
