@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .anchors import MIX, mixed
-from .packs import by_range, pack, ranges_for, tasks_for, unpack, word_arrays, words_of_arrays
+from .packs import by_range, distinct, joint, numbered, pack, ranges_for, tasks_for, unpack, word_arrays, words_of_arrays
 from .texts import release, slices
 
 #: Tokens after which a block is closed.
@@ -73,8 +73,8 @@ def registered(edges: np.ndarray, *arcs: np.ndarray) -> tuple[np.ndarray, np.nda
     # States of one arc are most; equal ones are found by sorting.
     single = np.flatnonzero(n == 1)
     if len(single):
-        kinds, own = np.unique(table[edges[single]].view([("", np.int64)] * len(arcs)).ravel(), return_inverse=True)
-        first = np.empty(len(kinds), np.int64)
+        own = joint(*(a[edges[single]] for a in arcs))
+        first = np.empty(own.max() + 1, np.int64)
         first[own[::-1]] = single[::-1]
         out[single], kept = own, first.tolist()
     for k in np.flatnonzero(n != 1).tolist():
@@ -93,9 +93,10 @@ def build(words: pa.BinaryArray, one: tuple[np.ndarray, ...], two: tuple[np.ndar
     """From sorted phrases: ``one`` (word, count), ``two`` (first, second, count), ``three`` (place in ``two``, third, count)."""
     edges = np.searchsorted(three[0], np.arange(len(two[0]) + 1))
     to, *third = registered(edges, three[1], three[2])
-    firsts, at = np.unique(two[0], return_index=True)
+    at = np.flatnonzero(np.diff(two[0], prepend=-1))
+    firsts = two[0][at]
     own, *second = registered(np.append(at, len(two[0])), two[1], two[2], to)
-    root = np.union1d(one[0], firsts)
+    root = distinct(np.concatenate((one[0], firsts)))
     count, state = np.zeros(len(root), np.int64), np.full(len(root), -1)
     count[np.searchsorted(root, one[0])] = one[1]
     state[np.searchsorted(root, firsts)] = own
@@ -132,9 +133,9 @@ def union(parts: list[bytes], least: int = 1) -> tuple[Transducer, dict[bytes, i
     one = np.zeros(size, np.int64)
     for k, n in ones:
         np.add.at(one, k, n)
-    pair, place = np.unique(np.concatenate([k for k, _ in twos]), return_inverse=True)
+    pair, place = numbered(np.concatenate([k for k, _ in twos]))
     two = _added(place, np.concatenate([n for _, n in twos]), len(pair))
-    key, of = np.unique(place[np.concatenate([p for p, _, _ in threes])] * size + np.concatenate([w for _, w, _ in threes]), return_inverse=True)
+    key, of = numbered(place[np.concatenate([p for p, _, _ in threes])] * size + np.concatenate([w for _, w, _ in threes]))
     three = _added(of, np.concatenate([n for _, _, n in threes]), len(key))
     totals: dict[bytes, int] = {}
     counted_words = np.flatnonzero(one)
@@ -147,12 +148,19 @@ def union(parts: list[bytes], least: int = 1) -> tuple[Transducer, dict[bytes, i
     first, second = pair[keep2] // max(size, 1), pair[keep2] % max(size, 1)
     start, third = new[key[keep3] // max(size, 1)], key[keep3] % max(size, 1)
     # Only the words that are left.
-    used = np.unique(np.concatenate((often, first, second, third)))
-    k = lambda x: np.searchsorted(used, x)
-    t = build(words.take(pa.array(used)), (k(often), one[often]), (k(first), k(second), two[keep2]), (start, k(third), three[keep3]))
+    used, k = _renumbered(size, often, first, second, third)
+    t = build(words.take(pa.array(used)), (k[often], one[often]), (k[first], k[second], two[keep2]), (start, k[third], three[keep3]))
     return t, totals
 
 
+def _renumbered(size: int, *members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers below ``size`` that occur, ascending, and the place of each number among them."""
+    have = np.zeros(size, bool)
+    for m in members:
+        have[m] = True
+    return np.flatnonzero(have), np.cumsum(have) - 1
+
+
 def _added(place: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
     out = np.zeros(size, np.int64)
     np.add.at(out, place, n)
@@ -233,11 +241,13 @@ class _Block:
         del symbols, ids
         one = np.bincount(x[x >= 0], minlength=size)
         both = (x[:-1] >= 0) & (x[1:] >= 0)
-        pair, at, n2 = np.unique(x[:-1][both] * size + x[1:][both], return_inverse=True, return_counts=True)
+        pair, at = numbered(x[:-1][both] * size + x[1:][both])
+        n2 = np.bincount(at, minlength=len(pair))
         place = np.full(len(x), -1)
         place[:-1][both] = at
         three = (place[:-2] >= 0) & (place[1:-1] >= 0)
-        key, n3 = np.unique(place[:-2][three] * size + x[2:][three], return_counts=True)
+        key, at = numbered(place[:-2][three] * size + x[2:][three])
+        n3 = np.bincount(at, minlength=len(key))
         start, third = key // max(size, 1), key % max(size, 1)
         first, second = pair // max(size, 1), pair % max(size, 1)
         singles = dict(by_range(word_range(h, ranges), ranges))
@@ -247,9 +257,8 @@ class _Block:
         for r in sorted(singles.keys() | pairs.keys()):
             s, p = singles.get(r, none), pairs.get(r, none)
             of, arc = _taken(edges, p)
-            used = np.unique(np.concatenate((s, first[p], second[p], third[arc])))
-            k = lambda v: np.searchsorted(used, v)  # noqa: B023, E731
-            t = build(words.take(pa.array(used)), (k(s), one[s]), (k(first[p]), k(second[p]), n2[p]), (of, k(third[arc]), n3[arc]))
+            used, k = _renumbered(size, s, first[p], second[p], third[arc])
+            t = build(words.take(pa.array(used)), (k[s], one[s]), (k[first[p]], k[second[p]], n2[p]), (of, k[third[arc]], n3[arc]))
             yield r, t.blob()
 
 

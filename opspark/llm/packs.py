@@ -67,9 +67,35 @@ def tasks_for(ranges: int) -> int:
     return -(-ranges // 4)
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The distinct numbers, ascending."""
+    x = np.sort(x)
+    return x[np.concatenate(([True], x[1:] != x[:-1]))] if len(x) else x
+
+
+def numbered(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers, ascending, and the place among them of each."""
+    order = np.argsort(x)
+    ordered = x[order]
+    new = np.concatenate(([True], ordered[1:] != ordered[:-1])) if len(x) else np.zeros(0, bool)
+    place = np.empty(len(x), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return ordered[new], place
+
+
+def joint(*columns: np.ndarray) -> np.ndarray:
+    """One number for each row of some columns of numbers from 0 on, equal for equal rows."""
+    key = np.zeros(len(columns[0]), np.int64)
+    for c in columns:
+        c = numbered(c)[1] if len(c) and int(c.max()) >= 1 << 31 else c
+        key = numbered(key * (int(c.max(initial=0)) + 1) + c)[1]
+    return key
+
+
 def by_range(place: np.ndarray, ranges: int) -> Iterator[tuple[int, np.ndarray]]:
     """(range, indices of its members, ascending) of each range that has any."""
-    order = np.argsort(place, kind="stable")
+    # Small numbers are sorted by their digits.
+    order = np.argsort(place.astype(np.uint16) if ranges <= 1 << 16 else place, kind="stable")
     edges = np.searchsorted(place[order], np.arange(ranges + 1))
     for r in np.flatnonzero(np.diff(edges)).tolist():
         yield r, order[edges[r] : edges[r + 1]]

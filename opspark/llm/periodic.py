@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
+from .packs import numbered as distinct_numbers
 from .texts import map_texts
 
 #: Shortest run in words, and how often its period must fit.
@@ -102,8 +103,7 @@ def _doubled(place: np.ndarray, name: np.ndarray, n: int, length: int) -> tuple[
     at = np.sort(place)
     second = number[at + length]
     at, second = at[second >= 0], second[second >= 0]
-    pair = number[at] * (n + 1) + second
-    _, name = np.unique(pair, return_inverse=True)
+    _, name = distinct_numbers(number[at] * (n + 1) + second)
     return at, name, 2 * length
 
 

@@ -17,7 +17,7 @@ def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
     padded[:n] = data
     # Big-endian words at every byte; zeros stand for what is behind the end.
     key = np.ndarray((n,), ">u8", padded.tobytes(), strides=(1,)).astype(np.uint64)
-    sa = np.argsort(key, kind="stable").astype(np.int64)
+    sa = np.argsort(key).astype(np.int64)
     ordered = key[sa]
     head = np.concatenate(([True], ordered[1:] != ordered[:-1]))
     del key, ordered
@@ -33,7 +33,7 @@ def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
         # A suffix that ends inside its sorted part looked like zeros there: the shorter, the earlier.
         second = np.where(at + length <= n, rank[np.minimum(at + length, n)], n - at - length) + length
         first = rank[at]
-        order = np.argsort(first * (n + 2 + length) + second, kind="stable")
+        order = np.argsort(first * (n + 2 + length) + second)
         at, first, second = at[order], first[order], second[order]
         sa[several] = at
         new = np.concatenate(([True], (first[1:] != first[:-1]) | (second[1:] != second[:-1])))
@@ -90,7 +90,7 @@ def equal_groups(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarra
     order = order[order >= 0]
     sorted_starts = starts[order]
     # In text order, each start with the one before it in the sorted order.
-    back = np.argsort(sorted_starts[1:], kind="stable")
+    back = np.argsort(sorted_starts[1:])
     at, before = sorted_starts[1:][back], sorted_starts[:-1][back]
     prefix = np.empty(len(back), np.int64)
     prefix[back] = common_prefixes(data, before, at, length)
