@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import norm, normalised
 from ..session import cut_lineage
+from ..sources.literals import literal_table
 
 THRESHOLD = 0.92
 TILE_ROWS = 2048
@@ -87,7 +88,7 @@ def build_index(entries: DataFrame, pivots: int | None = None) -> Index:
 def store_index(index: Index, path: str) -> None:
     """Writes an index: its pivots, and its cells as the first part."""
     spark = index.cells.sparkSession
-    rows = spark.createDataFrame(pd.DataFrame({"cell": np.arange(len(index.pivots), dtype="int32"), "v": list(index.pivots)}), "cell int, v array<double>")
+    rows = literal_table(spark, list(enumerate(index.pivots.tolist())), "cell int, v array<double>")
     rows.write.mode("overwrite").parquet(f"{path}/pivots")
     index.cells.write.mode("overwrite").parquet(f"{path}/cells/part=0")
 
