@@ -50,7 +50,8 @@ def bulk_access(log: DataFrame, window_seconds: int, least: int) -> DataFrame:
     changes = cut_lineage(changes.withColumn("_slice", F.floor(F.col("at") / width)))
     counted = running_sums(changes, ["user_id"], "_slice", ["at"], {"seen": "step"})
     peak = counted.groupBy("user_id").agg(F.max(F.struct("seen", -F.col("at"))).alias("p")).select("user_id", F.col("p.seen").alias("n"), (-F.col("p.col2")).alias("us"))
-    moment = F.timestamp_micros("us").cast("timestamp_ntz")
+    # Without the session's time zone.
+    moment = F.expr("timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, cast(cast(us as decimal(20, 0)) / 1000000 as decimal(18, 6)))")
     return peak.where(F.col("n") >= least).select("user_id", "n", moment.alias("first_time"), moment.alias("last_time"))
 
 
