@@ -33,7 +33,7 @@ from .suffixes import equal_groups
 from .texts import release, slices
 
 #: Bytes of a shard, distinct neighbourhoods of an anchor that stay in one shard, windows that meet in a merging task.
-SHARD, HOT, MERGE = 3 << 20, 512, 2_000_000
+SHARD, HOT, MERGE = 3 << 20, 512, 500_000
 
 FOUND = StructType(
     [StructField(n, LongType()) for n in ("h", "s1", "s2")]

@@ -5,35 +5,38 @@ from __future__ import annotations
 import numpy as np
 
 
-def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
-    """The suffixes of a byte array, sorted by their first ``depth`` bytes at least.
+def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes of a byte array, sorted by their first ``depth`` bytes at least, and a number for each that suffixes of an equal beginning share.
 
     Larsson-Sadakane refinement: suffixes are grouped by their first eight bytes, and each step doubles the sorted
     length by ordering the members of a group by the group of the suffix that far behind. Only groups of more than
-    one member take part in a step, so text that is unique is not touched again.
+    one member take part in a step, so text that is unique is not touched again. The numbers are those of the last doubling that does not go
+    beyond ``depth``: suffixes with different numbers differ within it.
     """
     n = len(data)
     padded = np.zeros(n + 8, np.uint8)
     padded[:n] = data
     # Big-endian words at every byte; zeros stand for what is behind the end.
     key = np.ndarray((n,), ">u8", padded.tobytes(), strides=(1,)).astype(np.uint64)
-    sa = np.argsort(key).astype(np.int64)
+    sa = np.argsort(key).astype(np.int32)
     ordered = key[sa]
     head = np.concatenate(([True], ordered[1:] != ordered[:-1]))
     del key, ordered
-    group = np.maximum.accumulate(np.where(head, np.arange(n), 0))
-    rank = np.empty(n + 1, np.int64)
+    group = np.maximum.accumulate(np.where(head, np.arange(n, dtype=np.int32), 0))
+    rank = np.empty(n + 1, np.int32)
     rank[sa] = group + 1
     rank[n] = 0
     # Places in the array whose group has other members.
-    several = np.flatnonzero(~head | ~np.append(head[1:], True))
-    length = 8
+    several = np.flatnonzero(~head | ~np.append(head[1:], True)).astype(np.int32)
+    length, begins = 8, None
     while length < depth and len(several):
+        if 2 * length > depth:
+            begins = rank.copy()
         at = sa[several]
         # A suffix that ends inside its sorted part looked like zeros there: the shorter, the earlier.
         second = np.where(at + length <= n, rank[np.minimum(at + length, n)], n - at - length) + length
         first = rank[at]
-        order = np.argsort(first * (n + 2 + length) + second)
+        order = np.argsort(first * np.int64(n + 2 + length) + second)
         at, first, second = at[order], first[order], second[order]
         sa[several] = at
         new = np.concatenate(([True], (first[1:] != first[:-1]) | (second[1:] != second[:-1])))
@@ -41,7 +44,7 @@ def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
         rank[at] = place + 1
         several = several[~new | ~np.append(new[1:], True)]
         length *= 2
-    return sa
+    return sa, rank if begins is None else begins
 
 
 def common_prefixes(data: np.ndarray, before: np.ndarray, at: np.ndarray, most: int) -> np.ndarray:
@@ -83,18 +86,19 @@ def common_prefixes(data: np.ndarray, before: np.ndarray, at: np.ndarray, most:
 
 def equal_groups(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     """A group number for each of the places ``starts`` (ascending): equal exactly if the next ``length`` bytes are."""
-    sa = suffix_array(data, length)
-    index = np.full(len(data), -1, np.int64)
+    sa, begins = suffix_array(data, length)
+    index = np.full(len(data), -1, np.int32)
     index[starts] = np.arange(len(starts))
     order = index[sa]
     order = order[order >= 0]
     sorted_starts = starts[order]
-    # In text order, each start with the one before it in the sorted order.
-    back = np.argsort(sorted_starts[1:])
+    # Each start with the one before it in the sorted order, if both begin alike; in text order.
+    number = begins[sorted_starts]
+    alike = np.flatnonzero(number[1:] == number[:-1])
+    back = alike[np.argsort(sorted_starts[1:][alike])]
     at, before = sorted_starts[1:][back], sorted_starts[:-1][back]
-    prefix = np.empty(len(back), np.int64)
-    prefix[back] = common_prefixes(data, before, at, length)
-    number = np.concatenate(([0], np.cumsum(prefix < length)))
+    equal = np.zeros(max(0, len(starts) - 1), bool)
+    equal[back] = common_prefixes(data, before, at, length) >= length
     out = np.empty(len(starts), np.int64)
-    out[order] = number
+    out[order] = np.concatenate(([0], np.cumsum(~equal)))
     return out
