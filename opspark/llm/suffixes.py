@@ -28,7 +28,8 @@ def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     rank[n] = 0
     # Places in the array whose group has other members.
     several = np.flatnonzero(~head | ~np.append(head[1:], True)).astype(np.int32)
-    length, begins = 8, None
+    # Eight bytes are more than a smaller depth: then all begin alike.
+    length, begins = 8, np.zeros(n + 1, np.int32) if depth < 8 else None
     while length < depth and len(several):
         if 2 * length > depth:
             begins = rank.copy()
