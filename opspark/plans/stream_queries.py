@@ -490,7 +490,7 @@ scored AS (
     copies = "(SELECT sum(n - 1) AS extra, count(*) FILTER (WHERE n > 1) AS keys FROM (SELECT count(*) AS n FROM scored WHERE is_new GROUP BY zone_id, time_bucket))"
     rest = rest.replace("unnest([0.0, 0.0, 0.0, CAST(total AS DOUBLE)]) FROM one", f"unnest([extra / total, CAST(extra AS DOUBLE), CAST(keys AS DOUBLE), CAST(total AS DOUBLE)]) FROM one, {copies}")
     verdict = """CASE WHEN (SELECT count(*) FROM alerts WHERE severity = 'critical') > 0 THEN 'BLOCK_DEPLOY_AND_PAGE' WHEN (SELECT count(*) FROM alerts) > 0 THEN 'MONITOR' ELSE 'OK' END"""
-    body = f"""SELECT {number} AS batch, m.metric, m.grouping, m.segment, m.field, round(m.value, 6) + 0 AS value, severity, {verdict} AS decision
+    body = f"""SELECT {number} AS batch, m.metric, m.grouping, m.segment, m.field, CASE WHEN abs(m.value) >= 1e6 THEN round(m.value / 1e6, 3) * 1e6 ELSE round(m.value, 6) + 0 END AS value, severity, {verdict} AS decision
       FROM metrics m LEFT JOIN alerts a ON a.metric = m.metric AND a.grouping = m.grouping AND a.segment = m.segment AND a.field = m.field"""
     return f"SELECT * FROM (WITH {ctes}{rest}\n{body})"
 
@@ -521,7 +521,10 @@ def stream_monitor(spark, d):
 
     in_runs(spark, rows, run_of("time_bucket", MONITOR_STARTS), 3, build, "monitor", base)
     found = spark.read.parquet(base).join(spark.read.parquet(f"{base}-decisions").select("batch", "decision"), "batch")
-    return drq.rounded(found.select("batch", "metric", "grouping", "segment", "field", "value", "severity", "decision"), "value")
+    # Changes against a base of nearly nothing are huge, and are compared by their leading digits.
+    v = F.col("value")
+    shown = F.when(F.abs(v) >= 1e6, F.round(v / 1e6, 3) * 1e6).otherwise(F.round(v, 6) + F.lit(0.0))
+    return found.select("batch", "metric", "grouping", "segment", "field", shown.alias("value"), "severity", "decision")
 
 
 @query(
