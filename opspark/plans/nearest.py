@@ -2,8 +2,12 @@
 
 Vectors are compared as unit vectors, where the angle is a metric. Every cached vector goes to its nearest
 pivot; a query needs only the cells it can reach: angle(query, pivot) <= cell radius + threshold angle.
-Cells are split into tiles of bounded size on both sides, so a crowded cell becomes many small tasks, and a
-task returns only the best match of each of its queries, never the pairs it looked at.
+
+What travels are blocks, not cells: neighbouring cells share a block of some ten thousand vectors, a crowded cell is dealt over
+several, and a query goes once to each block that has a cell it can reach. Blocks meet tiles of queries, also of bounded size. The task of a
+tile compares each query with the cells it reaches, at first in short numbers with a margin for their rounding, and returns only the best match
+of each of its queries, never the pairs it looked at. A table is cut into ``CUTS`` blocks until these are full, so copies grow with the table
+and not with its pairs or cells; beyond, a vector is copied once for each full block or tile of the other side that it meets.
 
 The number of pivots is the square root of the number of vectors: cells then grow no faster than the pivots, which are what
 every task holds. An index stores pivots and cells; later entries join the cells of the pivots that are there, until the
@@ -13,11 +17,13 @@ table has grown ``REBUILD`` times and new pivots are chosen.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,10 +32,15 @@ from ..session import cut_lineage
 from ..sources.literals import literal_table
 
 THRESHOLD = 0.92
-TILE_ROWS = 2048
 SLACK = 1e-6
 REBUILD = 4
 
+#: Most vectors of a block or tile, and their most bytes; the blocks a table is cut into before these are full, and the fewest vectors worth a block.
+TILE_ROWS, TILE_BYTES, CUTS, WORTH = 65_536, 32 << 20, 8, 2048
+
+#: Bytes of vectors that travel as one row, and similarities a task holds at once.
+PACK, MATRIX = 4 << 20, 1 << 22
+
 
 def _angles(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(vectors @ pivots.T, -1.0, 1.0))
@@ -142,31 +153,91 @@ def best_match(
     return search_index(index, queries, query_id, cached_id, query_vector, threshold, query_order, by_time=bool(query_order and cached_order), tile_rows=tile_rows)
 
 
-def _reached(index: Index, asked: DataFrame, theta: float) -> tuple[DataFrame, DataFrame]:
-    """The queries with the cells they can reach, and the number of vectors in each cell."""
-    # One row for each pivot.
-    sizes = cut_lineage(index.cells.groupBy("cell").agg(F.count("*").alias("n"), F.max("angle").alias("radius")))
-    stats = sorted((r["cell"], r["radius"]) for r in sizes.collect())
-    cell_ids = np.array([c for c, _ in stats], dtype="int32")
-    radius = np.array([r for _, r in stats])
-    cell_pivots = index.pivots[cell_ids]
+class Layout(NamedTuple):
+    """How the cells of an index are dealt over blocks, and the queries over tiles.
+
+    ``cells``: the cells by number, with their ``radius`` and ``sizes``; the parts of cell i are ``block[first[i]:first[i + 1]]``, the block of each.
+    ``tiles``: the tiles of queries that each block meets; the tasks of a block follow those of the blocks before.
+    """
+
+    cells: np.ndarray
+    pivots: np.ndarray
+    radius: np.ndarray
+    sizes: np.ndarray
+    first: np.ndarray
+    block: np.ndarray
+    tiles: np.ndarray
+
+
+def _rows_of_tile(rows: int, dimensions: int, tile_rows: int) -> int:
+    return max(1, min(tile_rows, TILE_BYTES // (8 * max(1, dimensions)), max(WORTH, -(-rows // CUTS))))
+
+
+def _cells_of(index: Index) -> Layout:
+    """The cells that have vectors; one row for each pivot."""
+    found = index.cells.groupBy("cell").agg(F.count("*").alias("n"), F.max("angle").alias("radius")).collect()
+    stats = sorted((r["cell"], r["radius"], r["n"]) for r in found)
+    cells = np.array([s[0] for s in stats], np.int64)
+    radius, sizes = np.array([s[1] for s in stats], float), np.array([s[2] for s in stats], np.int64)
+    none = np.zeros(0, np.int64)
+    return Layout(cells, index.pivots[cells], radius, sizes, none, none, none)
+
+
+def _in_blocks(known: Layout, tile_rows: int) -> Layout:
+    most = _rows_of_tile(int(known.sizes.sum()), known.pivots.shape[1], tile_rows)
+    parts = -(-known.sizes // most)
+    first = np.concatenate(([0], np.cumsum(parts)))
+    block = np.empty(first[-1], np.int64)
+    # Cells near the same one of some pivots are neighbours.
+    near = _angles(known.pivots, known.pivots[: max(1, int(known.sizes.sum()) // most)]).argmin(axis=1)
+    b, held = 0, 0
+    for i in np.argsort(near, kind="stable").tolist():
+        size = -(-int(known.sizes[i]) // int(parts[i]))
+        for p in range(first[i], first[i + 1]):
+            if held and held + size > most:
+                b, held = b + 1, 0
+            block[p], held = b, held + size
+    return known._replace(first=first, block=block)
+
+
+def _reach(known: Layout, vectors: np.ndarray, theta: float) -> np.ndarray:
+    return _angles(vectors, known.pivots) <= known.radius + theta + SLACK
+
+
+def _laid_out(index: Index, asked: DataFrame, theta: float, tile_rows: int) -> tuple[Layout, DataFrame]:
+    """The layout, and the queries with the blocks they can reach."""
+    known = _in_blocks(_cells_of(index), tile_rows)
     id_type = dict(asked.dtypes)["id"]
+    of_cell = np.zeros((len(known.cells), int(known.block.max()) + 1), np.float32)
+    of_cell[np.repeat(np.arange(len(known.cells)), np.diff(known.first)), known.block] = 1
 
     def reach(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             if len(rows):
-                near = _angles(np.stack(rows["v"].to_numpy()), cell_pivots) <= radius + theta + SLACK
-                yield rows.assign(cells=[cell_ids[m].tolist() for m in near])
+                met = _reach(known, np.stack(rows["v"].to_numpy()), theta).astype(np.float32) @ of_cell > 0
+                yield rows.assign(blocks=[np.flatnonzero(m) for m in met])
 
-    return cut_lineage(asked.mapInPandas(reach, f"id {id_type}, v array<double>, ord bigint, cells array<int>")), sizes
+    reached = cut_lineage(asked.mapInPandas(reach, f"id {id_type}, v array<double>, ord bigint, blocks array<int>"))
+    # One row for each block.
+    visits = {r["b"]: r["count"] for r in reached.select(F.explode("blocks").alias("b")).groupBy("b").count().collect()}
+    most = _rows_of_tile(max(visits.values(), default=0), known.pivots.shape[1], tile_rows)
+    tiles = np.array([-(-visits.get(b, 0) // most) for b in range(of_cell.shape[1])], np.int64)
+    return known._replace(tiles=tiles), reached
 
 
 def compared_share(index: Index, queries: DataFrame, query_id: str, query_vector: str = "vector", threshold: float = THRESHOLD) -> float:
     """The share of all (query, vector) pairs that a search compares."""
-    asked = _unit(queries, query_id, query_vector, None)
-    reached, sizes = _reached(index, asked, math.acos(threshold) + SLACK)
-    pairs = reached.select(F.explode("cells").alias("cell")).join(sizes, "cell").agg(F.sum("n")).first()[0] or 0
-    return pairs / max(1, reached.count() * index.cells.count())
+    known, theta = _cells_of(index), math.acos(threshold) + SLACK
+
+    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            if len(rows):
+                reached = _reach(known, np.stack(rows["v"].to_numpy()), theta)
+                yield pd.DataFrame({"rows": [len(rows)], "pairs": [int((reached @ known.sizes).sum())]})
+
+    asked = _unit(queries, query_id, query_vector, None).select("v")
+    rows, compared = asked.mapInPandas(pairs, "rows bigint, pairs bigint").agg(F.sum("rows"), F.sum("pairs")).first()
+    return (compared or 0) / max(1, (rows or 0) * int(known.sizes.sum()))
 
 
 def search_index(
@@ -186,71 +257,166 @@ def search_index(
     id_type, cid_type = dict(asked.dtypes)["id"], index.id_type
     if not len(index.pivots):
         return queries.sparkSession.createDataFrame([], f"{query_id} {id_type}, {cached_id} {cid_type}, similarity double")
-    reached, sizes = _reached(index, asked, theta)
-    visits = reached.select("id", "v", "ord", F.explode("cells").alias("cell"))
-    found = _compared(visits, index.cells, sizes, threshold, by_time, tile_rows)
+    layout, reached = _laid_out(index, asked, theta, tile_rows)
+    found = _compared(layout, reached, index.cells, threshold, by_time)
     best = F.min(F.struct((-F.col("similarity")).alias("s"), "ord", "hit")).alias("_b")
     return found.groupBy("id").agg(best).select(
         F.col("id").alias(query_id), F.col("_b.hit").alias(cached_id), (-F.col("_b.s")).alias("similarity")
     )
 
 
-def _compared(visits: DataFrame, cells: DataFrame, sizes: DataFrame, threshold: float, by_time: bool, tile_rows: int) -> DataFrame:
-    """(id, hit, similarity, ord): of each visit of a query to a tile of a cell, the best vector there at or above the threshold."""
-    id_type, cid_type = dict(visits.dtypes)["id"], dict(cells.dtypes)["id"]
-    tiles = F.greatest(F.lit(1), F.ceil(F.col("n") / tile_rows)).cast("int")
-    c_tiles = sizes.select("cell", tiles.alias("c_tiles"))
-    q_tiles = visits.groupBy("cell").agg(F.count("*").alias("n")).select("cell", tiles.alias("q_tiles"))
-    # One row for each cell that is visited.
-    grid = cut_lineage(c_tiles.join(q_tiles, "cell"))
+def _packed(rows: DataFrame, routed: Callable[[pa.RecordBatch], Iterator[tuple[list[int], np.ndarray]]]) -> DataFrame:
+    """A row for each pack of vectors and tile. ``routed`` tells where rows of (id, v, ord, place, h) go, as tiles and the rows for these."""
+    id_type = dict(rows.dtypes)["id"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
 
-    def spread(df: DataFrame, own: str, other: str, own_name: str, other_name: str) -> DataFrame:
-        placed = df.join(grid, "cell").withColumn(own_name, F.pmod(F.xxhash64("id"), F.col(own)).cast("int"))
-        return placed.withColumn(other_name, F.explode(F.sequence(F.lit(0), F.col(other) - 1))).drop("c_tiles", "q_tiles")
+        def packs() -> Iterator[pa.RecordBatch]:
+            batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            vectors = _matrix(batch.column(1))
+            for tiles, at in routed(batch):
+                of = lambda c: pa.ListArray.from_arrays(pa.array([0, len(at)], pa.int32()), c.take(pa.array(at)))  # noqa: B023, E731
+                cell = batch.column(3) if pa.types.is_integer(batch.column(3).type) else pa.array(np.zeros(len(batch), "int32"))
+                columns = [pa.array([tiles], pa.list_(pa.int64())), pa.array([vectors[at].tobytes()], pa.binary()), *map(of, (batch.column(0), batch.column(2), cell))]
+                yield pa.RecordBatch.from_arrays(columns, names=["tiles", "v", "id", "ord", "cell"])
 
-    left = spread(visits, "q_tiles", "c_tiles", "qt", "ct")
-    right = spread(cells.select("id", "v", "ord", "cell"), "c_tiles", "q_tiles", "ct", "qt")
+        for batch in batches:
+            if len(batch):
+                held.append(batch)
+                size += batch.column(1).nbytes
+                if size >= PACK * CUTS:
+                    yield from packs()
+                    held, size = [], 0
+        if held:
+            yield from packs()
 
-    def search(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+    packs = rows.mapInArrow(run, f"tiles array<bigint>, v binary, id array<{id_type}>, ord array<bigint>, cell array<int>")
+    return packs.select(F.explode("tiles").alias("tile"), "v", "id", "ord", "cell")
+
+
+def _matrix(vectors: pa.ListArray) -> np.ndarray:
+    if len(set(np.diff(vectors.offsets.to_numpy()).tolist())) > 1:
+        raise ValueError("vectors of different lengths")
+    return vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
+
+
+def _groups(key: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    order = np.argsort(key, kind="stable")
+    kinds, start = np.unique(key[order], return_index=True)
+    yield from zip(kinds.tolist(), np.split(rows[order], start[1:]))
+
+
+def _unpacked(rows: pa.Table) -> tuple[np.ndarray, pa.Table]:
+    """The vectors of some packs, and a table of their (id, ord, cell)."""
+    columns = {c: pa.chunked_array([x.flatten() for x in rows[c].chunks]).combine_chunks() for c in ("id", "ord", "cell")}
+    table = pa.table(columns)
+    vectors = np.frombuffer(b"".join(x.as_buffer() for c in rows["v"].chunks for x in c), float)
+    return vectors.reshape(len(table), -1), table
+
+
+def _compared(layout: Layout, reached: DataFrame, cells: DataFrame, threshold: float, by_time: bool) -> DataFrame:
+    """(id, hit, similarity, ord): of each query and tile that it goes to, the best vector there at or above the threshold.
+
+    ``reached`` and ``cells`` are rows of those the layout was made for.
+    """
+    id_type, cid_type = dict(reached.dtypes)["id"], dict(cells.dtypes)["id"]
+    theta = math.acos(threshold) + SLACK
+    start = np.cumsum(layout.tiles) - layout.tiles
+    tasks = max(1, int(layout.tiles.sum()))
+
+    def of_queries(batch: pa.RecordBatch) -> Iterator[tuple[list[int], np.ndarray]]:
+        blocks, h = batch.column(3), batch.column(4).to_numpy()
+        rows = np.repeat(np.arange(len(batch)), np.diff(blocks.offsets.to_numpy()))
+        b = blocks.flatten().to_numpy().astype(np.int64)
+        for tile, at in _groups(start[b] + h[rows] % layout.tiles[b], rows):
+            yield [tile], at
+
+    def of_cells(batch: pa.RecordBatch) -> Iterator[tuple[list[int], np.ndarray]]:
+        cell = np.searchsorted(layout.cells, batch.column(3).to_numpy())
+        part = layout.first[cell] + batch.column(4).to_numpy() % np.diff(layout.first)[cell]
+        for b, at in _groups(layout.block[part], np.arange(len(batch))):
+            if layout.tiles[b]:
+                yield list(range(start[b], start[b] + layout.tiles[b])), at
+
+    def search(q: pa.Table, c: pa.Table) -> pa.Table:
         if not len(q) or not len(c):
-            return pd.DataFrame({"id": [], "hit": [], "similarity": [], "ord": []})
-        c = c.sort_values(["ord", "id"], kind="stable")
-        sims = np.stack(q["v"].to_numpy()) @ np.stack(c["v"].to_numpy()).T
+            return pa.table([pa.array([], t) for t in (q["id"].type.value_type, c["id"].type.value_type, pa.float64(), pa.int64())], names=["id", "hit", "similarity", "ord"])
+        (qv, q), (cv, c) = _unpacked(q), _unpacked(c)
+        c = c.append_column("row", pa.array(np.arange(len(c)))).sort_by([("cell", "ascending"), ("ord", "ascending"), ("id", "ascending")])
+        cv = cv[c["row"].to_numpy()]
+        rank = np.empty(len(c), np.int64)
+        rank[pc.sort_indices(c, [("ord", "ascending"), ("id", "ascending")]).to_numpy()] = np.arange(len(c))
+        when = lambda t: pc.fill_null(t["ord"], np.iinfo(np.int64).max).to_numpy()
         if by_time:
-            sims[c["ord"].to_numpy()[None, :] >= q["ord"].to_numpy()[:, None]] = -2.0
-        best = sims.argmax(axis=1)
-        score = sims[np.arange(len(q)), best]
-        hit = score >= threshold
-        return pd.DataFrame(
-            {"id": q["id"].to_numpy()[hit], "hit": c["id"].to_numpy()[best[hit]], "similarity": score[hit], "ord": c["ord"].to_numpy()[best[hit]]}
-        )
-
-    keys = ["cell", "qt", "ct"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(search, f"id {id_type}, hit {cid_type}, similarity double, ord bigint")
+            order = np.argsort(when(q), kind="stable")
+            qv, q = qv[order], q.take(pa.array(order))
+        q_time, c_time = when(q), when(c)
+        short_q, short_c = qv.astype(np.float32), cv.astype(np.float32)
+        margin = (qv.shape[1] + 4) * 2.0**-23
+        best, hit = np.full(len(qv), -np.inf), np.full(len(qv), -1)
+
+        def similar(left: np.ndarray, right: np.ndarray, r: np.ndarray, x: int, y: int, z: int) -> np.ndarray:
+            """Of queries r and vectors x to z; those from y on may be too late for some of the queries."""
+            sims = left[r] @ right[x:z].T
+            if y < z:
+                sims[:, y - x :][c_time[None, y:z] >= q_time[r, None]] = -2.0
+            return sims
+
+        kinds, edges = np.unique(c["cell"].to_numpy(), return_index=True)
+        at = np.searchsorted(layout.cells, kinds)
+        near = _angles(qv, layout.pivots[at]) <= layout.radius[at] + theta + SLACK
+        for k, (x, end) in enumerate(zip(edges.tolist(), [*edges[1:].tolist(), len(cv)])):
+            rows, step = np.flatnonzero(near[:, k]), max(1, MATRIX // (end - x))
+            for s in range(0, len(rows), step):
+                r, y, z = rows[s : s + step], end, end
+                if by_time:
+                    y, z = (x + int(np.searchsorted(c_time[x:end], q_time[r[i]])) for i in (0, -1))
+                if x == z:
+                    continue
+                r = r[similar(short_q, short_c, r, x, y, z).max(axis=1) >= threshold - margin]
+                if not len(r):
+                    continue
+                sims = similar(qv, cv, r, x, y, z)
+                found = sims.argmax(axis=1)
+                score, found = sims[np.arange(len(r)), found], x + found
+                better = (score >= threshold) & ((score > best[r]) | ((score == best[r]) & (rank[found] < rank[hit[r]])))
+                best[r[better]], hit[r[better]] = score[better], found[better]
+        some = np.flatnonzero(hit >= 0)
+        of = c.take(pa.array(hit[some]))
+        return pa.table([q["id"].take(pa.array(some)), of["id"], pa.array(best[some]), of["ord"]], names=["id", "hit", "similarity", "ord"])
+
+    h = F.xxhash64("id", "v").alias("h")
+    if by_time:
+        reached, cells = reached.where("ord is not null"), cells.where("ord is not null")
+    left = _packed(reached.select("id", "v", "ord", "blocks", h), of_queries).repartition(tasks, "tile")
+    right = _packed(cells.select("id", "v", "ord", "cell", h), of_cells).repartition(tasks, "tile")
+    return left.groupBy("tile").cogroup(right.groupBy("tile")).applyInArrow(search, f"id {id_type}, hit {cid_type}, similarity double, ord bigint")
 
 
 class Placed(NamedTuple):
-    """Vectors that look for each other: ``cells`` (id, v, ord, cell) holds each once, ``visits`` once for each cell it can reach."""
+    """Vectors that look for each other: ``cells`` (id, v, ord, cell, angle) and ``reached`` (id, v, ord, blocks) hold each once."""
 
     cells: DataFrame
-    visits: DataFrame
+    reached: DataFrame
+    layout: Layout | None
     threshold: float
 
 
-def place(rows: DataFrame, key: str, vector: str, order: str, threshold: float = THRESHOLD) -> Placed:
+def place(rows: DataFrame, key: str, vector: str, order: str, threshold: float = THRESHOLD, tile_rows: int = TILE_ROWS) -> Placed:
     """Places vectors once, for any number of searches among parts of them."""
     entries = _unit(rows, key, vector, order).select("v", "id", "ord")
     index = build_index(entries)
     if not len(index.pivots):
-        none = index.cells.withColumn("cell", F.lit(0))
-        return Placed(none, none, threshold)
-    reached, _ = _reached(index, index.cells.select("v", "id", "ord"), math.acos(threshold) + SLACK)
-    return Placed(index.cells, cut_lineage(reached.select("id", "v", "ord", F.explode("cells").alias("cell"))), threshold)
+        return Placed(index.cells, index.cells, None, threshold)
+    layout, reached = _laid_out(index, index.cells.select("id", "v", "ord"), math.acos(threshold) + SLACK, tile_rows)
+    return Placed(index.cells, reached, layout, threshold)
 
 
-def with_earlier(placed: Placed, queries: DataFrame, among: DataFrame, tile_rows: int = TILE_ROWS) -> DataFrame:
+def with_earlier(placed: Placed, queries: DataFrame, among: DataFrame) -> DataFrame:
     """(id) of the ``queries`` that have a similar vector of a smaller order ``among`` others; both are frames of one column, id."""
+    if placed.layout is None:
+        return placed.cells.select("id")
     cells = placed.cells.join(among, "id", "left_semi")
-    visits = placed.visits.join(queries, "id", "left_semi")
-    sizes = cells.groupBy("cell").agg(F.count("*").alias("n"))
-    return _compared(visits, cells, sizes, placed.threshold, True, tile_rows).select("id").distinct()
+    reached = placed.reached.join(queries, "id", "left_semi")
+    return _compared(placed.layout, reached, cells, placed.threshold, True).select("id").distinct()

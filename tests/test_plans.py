@@ -122,3 +122,42 @@ def test_a_stored_index_is_extended_and_rebuilt(spark, tmp_path):
 def test_an_empty_index(spark):
     none = spark.createDataFrame([], "vec_id bigint, vector array<double>")
     assert nearest.search_index(nearest.build_index(nearest.entries_of(none, "vec_id")), none, "vec_id", "hit").count() == 0
+
+
+def unstructured(spark, n, seed):
+    v = np.random.default_rng(seed).normal(size=(n, 64))
+    return spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(n), "vector": list(v)}), "vec_id bigint, vector array<double>")
+
+
+def test_copies_of_vectors_without_structure_grow_with_the_table(spark):
+    """Every query reaches every cell here: what travels is a vector for each block it meets, whatever the number of cells and pairs."""
+    for n in (1500, 6000):
+        rows = unstructured(spark, n, n)
+        index = nearest.build_index(nearest.entries_of(rows, "vec_id"))
+        asked = nearest._unit(rows, "vec_id", "vector", None)
+        layout, reached = nearest._laid_out(index, asked, 0.4, nearest.TILE_ROWS)
+        blocks = int(layout.block.max()) + 1
+        assert blocks <= nearest.CUTS + 1 and layout.tiles.max() <= nearest.CUTS
+        assert reached.selectExpr("max(size(blocks))").first()[0] <= blocks < len(index.pivots) / 4
+        # The blocks hold each vector once.
+        assert layout.sizes.sum() == n and set(layout.block.tolist()) == set(range(blocks))
+
+
+@pytest.mark.parametrize("ordered", [False, True])
+def test_matches_across_blocks_and_tiles(spark, ordered):
+    """Neighbours of many blocks, a cell dealt over several, equal vectors in different blocks, and rows without an order."""
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=(9, 12))[rng.integers(0, 9, 400)] + rng.normal(size=(400, 12)) * 0.2
+    v[50:150] = v[50] + rng.normal(size=(100, 12)) * 1e-3
+    when = [None if i % 37 == 5 else i for i in range(400)]
+    rows = spark.createDataFrame([(i, [float(x) for x in u], t) for i, (u, t) in enumerate(zip(v, when))], "cid bigint, vector array<double>, t bigint")
+    order = {"query_order": "t", "cached_order": "t"} if ordered else {}
+    got = {r.qid: (r.cid, r.similarity) for r in nearest.best_match(rows.withColumnRenamed("cid", "qid"), rows, "qid", "cid", pivots=20, tile_rows=8, **order).collect()}
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    sims = unit @ unit.T
+    for q in range(400):
+        allowed = [c for c in range(400) if not ordered or (when[q] is not None and when[c] is not None and c < q)]
+        best = max((sims[q, c] for c in allowed), default=-1)
+        assert (q in got) == (best >= nearest.THRESHOLD)
+        if q in got:
+            assert got[q][0] in allowed and abs(got[q][1] - best) < 1e-9 and abs(sims[q, got[q][0]] - best) < 1e-9
