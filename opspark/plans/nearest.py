@@ -36,7 +36,7 @@ SLACK = 1e-6
 REBUILD = 4
 
 #: Most vectors of a block or tile, and their most bytes; the blocks a table is cut into before these are full, and the fewest vectors worth a block.
-TILE_ROWS, TILE_BYTES, CUTS, WORTH = 65_536, 32 << 20, 8, 2048
+TILE_ROWS, TILE_BYTES, CUTS, WORTH = 65_536, 32 << 20, 8, 1024
 
 #: Bytes of vectors that travel as one row, and similarities a task holds at once.
 PACK, MATRIX = 4 << 20, 1 << 22
