@@ -13,8 +13,11 @@ How it is spread: texts are tokenised once, into blocks of some million tokens.
 not for its tokens. Words and pairs are dealt over ranges by hash, so a frequent word or context is one entry of a block like any
 other, and no restaurant ever sits in one task: a range seats its own pairs (cells), and the counts of tables of contexts and words
 travel between ranges once a round, as in other synchronous distributed samplers. A cell of one customer has one table, so only
-cells with more are sampled. In a round every cell has ``SWEEPS`` passes that each reseat as many customers, drawn at random, as it has, ``SCAN`` at
-most: a random scan, whose stationary seating is the same for cells of any size.
+cells with more are sampled. In a round every cell has ``SWEEPS`` passes. A cell of ``EXACT``
+customers at most draws its number of tables anew from its whole distribution, summed over all seatings with that many tables (generalised Stirling
+numbers), so all its customers are reseated at once. A larger cell reseats ``SCAN`` customers drawn at random and has ``REGROUP`` moves of whole tables:
+two customers are drawn, their table is split or their tables are merged, and the move is accepted by its exact Metropolis-Hastings ratio.
+That reaches all its customers, however many there are, and leaves the same stationary seating.
 
 Discounts follow from the numbers of pairs and words seen once and twice (n1 / (n1 + 2 n2)), the strength is ``THETA``.
 A null or empty text is its end token alone. Rows, repeated or without id, are scored one by one; without training rows
@@ -24,7 +27,9 @@ are possible; more raise an error.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +46,11 @@ from .anchors import MIX, mixed
 from .packs import by_range, distinct, numbered, pack, ranges_for, steps, tasks_for, unpack, word_arrays, words_of_arrays
 from .texts import free_name, release, slices
 
-#: Tokens after which a block is closed, rounds of the sampler, passes in a round, reseated customers of a cell in a pass, strength.
-BLOCK_TOKENS, ROUNDS, SWEEPS, SCAN, THETA = 2_000_000, 3, 1, 6, 1.0
+#: Tokens after which a block is closed, rounds of the sampler, passes in a round, strength.
+BLOCK_TOKENS, ROUNDS, SWEEPS, THETA = 2_000_000, 3, 1, 1.0
+
+#: Customers of a cell whose number of tables is drawn as a whole; customers and moves of tables in a pass of larger cells.
+EXACT, SCAN, REGROUP = 512, 6, 64
 
 #: Words that no text has, as these hold a space: end and start of a text, with their numbers in a block.
 RESERVED = (b" end", b" start")
@@ -256,10 +264,37 @@ def words_of(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 # Seating
 
 
+@lru_cache(2)
+def _stirling(d: float) -> np.ndarray:
+    """Logarithms of the generalised Stirling numbers: of c customers at t tables, the sum over all seatings."""
+    out = np.full((EXACT + 1, EXACT + 1), -np.inf)
+    out[0, 0] = 0.0
+    t = np.arange(1, EXACT + 1)
+    for n in range(EXACT):
+        with np.errstate(divide="ignore"):
+            out[n + 1, 1:] = np.logaddexp(out[n, :-1], np.log(np.maximum(0, n - d * t)) + out[n, 1:])
+    return out
+
+
+def drawn_tables(c: np.ndarray, weight: np.ndarray, growth: np.ndarray, d: float, rng: np.random.Generator) -> np.ndarray:
+    """Numbers of tables of cells of ``EXACT`` customers at most, from their distribution; a table opens with ``weight``, and ``growth`` more for each of the cell."""
+    out, power = np.ones(len(c), np.int64), np.ceil(np.log2(np.maximum(c, 1))).astype(np.int64)
+    for e in np.flatnonzero(np.bincount(power, minlength=1)[1:]) + 1:
+        members, k = np.flatnonzero(power == e), min(1 << int(e), EXACT)
+        for at in range(0, len(members), max(1, MATRIX // k)):
+            cells = members[at : at + max(1, MATRIX // k)]
+            log = np.log(np.maximum(weight[cells, None] + growth[cells, None] * np.arange(k), 1e-300)).cumsum(axis=1)
+            log += _stirling(d)[c[cells], 1 : k + 1]
+            upto = np.exp(log - log.max(axis=1, keepdims=True)).cumsum(axis=1)
+            out[cells] = 1 + (upto <= (rng.random(len(cells)) * upto[:, -1])[:, None]).sum(axis=1)
+    return out
+
+
 def first_tables(c: np.ndarray, weight: np.ndarray, d: float, rng: np.random.Generator) -> np.ndarray:
-    """A number of tables to begin with for cells of ``c`` customers that open a table with ``weight``: arrivals jump to the next opening."""
-    t, arrived = np.ones(len(c), np.int64), np.ones(len(c))
-    open_ = np.arange(len(c))
+    """A number of tables to begin with for cells of ``c`` customers that open a table with ``weight``: ``EXACT`` are drawn, later arrivals jump to the next opening."""
+    arrived = np.minimum(c, EXACT).astype(float)
+    t = drawn_tables(np.minimum(c, EXACT), weight, np.zeros(len(c)), d, rng)
+    open_ = np.flatnonzero(c > EXACT)
     while len(open_):
         busy = arrived[open_] - d * t[open_]
         with np.errstate(over="ignore", divide="ignore"):
@@ -280,33 +315,50 @@ class Seats:
     @classmethod
     def start(cls, c: np.ndarray, weight: np.ndarray, d: float, rng: np.random.Generator) -> Seats:
         t = first_tables(c, weight, d, rng)
+        seats, large = cls._sized(c, t), c > EXACT
+        # Given their number, the tables of a large cell are about one that holds most customers and others with sizes of Sibuya's law.
+        first = np.cumsum(t) - t
+        other = np.repeat(large, t)
+        other[first] = False
+        owner = np.repeat(np.arange(len(c)), t)[other]
+        with np.errstate(over="ignore", divide="ignore"):
+            size = np.floor((rng.random(len(owner)) * math.gamma(1 - d)) ** (-1 / d))
+        seats.sizes[other] = np.clip(size, 1, (c // t)[owner])
+        seats.sizes[first] = c - np.bincount(owner, seats.sizes[other] - 1, minlength=len(c)).astype(np.int64) - (t - 1)
+        return seats
+
+    @classmethod
+    def _sized(cls, c: np.ndarray, t: np.ndarray) -> Seats:
+        """Cells at ``t`` tables, all but the first with one customer: the sizes matter to the moves of large cells only."""
         sizes = np.ones(int(t.sum()), np.int64)
         sizes[np.cumsum(t) - t] = c - t + 1
         return cls(t, sizes)
 
     def reseat(self, c: np.ndarray, prior: np.ndarray, tables: np.ndarray, theta: float, d: float, rng: np.random.Generator) -> Seats:
         """One pass: customers leave and sit down again. ``prior`` is the parent's probability of the cell's word, ``tables`` the tables of its restaurant."""
-        scans = np.minimum(c, SCAN)
-        room = np.minimum(c, self.n + scans)
-        power = np.ceil(np.log2(np.maximum(room, 1))).astype(np.int64)
+        small, large = np.flatnonzero(c <= EXACT), np.flatnonzero(c > EXACT)
+        weight = (theta + d * (tables - self.n)) * prior
+        drawn = Seats._sized(c[small], drawn_tables(c[small], weight[small], d * prior[small], d, rng))
+        if not len(large):
+            return drawn
         offset = np.cumsum(self.n) - self.n
-        n, sizes, order = [], [], []
-        for e in np.flatnonzero(np.bincount(power)).tolist():
-            members, k = np.flatnonzero(power == e), 1 << e
+        power = np.ceil(np.log2(self.n + SCAN + REGROUP)).astype(np.int64)
+        n, sizes, order = [drawn.n], [drawn.sizes], [small]
+        for e in distinct(power[large]).tolist():
+            members, k = large[power[large] == e], 1 << e
             for at in range(0, len(members), max(1, MATRIX // k)):
                 cells = members[at : at + max(1, MATRIX // k)]
-                cells = cells[np.argsort(-scans[cells], kind="stable")]
                 m = np.zeros((len(cells), k), np.int64)
                 own = self.n[cells]
                 used = np.arange(k) < own[:, None]
                 m[used] = self.sizes[np.repeat(offset[cells] - (np.cumsum(own) - own), own) + np.arange(own.sum())]
-                for step in range(int(scans[cells].max(initial=0))):
-                    _move(m[: int((scans[cells] > step).sum())], c[cells], prior[cells], tables[cells] - own, theta, d, rng)
+                for _ in range(SCAN):
+                    _move(m, c[cells], prior[cells], tables[cells] - own, theta, d, rng)
+                for _ in range(REGROUP):
+                    _regroup(m, c[cells], prior[cells], tables[cells] - own, theta, d, rng)
                 n.append((m > 0).sum(axis=1))
                 sizes.append(m[m > 0])
                 order.append(cells)
-        if not order:
-            return self
         cells, n, sizes = np.concatenate(order), np.concatenate(n), np.concatenate(sizes)
         back = np.argsort(cells)
         start = (np.cumsum(n) - n)[back]
@@ -317,7 +369,6 @@ class Seats:
 def _move(m: np.ndarray, c: np.ndarray, prior: np.ndarray, others: np.ndarray, theta: float, d: float, rng: np.random.Generator) -> None:
     """One customer of each row of table sizes leaves and sits down again, in place; ``others`` are the tables of other cells of the restaurant."""
     rows = np.arange(len(m))
-    c, prior, others = c[: len(m)], prior[: len(m)], others[: len(m)]
     leaves = (np.cumsum(m, axis=1) <= (rng.random(len(m)) * c).astype(np.int64)[:, None]).sum(axis=1)
     m[rows, leaves] -= 1
     taken = np.cumsum(np.where(m > 0, m - d, 0.0), axis=1)
@@ -329,6 +380,38 @@ def _move(m: np.ndarray, c: np.ndarray, prior: np.ndarray, others: np.ndarray, t
     m[rows, joins] += 1
 
 
+def _log_gamma(x: np.ndarray) -> np.ndarray:
+    """Of positive numbers, by Stirling's series eight places further on."""
+    y, below = x + 8, np.ones_like(x)
+    for i in range(8):
+        below = below * (x + i)
+    return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - np.log(below)
+
+
+def _regroup(m: np.ndarray, c: np.ndarray, prior: np.ndarray, others: np.ndarray, theta: float, d: float, rng: np.random.Generator) -> None:
+    """Two customers of each row of table sizes are drawn: their table is split between them, or their two tables merged, in place.
+
+    In a split the other customers of the table choose by an urn, each table with weight size - d. The ratio of the seatings' probabilities
+    to those of the proposals then depends on the number of customers alone.
+    """
+    rows = np.arange(len(m))
+    x, y = (rng.random(len(m)) * c).astype(np.int64), (rng.random(len(m)) * (c - 1)).astype(np.int64)
+    upto = np.cumsum(m, axis=1)
+    a, b = ((upto <= k[:, None]).sum(axis=1) for k in (x, y + (y >= x)))
+    split = a == b
+    n = m[rows, a] + np.where(split, 0, m[rows, b])
+    new = (theta + d * (others + (m > 0).sum(axis=1) - ~split)) * prior
+    constant = _log_gamma(np.array([1 - d, 2 - 2 * d]))
+    gain = np.log(new) + _log_gamma(n - 2 * d) - _log_gamma(n - d) + constant[0] - constant[1]
+    taken = np.log(1 - rng.random(len(m))) < np.where(split, gain, -gain)
+    r = np.flatnonzero(taken & ~split)
+    m[r, a[r]], m[r, b[r]] = n[r], 0
+    r = np.flatnonzero(taken & split)
+    apart = 1 + rng.binomial(n[r] - 2, rng.beta(1 - d, 1 - d, len(r)))
+    free = np.argmin(m[r], axis=1)
+    m[r, a[r]], m[r, free] = n[r] - apart, apart
+
+
 def together(left: DataFrame, right: DataFrame, left_key: str, right_key: str, ranges: int) -> PandasCogroupedOps:
     """Both frames dealt over the same tasks."""
     tasks = tasks_for(ranges)

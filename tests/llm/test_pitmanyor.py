@@ -136,3 +136,28 @@ def test_hot_cells_keep_their_customers():
     edges = np.concatenate(([0], np.cumsum(seats.n)))
     assert [int(seats.sizes[a:b].sum()) for a, b in zip(edges[:-1], edges[1:])] == c.tolist()
     assert seats.n[0] > seats.n[2] > 1
+
+
+@pytest.mark.parametrize("c, passes", [(9, 2), (400, 2), (3000, 12)])
+def test_customers_beyond_a_scan_move_too(c, passes):
+    """Cells of more customers than a pass reseats one by one: the number of tables, against its exact distribution. Small ones begin with one table."""
+    d, theta, prior, others, most = 0.4, 1.0, 0.3, 5, min(c, 200)
+    t = np.arange(1, most + 1)
+    stirling = np.concatenate(([0.0], np.full(most, -np.inf)))
+    for n in range(c):
+        with np.errstate(divide="ignore"):
+            stirling[1:] = np.logaddexp(stirling[:-1], np.log(np.maximum(0, n - d * t)) + stirling[1:])
+        stirling[0] = -np.inf
+    log = np.cumsum(np.log((theta + d * (others + t - 1)) * prior)) + stirling[1:]
+    exact = np.exp(log - log.max())
+    exact /= exact.sum()
+    m, rng = 4_000, np.random.default_rng(6)
+    cells = np.full(m, c)
+    seats = pitmanyor.Seats(np.ones(m, np.int64), cells.copy()) if c < 1000 else pitmanyor.Seats.start(cells, np.full(m, (theta + d * others) * prior), d, rng)
+    for _ in range(passes):
+        seats = seats.reseat(cells, np.full(m, prior), others + seats.n, theta, d, rng)
+        assert seats.sizes.sum() == c * m and (seats.sizes > 0).all()
+    mean = float((t * exact).sum())
+    got = np.bincount(seats.n, minlength=most + 1)[1 : most + 1] / m
+    assert abs(seats.n.mean() - mean) < (0.03 if c < 1000 else 0.06) * mean, (seats.n.mean(), mean)
+    assert np.abs(got - exact).max() < 0.03
