@@ -51,6 +51,36 @@ def test_byte_dedup(spark, monkeypatch, hot, shard, merge):
     cases.same(same, cases.byte_dedup(cases.rows(), 400))
 
 
+def test_phrases_do_not_make_long_windows_meet():
+    """Texts that share phrases, but no window, have no anchor in common: nothing of them is sorted."""
+    rng = np.random.default_rng(5)
+    letters = "abcdefghijklmnopqrstuvwxyz     "
+    made = lambda n: "".join(rng.choice(list(letters), n))
+    phrases = [made(40) for _ in range(30)]
+    texts = ["".join(phrases[k] + made(30) for k in rng.permutation(30)) for _ in range(20)]
+    anchor_sets = [set(anchors.segments(anchors.Bytes(t), 400)[0].tolist()) for t in texts]
+    assert sum(map(len, anchor_sets)) == len(set().union(*anchor_sets)) > 100
+
+
+@pytest.mark.parametrize("length", [16, 64, 255, 256, 300])
+def test_byte_dedup_of_other_lengths(spark, length):
+    rows = [r for r in cases.rows() if len(r[1] or "") < 20000]
+    got = suffixdedup.dedup(cases.frame(spark, rows), length=length)
+    same = got.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
+    cases.same(same, cases.byte_dedup(rows, length))
+
+
+def test_suffix_array_whose_keys_need_two_sorts():
+    """From the second refinement on, group, second and place together pass 64 bits."""
+    half = np.random.default_rng(6).integers(97, 101, 2_200_000).astype(np.uint8)
+    raw = np.concatenate((half, half)).tobytes()
+    sa, _ = suffix_array(np.frombuffer(raw, np.uint8), 64)
+    assert np.array_equal(np.sort(sa), np.arange(len(raw)))
+    for k in np.random.default_rng(7).integers(0, len(raw) - 1, 5000).tolist():
+        a, b = int(sa[k]), int(sa[k + 1])
+        assert raw[a : a + 64] <= raw[b : b + 64]
+
+
 @pytest.mark.parametrize("pairs", [48, 1])
 def test_word_dedup(spark, monkeypatch, pairs):
     monkeypatch.setattr(substrings, "PAIRS", pairs)
