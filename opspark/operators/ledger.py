@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..plans import nearest
-from ..plans.nearest import THRESHOLD, best_match
-from ..session import cut_lineage
+from ..plans import stored
+from ..plans.nearest import THRESHOLD
+from ..plans.stored import Store
+from ..session import cut_lineage, drop, release
 from ..sources.policies import DEFAULT_PRICE_MODEL
 
 PARTS = ["retrieval_cost", "llm_cost", "tool_cost", "error_cost"]
@@ -109,57 +110,79 @@ def cache_replay(log: DataFrame, order: tuple[str, ...] = ("ts", "query_id")) ->
     )
 
 
-def cached_entries(asked: DataFrame, threshold: float) -> DataFrame:
-    """(cache_key, _v, node): the requests that entered the cache, of (cache_key, _v, node) rows in order of ``node``.
+def cached_entries(asked: Store, threshold: float) -> DataFrame:
+    """(cache_key, node, part, row, ord): the requests that entered the cache, of stored (cache_key, node, ord) rows in order of ``node``.
 
     A request is answered without entering if its key is cached, or a cached vector is similar. Who entered
     depends only on earlier requests of the same key or a similar vector, so all requests without such a request that is
     still open are decided together; the number of rounds is the length of the longest chain of dependencies.
+    The vectors stay where they are stored: a round moves keys and places only.
     """
-    nodes = cut_lineage(asked.groupBy("cache_key", "_v").agg(F.min("node").alias("node")))
-    # Placed once; a round searches among the requests that are still open.
-    placed = nearest.place(nodes, "node", "_v", "node", threshold)
-    still = nodes.select("cache_key", "node")
-    entered = None
+    first = F.min(F.struct("node", "part", "row", "ord")).alias("_first")
+    still, entered = cut_lineage(asked.rows.groupBy("cache_key", "same").agg(first).select("cache_key", "_first.*")), None
     while True:
-        ids = still.select(F.col("node").alias("id"))
         # In the order of time, the first of its key and without an earlier one like it: nothing can answer it.
-        first = still.groupBy("cache_key").agg(F.min("node").alias("id"))
-        after = nearest.with_earlier(placed, ids, ids)
-        new = cut_lineage(first.select("id").join(after, "id", "left_anti"))
-        entered = new if entered is None else cut_lineage(entered.unionByName(new))
-        rest = still.join(new, F.col("node") == F.col("id"), "left_anti")
-        keys = still.join(new, F.col("node") == F.col("id"), "left_semi").select(F.col("cache_key").alias("_k"), F.col("node").alias("_n"))
+        first = cut_lineage(still.groupBy("cache_key").agg(F.min(F.struct("node", "part", "row", "ord")).alias("_first")).select("cache_key", "_first.*"))
+        after = stored.with_earlier(asked, _placed(first), _placed(still), threshold)
+        new = cut_lineage(first.join(after, F.col("node") == F.col("id"), "left_anti"))
+        release(first, after)
+        entered = new if entered is None else entered.unionByName(new)
+        # Of a key only its first row can have entered, and then it answers all others.
+        keys = new.select(F.col("cache_key").alias("_k"), F.col("node").alias("_n"))
+        rest = still.join(keys.select("_n"), F.col("node") == F.col("_n"), "left_anti")
         rest = cut_lineage(rest.join(keys, (F.col("cache_key") == F.col("_k")) & (F.col("node") > F.col("_n")), "left_anti"))
-        answered = nearest.with_earlier(placed, rest.select(F.col("node").alias("id")), new)
-        still = cut_lineage(rest.join(answered, F.col("node") == F.col("id"), "left_anti"))
+        answered = stored.with_earlier(asked, _placed(rest), _placed(new), threshold)
+        before, still = still, cut_lineage(rest.join(answered, F.col("node") == F.col("id"), "left_anti"))
+        release(before, rest, answered)
         if still.isEmpty():
-            return nodes.join(entered, F.col("node") == F.col("id"), "left_semi")
+            return entered
 
 
-def hybrid_replay(log: DataFrame, vector: Column, threshold: float = THRESHOLD) -> DataFrame:
+def _placed(rows: DataFrame) -> DataFrame:
+    return rows.select(F.col("node").alias("id"), "part", "row", "ord")
+
+
+def hybrid_replay(log: DataFrame, vector: Column, threshold: float = THRESHOLD, responses: bool = True) -> DataFrame:
     """Replay of a cache that looks for the exact key first and then for the most similar cached question.
 
-    Adds ``cache_key``, ``outcome`` (exact_hit, semantic_hit, miss), ``hit``, ``cached_response`` and ``similarity``.
-    Only a miss enters the cache: a question answered by a similar one is looked up anew each time. Needs a
-    unique ``query_id`` that grows with time.
+    Adds ``cache_key``, ``outcome`` (exact_hit, semantic_hit, miss), ``hit``, ``cached_response`` and ``similarity``; no ``cached_response``
+    unless ``responses``. Only a miss enters the cache: a question answered by a similar one is looked up anew each time. Needs a
+    unique ``query_id`` that grows with time, and a log that is the same whenever it is read: its vectors are read once and stored, its other
+    columns are read again for the result.
     """
-    asked = cut_lineage(log.withColumns({"cache_key": tx.cache_key(F.col("query")), "_v": vector, "node": F.col("query_id")}))
-    entered = cached_entries(asked.select("cache_key", "_v", "node"), threshold)
-    answers = asked.select(F.col("node").alias("_n"), F.col("answer").alias("_response"))
-    cached = cut_lineage(entered.select(F.col("cache_key").alias("_k"), F.col("_v").alias("_cv"), F.col("node").alias("_n")).join(answers, "_n"))
-    by_key = cut_lineage(cached.groupBy("_k").agg(F.min("_n").alias("_first"), F.min_by("_response", "_n").alias("_exact")))
-    keyed = cut_lineage(asked.join(by_key, F.col("cache_key") == F.col("_k"), "left").drop("_k"))
-    open_ = keyed.where(F.col("_first").isNull() | (F.col("node") < F.col("_first")))
-    found = best_match(open_, cached, "node", "_n", "_v", "_cv", threshold, query_order="node", cached_order="_n")
-    similar = found.join(cached.select("_n", F.col("_response").alias("_similar")), "_n").drop("_n")
-    exact = F.col("node") > F.col("_first")
-    out = keyed.join(similar, "node", "left").withColumn(
-        "outcome", F.when(exact, "exact_hit").when(F.col("similarity").isNotNull(), "semantic_hit").otherwise("miss")
+    keyed = log.withColumn("cache_key", tx.cache_key(F.col("query")))
+    node = F.col("query_id")
+    asked = stored.store(keyed.select("cache_key", node.alias("node"), node.cast("bigint").alias("ord"), vector.alias("_v")), "_v")
+    entered = cached_entries(asked, threshold)
+    by_key = entered.groupBy(F.col("cache_key").alias("_k")).agg(F.min("node").alias("_first"))
+    rows = asked.rows.join(by_key, F.col("cache_key") == F.col("_k"), "left")
+    rows = cut_lineage(rows.select("node", F.xxhash64("cache_key").alias("_h"), "part", "row", "ord", "_first"))
+    release(asked.rows)
+    open_ = rows.where(F.col("_first").isNull() | (F.col("node") < F.col("_first")))
+    found = cut_lineage(stored.best_earlier(asked, _placed(open_), _placed(entered), threshold))
+    drop(log.sparkSession, asked.path)
+    # Where an id comes several times, a similar question is answered by each row of the entry.
+    copies = cut_lineage(entered.select(F.col("node").alias("_n")).join(rows, F.col("node") == F.col("_n")).groupBy("_n").agg(F.count("*").alias("_copies")))
+    found = found.join(copies, F.col("hit") == F.col("_n"))
+    exact = F.coalesce(F.col("_node") > F.col("_first"), F.lit(False))
+    semantic = ~exact & F.col("similarity").isNotNull()
+    lookups = rows.select(F.col("node").alias("_node"), "_h", "_first").distinct().join(found.withColumnRenamed("id", "_id"), F.col("_node") == F.col("_id"), "left")
+    lookups = lookups.select(
+        "_node",
+        F.col("_h").alias("_key"),
+        F.when(exact, "exact_hit").when(semantic, "semantic_hit").otherwise("miss").alias("outcome"),
+        "similarity",
+        F.when(exact, F.col("_first")).otherwise(F.col("hit")).alias("_answer"),
+        F.explode(F.sequence(F.lit(1), F.when(semantic, F.col("_copies").cast("int")).otherwise(F.lit(1)))).alias("_copy"),
     )
-    return out.withColumns(
-        {"hit": F.col("outcome") != "miss", "cached_response": F.when(exact, F.col("_exact")).otherwise(F.col("_similar"))}
-    ).drop("_v", "node", "_first", "_exact", "_similar")
+    out = keyed.join(lookups, (node == F.col("_node")) & (F.xxhash64("cache_key") == F.col("_key")), "left")
+    out = out.withColumn("hit", F.col("outcome") != "miss")
+    if responses:
+        answers = log.select(node.alias("_n"), F.col("answer").alias("cached_response")).join(copies.select("_n"), "_n")
+        numbered = Window.partitionBy("_n").orderBy("cached_response")
+        answers = cut_lineage(answers.withColumn("_number", F.row_number().over(numbered)))
+        out = out.join(answers, (F.col("_answer") == F.col("_n")) & (F.col("_copy") == F.col("_number")), "left").drop("_n", "_number")
+    return out.drop("_node", "_key", "_answer", "_copy")
 
 
 def cache_impact(log: DataFrame, keywords: list[str] | None = None, max_chars: int = 1000, replay: DataFrame | None = None) -> DataFrame:

@@ -392,31 +392,3 @@ def _compared(layout: Layout, reached: DataFrame, cells: DataFrame, threshold: f
     left = _packed(reached.select("id", "v", "ord", "blocks", h), of_queries).repartition(tasks, "tile")
     right = _packed(cells.select("id", "v", "ord", "cell", h), of_cells).repartition(tasks, "tile")
     return left.groupBy("tile").cogroup(right.groupBy("tile")).applyInArrow(search, f"id {id_type}, hit {cid_type}, similarity double, ord bigint")
-
-
-class Placed(NamedTuple):
-    """Vectors that look for each other: ``cells`` (id, v, ord, cell, angle) and ``reached`` (id, v, ord, blocks) hold each once."""
-
-    cells: DataFrame
-    reached: DataFrame
-    layout: Layout | None
-    threshold: float
-
-
-def place(rows: DataFrame, key: str, vector: str, order: str, threshold: float = THRESHOLD, tile_rows: int = TILE_ROWS) -> Placed:
-    """Places vectors once, for any number of searches among parts of them."""
-    entries = _unit(rows, key, vector, order).select("v", "id", "ord")
-    index = build_index(entries)
-    if not len(index.pivots):
-        return Placed(index.cells, index.cells, None, threshold)
-    layout, reached = _laid_out(index, index.cells.select("id", "v", "ord"), math.acos(threshold) + SLACK, tile_rows)
-    return Placed(index.cells, reached, layout, threshold)
-
-
-def with_earlier(placed: Placed, queries: DataFrame, among: DataFrame) -> DataFrame:
-    """(id) of the ``queries`` that have a similar vector of a smaller order ``among`` others; both are frames of one column, id."""
-    if placed.layout is None:
-        return placed.cells.select("id")
-    cells = placed.cells.join(among, "id", "left_semi")
-    reached = placed.reached.join(queries, "id", "left_semi")
-    return _compared(placed.layout, reached, cells, placed.threshold, True).select("id").distinct()
