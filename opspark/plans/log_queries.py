@@ -620,7 +620,7 @@ def cache_outcomes(spark, d):
 )
 def cache_impact_hybrid(spark, d):
     log = vector_log(spark, d)
-    out = ledger.cache_impact(log, replay=ledger.hybrid_replay(log, F.col("v")))
+    out = ledger.cache_impact(log, replay=ledger.hybrid_replay(log, F.col("v"), responses=False))
     return out.withColumns({c: F.round(c, 9) for c in ("cache_hit_rate", "cheap_share")})
 
 
