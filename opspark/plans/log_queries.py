@@ -588,9 +588,9 @@ def vector_log(spark, d) -> DataFrame:
     )
 
 
-def hybrid(spark, d) -> DataFrame:
+def hybrid(spark, d, responses: bool = True) -> DataFrame:
     """The vector log answered by exact key first, then by the most similar cached question."""
-    return ledger.hybrid_replay(vector_log(spark, d), F.col("v"))
+    return ledger.hybrid_replay(vector_log(spark, d), F.col("v"), responses=responses)
 
 
 @query("cache_hybrid", with_(HYBRID, "SELECT query_id, outcome, cached_response, similarity FROM hybrid"))
@@ -600,7 +600,7 @@ def cache_hybrid(spark, d):
 
 @query("cache_outcomes", with_(HYBRID, "SELECT outcome, count(*) AS n, round(count(*) / (SELECT count(*) FROM hybrid), 9) AS share FROM hybrid GROUP BY 1"))
 def cache_outcomes(spark, d):
-    counts = cut_lineage(hybrid(spark, d).groupBy("outcome").agg(F.count("*").alias("n")))
+    counts = cut_lineage(hybrid(spark, d, responses=False).groupBy("outcome").agg(F.count("*").alias("n")))
     total = counts.agg(F.sum("n")).scalar()
     return counts.withColumn("share", F.round(F.col("n") / total, 9))
 
