@@ -639,7 +639,8 @@ ev AS (SELECT chosen.*, {COST_SQL} AS cost FROM chosen LEFT JOIN prices USING (m
 )
 def eval_report_hybrid(spark, d):
     log = vector_log(spark, d)
-    replay = cut_lineage(ledger.hybrid_replay(log, F.col("v")))
+    replay = ledger.hybrid_replay(log, F.col("v"), responses=False)
+    replay = cut_lineage(replay.select("query", "hit", "input_tokens", "output_tokens"))
     out = ledger.evaluation_report(ledger.evaluation(log, policies.prices(spark), replay)).drop("spikes")
     return out.withColumns({c: F.round(c, 9) for c in ("cache_hit_rate", "total_cost")})
 

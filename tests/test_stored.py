@@ -10,7 +10,7 @@ from opspark.operators import ledger
 from opspark.plans import catalog, log_queries, stored
 from opspark.session import checkpoint_dir
 
-HYBRID = ["cache_hybrid", "cache_impact_hybrid", "cache_outcomes"]
+HYBRID = ["cache_hybrid", "cache_impact_hybrid", "cache_outcomes", "eval_report_hybrid"]
 
 
 def table(spark, vectors, parts=5):
