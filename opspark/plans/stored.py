@@ -28,7 +28,7 @@ from ..session import cut_lineage, drop, scratch
 from .nearest import CUTS, SLACK, THRESHOLD, TILE_BYTES, TILE_ROWS, WORTH
 
 #: Queries and vectors that are compared at once; the share of reached vectors from which a part is compared by time and not by cell.
-QUERIES, VECTORS, DENSE = 1024, 4096, 0.5
+QUERIES, VECTORS, DENSE = 512, 2048, 0.5
 
 
 class Store(NamedTuple):
